@@ -31,14 +31,19 @@ def compute_once(df: DataFrame, name: str, value: Column) -> DataFrame:
     return df.select("*", F.explode(F.array(value)).alias(name))
 
 
-def json_piece(pieces: Column) -> Column:
-    """Of text split at the marker: the part after the first marker, or null when there is none.
+def json_piece(stdout: Column) -> Column:
+    """Text between the first and second marker, or null when there is none.
 
-    Pieces at the end that are empty do not count, so text that stops at the marker has no JSON;
-    an empty piece before a non-empty one does count.
+    Markers with nothing after them do not count, so text that stops at a marker has no JSON; but an
+    empty piece counts if something follows the next marker.
     """
-    later = F.filter(pieces, lambda piece, i: (i > 0) & (piece != ""))
-    return F.when(F.size(later) > 0, F.get(pieces, F.lit(1)))
+    start = F.locate(MARKER, stdout)
+    rest = F.substring(stdout, start + len(MARKER), F.length(stdout))
+    piece = F.substring_index(rest, MARKER, 1)
+    return F.when(
+        start > 0,
+        F.when(piece != "", piece).when(F.replace(rest, F.lit(MARKER), F.lit("")) != "", piece),
+    )
 
 
 def percentile_value(stats: Column, percentile: int) -> Column:
@@ -81,10 +86,7 @@ def parse_output(df: DataFrame, stdout: str = "stdout") -> DataFrame:
     Status is one of ``no_stdout``, ``missing_json``, ``parse_failed``, ``parsed``.
     """
     others = [c for c in df.columns if c != stdout]
-    pieces = compute_once(df, "_pieces", F.split(F.col(stdout), MARKER))
-    found = pieces.select(
-        *others, F.col("_pieces").isNull().alias("_none"), json_piece(F.col("_pieces")).alias("_json")
-    )
+    found = df.select(*others, F.col(stdout).isNull().alias("_none"), json_piece(F.col(stdout)).alias("_json"))
     decoded = compute_once(found, "_output", F.from_json("_json", OUTPUT_SCHEMA, {"mode": "PERMISSIVE"}))
     checked = decoded.withColumn("_complete", is_complete(F.col("_output")))
     complete = F.col("_complete")

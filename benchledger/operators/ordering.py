@@ -15,63 +15,69 @@ from pyspark.sql import functions as F
 from benchledger.session import settle
 
 
-def number_rows(
-    df: DataFrame,
-    order: Sequence[Column],
-    partition: Sequence[str] = (),
-    prefix_sums: dict[str, str] | None = None,
-    blocks: int | None = None,
-) -> DataFrame:
+def number_rows(df: DataFrame, order: Sequence[Column], partition: Sequence[str] = ()) -> DataFrame:
     """Add ``seq``, the 1-based row number in ``order`` within ``partition``.
 
-    ``prefix_sums`` maps a new column to an existing numeric one: the new column is the sum over all
-    earlier rows (exclusive). ``order`` must be total within a partition and ``partition`` columns
-    must not be null.
+    ``order`` must be total within a partition and ``partition`` columns must not be null. A range
+    shuffle puts neighbours together; each block is sorted and numbered where it lies, and written,
+    which pins the block borders. What comes before a block is then one small row per block and key.
     """
-    prefix_sums = prefix_sums or {}
     keys = list(partition)
-    blocks = blocks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
+    blocks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sort = [*[F.col(k) for k in keys], *order]
     placed = settle(
-        df.repartitionByRange(blocks, *[F.col(k) for k in keys], *order).withColumn(
-            "_block", F.spark_partition_id()
-        ),
+        df.repartitionByRange(blocks, *sort)
+        .sortWithinPartitions(*sort)
+        .withColumn("_block", F.spark_partition_id())
+        .withColumn("_row", F.monotonically_increasing_id()),
         "placed",
     )
-    # One row per block and key: at most blocks + keys rows, whatever the size of the data.
-    sizes = placed.groupBy(*keys, "_block").agg(
-        F.count("*").alias("_rows"),
-        *[F.sum(source).alias(f"_{target}") for target, source in prefix_sums.items()],
+    sizes = placed.groupBy(*keys, "_block").agg(F.count("*").alias("_rows"), F.min("_row").alias("_first"))
+    shifts = sizes.select(
+        *keys, "_block", (_before(F.col("_rows"), keys) - F.col("_first") + 1).alias("_shift")
     )
-    earlier_blocks = (
-        Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    return placed.join(shifts, [*keys, "_block"]).select(
+        *df.columns, (F.col("_row") + F.col("_shift")).alias("seq")
     )
-    shifts = sizes.select(
-        *keys,
-        "_block",
-        F.coalesce(F.sum("_rows").over(earlier_blocks), F.lit(0)).alias("_rows"),
-        *[
-            F.coalesce(F.sum(f"_{target}").over(earlier_blocks), F.lit(0)).alias(f"_{target}")
-            for target in prefix_sums
-        ],
+
+
+def prefix_sums(
+    df: DataFrame,
+    sums: dict[str, str],
+    seq: str = "seq",
+    partition: Sequence[str] = (),
+    block_rows: int = 100_000,
+) -> DataFrame:
+    """Add sums over all earlier rows (exclusive): new column to existing whole-number column.
+
+    ``seq`` numbers the rows of a partition from 1 without gaps, so its ranges are blocks of known
+    size. ``df`` is read twice; pass a written table.
+    """
+    keys = list(partition)
+    blocked = df.withColumn("_block", F.floor((F.col(seq) - 1) / block_rows))
+    totals = blocked.groupBy(*keys, "_block").agg(
+        *[F.sum(source).alias(f"_{target}") for target, source in sums.items()]
     )
-    block_order = Window.partitionBy(*keys, "_block").orderBy(*order)
-    earlier_rows = block_order.rowsBetween(Window.unboundedPreceding, -1)
-    inside = placed.select(
-        "*",
-        F.row_number().over(block_order).alias("_row"),
-        *[
-            F.coalesce(F.sum(source).over(earlier_rows), F.lit(0)).alias(f"_own_{target}")
-            for target, source in prefix_sums.items()
-        ],
+    shifts = totals.select(
+        *keys, "_block", *[_before(F.col(f"_{target}"), keys).alias(f"_{target}") for target in sums]
+    )
+    earlier = (
+        Window.partitionBy(*keys, "_block").orderBy(seq).rowsBetween(Window.unboundedPreceding, -1)
+    )
+    inside = blocked.select(
+        "*", *[F.coalesce(F.sum(source).over(earlier), F.lit(0)).alias(f"_own_{t}") for t, source in sums.items()]
     )
     return inside.join(shifts, [*keys, "_block"]).select(
-        *df.columns,
-        (F.col("_row") + F.col("_rows")).cast("bigint").alias("seq"),
-        *[(F.col(f"_own_{t}") + F.col(f"_{t}")).alias(t) for t in prefix_sums],
+        *df.columns, *[(F.col(f"_own_{t}") + F.col(f"_{t}")).alias(t) for t in sums]
     )
 
 
+def _before(amount: Column, keys: Sequence[str]) -> Column:
+    """Sum over the earlier blocks of the key: at most one row per block and key, never the data."""
+    blocks = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    return F.coalesce(F.sum(amount).over(blocks), F.lit(0))
+
+
 def with_previous(
     df: DataFrame, columns: Sequence[str], seq: str = "seq", partition: Sequence[str] = ()
 ) -> DataFrame:

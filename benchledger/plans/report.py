@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 
 from benchledger.functions import parse, text
 from benchledger.plans.results import METRICS
+from benchledger.session import settle
 from benchledger.sources import matrix as matrix_ops
 
 NO_RESULT = "<no result for commit>"
@@ -32,11 +34,11 @@ def report_rows(
     commits: DataFrame,
     tests: DataFrame,
     outcomes: DataFrame,
-    test_names: list[str] | None = None,
+    test_names: Sequence[str] = (),
 ) -> DataFrame:
     """Every planned (line, test, commit) with its last outcome, or ``no_result``."""
     per_test = matrix_ops.explode_tests(
-        ranges.select("config_id", "instance_id", "test_names"), tests, test_names or ()
+        ranges.select("config_id", "instance_id", "test_names"), tests, test_names
     ).drop("app_name")
     planned = commits.select(
         "config_id", "branch", F.col("commit_id").alias("framework_commit"), "pos"
@@ -57,11 +59,13 @@ def line_text() -> Column:
     return F.concat(text.short_id(F.col("framework_commit")), F.lit(" "), shown)
 
 
-def report_lines(rows: DataFrame, ranges: DataFrame, commits: DataFrame, tests: DataFrame) -> DataFrame:
+def report_lines(
+    rows: DataFrame, ranges: DataFrame, commits: DataFrame, tests: DataFrame, test_names: Sequence[str] = ()
+) -> DataFrame:
     """Text lines with their order: (config_id, test_name, pos, line). A header has position -1."""
     sizes = commits.groupBy("config_id").agg(F.count("*").alias("_commits"))
     headers = (
-        matrix_ops.explode_tests(ranges.select("config_id", "branch", "test_names"), tests)
+        matrix_ops.explode_tests(ranges.select("config_id", "branch", "test_names"), tests, test_names)
         .join(sizes, "config_id", "left")
         .select(
             "config_id",
@@ -164,7 +168,8 @@ def report_document(
     pieces.append(_lines(_with_comma(tests, "test_name"), 3, test, F.lit(0), described))
 
     commit_id = F.col("framework_commit")
-    per_commit = _with_comma(json_per_commit(results), "framework_commit")
+    # Written, because the first commit has to be known before any line can be composed.
+    per_commit = _with_comma(settle(json_per_commit(results), "json"), "framework_commit")
     pieces.append(_lines(per_commit, 5, commit_id, F.lit(0), F.concat("comma", _quoted(commit_id), F.lit(":"), "json")))
     return reduce(DataFrame.unionByName, pieces)
 

@@ -6,14 +6,15 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from benchledger.functions import commands
 from benchledger.operators import builds as build_ops
 from benchledger.operators import commits as commit_ops
 from benchledger.operators.ledger import join_runs
-from benchledger.operators.ordering import number_rows, with_previous
+from benchledger.operators.ordering import number_rows, prefix_sums, with_previous
+from benchledger.session import settle
 from benchledger.sources import matrix as matrix_ops
 
 TASK_KEY = ["test_name", "framework_commit", "app_name"]
@@ -80,11 +81,11 @@ def needed_tasks(
 ) -> DataFrame:
     """Distinct tasks of all matrix lines: each line's commits times its tests.
 
-    ``wanted_commits`` (commit_id) narrows the commits when ``options.revisions`` is set.
+    ``wanted_commits`` (branch, commit_id) narrows the commits when ``options.revisions`` is set.
     """
     lines = matrix_ops.keep_members(ranges, "branch", options.branches)
     if wanted_commits is not None:
-        commits = commits.join(wanted_commits.select("commit_id").distinct(), "commit_id", "left_semi")
+        commits = commits.join(wanted_commits, ["branch", "commit_id"], "left_semi")
     apps = apps_refs.select(F.col("branch").alias("apps_branch"), F.col("head").alias("_apps_head"))
     resolved = lines.join(apps, "apps_branch", "left").withColumn(
         "apps_commit",
@@ -168,11 +169,13 @@ def with_current(tasks: DataFrame, latest_framework: DataFrame) -> DataFrame:
     )
 
 
-def ordered_plan(
-    tasks: DataFrame, options: PlanOptions = PlanOptions(), prefix_sums: dict[str, str] | None = None
-) -> DataFrame:
-    """Add ``seq``, the place of a task in its instance's work list."""
-    return number_rows(tasks, priority(options), partition=["instance_id"], prefix_sums=prefix_sums)
+def ordered_plan(tasks: DataFrame, options: PlanOptions = PlanOptions()) -> DataFrame:
+    """Add ``seq``, the place of a task in its instance's work list.
+
+    The tasks are written first: the range shuffle samples its input, which would otherwise run the
+    whole plan a second time.
+    """
+    return number_rows(settle(tasks, "tasks"), priority(options), partition=["instance_id"])
 
 
 def first_tasks(tasks: DataFrame, limit: int, options: PlanOptions = PlanOptions()) -> DataFrame:
@@ -186,9 +189,11 @@ def budgeted_plan(tasks: DataFrame, costs: DataFrame, budget_seconds: int, optio
     The clock is read before each task, so the last one may run over. ``costs`` is (test_name,
     cost_seconds).
     """
-    priced = tasks.join(costs, "test_name")
-    planned = ordered_plan(priced, options, prefix_sums={"starts_after_seconds": "cost_seconds"})
-    return planned.filter(F.col("starts_after_seconds") <= budget_seconds)
+    plan = ordered_plan(tasks.join(costs, "test_name"), options)
+    started = prefix_sums(
+        settle(plan, "plan"), {"starts_after_seconds": "cost_seconds"}, partition=["instance_id"]
+    )
+    return started.filter(F.col("starts_after_seconds") <= budget_seconds)
 
 
 def expected_costs(tests: DataFrame, override_seconds: int | None = None) -> DataFrame:
@@ -205,31 +210,25 @@ def rebuild_points(plan: DataFrame) -> DataFrame:
     The framework is built when the commit changes. An app is built when the framework was built
     since the app's last task, or its own commit changed.
     """
-    framework = with_previous(plan, ["framework_commit"], partition=["instance_id"]).withColumn(
-        "framework_rebuild",
-        F.coalesce(F.col("framework_commit") != F.col("previous_framework_commit"), F.lit(True)),
-    )
-    flagged = framework.withColumn("_built", F.col("framework_rebuild").cast("bigint"))
-    counted = number_rows(
-        flagged.withColumnRenamed("seq", "plan_seq"),
-        [F.col("plan_seq").asc()],
+    steps = with_previous(
+        plan.select("instance_id", "seq", "framework_commit", "app_name", "apps_commit"),
+        ["framework_commit"],
         partition=["instance_id"],
-        prefix_sums={"_before": "_built"},
-    ).withColumn("framework_build", F.col("_before") + F.col("_built"))
-    per_app = number_rows(
-        counted.drop("seq", "_before", "_built", "previous_framework_commit"),
-        [F.col("plan_seq").asc()],
-        partition=["instance_id", "app_name"],
     )
-    compared = with_previous(per_app, ["framework_build", "apps_commit"], partition=["instance_id", "app_name"])
-    unchanged = (F.col("framework_build") == F.col("previous_framework_build")) & (
-        F.col("apps_commit") == F.col("previous_apps_commit")
+    changed = F.coalesce(F.col("framework_commit") != F.col("previous_framework_commit"), F.lit(True))
+    flagged = settle(
+        steps.withColumn("_built", changed.cast("bigint")).drop("previous_framework_commit"), "steps"
     )
-    return (
-        compared.withColumn("app_rebuild", ~F.coalesce(unchanged, F.lit(False)))
-        .drop("seq", "previous_framework_build", "previous_apps_commit")
-        .withColumnRenamed("plan_seq", "seq")
+    counted = prefix_sums(flagged, {"_before": "_built"}, partition=["instance_id"])
+    numbered = counted.select(
+        *[c for c in flagged.columns if c != "_built"],
+        (F.col("_built") == 1).alias("framework_rebuild"),
+        (F.col("_before") + F.col("_built")).alias("framework_build"),
     )
+    # The tasks of one app under one framework build are distinct tests of the matrix: a short list.
+    shared = Window.partitionBy("instance_id", "framework_build", "app_name").orderBy("seq")
+    same_app = F.lag("apps_commit").over(shared) == F.col("apps_commit")
+    return numbered.withColumn("app_rebuild", ~F.coalesce(same_app, F.lit(False)))
 
 
 def rebuild_decisions(tasks: DataFrame, latest_framework: DataFrame, latest_apps: DataFrame) -> DataFrame:

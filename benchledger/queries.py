@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
-from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,7 +11,7 @@ from pyspark.sql import functions as F
 from benchledger import fixtures as fx
 from benchledger.functions import commands, parse, text, times
 from benchledger.operators import builds, commits, ledger, samples
-from benchledger.operators.ordering import number_rows
+from benchledger.plans import commands as cmd
 from benchledger.plans import report, results, tasks
 from benchledger.session import new_path, settle
 from benchledger.sources import matrix, records
@@ -46,48 +45,30 @@ def _head_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     return commits.first_parent_log(commits.commit_blocks(fx.commit_log(spark, sf_dir)), walks)
 
 
-def _ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    resolved = tasks.config_ranges(
-        fx.plan_config(spark, sf_dir), fx.commit_log(spark, sf_dir), fx.refs(spark, sf_dir)
-    )
-    return settle(resolved, "ranges")
-
-
 def _branch_commits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Commits in the report: each branch back to the start of the window."""
     return commits.log_to_date(settle(_head_chain(spark, sf_dir), "chain"), REPORT_START)
 
 
-@dataclass(frozen=True)
-class Planning:
-    ranges: DataFrame
-    commits: DataFrame
-    tests: DataFrame
-    apps_refs: DataFrame
-
-    def needed(self) -> DataFrame:
-        return tasks.needed_tasks(self.ranges, self.commits, self.tests, self.apps_refs)
-
-
-def _planning(spark: SparkSession, sf_dir: str) -> Planning:
-    ranges = _ranges(spark, sf_dir)
-    blocks = commits.commit_blocks(fx.commit_log(spark, sf_dir))
-    chain = settle(commits.first_parent_log(blocks, tasks.walks_of(ranges)), "chain")
-    planned = settle(tasks.planned_commits(ranges, blocks, chain), "planned")
-    return Planning(ranges, planned, fx.tests(spark), fx.apps_refs(spark, sf_dir))
+def _tables(spark: SparkSession, sf_dir: str) -> cmd.Tables:
+    return cmd.Tables(
+        framework_builds=fx.framework_builds(spark, sf_dir),
+        app_builds=fx.app_builds(spark, sf_dir),
+        test_runs=fx.test_runs(spark, sf_dir),
+        commit_log=fx.commit_log(spark, sf_dir),
+        refs=fx.refs(spark, sf_dir),
+        apps_refs=fx.apps_refs(spark, sf_dir),
+        matrix=fx.plan_config(spark, sf_dir),
+        tests=fx.tests(spark),
+    )
 
 
-def _completed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tasks.completed_keys(
-        fx.test_runs(spark, sf_dir), fx.app_builds(spark, sf_dir), fx.framework_builds(spark, sf_dir)
-    )
+def _needed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cmd.needed(_tables(spark, sf_dir))
 
 
 def _to_run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Tasks to run, marked with the commit that is built now."""
-    to_run = tasks.tasks_to_run(_planning(spark, sf_dir).needed(), _completed(spark, sf_dir))
-    latest = builds.latest_framework_builds(fx.framework_builds(spark, sf_dir))
-    return tasks.with_current(to_run, latest)
+    return cmd.to_run(_tables(spark, sf_dir))
 
 
 def _valid(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -266,8 +247,9 @@ def first_parent_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def first_parent_range(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ranges = _ranges(spark, sf_dir)
-    blocks = commits.commit_blocks(fx.commit_log(spark, sf_dir))
+    log = fx.commit_log(spark, sf_dir)
+    ranges = settle(tasks.config_ranges(fx.plan_config(spark, sf_dir), log, fx.refs(spark, sf_dir)), "ranges")
+    blocks = commits.commit_blocks(log)
     chain = settle(commits.first_parent_log(blocks, tasks.walks_of(ranges)), "chain")
     asked = ranges.select(F.col("config_id").alias("range_id"), "walk_id", "branch", "start_id")
     return commits.first_parent_range(blocks, chain, asked).withColumnRenamed("range_id", "config_id")
@@ -278,7 +260,7 @@ def log_to_date(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def commit_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _planning(spark, sf_dir).commits
+    return cmd.planned_commits(_tables(spark, sf_dir)).commits
 
 
 def commit_sample_monotone(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -359,26 +341,25 @@ def filter_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def needed_tasks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _planning(spark, sf_dir).needed()
+    return _needed(spark, sf_dir)
 
 
 def tasks_to_run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tasks.tasks_to_run(_planning(spark, sf_dir).needed(), _completed(spark, sf_dir))
+    return _to_run(spark, sf_dir).drop("is_current")
 
 
 def coverage_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    needed = settle(_planning(spark, sf_dir).needed(), "needed")
-    return tasks.coverage_counts(
-        runs_joined(spark, sf_dir), needed, tasks.tasks_to_run(needed, _completed(spark, sf_dir))
-    )
+    needed = settle(_needed(spark, sf_dir), "needed")
+    runs = settle(runs_joined(spark, sf_dir).select(*tasks.TASK_KEY), "completed")
+    return tasks.coverage_counts(runs, needed, tasks.tasks_to_run(needed, runs.distinct()))
 
 
 def plan_order_date(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tasks.ordered_plan(_to_run(spark, sf_dir))
+    return cmd.plan(_tables(spark, sf_dir))
 
 
 def plan_order_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tasks.ordered_plan(_to_run(spark, sf_dir), tasks.PlanOptions(lexical_order=True))
+    return cmd.plan(_tables(spark, sf_dir), tasks.PlanOptions(lexical_order=True))
 
 
 def plan_top_n(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -386,13 +367,12 @@ def plan_top_n(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def budgeted_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    costs = tasks.expected_costs(fx.tests(spark), LOAD_OVERRIDE_SECONDS)
-    return tasks.budgeted_plan(_to_run(spark, sf_dir), costs, BUDGET_SECONDS)
+    limits = tasks.PlanOptions(max_total_seconds=BUDGET_SECONDS, max_load_seconds=LOAD_OVERRIDE_SECONDS)
+    return cmd.plan(_tables(spark, sf_dir), limits)
 
 
 def rebuild_points(spark: SparkSession, sf_dir: str) -> DataFrame:
-    plan = tasks.ordered_plan(_to_run(spark, sf_dir))
-    return tasks.rebuild_points(plan).select(
+    return tasks.rebuild_points(cmd.plan(_tables(spark, sf_dir))).select(
         "instance_id", "seq", "framework_commit", "app_name", "apps_commit",
         "framework_build", "framework_rebuild", "app_rebuild",
     )
@@ -401,7 +381,7 @@ def rebuild_points(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
     framework, apps = fx.framework_builds(spark, sf_dir), fx.app_builds(spark, sf_dir)
     return tasks.rebuild_decisions(
-        _planning(spark, sf_dir).needed(),
+        _needed(spark, sf_dir),
         builds.latest_framework_builds(framework),
         builds.latest_app_builds(apps, framework),
     )
@@ -418,7 +398,7 @@ def skip_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def render_commands(spark: SparkSession, sf_dir: str) -> DataFrame:
     rendered = tasks.rendered_commands(
-        _planning(spark, sf_dir).needed(), fx.tests(spark), PLACEHOLDERS, "<apps.home>", LOAD_OVERRIDE_SECONDS
+        _needed(spark, sf_dir), fx.tests(spark), PLACEHOLDERS, "<apps.home>", LOAD_OVERRIDE_SECONDS
     )
     command = F.col("command")
     return rendered.select(
@@ -441,23 +421,18 @@ def effective_duration(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- reports --------------------------------------------------------------------------------------
 
 
-def _report_rows(spark: SparkSession, sf_dir: str, planning: Planning) -> DataFrame:
-    outcomes = results.last_outcomes(
-        fx.test_runs(spark, sf_dir), fx.app_builds(spark, sf_dir), fx.framework_builds(spark, sf_dir)
-    )
-    return report.report_rows(planning.ranges, planning.commits, planning.tests, outcomes)
-
-
 def report_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _report_rows(spark, sf_dir, _planning(spark, sf_dir)).select(
+    """The report as data: one row per line of text, with numbers instead of the text."""
+    tables = _tables(spark, sf_dir)
+    planned = cmd.planned_commits(tables)
+    outcomes = results.last_outcomes(tables.test_runs, tables.app_builds, tables.framework_builds)
+    return report.report_rows(planned.ranges, planned.commits, tables.tests, outcomes).select(
         "config_id", "instance_id", "branch", "framework_commit", "pos", "test_name", "outcome", *results.METRICS
     )
 
 
 def report_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    planning = _planning(spark, sf_dir)
-    rows = _report_rows(spark, sf_dir, planning)
-    return report.report_lines(rows, planning.ranges, planning.commits, planning.tests)
+    return cmd.print_report(_tables(spark, sf_dir))
 
 
 def report_json_per_commit(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -481,9 +456,7 @@ def report_json_values(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def report_js(spark: SparkSession, sf_dir: str) -> DataFrame:
-    branch_commits = settle(_branch_commits(spark, sf_dir), "branch_commits")
-    current = _window_results(spark, sf_dir, branch_commits)
-    return report.report_js(branch_commits, fx.tests(spark), current, REPORT_START, REPORT_END)
+    return cmd.json_report(_tables(spark, sf_dir), REPORT_INSTANCE, [], REPORT_END, REPORT_LENGTH, as_script=True)
 
 
 # --- samples --------------------------------------------------------------------------------------

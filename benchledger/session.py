@@ -17,6 +17,10 @@ def build_session(app_name: str = "benchledger", master: str | None = None, **co
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        # File sizes say little about parsed rows, so only tiny tables are broadcast on an estimate;
+        # larger ones when their measured size allows, else both sides are shuffled and may spill.
+        "spark.sql.autoBroadcastJoinThreshold": "1MB",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
         "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.ui.enabled": "false",
