@@ -17,6 +17,7 @@ from benchledger.schemas import RecordLayout
 from benchledger.session import settle
 
 BRANCHES = 10
+FIRST_BUILD = 1_400_000_000  # epoch seconds
 
 _written: dict[tuple[str, str, str], DataFrame] = {}
 
@@ -141,11 +142,17 @@ def _view(spark: SparkSession, sf_dir: str, text: str, source: str) -> DataFrame
 
 
 def framework_builds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _view(spark, sf_dir, FRAMEWORK_BUILDS, "customer")
+    end = F.timestamp_seconds(F.lit(FIRST_BUILD) + F.col("build_seq") * 60)
+    return _successful(_view(spark, sf_dir, FRAMEWORK_BUILDS, "customer")).withColumn("end_time", end)
 
 
 def app_builds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _view(spark, sf_dir, APP_BUILDS, "orders")
+    return _successful(_view(spark, sf_dir, APP_BUILDS, "orders"))
+
+
+def _successful(builds: DataFrame) -> DataFrame:
+    """One execution per build: no return code means it was cut off."""
+    return builds.withColumn("successful", F.coalesce(F.col("return_code") == 0, F.lit(False)))
 
 
 def test_run_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -318,7 +325,7 @@ def record_documents(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Native tables as full nested records, the way record files hold them."""
     if name == "framework_builds":
         builds = framework_builds(spark, sf_dir)
-        end = F.timestamp_seconds(F.lit(1_400_000_000) + F.col("build_seq") * 60)
+        end = F.col("end_time")
         executions = F.when(
             F.col("build_seq") % 29 == 0, F.array().cast(f"array<{_execution(end, None, None)[1]}>")
         ).otherwise(F.array(_execution(end, None, F.lit(0))[0], _execution(end, None, F.col("return_code"))[0]))

@@ -205,15 +205,11 @@ def build_success(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def build_tallies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return builds.framework_tallies(
-        fx.framework_builds(spark, sf_dir), builds.return_code_ok(F.col("return_code"))
-    )
+    return builds.framework_tallies(fx.framework_builds(spark, sf_dir))
 
 
 def app_build_tallies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return builds.app_tallies(
-        fx.app_builds(spark, sf_dir), fx.framework_builds(spark, sf_dir), builds.return_code_ok(F.col("return_code"))
-    )
+    return builds.app_tallies(fx.app_builds(spark, sf_dir), fx.framework_builds(spark, sf_dir))
 
 
 def failure_budget(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 MATRIX_SCHEMA = (
-    "config_id int, instance_id int, branch string, revision_range string, sampling double, "
+    "config_id int, instance_id string, branch string, revision_range string, sampling double, "
     "apps_branch string, apps_revision string, test_names array<string>"
 )
 TESTS_SCHEMA = "test_name string, app_name string, description string, wrk_args array<string>"

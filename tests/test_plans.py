@@ -11,6 +11,7 @@ from benchledger.operators import builds
 from benchledger.plans import commands as cmd
 from benchledger.plans import report, tasks
 from benchledger.session import new_path
+from benchledger.sources import records
 
 SF = "/root/testdata/sf0.001"
 
@@ -39,6 +40,21 @@ def test_needed_is_to_run_and_completed(tables, planned):
     assert repeated.count() == len(needed)
 
 
+def test_plan_from_record_files(spark, tables, planned):
+    """The commands run on tables decoded from record files, and find the same open tasks."""
+    home = new_path(spark, "home")
+    for name, folder in fx.LAYOUT.directories.items():
+        fx.write_archive(spark, SF, name, f"{home}/{folder}")
+    stored = records.load_tables(spark, home, fx.LAYOUT, archive=True)
+    ranges = planned.ranges.withColumn("instance_id", fx.instance_uuid(F.col("instance_id")))
+    from_files = cmd.Tables(**{**vars(tables), **stored})
+    plan = cmd.plan(from_files, planned=cmd.PlannedCommits(ranges, planned.commits))
+    expected = cmd.plan(tables, planned=planned)
+    columns = ["seq", *tasks.TASK_KEY, "apps_commit", "is_current"]
+    assert sorted(map(tuple, plan.select(columns).collect())) == sorted(map(tuple, expected.select(columns).collect()))
+    assert expected.filter("is_current").count() > 0 or plan.filter("is_current").count() == 0
+
+
 def test_options_filter_and_limit(tables, planned):
     commit = planned.commits.filter("branch = 'b4'").orderBy("pos").first().commit_id
     options = tasks.PlanOptions(

@@ -97,9 +97,9 @@ def test_ledger_replaces_by_id_and_survives_a_repeat(spark):
 
 def test_matrix_files(spark, tmp_path):
     lines = [
-        {"config_id": 1, "instance_id": 1, "branch": "main", "revision_range": "a..HEAD", "sampling": 0.5,
+        {"config_id": 1, "instance_id": "i1", "branch": "main", "revision_range": "a..HEAD", "sampling": 0.5,
          "apps_branch": "apps", "apps_revision": "HEAD", "test_names": ["t1", "t1", "t9"]},
-        {"config_id": 2, "instance_id": 1, "branch": "old", "revision_range": "a", "sampling": 1.5,
+        {"config_id": 2, "instance_id": "i1", "branch": "old", "revision_range": "a", "sampling": 1.5,
          "apps_branch": "apps", "apps_revision": "HEAD", "test_names": []},
     ]
     tests = [
