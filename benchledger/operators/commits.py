@@ -278,7 +278,8 @@ def range_cuts(blocks: CommitBlocks, chain: DataFrame, ranges: DataFrame) -> Dat
 def first_parent_range(blocks: CommitBlocks, chain: DataFrame, ranges: DataFrame) -> DataFrame:
     """The chain of each range without its start commit and everything reachable from that.
 
-    The result is (range_id, branch, commit_id, commit_time, pos).
+    The result is (range_id, branch, commit_id, commit_time, pos). ``chain`` and ``ranges`` are read
+    several times; pass written tables.
     """
     cuts = ranges.select("range_id", "walk_id", "branch").join(
         range_cuts(blocks, chain, ranges), "range_id", "left"
@@ -295,6 +296,7 @@ def log_to_date(chain: DataFrame, start: dt.datetime) -> DataFrame:
 
     Later commits of the walk are left out even when their own time is newer. Times compare in
     whole seconds. The cut is one aggregated number per walk, so no walk has to fit one task.
+    ``chain`` is read twice; pass a written table.
     """
     limit = F.lit(int(start.replace(tzinfo=dt.timezone.utc).timestamp()))
     too_old = F.unix_seconds(F.col("commit_time").cast("timestamp")) < limit

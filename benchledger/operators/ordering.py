@@ -7,6 +7,7 @@ what came before it.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -14,6 +15,10 @@ from pyspark.sql import functions as F
 
 from benchledger.session import settle
 
+# Rows per block: not worth a task of its own below, split further above.
+SMALL_BLOCK = 30_000
+LARGE_BLOCK = 5_000_000
+
 
 def number_rows(df: DataFrame, order: Sequence[Column], partition: Sequence[str] = ()) -> DataFrame:
     """Add ``seq``, the 1-based row number in ``order`` within ``partition``.
@@ -21,9 +26,10 @@ def number_rows(df: DataFrame, order: Sequence[Column], partition: Sequence[str]
     ``order`` must be total within a partition and ``partition`` columns must not be null. A range
     shuffle puts neighbours together; each block is sorted and numbered where it lies, and written,
     which pins the block borders. What comes before a block is then one small row per block and key.
+    ``df`` is read three times (counted, sampled, sorted); pass a written table.
     """
     keys = list(partition)
-    blocks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    blocks = _block_count(df)
     sort = [*[F.col(k) for k in keys], *order]
     placed = settle(
         df.repartitionByRange(blocks, *sort)
@@ -41,6 +47,14 @@ def number_rows(df: DataFrame, order: Sequence[Column], partition: Sequence[str]
     )
 
 
+def _block_count(df: DataFrame) -> int:
+    """As many blocks as the session has shuffle partitions, but few for few rows, and more where
+    blocks would grow beyond what a task sorts well."""
+    rows = df.count()
+    usual = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(1, min(math.ceil(rows / SMALL_BLOCK), usual), math.ceil(rows / LARGE_BLOCK))
+
+
 def prefix_sums(
     df: DataFrame,
     sums: dict[str, str],
