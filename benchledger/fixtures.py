@@ -290,7 +290,7 @@ def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
 def tests(spark: SparkSession) -> DataFrame:
     return spark.sql(TESTS).select(
         "test_name", "app_name", "description",
-        F.array(F.lit("-s<assets.home>/wrk_report.lua"), F.col("url")).alias("wrk_args"),
+        F.array(F.lit("-s<assets.home>/report.lua"), F.col("url")).alias("wrk_args"),
     )
 
 

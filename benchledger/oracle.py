@@ -383,7 +383,7 @@ FROM decisions d LEFT JOIN framework_tallies f ON f.framework_commit = d.framewo
 LEFT JOIN app_tallies a ON a.framework_commit = d.framework_commit AND a.apps_commit = d.apps_commit""",
     "render_commands": f"""WITH RECURSIVE {TASKS}
 SELECT n.instance_id, n.test_name, n.framework_commit, n.app_name, n.apps_branch, n.apps_commit, 'wrk' AS program,
-       '-t16 -c32 -d{LOAD_OVERRIDE_SECONDS}s -s/srv/assets/wrk_report.lua http://localhost:9000' || substr(t.url, 13) AS args,
+       '-t16 -c32 -d{LOAD_OVERRIDE_SECONDS}s -s/srv/assets/report.lua http://localhost:9000' || substr(t.url, 13) AS args,
        '/srv/apps' AS working_dir, CAST({(LOAD_OVERRIDE_SECONDS + 10) * 1000} AS BIGINT) AS timeout_ms
 FROM needed n JOIN tests t ON t.test_name = n.test_name""",
     "effective_duration": """SELECT p_partkey,
@@ -474,10 +474,14 @@ marked AS (
   SELECT *, CASE WHEN epoch_us(ts) - epoch_us(lag(ts) OVER w) < 21600000000 THEN 0 ELSE 1 END AS opens
   FROM samples WINDOW w AS (PARTITION BY run_key ORDER BY ts)),
 numbered AS (SELECT *, sum(opens) OVER (PARTITION BY run_key ORDER BY ts) AS session FROM marked),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY run_key, session ORDER BY latency_us) AS place,
+         count(*) OVER (PARTITION BY run_key, session) AS n FROM numbered),
 sessions AS (
-  SELECT run_key, epoch_us(min(ts)) AS started, epoch_us(max(ts)) + 21600000000 AS closed, count(*) AS requests,
+  SELECT run_key, max(CASE WHEN place = (n + 1) // 2 THEN latency_us END) AS p50_us,
+         max(CASE WHEN place = (95 * n + 99) // 100 THEN latency_us END) AS p95_us, epoch_us(min(ts)) AS started, epoch_us(max(ts)) + 21600000000 AS closed, count(*) AS requests,
          CAST(sum(latency_us) AS BIGINT) AS latency_sum_us, min(latency_us) AS min_us, max(latency_us) AS max_us,
          count(*) FILTER (WHERE outcome = 'error') AS status_errors
-  FROM numbered GROUP BY run_key, session)
+  FROM ranked GROUP BY run_key, session)
 SELECT * FROM sessions WHERE closed <= (SELECT epoch_us(max(ts)) // 1000 * 1000 FROM samples) - 3600000000""",
 }

@@ -606,7 +606,7 @@ def stream_sample_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     schema = (
         "run_key bigint, started timestamp, closed timestamp, requests bigint, latency_sum_us bigint, "
-        "min_us bigint, max_us bigint, status_errors bigint"
+        "min_us bigint, max_us bigint, p50_us bigint, p95_us bigint, status_errors bigint"
     )
     rolled = spark.read.schema(schema).parquet(target)
     return rolled.withColumn("started", F.unix_micros("started")).withColumn("closed", F.unix_micros("closed"))

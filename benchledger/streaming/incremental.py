@@ -94,9 +94,10 @@ def compact_results(spark: SparkSession, state: str, schema: str, target: str) -
     records.append_batch(read_latest_results(spark, state, schema), target, 0)
 
 
-def sample_roll_up(samples: DataFrame, quiet: str, delay: str) -> DataFrame:
+def sample_roll_up(samples: DataFrame, quiet: str, delay: str, accuracy: int = 10_000) -> DataFrame:
     """One row per run and stretch of activity, closed after ``quiet`` without samples.
 
+    Percentiles are sketches: exact up to ``accuracy`` samples, within n / accuracy ranks beyond.
     Emitted once the watermark (``delay`` behind the newest sample) has passed the end.
     """
     return (
@@ -107,8 +108,19 @@ def sample_roll_up(samples: DataFrame, quiet: str, delay: str) -> DataFrame:
             F.sum("latency_us").alias("latency_sum_us"),
             F.min("latency_us").alias("min_us"),
             F.max("latency_us").alias("max_us"),
+            F.percentile_approx("latency_us", [0.5, 0.95], accuracy).alias("_percentiles"),
             F.count_if(F.col("outcome").isin("status", "error")).alias("status_errors"),
         )
-        .select("run_key", F.col("session.start").alias("started"), F.col("session.end").alias("closed"),
-                "requests", "latency_sum_us", "min_us", "max_us", "status_errors")
+        .select(
+            "run_key",
+            F.col("session.start").alias("started"),
+            F.col("session.end").alias("closed"),
+            "requests",
+            "latency_sum_us",
+            "min_us",
+            "max_us",
+            F.col("_percentiles")[0].alias("p50_us"),
+            F.col("_percentiles")[1].alias("p95_us"),
+            "status_errors",
+        )
     )

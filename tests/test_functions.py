@@ -6,7 +6,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from benchledger.functions import commands, text, times
-from benchledger.operators import builds, commits
+from benchledger.operators import builds, commits, samples
 from benchledger.sources import matrix
 
 
@@ -123,3 +123,14 @@ def test_build_success(spark):
     df = spark.createDataFrame([(i, [(c,) for c in codes]) for i, codes in rows], "i int, e array<struct<returnCode:int>>")
     found = [r.ok for r in df.select("i", builds.succeeded(F.col("e")).alias("ok")).orderBy("i").collect()]
     assert found == [True, True, False, False]
+
+
+def test_small_helpers(spark):
+    row = spark.range(1).select(
+        times.commit_time(F.lit(1456827630)).cast("string").alias("time"),
+        samples.status_outcome(F.lit(399)).alias("fine"),
+        samples.status_outcome(F.lit(400)).alias("error"),
+        commands.timeout_millis(F.lit(120)).alias("timeout"),
+        text.short_id(F.lit("0123456789")).alias("short"),
+    ).first()
+    assert tuple(row) == ("2016-03-01 10:20:30", "ok", "status", 130000, "0123456")
