@@ -6,12 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from benchledger.llm import decontamination, token_counts, url_filters
+from benchledger.llm import decontamination, language_id, quality_rules, token_counts, url_filters
 from benchledger.llm.common import table
 
 VOCABULARY = "byte_bpe_50k.json"
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.held_out_languages(table(spark, sf_dir, "documents"))
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -22,12 +26,17 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filters.url_verdicts(table(spark, sf_dir, "pages"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    function.__name__: function for function in (op4_token_counts, op5_decontamination, op8_url_filters)
+    function.__name__: function
+    for function in (op2_language_id, op4_token_counts, op5_decontamination, op7_quality_rules, op8_url_filters)
 }
 #: SQL for the queries that it can express; the others are tested against brute force.
 ORACLE: dict[str, str] = {"op8_url_filters": url_filters.ORACLE}
