@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from benchledger.llm import decontamination, language_id, quality_rules, token_counts, url_filters
+from benchledger.llm import decontamination, language_id, personal_data, quality_rules, token_counts, url_filters
 from benchledger.llm.common import table
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -16,6 +16,10 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.held_out_languages(table(spark, sf_dir, "documents"))
 
 
+def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data.personal_data(table(spark, sf_dir, "documents"))
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -36,7 +40,14 @@ def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     function.__name__: function
-    for function in (op2_language_id, op4_token_counts, op5_decontamination, op7_quality_rules, op8_url_filters)
+    for function in (
+        op2_language_id,
+        op3_personal_data,
+        op4_token_counts,
+        op5_decontamination,
+        op7_quality_rules,
+        op8_url_filters,
+    )
 }
 #: SQL for the queries that it can express; the others are tested against brute force.
 ORACLE: dict[str, str] = {"op8_url_filters": url_filters.ORACLE}
