@@ -2,7 +2,7 @@
 
 Every element subtree is hashed: its tag, class and id, texts and the hashes of its children. Spark
 counts on how many pages of a host each subtree stands; one that recurs on at least ``SHARE`` of the
-host's pages, and on ``LEAST_PAGES``, is template and is deleted wherever it stands on that host. Inside
+host's pages and on ``LEAST_PAGES``, is template and is deleted wherever it stands on that host. Inside
 an article, paragraphs and headings stay although they recur, and so does what holds half of its text.
 Elements that are furniture by their tag or class (menus, footers, forms, adverts, comments, ...) go
 too, since most hosts have few pages. If the page marks its article, only that is read.
@@ -30,7 +30,7 @@ from benchledger.llm.url_filters import host_and_path
 from benchledger.session import settle
 
 LEAST_PAGES = 4
-SHARE = 0.3
+SHARE = 0.01
 #: A host's pages are joined with its templates in so many parts.
 SALTS = 16
 #: Entries that a task counts before it passes them on.

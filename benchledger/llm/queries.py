@@ -6,12 +6,26 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from benchledger.llm import decontamination, language_id, personal_data, quality_rules, token_counts, url_filters
+from benchledger.llm import (
+    decontamination,
+    html_extraction,
+    language_id,
+    mixing,
+    near_duplicates,
+    personal_data,
+    quality_rules,
+    token_counts,
+    url_filters,
+)
 from benchledger.llm.common import table
 
 VOCABULARY = "byte_bpe_50k.json"
 
 
+def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extraction.main_texts(table(spark, sf_dir, "pages"))
+
+
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.held_out_languages(table(spark, sf_dir, "documents"))
 
@@ -30,6 +44,10 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixture(table(spark, sf_dir, "documents"))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -38,15 +56,22 @@ def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filters.url_verdicts(table(spark, sf_dir, "pages"))
 
 
+def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     function.__name__: function
     for function in (
+        op1_html_extraction,
         op2_language_id,
         op3_personal_data,
         op4_token_counts,
         op5_decontamination,
+        op6_mixing,
         op7_quality_rules,
         op8_url_filters,
+        op10_near_duplicates,
     )
 }
 #: SQL for the queries that it can express; the others are tested against brute force.
