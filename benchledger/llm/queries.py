@@ -10,6 +10,7 @@ from benchledger.llm import (
     decontamination,
     html_extraction,
     language_id,
+    lm_scoring,
     mixing,
     near_duplicates,
     personal_data,
@@ -56,6 +57,10 @@ def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filters.url_verdicts(table(spark, sf_dir, "pages"))
 
 
+def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.lm_scores(table(spark, sf_dir, "documents"))
+
+
 def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -71,6 +76,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op6_mixing,
         op7_quality_rules,
         op8_url_filters,
+        op9_lm_scoring,
         op10_near_duplicates,
     )
 }
