@@ -26,8 +26,8 @@ WINDOW = 5
 BUCKETS = 1 << 14
 #: Trusted documents that the target is fitted on: those with the smallest hashes of their ids.
 TARGET_DOCUMENTS = 20_000
-#: Added to every bucket of both multinomials.
-SMOOTHING = 1.0
+#: The target is shrunk towards the corpus as by so many grams per bucket, so few trusted documents reject little.
+SHRINKAGE = 16
 THRESHOLD = -0.1
 
 
@@ -123,14 +123,13 @@ def fit(documents: DataFrame, trusted: DataFrame, target_documents: int = TARGET
         .agg(F.count("*").alias("raw"), F.count("target").alias("target"))
         .collect()  # one row for each bucket
     )
-    raw, target = [SMOOTHING] * BUCKETS, [SMOOTHING] * BUCKETS
+    raw, target = [1] * BUCKETS, [0] * BUCKETS
     for row in counted:
         raw[row["bucket"]] += row["raw"]
         target[row["bucket"]] += row["target"]
-    if sum(target) == SMOOTHING * BUCKETS:
-        return Ratio((0.0,) * BUCKETS)
-    shift = math.log(sum(raw) / sum(target))
-    return Ratio(tuple(math.log(t / r) + shift for t, r in zip(target, raw, strict=True)))
+    shrink, all_raw, all_target = SHRINKAGE * BUCKETS, sum(raw), sum(target)
+    # (t + s * p_raw) / (all_target + s), over p_raw
+    return Ratio(tuple(math.log((t * all_raw / r + shrink) / (all_target + shrink)) for t, r in zip(target, raw, strict=True)))
 
 
 def judge(documents: DataFrame, ratio: Ratio, threshold: float = THRESHOLD) -> DataFrame:
