@@ -7,13 +7,11 @@ with a chance equal to their weighted Jaccard similarity. Samples are banded; te
 are candidates, and only those whose exact weighted Jaccard similarity reaches the threshold are linked.
 A class is a connected component of links; its id is its least doc_id.
 
-Equal texts (as words) are one representative from the start, so copies cost nothing further. A band's
-bucket of any size is searched without making its pairs: each text is compared with the bucket's
-leader (its least id); those that link leave, and the rest is searched again with four times as many
-leaders, until none is left. Texts that left on one leader can still link a text that failed it. As
-1 - similarity is a metric, that needs a similarity of at least 1 - 2 * (1 - threshold) between the
-failed text and the leader, and such texts are compared with all that the leader linked, unless one
-class already holds both.
+Equal texts (as words) are one representative from the start, so copies cost nothing further. Texts of a
+band's bucket are compared with its leader (its least id) first, which joins most of them. Where a
+bucket still holds several classes, its texts are cut into blocks of bounded size, each two blocks meet
+in one task, and that compares exactly all texts of different classes. It returns no pairs but links
+that join classes. So every two texts that share a band are compared or in one class.
 
 Null and empty texts, and texts without words, are classes of their own; so are rows without doc_id,
 with a null class. Rows that repeat a doc_id are one document; if their texts differ, that with the least
@@ -47,8 +45,10 @@ SMOOTHING = 0.1
 #: Shingles that are sampled together.
 CHUNK = 32_768
 FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
-#: Leaders of a bucket grow by this factor from round to round.
-MORE_LEADERS = 4
+#: Texts and bytes of a block of a bucket, on average.
+BLOCK_TEXTS, BLOCK_BYTES = 128, 4_000_000
+#: Shingles of a block pair that are compared together.
+COMPARED = 16_384
 
 
 def words_of(text: str) -> list[bytes]:
@@ -216,25 +216,6 @@ def signed(documents: DataFrame, idf: np.ndarray) -> DataFrame:
     )
 
 
-def similarities(pairs: DataFrame, texts: DataFrame, idf: np.ndarray) -> DataFrame:
-    """``pairs`` (a, b) with ``similarity``."""
-
-    def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            values = [
-                weighted_jaccard(one, other, idf)
-                for one, other in zip(texts_of(batch, "a_text"), texts_of(batch, "b_text"), strict=True)
-            ]
-            yield pa.record_batch(
-                [batch.column("a"), batch.column("b"), pa.array(values, pa.float64())], names=["a", "b", "similarity"]
-            )
-
-    first = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("a_text"))
-    second = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("b_text"))
-    rows = pairs.select("a", "b").join(second, "b").join(first, "a").select("a", "b", "a_text", "b_text")
-    return rows.mapInArrow(compared, "a bigint, b bigint, similarity double")
-
-
 def components(links: DataFrame) -> DataFrame:
     """node, class_id (the least node that is connected) for every node of ``links`` (a, b).
 
@@ -258,74 +239,120 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
-BUCKET = ["band", "key"]
+def joining(texts: list[str], classes: np.ndarray, idf: np.ndarray, threshold: float) -> list[tuple[int, int]]:
+    """Places of similar texts of different classes: links that join the classes, and no more than needed."""
+    made = [shingles_of(words_of(text)) for text in texts]
+    # A shingle that stands n times is n items, so that common weight is a sum over common items.
+    sizes = [int(counts.sum()) for _, counts in made]
+    shingles = np.concatenate([np.repeat(own, counts) for own, counts in made])
+    copies = np.concatenate([np.arange(n) for _, counts in made for n in counts] or [np.zeros(0, int)])
+    rows = np.repeat(np.arange(len(texts)), sizes)
+    items, own = np.unique(mix(shingles + copies.astype(np.uint64) * FACTORS[2], 5), return_inverse=True)
+    weight = idf[shingles >> np.uint64(64 - BUCKET_BITS)].astype(np.float64)
+    total = np.bincount(rows, weight, len(texts))
+    often = np.bincount(own, minlength=len(items)) > 1
+    number = np.cumsum(often) - 1
+    there = often[own]
+    rows, own, weight = rows[there], number[own[there]], weight[there]
+    shared = np.zeros((len(texts), len(texts)))
+    order = np.argsort(own, kind="stable")
+    rows, own, weight = rows[order], own[order], weight[order]
+    for first in range(0, int(often.sum()), COMPARED):
+        a, b = np.searchsorted(own, [first, first + COMPARED])
+        held = np.zeros((len(texts), min(COMPARED, int(often.sum()) - first)))
+        held[rows[a:b], own[a:b] - first] = np.sqrt(weight[a:b])
+        shared += held @ held.T
+    similar = shared / np.maximum(total[:, None] + total[None, :] - shared, 1e-300)
+    # Rounding must not decide, so that pairs at the threshold count as everywhere else.
+    found = np.argwhere(np.triu(similar >= threshold - 1e-9, 1) & (classes[:, None] != classes[None, :]))
+    label = {class_: class_ for class_ in classes.tolist()}
+
+    def root(class_: int) -> int:
+        while label[class_] != class_:
+            class_ = label[class_]
+        return class_
+
+    links = []
+    for a, b in found.tolist():
+        one, other = root(int(classes[a])), root(int(classes[b]))
+        if one != other and weighted_jaccard(texts[a], texts[b], idf) >= threshold:
+            label[max(one, other)] = min(one, other)
+            links.append((a, b))
+    return links
 
 
-def leaders_of(pool: DataFrame, leaders: int) -> DataFrame:
-    """The least ids of the buckets' ``leaders`` parts, for buckets of at least two."""
-    part = F.pmod(F.xxhash64("doc_id"), F.lit(leaders))
-    sizes = pool.groupBy(*BUCKET, part.alias("part")).agg(F.min("doc_id").alias("leader"), F.count("*").alias("n"))
-    totals = sizes.groupBy(*BUCKET).agg(F.collect_list("leader").alias("leaders"), F.sum("n").alias("n"))
-    return totals.filter(F.col("n") > 1).select(*BUCKET, "leaders")
+BUCKET = ["band", "key"]
 
 
 def linked(signatures: DataFrame, documents: DataFrame, idf: np.ndarray, threshold: float) -> DataFrame:
-    """a, b of the links that join the representatives into classes; ``signatures``: doc_id, bands."""
-    spark = signatures.sparkSession
+    """a, b of links that join the representatives into classes; ``signatures``: doc_id, bands."""
     rows = signatures.select("doc_id", F.posexplode("bands").alias("band", "key"))
-    crowded = rows.groupBy(*BUCKET).agg(F.count("*").alias("n")).filter(F.col("n") > 1).select(*BUCKET)
-    pool = settle(rows.join(crowded, BUCKET, "left_semi"), "near-pool")
-    asked = pool.select("doc_id").distinct()
-    texts = documents.join(asked, "doc_id", "left_semi").groupBy("doc_id").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
-    texts = settle(texts, "near-texts")
-    links: list[DataFrame] = []
-    left_by: list[DataFrame] = []
-    near = 1 - 2 * (1 - threshold)
-    leaders = 1
-    checked = spark.createDataFrame([], "a bigint, b bigint, similarity double")
-    while True:
-        with_leaders = pool.join(leaders_of(pool, leaders), BUCKET)
-        pairs = with_leaders.select(*BUCKET, "doc_id", F.explode("leaders").alias("leader"))
-        pairs = settle(pairs.filter(F.col("leader") != F.col("doc_id")), "near-pairs")
-        if pairs.isEmpty():
-            break
-        a, b = F.least("leader", "doc_id"), F.greatest("leader", "doc_id")
-        pairs = pairs.withColumns({"a": a, "b": b})
-        new = pairs.select("a", "b").distinct().join(checked, ["a", "b"], "left_anti")
-        checked = settle(checked.unionByName(similarities(new, texts, idf)), "near-checked")
-        tried = settle(pairs.join(checked.filter(F.col("similarity") >= near), ["a", "b"]), "near-tried")
-        left_by.append(tried.select(*BUCKET, "doc_id", "leader", "similarity"))
-        links.append(tried.filter(F.col("similarity") >= threshold).select("a", "b"))
-        gone = tried.filter(F.col("similarity") >= threshold).select(*BUCKET, "doc_id").union(
-            pairs.select(*BUCKET, F.col("leader").alias("doc_id"))
-        ).distinct()
-        pool = settle(pool.join(gone, [*BUCKET, "doc_id"], "left_anti"), "near-pool")
-        leaders *= MORE_LEADERS
-    if not links:
-        return spark.createDataFrame([], "a bigint, b bigint")
-    made = links[0]
-    for more in links[1:]:
-        made = made.union(more)
-    made = settle(made.distinct(), "near-links")
-
-    # Texts that failed a leader narrowly, against those that the leader linked, where classes differ.
-    tried = left_by[0]
-    for more in left_by[1:]:
-        tried = tried.unionByName(more)
-    failed = tried.filter(F.col("similarity") < threshold).select(*BUCKET, "leader", F.col("doc_id").alias("one"))
-    passed = tried.filter(F.col("similarity") >= threshold).select(*BUCKET, "leader", F.col("doc_id").alias("other"))
-    classes = components(made)
-    of = lambda name: classes.select(F.col("node").alias(name), F.col("class_id").alias(f"{name}_class"))
-    apart = (
-        failed.join(of("one"), "one", "left")
-        .join(passed.join(of("other"), "other", "left"), [*BUCKET, "leader"])
-        .filter(~F.col("one_class").eqNullSafe(F.col("other_class")))
-        .select(F.least("one", "other").alias("a"), F.greatest("one", "other").alias("b"))
-        .distinct()
-        .join(checked, ["a", "b"], "left_anti")
+    leaders = rows.groupBy(*BUCKET).agg(F.min("doc_id").alias("leader"), F.count("*").alias("n")).filter("n > 1")
+    pool = settle(rows.join(leaders, BUCKET), "near-pool")
+    texts = texts_of_ids(documents, pool.groupBy("doc_id").agg(F.max("n").alias("n")))
+
+    # A leader meets its texts in parts of bounded size; in a part, all texts are compared.
+    led = pool.filter("leader <> doc_id").select("leader", "doc_id").distinct()
+    parts = led.groupBy("leader").agg(F.ceil(F.count("*") / BLOCK_TEXTS).cast("int").alias("parts"))
+    members = led.join(parts, "leader").select("leader", "doc_id", F.pmod(F.xxhash64("doc_id"), "parts").cast("int").alias("part"))
+    themselves = parts.select("leader", F.col("leader").alias("doc_id"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+    met = members.union(themselves).withColumn("class_id", F.col("doc_id"))
+    with_leaders = settle(links_of(met, ["leader", "part"], texts, idf, threshold), "near-links")
+    classes = components(with_leaders).withColumnRenamed("node", "doc_id")
+
+    # Buckets that hold several classes still, in blocks of which each two meet.
+    placed = settle(
+        pool.join(classes, "doc_id", "left")
+        .join(texts.select("doc_id", F.octet_length("text").alias("bytes")), "doc_id")
+        .select(*BUCKET, "doc_id", F.coalesce("class_id", "doc_id").alias("class_id"), "bytes"),
+        "near-placed",
+    )
+    blocks = F.greatest(F.ceil(F.count("*") / BLOCK_TEXTS), F.ceil(F.sum("bytes") / BLOCK_BYTES)).cast("int")
+    open_ = (
+        placed.groupBy(*BUCKET)
+        .agg(blocks.alias("blocks"), F.min("class_id").alias("least"), F.max("class_id").alias("greatest"))
+        .filter("least <> greatest")
+        .select(*BUCKET, "blocks")
+    )
+    own = F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int")
+    met = (
+        placed.join(open_, BUCKET)
+        .select(*BUCKET, "doc_id", "class_id", own.alias("own"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+        .select(*BUCKET, F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "doc_id", "class_id")
     )
-    more = similarities(settle(apart, "near-apart"), texts, idf).filter(F.col("similarity") >= threshold)
-    return made.unionByName(more.select("a", "b"))
+    return with_leaders.unionByName(links_of(met, [*BUCKET, "low", "high"], texts, idf, threshold))
+
+
+def texts_of_ids(documents: DataFrame, ids: DataFrame) -> DataFrame:
+    """doc_id, text of the documents in ``ids`` (doc_id, n > 1), written.
+
+    Spark's own runtime filter (a Bloom filter of the ids) keeps the other documents out of the shuffle.
+    It is on by default for scans of 10 GB and more; here it is wanted whatever the scan.
+    """
+    ids = settle(ids, "near-ids").filter("n > 1").select("doc_id")
+    conf, setting = documents.sparkSession.conf, "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold"
+    before = conf.get(setting, None)
+    conf.set(setting, "0")
+    try:
+        found = documents.select("doc_id", "text").join(ids.hint("merge"), "doc_id", "left_semi")
+        return settle(found.groupBy("doc_id").agg(F.min_by("text", F.xxhash64("text")).alias("text")), "near-texts")
+    finally:
+        if before is None:
+            conf.unset(setting)
+        else:
+            conf.set(setting, before)
+
+
+def links_of(met: DataFrame, group: list[str], texts: DataFrame, idf: np.ndarray, threshold: float) -> DataFrame:
+    """a, b: links between the classes of each group; ``met``: the group's columns, doc_id, class_id."""
+
+    def compared(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("doc_id")
+        ids, classes = rows["doc_id"].to_numpy(), rows["class_id"].to_numpy()
+        links = joining(rows["text"].tolist(), classes, idf, threshold) if len(set(classes.tolist())) > 1 else []
+        return pd.DataFrame({"a": [ids[a] for a, _ in links], "b": [ids[b] for _, b in links]}, dtype="int64")
+
+    return met.join(texts, "doc_id").groupBy(*group).applyInPandas(compared, "a bigint, b bigint")
 
 
 def near_duplicates(documents: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
