@@ -93,13 +93,15 @@ def bits_of(hashes: np.ndarray, level: int, size_bits: np.ndarray | int) -> list
 def filter_part(hashes: np.ndarray, counts: np.ndarray, most_bytes: int, least: int) -> bytes:
     """The filter of one segment: its bits, a power of two of bytes."""
     most_bits = 1 << max(3, (most_bytes * 8).bit_length() - 1)
-    while True:
-        kept = counts >= least
-        levels = np.log2(np.maximum(counts[kept], 1)).astype(np.int64) + 1
-        entries = int(levels.sum())
-        if entries * 4 <= most_bits or least > 1 << 60 or least == 1:
-            break
-        least *= 2
+    order = np.argsort(-counts, kind="stable")
+    levels = np.log2(np.maximum(counts[order], 1)).astype(np.int64) + 1
+    fits = int((np.cumsum(levels) * 4 <= most_bits).sum())
+    if fits < len(order) and least > 1:
+        # All n-grams of a count are in the filter or none.
+        least = max(least, int(counts[order[fits]]) + 1)
+    kept = counts >= least
+    levels = np.log2(np.maximum(counts[kept], 1)).astype(np.int64) + 1
+    entries = int(levels.sum())
     size_bits = min((most_bits - 1).bit_length(), max(3, (entries * 8).bit_length()))
     bits = np.zeros(1 << size_bits, np.uint8)
     hashes = hashes[kept]
