@@ -21,25 +21,26 @@ FIRST_BUILD = 1_400_000_000  # epoch seconds
 
 _written: dict[tuple[str, str, str], DataFrame] = {}
 
+# Some builds have an id that nothing refers to, so what would refer to them leads nowhere.
 FRAMEWORK_BUILDS = """
-SELECT md5(concat('pb', CAST(c_custkey AS STRING))) AS framework_build_id,
+SELECT md5(concat(CASE WHEN c_custkey % 13 = 0 THEN 'unused pb' ELSE 'pb' END, CAST(c_custkey AS STRING))) AS framework_build_id,
        CAST(c_nationkey AS INT) AS instance_id,
        md5(CAST((c_custkey - c_custkey % 3) * 10 AS STRING)) AS framework_commit,
        CASE c_mktsegment WHEN 'MACHINERY' THEN 1 WHEN 'AUTOMOBILE' THEN NULL ELSE 0 END AS return_code,
        c_custkey % 5 <> 0 AS artefact_present,
        c_custkey AS build_seq
-FROM {customer} WHERE c_custkey % 13 <> 0
+FROM {customer}
 """
 
 APP_BUILDS = """
-SELECT md5(concat('ab', CAST(o_orderkey AS STRING))) AS app_build_id,
+SELECT md5(concat(CASE WHEN o_orderkey % 11 = 0 THEN 'unused ab' ELSE 'ab' END, CAST(o_orderkey AS STRING))) AS app_build_id,
        md5(concat('pb', CAST(o_custkey AS STRING))) AS framework_build_id,
        o_orderpriority AS app_name,
        md5(CAST(year(o_orderdate) AS STRING)) AS apps_commit,
        CASE o_orderstatus WHEN 'P' THEN 1 ELSE 0 END AS return_code,
        o_orderkey % 4 <> 0 AS artefact_present,
        o_orderdate AS end_time
-FROM {orders} WHERE o_orderkey % 11 <> 0
+FROM {orders}
 """
 
 TEST_RUNS = """
@@ -94,6 +95,17 @@ SELECT p_partkey AS config_id, p_brand AS branch,
 FROM {part}
 """
 
+# Lines that name commits by beginnings of one to nine characters, on known and unknown branches.
+VAGUE_MATRIX = """
+SELECT p_partkey AS config_id, 0 AS instance_id, concat('b', CAST(p_partkey % 12 AS STRING)) AS branch,
+       concat(substring(md5(CAST(p_partkey AS STRING)), 1, 1 + p_size % 9), '..',
+              CASE p_size % 2 WHEN 0 THEN 'HEAD' ELSE substring(md5(CAST(p_size AS STRING)), 1, 3) END) AS revision_range,
+       0.5E0 AS sampling, concat('apps-', CAST(p_size % 5 AS STRING)) AS apps_branch,
+       CASE p_size % 3 WHEN 0 THEN 'HEAD' WHEN 1 THEN substring(md5(CAST(199600 + p_size % 15 AS STRING)), 1, 8)
+            ELSE substring(md5(CAST(p_size AS STRING)), 1, 1) END AS apps_revision
+FROM {part}
+"""
+
 TESTS = """
 SELECT * FROM (VALUES
   ('A-F', '1-URGENT', 'flag A closed', '<server.url>/simple'),
@@ -107,6 +119,7 @@ SELECT * FROM (VALUES
 
 # One line per branch and two more for b0: config 10 covers part of config 0 under another apps
 # branch (both tasks stay), config 11 under the same one (whole-row distinct merges them).
+# Some lines end at an older commit, on the chain or (config 3) on a side commit of its own.
 # Starts lie on the chain (i % 3 = 0), on a side commit (1), at the head (2) or at the first commit.
 PLAN_CONFIG = """
 WITH heads AS (SELECT branch, max(n) AS top, CAST(substring(branch, 2) AS INT) AS i
@@ -117,19 +130,32 @@ lines AS (
   UNION ALL SELECT 11, branch, top, 0, 0 FROM heads WHERE i = 0
 )
 SELECT config_id, pick % 4 AS instance_id, branch,
+       CASE WHEN config_id % 4 = 3 THEN CAST(floor(top * 3 / 4) AS BIGINT) - CAST(floor(top * 3 / 4) AS BIGINT) % 5 + config_id % 5
+            ELSE top END AS end_n,
        CASE WHEN pick = 2 THEN top
             WHEN pick % 3 = 0 THEN greatest(CAST(floor(top / 4) AS BIGINT) - CAST(floor(top / 4) AS BIGINT) % 5, 1)
             WHEN pick % 3 = 1 THEN CAST(floor(top / 2) AS BIGINT) - CAST(floor(top / 2) AS BIGINT) % 5 + 3
             ELSE 1 END AS start_n,
        CASE config_id % 4 WHEN 0 THEN 1.0E0 WHEN 1 THEN 0.25E0 WHEN 2 THEN 0.5E0 ELSE 0.0E0 END AS sampling,
-       concat('apps-', CAST(apps AS STRING)) AS apps_branch, 'HEAD' AS apps_revision,
+       concat('apps-', CAST(apps AS STRING)) AS apps_branch,
+       CASE config_id % 5 WHEN 3 THEN substring(md5(CAST((1995 + apps) * 100 + 3 AS STRING)), 1, 10)
+            WHEN 4 THEN md5(CAST((1995 + apps) * 100 + 5 AS STRING)) ELSE 'HEAD' END AS apps_revision,
        CASE WHEN config_id % 2 = 0 THEN 'A-F,A-O,N-F,N-O,R-F,R-O' ELSE 'A-F,N-O,R-O' END AS test_list
 FROM lines
 """
 
 APPS_REFS = """
 SELECT concat('apps-', CAST(y - 1995 AS STRING)) AS branch, md5(CAST(y AS STRING)) AS head
-FROM (SELECT DISTINCT year(o_orderdate) AS y FROM {orders}) AS years WHERE y < 1998
+FROM (SELECT DISTINCT year(o_orderdate) AS y FROM {orders}) AS years
+"""
+
+# The months of a branch's year are its older commits; the year is the head.
+APPS_LOG = """
+SELECT DISTINCT concat('apps-', CAST(year(o_orderdate) - 1995 AS STRING)) AS branch,
+       md5(CAST(year(o_orderdate) * 100 + month(o_orderdate) AS STRING)) AS commit_id
+FROM {orders}
+UNION
+SELECT concat('apps-', CAST(year(o_orderdate) - 1995 AS STRING)), md5(CAST(year(o_orderdate) AS STRING)) FROM {orders}
 """
 
 
@@ -156,13 +182,9 @@ def _successful(builds: DataFrame) -> DataFrame:
 
 
 def test_run_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.sql(TEST_RUNS, lineitem=_spread(table(spark, sf_dir, "lineitem")))
-
-
-def _spread(df: DataFrame) -> DataFrame:
-    """Use all cores where a table has fewer file splits than that (small test files have one)."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    # The test files have one row group; the text that is made of the rows is worth all cores.
+    rows = table(spark, sf_dir, "lineitem").repartition(spark.sparkContext.defaultParallelism)
+    return spark.sql(TEST_RUNS, lineitem=rows)
 
 
 def test_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -174,15 +196,21 @@ def test_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def test_runs_with_executions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Runs with the raw [warm-up, measured] sequence; some were never measured."""
+    """Runs with the raw [warm-up, measured] sequence; some were never measured.
+
+    The measured execution takes as long as the run's duration says.
+    """
     runs = test_run_numbers(spark, sf_dir)
+    started = F.timestamp_micros(F.unix_micros(F.col("end_time").cast("timestamp")) - F.col("duration_us")).cast("timestamp_ntz")
     warm_up = F.struct(
-        (F.col("end_time") - F.expr("INTERVAL 120 SECONDS")).alias("end_time"),
+        (F.col("end_time") - F.expr("INTERVAL 600 SECONDS")).alias("start_time"),
+        (F.col("end_time") - F.expr("INTERVAL 500 SECONDS")).alias("end_time"),
         F.lit("warming up").alias("stdout"),
     )
-    measured = F.struct(F.col("end_time"), _stdout().alias("stdout"))
+    measured = F.struct(started.alias("start_time"), F.col("end_time"), _stdout().alias("stdout"))
     executions = F.when(
-        F.col("never_measured"), F.array().cast("array<struct<end_time:timestamp_ntz,stdout:string>>")
+        F.col("never_measured"),
+        F.array().cast("array<struct<start_time:timestamp_ntz,end_time:timestamp_ntz,stdout:string>>"),
     ).otherwise(F.array(warm_up, measured))
     return runs.select("test_run_id", "app_build_id", "test_name", executions.alias("executions"))
 
@@ -283,6 +311,10 @@ def apps_refs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _view(spark, sf_dir, APPS_REFS, "orders")
 
 
+def apps_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _view(spark, sf_dir, APPS_LOG, "orders")
+
+
 def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _view(spark, sf_dir, SAMPLES, "events")
 
@@ -300,6 +332,10 @@ def raw_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).drop("test_list")
 
 
+def vague_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _view(spark, sf_dir, VAGUE_MATRIX, "part")
+
+
 def plan_config(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Test matrix over the commit log; ranges name the start commit by its full id."""
     return _written_once(spark, sf_dir, "plan_config", lambda: _plan_rows(commit_log(spark, sf_dir)))
@@ -310,9 +346,11 @@ def _plan_rows(commits: DataFrame) -> DataFrame:
     starts = commits.select(
         F.col("branch"), F.col("n").alias("start_n"), F.col("commit_id").alias("start_id")
     )
-    return lines.join(starts, ["branch", "start_n"]).select(
+    ends = commits.select(F.col("branch"), F.col("n").alias("end_n"), F.col("commit_id").alias("end_id"))
+    end = F.when(F.col("config_id") % 4 == 3, F.substring("end_id", 1, 12)).otherwise("HEAD")
+    return lines.join(starts, ["branch", "start_n"]).join(ends, ["branch", "end_n"]).select(
         "config_id", "instance_id", "branch",
-        F.concat("start_id", F.lit("..HEAD")).alias("revision_range"),
+        F.concat("start_id", F.lit(".."), end).alias("revision_range"),
         "sampling", "apps_branch", "apps_revision",
         F.split("test_list", ",").alias("test_names"),
     )

@@ -146,6 +146,7 @@ def metric_columns(output: Column) -> list[Column]:
 
 
 def display(rps: Column, mean_ms: Column, p95_ms: Column) -> Column:
+    """The metrics as text. The labels."""
     return F.concat(
         F.lit("Requests/s: "), rps.cast("string"),
         F.lit(", Mean latency: "), mean_ms.cast("string"),

@@ -36,9 +36,14 @@ class CommitBlocks:
 
 
 def commit_blocks(commit_log: DataFrame, block_rows: int = BLOCK_ROWS) -> CommitBlocks:
-    """Split the log into blocks of about ``block_rows`` commits. Written once if there are several."""
+    """Split the log into blocks of about ``block_rows`` commits. Written once if there are several.
+
+    A commit that the log holds twice counts once.
+    """
     blocks = max(1, math.ceil(commit_log.count() / block_rows))
-    log = commit_log.select("branch", "commit_id", "commit_time", "parents")
+    log = commit_log.groupBy("branch", "commit_id").agg(F.min(F.struct("commit_time", "parents")).alias("_own")).select(
+        "branch", "commit_id", "_own.commit_time", "_own.parents"
+    )
     if blocks == 1:
         return CommitBlocks(log.withColumn("block", F.lit(0)), 1)
     placed = log.repartitionByRange(blocks, "branch", "commit_time", "commit_id")
@@ -48,28 +53,37 @@ def commit_blocks(commit_log: DataFrame, block_rows: int = BLOCK_ROWS) -> Commit
 def resolve_revisions(wanted: DataFrame, commit_log: DataFrame, refs: DataFrame) -> DataFrame:
     """Add ``resolved_id`` and ``resolution`` to rows of (branch, revision).
 
-    ``HEAD`` is the branch head; anything else is a commit id or a unique beginning of one, of at
-    least seven characters. Resolution is ``resolved``, ``ambiguous`` or ``unknown``.
+    ``HEAD`` is the branch head; anything else is a commit id or a unique beginning of one, of any
+    length. Resolution is ``resolved``, ``ambiguous`` or ``unknown``.
     """
     revisions = wanted.select("branch", "revision").distinct()
-    heads = (
-        revisions.filter(F.col("revision") == "HEAD")
-        .join(refs.select("branch", F.col("head").alias("commit_id")), "branch", "left")
-        .select("branch", "revision", "commit_id")
+    heads = revisions.filter(F.col("revision") == "HEAD").join(
+        refs.select("branch", F.col("head").alias("_first"), F.col("head").alias("_last")), "branch", "left"
     )
-    short = F.substring("revision", 1, text.SHORT_ID_LENGTH)
-    prefixed = revisions.filter(F.col("revision") != "HEAD").withColumn("_short", short)
-    commits = commit_log.select(
-        "branch", F.col("commit_id"), text.short_id(F.col("commit_id")).alias("_short")
+    named = revisions.filter(F.col("revision") != "HEAD").withColumn(
+        "_short", F.substring("revision", 1, text.SHORT_ID_LENGTH)
     )
-    by_prefix = prefixed.join(commits, ["branch", "_short"], "left").select(
-        "branch",
-        "revision",
-        F.when(F.col("commit_id").startswith(F.col("revision")), F.col("commit_id")).alias("commit_id"),
-    )
-    found = heads.unionByName(by_prefix).groupBy("branch", "revision").agg(
-        F.min("commit_id").alias("_first"), F.max("commit_id").alias("_last")
+    ids = commit_log.select("branch", "commit_id")
+    # From seven characters on, few commits share the beginning, and the rest of it is compared.
+    commits = ids.withColumn("_short", text.short_id(F.col("commit_id")))
+    long = (
+        named.filter(F.length("revision") >= text.SHORT_ID_LENGTH)
+        .join(commits, ["branch", "_short"], "left")
+        .withColumn("commit_id", F.when(F.col("commit_id").startswith(F.col("revision")), F.col("commit_id")))
+        .groupBy("branch", "revision")
+        .agg(F.min("commit_id").alias("_first"), F.max("commit_id").alias("_last"))
     )
+    # Of shorter ones there are at most as many as hexadecimal numbers of the length, so commits are
+    # combined by beginning before they meet them.
+    brief = named.filter(F.length("revision") < text.SHORT_ID_LENGTH)
+    lengths = sorted(row[0] for row in brief.select(F.length("revision")).distinct().collect())
+    found = heads.select("branch", "revision", "_first", "_last").unionByName(long)
+    if lengths:
+        starts = F.explode(F.array(*[F.substring("commit_id", 1, length) for length in lengths]))
+        sums = ids.select("branch", starts.alias("revision"), "commit_id").groupBy("branch", "revision").agg(
+            F.min("commit_id").alias("_first"), F.max("commit_id").alias("_last")
+        )
+        found = found.unionByName(brief.drop("_short").join(sums, ["branch", "revision"], "left"))
     answers = found.select(
         "branch",
         "revision",
@@ -151,17 +165,18 @@ def first_parent_log(blocks: CommitBlocks, walks: DataFrame) -> DataFrame:
 
     def spread(rows: pd.DataFrame, entered: pd.DataFrame) -> pd.DataFrame:
         ids = pd.Index(rows["commit_id"])
-        parent = ids.get_indexer(rows["parent0"]).tolist()
-        at, walk, pos = [], [], []
-        for start, walk_id, first in zip(
-            ids.get_indexer(entered["commit_id"]).tolist(), entered["walk_id"], entered["pos"], strict=True
-        ):
-            here, step = start, first
-            while here >= 0:
-                at.append(here)
-                walk.append(walk_id)
-                pos.append(step)
-                here, step = parent[here], step + 1
+        jump = ids.get_indexer(rows["parent0"])
+        at = ids.get_indexer(entered["commit_id"])
+        walk, pos = entered["walk_id"].to_numpy(), entered["pos"].to_numpy()
+        length = 1
+        # The commits up to a distance, then those as far again from each of them.
+        while (jump >= 0).any():
+            further = jump[at]
+            inside = further >= 0
+            at, walk = np.concatenate([at, further[inside]]), np.concatenate([walk, walk[inside]])
+            pos = np.concatenate([pos, pos[inside] + length])
+            jump = np.where(jump >= 0, jump[jump], -1)
+            length *= 2
         met = rows.iloc[at]
         return pd.DataFrame(
             {
@@ -275,19 +290,46 @@ def range_cuts(blocks: CommitBlocks, chain: DataFrame, ranges: DataFrame) -> Dat
     )
 
 
+def shared_chains(blocks: CommitBlocks, ranges: DataFrame, refs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(chain, ranges with ``chain_id`` and ``end_pos``): each branch's history once, and ranges as parts of it.
+
+    ``ranges`` has ``walk_id``, the commit that a range ends at, and ``branch``. An end on its branch's
+    first-parent history from the head is a position there; only other ends are walked on their own.
+    Both tables are written.
+    """
+    ends = settle(ranges.select("branch", "walk_id").distinct(), "ends")
+    heads = refs.join(ends.select("branch").distinct(), "branch", "left_semi").select(
+        F.col("head").alias("walk_id"), "branch", F.col("head").alias("commit_id")
+    )
+    trunk = settle(first_parent_log(blocks, heads), "trunk")
+    on_trunk = trunk.select("branch", F.col("commit_id").alias("walk_id"), F.col("walk_id").alias("chain_id"), F.col("pos").alias("end_pos"))
+    placed = settle(ends.join(on_trunk, ["branch", "walk_id"], "left"), "placed_ends")
+    apart = placed.filter(F.col("chain_id").isNull()).select("walk_id", "branch", F.col("walk_id").alias("commit_id"))
+    chain = trunk if apart.isEmpty() else settle(trunk.unionByName(first_parent_log(blocks, apart)), "chain")
+    shared = placed.select(
+        "branch",
+        "walk_id",
+        F.coalesce("chain_id", "walk_id").alias("chain_id"),
+        F.coalesce("end_pos", F.lit(0)).alias("end_pos"),
+    )
+    return chain, settle(ranges.join(shared, ["branch", "walk_id"]), "ranges")
+
+
 def first_parent_range(blocks: CommitBlocks, chain: DataFrame, ranges: DataFrame) -> DataFrame:
-    """The chain of each range without its start commit and everything reachable from that.
+    """The first-parent commits of each range from its end, without its start and all reachable from that.
 
-    The result is (range_id, branch, commit_id, commit_time, pos). ``chain`` and ``ranges`` are read
-    several times; pass written tables.
+    ``ranges`` is (range_id, chain_id, end_pos, branch, start_id), as from ``shared_chains``. The result
+    is (range_id, branch, commit_id, commit_time, pos) with pos 0 at the end of the range. ``chain`` and
+    ``ranges`` are read several times; pass written tables.
     """
-    cuts = ranges.select("range_id", "walk_id", "branch").join(
-        range_cuts(blocks, chain, ranges), "range_id", "left"
+    asked = ranges.select("range_id", F.col("chain_id").alias("walk_id"), "branch", "start_id")
+    cuts = ranges.select("range_id", F.col("chain_id").alias("walk_id"), "branch", "end_pos").join(
+        range_cuts(blocks, chain, asked), "range_id", "left"
     )
     return (
         chain.join(cuts, ["walk_id", "branch"])
-        .filter(F.col("cut").isNull() | (F.col("pos") < F.col("cut")))
-        .select("range_id", "branch", "commit_id", "commit_time", "pos")
+        .filter((F.col("pos") >= F.col("end_pos")) & (F.col("cut").isNull() | (F.col("pos") < F.col("cut"))))
+        .select("range_id", "branch", "commit_id", "commit_time", (F.col("pos") - F.col("end_pos")).alias("pos"))
     )
 
 

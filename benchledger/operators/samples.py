@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from benchledger.session import settle
+
 # The reported percentiles and the kinds of error a sample may have.
 PERCENTILES = (1, 5, 10, 25, 50, 75, 90, 95, 99)
 FIRST_ERROR_STATUS = 400
@@ -82,7 +84,8 @@ def sample_percentiles(samples: DataFrame, percentiles: tuple[int, ...] = PERCEN
     thousand at most, tell in which bin each rank lies; only inside such bins are single values
     accumulated.
     """
-    counts = _with_bin(samples.groupBy("run_key", "latency_us").agg(F.count("*").alias("copies")))
+    counts = settle(samples.groupBy("run_key", "latency_us").agg(F.count("*").alias("copies")), "latencies")
+    counts = _with_bin(counts)
     bins = counts.groupBy("run_key", "bin").agg(F.sum("copies").alias("copies"))
     whole_run = Window.partitionBy("run_key")
     upto = whole_run.orderBy("bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -137,6 +140,24 @@ def sample_percentiles_approx(
     return sketched.select("run_key", F.explode(pairs).alias("_pair")).select("run_key", "_pair.*")
 
 
+def rank_errors(samples: DataFrame, estimates: DataFrame) -> DataFrame:
+    """``estimates`` with ``n`` and ``rank_error``: how far each lies from the rank it stands for, in ranks.
+
+    An estimate covers the ranks of all samples equal to it.
+    """
+    wanted = F.ceil((F.col("percentile") * F.col("n")).cast("decimal(30,0)") / 100)
+    counted = samples.groupBy("run_key", F.col("latency_us").alias("_value")).agg(F.count("*").alias("_copies"))
+    below = F.sum(F.when(F.col("_value") < F.col("latency_us"), F.col("_copies")).otherwise(0))
+    equal = F.sum(F.when(F.col("_value") == F.col("latency_us"), F.col("_copies")).otherwise(0))
+    placed = (
+        counted.join(estimates, "run_key")
+        .groupBy("run_key", "percentile", "latency_us")
+        .agg(below.alias("_below"), equal.alias("_equal"), F.sum("_copies").alias("n"))
+    )
+    error = F.greatest(F.lit(0), F.col("_below") + 1 - wanted, wanted - F.col("_below") - F.col("_equal"))
+    return placed.select("run_key", "percentile", "latency_us", "n", error.cast("bigint").alias("rank_error"))
+
+
 def after_warm_up(samples: DataFrame, warm_up_seconds: int) -> DataFrame:
     """Samples taken at least ``warm_up_seconds`` after the first one of their run.
 

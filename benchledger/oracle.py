@@ -73,6 +73,8 @@ chain AS (
   FROM chain k JOIN commit_log c ON c.branch = k.branch AND c.commit_id = k.parent0)
 """
 
+HEADS = HISTORY.split("chain AS")[0].rstrip().rstrip(",")
+
 REPORT_WINDOW = f"""
 {HISTORY},
 cut AS (
@@ -97,6 +99,12 @@ plan_config AS {_input(fx.PLAN_CONFIG)},
 ranges AS (
   SELECT p.*, c.commit_id AS start_id FROM plan_config p
   JOIN commit_log c ON c.branch = p.branch AND c.n = p.start_n),
+line_chain AS (
+  SELECT r.config_id, c.branch, c.commit_id, c.commit_time, c.parent0, CAST(0 AS BIGINT) AS pos
+  FROM ranges r JOIN commit_log c ON c.branch = r.branch AND c.n = r.end_n
+  UNION ALL
+  SELECT k.config_id, c.branch, c.commit_id, c.commit_time, c.parent0, k.pos + 1
+  FROM line_chain k JOIN commit_log c ON c.branch = k.branch AND c.commit_id = k.parent0),
 excluded AS (
   SELECT config_id, branch, start_id AS commit_id FROM ranges
   UNION
@@ -105,9 +113,8 @@ excluded AS (
         UNION ALL SELECT branch, commit_id, parent1 FROM commit_log WHERE parent1 IS NOT NULL) AS p
     ON p.branch = e.branch AND p.commit_id = e.commit_id),
 range_log AS (
-  SELECT r.config_id, c.branch, c.commit_id, c.commit_time, c.pos
-  FROM ranges r JOIN chain c ON c.branch = r.branch
-  WHERE NOT EXISTS (SELECT 1 FROM excluded e WHERE e.config_id = r.config_id AND e.commit_id = c.commit_id)),
+  SELECT c.config_id, c.branch, c.commit_id, c.commit_time, c.pos FROM line_chain c
+  WHERE NOT EXISTS (SELECT 1 FROM excluded e WHERE e.config_id = c.config_id AND e.commit_id = c.commit_id)),
 planned AS (
   SELECT l.* FROM range_log l JOIN ranges r ON r.config_id = l.config_id
   JOIN (SELECT config_id, max(pos) AS oldest FROM range_log GROUP BY config_id) AS o ON o.config_id = l.config_id
@@ -119,12 +126,14 @@ TASKS = f"""
 {RANGES},
 tests AS {_input(fx.TESTS)},
 apps_refs AS {_input(fx.APPS_REFS)},
+apps_log AS {_input(fx.APPS_LOG)},
 needed AS (
   SELECT DISTINCT r.instance_id, t.test_name, p.commit_id AS framework_commit, t.app_name, p.commit_time,
-         p.branch, r.apps_branch, a.head AS apps_commit
+         p.branch, r.apps_branch, CASE WHEN r.apps_revision = 'HEAD' THEN a.head ELSE l.commit_id END AS apps_commit
   FROM planned p JOIN ranges r ON r.config_id = p.config_id
   JOIN tests t ON list_contains(string_split(r.test_list, ','), t.test_name)
-  JOIN apps_refs a ON a.branch = r.apps_branch)
+  JOIN apps_refs a ON a.branch = r.apps_branch
+  LEFT JOIN apps_log l ON l.branch = r.apps_branch AND r.apps_revision = substr(l.commit_id, 1, length(r.apps_revision)))
 """
 
 TO_RUN = f"""
@@ -216,6 +225,14 @@ def _uuid(hex32: str) -> str:
     return " || '-' || ".join(f"substr({hex32}, {start}, {length})" for start, length in parts)
 
 
+# What is wrong with a run record, by the first digit of its id.
+DAMAGED = f"""(
+SELECT CASE WHEN substr(test_run_id, 1, 1) = '1' THEN test_run_id ELSE {_uuid("test_run_id")} END AS record_id,
+       CASE substr(test_run_id, 1, 1) WHEN '0' THEN 'malformed' WHEN '1' THEN 'bad id' WHEN '2' THEN 'missing testName'
+            WHEN '3' THEN 'incomplete serverExecution' WHEN '4' THEN 'bad appBuildId'
+            ELSE 'bad time in serverExecution' END AS reason
+FROM test_runs WHERE substr(test_run_id, 1, 1) IN ('0', '1', '2', '3', '4', '5')) AS damaged"""
+
 ORACLE: dict[str, str] = {
     "report_results": f"WITH {VALID} SELECT * FROM current_results",
     "report_window_results": f"WITH RECURSIVE {WINDOW_RESULTS} SELECT * FROM window_results",
@@ -272,7 +289,8 @@ FROM test_runs WHERE output_kind = 'ok'""",
 SELECT instance_id, framework_commit, test_name, count(*) AS runs FROM valid
 GROUP BY instance_id, framework_commit, test_name HAVING count(*) > 1""",
     "execution_durations": f"""WITH {RUNS}
-SELECT test_run_id, duration_us AS elapsed_us, duration_us // 60000000 AS elapsed_minutes FROM test_runs""",
+SELECT test_run_id, CASE WHEN NOT never_measured THEN duration_us END AS elapsed_us,
+       CASE WHEN NOT never_measured THEN duration_us // 60000000 END AS elapsed_minutes FROM test_runs""",
     "build_success": f"""WITH {BUILDS}
 SELECT 'framework' AS kind, framework_build_id AS build_id,
        build_seq % 29 = 0 OR coalesce(return_code = 0, false) AS successful FROM framework_builds
@@ -290,6 +308,9 @@ SELECT 'framework' AS kind, instance_id, CAST(NULL AS VARCHAR) AS app_name, fram
        framework_commit AS built_commit, ok AS successful FROM last_framework
 UNION ALL
 SELECT 'app', instance_id, app_name, app_build_id, apps_commit, ok FROM last_app""",
+    "commit_log_source": f"""WITH {HEADS}
+SELECT branch, commit_id, CAST(epoch(commit_time) AS BIGINT) AS seconds,
+       CASE WHEN parent0 IS NULL THEN 0 ELSE 1 END + CASE WHEN parent1 IS NULL THEN 0 ELSE 1 END AS parents FROM commit_log""",
     "first_parent_log": f"WITH RECURSIVE {HISTORY} SELECT branch, commit_id, commit_time, pos FROM chain",
     "first_parent_range": f"WITH RECURSIVE {RANGES} SELECT * FROM range_log",
     "log_to_date": f"WITH RECURSIVE {REPORT_WINDOW} SELECT * FROM branch_commits",
@@ -299,20 +320,39 @@ SELECT rate, count(*) FILTER (WHERE prefix <= CAST(floor(268435455 * rate + 0.5)
        CAST(0 AS BIGINT) AS lost
 FROM ids, (VALUES (0.0::DOUBLE), (0.1::DOUBLE), (0.25::DOUBLE), (0.5::DOUBLE), (0.75::DOUBLE), (1.0::DOUBLE)) AS r(rate)
 GROUP BY rate""",
-    "resolve_revisions": f"""WITH {HISTORY.split("chain AS")[0].rstrip().rstrip(",")},
+    "resolve_revisions": f"""WITH {HEADS},
+names AS (
+  SELECT branch, commit_id, unnest([commit_id, substr(commit_id, 1, 2), substr(commit_id, 1, 4), substr(commit_id, 1, 5),
+    substr(commit_id, 1, 6), substr(commit_id, 1, 7), substr(commit_id, 1, 12)]) AS revision FROM commit_log),
 wanted AS (
-  SELECT branch, commit_id AS revision FROM commit_log
-  UNION SELECT branch, substr(commit_id, 1, 7) FROM commit_log
-  UNION SELECT branch, 'HEAD' FROM commit_log
+  SELECT branch, revision FROM names UNION SELECT branch, 'HEAD' FROM commit_log
   UNION SELECT branch, '-' || substr(commit_id, 1, 7) FROM commit_log),
-matches AS (
-  SELECT w.branch, w.revision, c.commit_id FROM wanted w JOIN commit_log c
-    ON c.branch = w.branch AND w.revision IN (c.commit_id, substr(c.commit_id, 1, 7))
-  UNION ALL SELECT branch, 'HEAD', head FROM heads)
+matches AS (SELECT branch, revision, commit_id FROM names UNION ALL SELECT branch, 'HEAD', head FROM heads)
 SELECT w.branch, w.revision, CASE WHEN count(m.commit_id) = 1 THEN max(m.commit_id) END AS resolved_id,
        CASE count(m.commit_id) WHEN 0 THEN 'unknown' WHEN 1 THEN 'resolved' ELSE 'ambiguous' END AS resolution
 FROM wanted w LEFT JOIN matches m ON m.branch = w.branch AND m.revision = w.revision
 GROUP BY w.branch, w.revision""",
+    "unresolved_lines": f"""WITH {HEADS},
+apps_refs AS {_input(fx.APPS_REFS)},
+apps_log AS {_input(fx.APPS_LOG)},
+vague AS {_input(fx.VAGUE_MATRIX)},
+asked AS (
+  SELECT config_id, branch, 'start' AS role, string_split(revision_range, '..')[1] AS revision FROM vague
+  UNION ALL SELECT config_id, branch, 'end', string_split(revision_range, '..')[2] FROM vague
+  UNION ALL SELECT config_id, apps_branch, 'apps', apps_revision FROM vague),
+known AS (
+  SELECT 'framework' AS side, branch, commit_id FROM commit_log UNION ALL SELECT 'apps', branch, commit_id FROM apps_log),
+named AS (SELECT side, branch, substr(commit_id, 1, size) AS revision, count(*) AS commits
+          FROM known, (SELECT DISTINCT length(revision) AS size FROM asked) AS sizes GROUP BY 1, 2, 3),
+tops AS (SELECT 'framework' AS side, branch FROM heads UNION ALL SELECT 'apps', branch FROM apps_refs),
+answered AS (
+  SELECT a.*, CASE WHEN a.revision = 'HEAD' THEN CASE WHEN t.branch IS NULL THEN 0 ELSE 1 END
+                   ELSE coalesce(n.commits, 0) END AS commits
+  FROM (SELECT *, CASE role WHEN 'apps' THEN 'apps' ELSE 'framework' END AS side FROM asked) AS a
+  LEFT JOIN tops t ON t.side = a.side AND t.branch = a.branch
+  LEFT JOIN named n ON n.side = a.side AND n.branch = a.branch AND n.revision = a.revision)
+SELECT config_id, branch, role, revision, CASE commits WHEN 0 THEN 'unknown' ELSE 'ambiguous' END AS resolution
+FROM answered WHERE commits <> 1""",
     "reported_commits": f"WITH RECURSIVE {REPORT_WINDOW} SELECT DISTINCT commit_id FROM branch_commits",
     "branch_series": f"""WITH RECURSIVE {WINDOW_RESULTS}
 SELECT b.branch, b.commit_id AS framework_commit, b.commit_time, b.pos, w.test_name, w.test_run_id,
@@ -435,6 +475,9 @@ ranked AS (
          count(*) OVER (PARTITION BY run_key) AS n FROM samples),
 levels AS (SELECT unnest([1, 5, 10, 25, 50, 75, 90, 95, 99]) AS percentile)
 SELECT run_key, percentile, latency_us FROM ranked JOIN levels ON place = (percentile * n + 99) // 100""",
+    "sample_percentiles_approx": f"""WITH {SAMPLES}
+SELECT run_key, percentile, true AS within_error
+FROM (SELECT DISTINCT run_key FROM samples) AS runs, (SELECT unnest([1, 5, 10, 25, 50, 75, 90, 95, 99]) AS percentile) AS levels""",
     "warmup_excluded": f"""WITH {SAMPLES}
 SELECT s.* FROM samples s JOIN (SELECT run_key, min(ts) AS first_ts FROM samples GROUP BY run_key) AS f
   ON f.run_key = s.run_key WHERE s.ts >= f.first_ts + INTERVAL {WARM_UP_SECONDS} SECONDS""",
@@ -454,21 +497,25 @@ FROM framework_builds
 UNION ALL
 SELECT 'app', {_uuid("app_build_id")}, {_uuid("framework_build_id")}, app_name, return_code = 0, epoch_us(end_time) FROM app_builds
 UNION ALL
-SELECT 'run', {_uuid("test_run_id")}, {_uuid("app_build_id")}, test_name, NULL, epoch_us(end_time) FROM test_runs""",
-    "ingest_quarantine": f"""WITH {RUNS}
-SELECT CASE WHEN substr(test_run_id, 1, 1) = '1' THEN test_run_id ELSE {_uuid("test_run_id")} END AS record_id,
-       CASE substr(test_run_id, 1, 1) WHEN '0' THEN 'malformed' WHEN '1' THEN 'bad id' WHEN '2' THEN 'missing testName'
-            WHEN '3' THEN 'incomplete serverExecution' WHEN '4' THEN 'bad appBuildId'
-            ELSE 'bad time in serverExecution' END AS reason
-FROM test_runs WHERE substr(test_run_id, 1, 1) IN ('0', '1', '2', '3', '4', '5')""",
+SELECT 'run', {_uuid("test_run_id")}, {_uuid("app_build_id")}, test_name, NULL, epoch_us(end_time) FROM test_runs
+WHERE substr(test_run_id, 1, 1) NOT IN ('0', '1', '2', '3', '4', '5')
+UNION ALL SELECT 'quarantined', record_id, NULL, reason, NULL, NULL FROM {DAMAGED}""",
+    "ingest_quarantine": f"WITH {RUNS} SELECT record_id, reason FROM {DAMAGED}",
+    "repeated_ids": f"""WITH {RUNS}, {BUILDS}
+SELECT {_uuid("app_build_id")} AS id, 2 * count(*) AS copies FROM app_builds WHERE substr(app_build_id, 1, 1) = 'a'
+GROUP BY app_build_id
+UNION ALL SELECT test_run_id, count(*) FROM test_runs GROUP BY test_run_id HAVING count(*) > 1""",
     "ledger_upsert": f"""WITH {BUILDS}
 SELECT app_build_id, app_name, CASE WHEN dayofyear(end_time) % 7 = 0 THEN 9 ELSE return_code END AS return_code,
        end_time FROM app_builds""",
     "stream_ingest": f"""WITH {RUNS}
-SELECT {_uuid("test_run_id")} AS test_run_id, {_uuid("app_build_id")} AS app_build_id, test_name,
-       epoch_us(end_time) AS end_us, 2 AS executions, output_kind <> 'no_stdout' AS has_stdout FROM test_runs""",
+SELECT {_uuid("test_run_id")} AS test_run_id, {_uuid("app_build_id")} AS app_build_id,
+       CASE WHEN substr(test_run_id, 1, 1) = 'a' THEN 'again' ELSE test_name END AS test_name,
+       epoch_us(end_time) AS end_us, 2 AS executions, output_kind <> 'no_stdout' AS has_stdout, NULL AS reason
+FROM test_runs WHERE substr(test_run_id, 1, 1) NOT IN ('0', '1', '2', '3', '4', '5')
+UNION ALL SELECT record_id, NULL, NULL, NULL, NULL, NULL, reason FROM {DAMAGED}""",
     "stream_latest_results": f"WITH {VALID} SELECT * FROM current_results",
-    # Sessions by gaps; those that the final watermark (newest sample - delay) has not passed stay open.
+    # Sessions by gaps; the final watermark (newest sample - delay) has not passed those that stay open.
     "stream_sample_rollup": f"""WITH {SAMPLES},
 marked AS (
   SELECT *, CASE WHEN epoch_us(ts) - epoch_us(lag(ts) OVER w) < 21600000000 THEN 0 ELSE 1 END AS opens
@@ -483,5 +530,6 @@ sessions AS (
          CAST(sum(latency_us) AS BIGINT) AS latency_sum_us, min(latency_us) AS min_us, max(latency_us) AS max_us,
          count(*) FILTER (WHERE outcome = 'error') AS status_errors
   FROM ranked GROUP BY run_key, session)
-SELECT * FROM sessions WHERE closed <= (SELECT epoch_us(max(ts)) // 1000 * 1000 FROM samples) - 3600000000""",
+SELECT *, CASE WHEN closed <= (SELECT epoch_us(max(ts)) // 1000 * 1000 FROM samples) - 3600000000
+               THEN 'closed' ELSE 'open' END AS state FROM sessions""",
 }

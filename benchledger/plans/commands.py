@@ -28,6 +28,7 @@ class Tables:
     test_runs: DataFrame
     commit_log: DataFrame
     refs: DataFrame
+    apps_log: DataFrame
     apps_refs: DataFrame
     matrix: DataFrame
     tests: DataFrame
@@ -41,41 +42,61 @@ class PlannedCommits:
     commits: DataFrame
 
 
-def planned_commits(tables: Tables) -> PlannedCommits:
-    ranges = settle(tasks.config_ranges(tables.matrix, tables.commit_log, tables.refs), "ranges")
+class Unresolved(ValueError):
+    """Revisions that stand for no commit."""
+
+
+def _stop_at(problems: DataFrame, what: str) -> None:
+    first = problems.limit(5).collect()
+    if first:
+        raise Unresolved(f"{what}: " + "; ".join(str(row.asDict()) for row in first))
+
+
+def planned_commits(tables: Tables, options: tasks.PlanOptions = tasks.PlanOptions()) -> PlannedCommits:
+    """Resolve the matrix and walk the history. A revision that does not resolve is an error."""
+    lines = tasks.line_resolutions(
+        tables.matrix, tables.commit_log, tables.refs, tables.apps_log, tables.apps_refs
+    )
+    lines = settle(lines, "resolutions")
+    if not options.skip_unresolved:
+        _stop_at(tasks.unresolved_lines(lines), "Matrix lines that do not resolve")
     blocks = commits.commit_blocks(tables.commit_log)
-    chain = settle(commits.first_parent_log(blocks, tasks.walks_of(ranges)), "chain")
+    chain, ranges = commits.shared_chains(blocks, tasks.resolved_lines(lines), tables.refs)
     return PlannedCommits(ranges, settle(tasks.planned_commits(ranges, blocks, chain), "planned"))
 
 
-def wanted_commits(tables: Tables, revisions: Sequence[str]) -> DataFrame | None:
-    """Commits that the given revisions stand for on the branches of the matrix; none given: None."""
-    if not revisions:
+def wanted_commits(tables: Tables, options: tasks.PlanOptions) -> DataFrame | None:
+    """Commits that the wanted revisions stand for on the branches of the matrix; none wanted: None.
+
+    Each revision must resolve on one branch at least.
+    """
+    if not options.revisions:
         return None
     wanted = tables.matrix.select("branch").distinct().select(
-        "branch", F.explode(F.array(*[F.lit(r) for r in revisions])).alias("revision")
+        "branch", F.explode(F.array(*[F.lit(r) for r in options.revisions])).alias("revision")
     )
-    resolved = commits.resolve_revisions(wanted, tables.commit_log, tables.refs)
+    resolved = settle(commits.resolve_revisions(wanted, tables.commit_log, tables.refs), "wanted")
+    if not options.skip_unresolved:
+        nowhere = resolved.groupBy("revision").agg(F.max("resolved_id").alias("found")).filter("found IS NULL")
+        _stop_at(nowhere.select("revision"), "Wanted revisions that do not resolve")
     return resolved.filter(F.col("resolution") == "resolved").select(
         "branch", F.col("resolved_id").alias("commit_id")
     )
 
 
 def needed(tables: Tables, options: tasks.PlanOptions = tasks.PlanOptions(), planned: PlannedCommits | None = None) -> DataFrame:
-    planned = planned or planned_commits(tables)
+    planned = planned or planned_commits(tables, options)
     return tasks.needed_tasks(
-        planned.ranges,
-        planned.commits,
-        tables.tests,
-        tables.apps_refs,
-        options,
-        wanted_commits(tables, options.revisions),
+        planned.ranges, planned.commits, tables.tests, options, wanted_commits(tables, options)
     )
 
 
 def to_run(tables: Tables, options: tasks.PlanOptions = tasks.PlanOptions(), planned: PlannedCommits | None = None) -> DataFrame:
     """Needed tasks without a run, marked with the commit that their instance built last."""
-    completed = tasks.completed_keys(tables.test_runs, tables.app_builds, tables.framework_builds)
+    runs = tables.test_runs
+    if options.successful_only:
+        runs = results.run_outcomes(runs).filter(F.col("outcome") == "ok")
+    completed = tasks.completed_keys(runs, tables.app_builds, tables.framework_builds, options.same_instance)
     open_tasks = tasks.tasks_to_run(needed(tables, options, planned), completed, options)
     return tasks.with_current(open_tasks, builds.latest_framework_builds(tables.framework_builds))
 
@@ -95,7 +116,7 @@ def print_report(
     tables: Tables, options: tasks.PlanOptions = tasks.PlanOptions(), planned: PlannedCommits | None = None
 ) -> DataFrame:
     """Text lines of the report: (config_id, test_name, pos, line)."""
-    planned = planned or planned_commits(tables)
+    planned = planned or planned_commits(tables, options)
     ranges = matrix_ops.keep_members(planned.ranges, "branch", options.branches)
     outcomes = results.last_outcomes(tables.test_runs, tables.app_builds, tables.framework_builds)
     rows = report.report_rows(ranges, planned.commits, tables.tests, outcomes, options.test_names)
@@ -103,7 +124,12 @@ def print_report(
 
 
 def branch_commits(tables: Tables, branches: Sequence[str], start: dt.datetime) -> DataFrame:
-    """Commits of the given branches from their heads back to ``start``."""
+    """Commits of the given branches from their heads back to ``start``; no names stand for all branches.
+
+    A named branch without a head is an error.
+    """
+    named = tables.refs.sparkSession.createDataFrame([(name,) for name in branches], "branch string")
+    _stop_at(named.join(tables.refs, "branch", "left_anti"), "Branches without a head")
     walks = matrix_ops.keep_members(tables.refs, "branch", branches).select(
         F.col("head").alias("walk_id"), "branch", F.col("head").alias("commit_id")
     )
@@ -124,7 +150,8 @@ def json_report(
     """The JSON report of one instance as ordered lines; ``as_script`` wraps it for the results page."""
     start = times.window_start(as_of, length)
     shown = branch_commits(tables, branches, start)
-    valid = results.valid_results(tables.test_runs, tables.app_builds, tables.framework_builds)
-    current = results.windowed_results(valid, shown, instance_id)
+    current = results.windowed_results(
+        tables.test_runs, tables.app_builds, tables.framework_builds, shown, instance_id
+    )
     compose = report.report_js if as_script else report.report_document
     return compose(shown, tables.tests, current, start, as_of)

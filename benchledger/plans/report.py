@@ -14,6 +14,7 @@ from benchledger.plans.results import METRICS
 from benchledger.session import settle
 from benchledger.sources import matrix as matrix_ops
 
+# Fixed value: what a report says of a commit without a run.
 NO_RESULT = "<no result for commit>"
 
 
@@ -62,7 +63,10 @@ def line_text() -> Column:
 def report_lines(
     rows: DataFrame, ranges: DataFrame, commits: DataFrame, tests: DataFrame, test_names: Sequence[str] = ()
 ) -> DataFrame:
-    """Text lines with their order: (config_id, test_name, pos, line). A header has position -1."""
+    """Text lines with their order: (config_id, test_name, pos, line). A header has position -1.
+
+    Fixed value: the form of the header.
+    """
     sizes = commits.groupBy("config_id").agg(F.count("*").alias("_commits"))
     headers = (
         matrix_ops.explode_tests(ranges.select("config_id", "branch", "test_names"), tests, test_names)
@@ -81,7 +85,7 @@ def report_lines(
 
 
 def _result_json() -> Column:
-    """One result under the key names of the report file."""
+    """One result. The key names of the report file."""
     return F.struct(
         F.col("test_run_id").alias("run"),
         F.col("requests_per_second").alias("req/s"),
@@ -91,15 +95,15 @@ def _result_json() -> Column:
 
 
 def json_per_commit(results: DataFrame) -> DataFrame:
-    """(framework_commit, tests, json): all results of a commit as one object keyed by test.
+    """(instance_id, framework_commit, tests, json): all results of a commit as one object keyed by test.
 
-    ``results`` holds one row per commit and test, so a group is no larger than the list of tests.
+    ``results`` holds one row per instance, commit and test, so a group is no larger than the list of tests.
     """
     entries = F.map_from_entries(F.sort_array(F.collect_list(F.struct("test_name", _result_json()))))
     return (
-        results.groupBy("framework_commit")
+        results.groupBy("instance_id", "framework_commit")
         .agg(F.count("*").alias("tests"), entries.alias("_entries"))
-        .select("framework_commit", "tests", F.to_json("_entries").alias("json"))
+        .select("instance_id", "framework_commit", "tests", F.to_json("_entries").alias("json"))
     )
 
 
@@ -175,7 +179,7 @@ def report_document(
 
 
 def report_js(branch_commits: DataFrame, tests: DataFrame, results: DataFrame, start: dt.datetime, end: dt.datetime) -> DataFrame:
-    """The report as the script file that the results page loads."""
+    """The report as the script file that the results page loads. Fixed value: the name it assigns to."""
     return report_document(branch_commits, tests, results, start, end, "var report = ", ";")
 
 

@@ -65,12 +65,24 @@ def current_results(valid: DataFrame) -> DataFrame:
     )
 
 
-def windowed_results(valid: DataFrame, commits: DataFrame, instance_id: int | str | None = None) -> DataFrame:
-    """Current results of the commits in a report, optionally of one instance."""
+def windowed_results(
+    test_runs: DataFrame,
+    app_builds: DataFrame,
+    framework_builds: DataFrame,
+    commits: DataFrame,
+    instance_id: int | str | None = None,
+) -> DataFrame:
+    """Current results of the commits in a report, optionally of one instance.
+
+    The builds are narrowed first and the runs by them, so only the text of runs in the report is decoded.
+    """
     if instance_id is not None:
-        valid = valid.filter(F.col("instance_id") == instance_id)
+        framework_builds = framework_builds.filter(F.col("instance_id") == instance_id)
     reported = commits.select(F.col("commit_id").alias("framework_commit")).distinct()
-    return current_results(valid.join(reported, "framework_commit", "left_semi"))
+    framework_builds = framework_builds.join(reported, "framework_commit", "left_semi")
+    app_builds = app_builds.join(framework_builds.select("framework_build_id"), "framework_build_id", "left_semi")
+    shown = test_runs.join(app_builds.select("app_build_id").distinct(), "app_build_id", "left_semi")
+    return current_results(valid_results(shown, app_builds, framework_builds))
 
 
 def overwritten_results(valid: DataFrame) -> DataFrame:

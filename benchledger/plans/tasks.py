@@ -33,40 +33,82 @@ class PlanOptions:
     test_names: Sequence[str] = ()
     lexical_order: bool = False
     repeat_tests: bool = False
+    # Count a run as done only on the task's own instance, and only if it has a valid result.
+    same_instance: bool = False
+    successful_only: bool = False
+    # Leave out what does not resolve, instead of stopping; ``unresolved_lines`` lists it.
+    skip_unresolved: bool = False
     max_test_runs: int | None = None
     max_total_seconds: int | None = None
     max_build_failures: int = build_ops.MAX_BUILD_FAILURES
     max_load_seconds: int | None = None
 
 
-def config_ranges(matrix: DataFrame, commit_log: DataFrame, refs: DataFrame) -> DataFrame:
-    """Matrix lines with the commit ids their ranges stand for; unresolved ones drop.
+def line_resolutions(
+    matrix: DataFrame, commit_log: DataFrame, refs: DataFrame, apps_log: DataFrame, apps_refs: DataFrame
+) -> DataFrame:
+    """Every valid matrix line with what its three revisions stand for.
 
-    The walk is named by its end commit, so lines that end at the same commit share one walk.
+    Adds ``start_id``, ``walk_id`` (the end) and
+    ``apps_commit``, each with how it resolved in ``start_resolution``, ``end_resolution`` and
+    ``apps_resolution``.
     """
     lines = matrix_ops.valid_lines(matrix)
     wanted = lines.select("branch", F.col("start_revision").alias("revision")).union(
         lines.select("branch", "end_revision")
     )
-    found = (
-        commit_ops.resolve_revisions(wanted.distinct(), commit_log, refs)
-        .filter(F.col("resolution") == "resolved")
-        .select("branch", "revision", "resolved_id")
+    found = settle(commit_ops.resolve_revisions(wanted.distinct(), commit_log, refs), "resolved")
+    apps_wanted = lines.select(F.col("apps_branch").alias("branch"), F.col("apps_revision").alias("revision"))
+    apps = commit_ops.resolve_revisions(apps_wanted.distinct(), apps_log, apps_refs)
+
+    def named(rows: DataFrame, branch: str, role: str, id_name: str) -> DataFrame:
+        return rows.select(
+            F.col("branch").alias(branch),
+            F.col("revision").alias(f"{role}_revision"),
+            F.col("resolved_id").alias(id_name),
+            F.col("resolution").alias(f"{role}_resolution"),
+        )
+
+    return (
+        lines.join(named(found, "branch", "start", "start_id"), ["branch", "start_revision"], "left")
+        .join(named(found, "branch", "end", "walk_id"), ["branch", "end_revision"], "left")
+        .join(named(apps, "apps_branch", "apps", "apps_commit"), ["apps_branch", "apps_revision"], "left")
     )
-    starts = found.select("branch", F.col("revision").alias("start_revision"), F.col("resolved_id").alias("start_id"))
-    ends = found.select("branch", F.col("revision").alias("end_revision"), F.col("resolved_id").alias("walk_id"))
-    return lines.join(starts, ["branch", "start_revision"]).join(ends, ["branch", "end_revision"])
 
 
-def walks_of(ranges: DataFrame) -> DataFrame:
-    return ranges.select("walk_id", "branch", F.col("walk_id").alias("commit_id")).distinct()
+def resolved_lines(resolutions: DataFrame) -> DataFrame:
+    """The lines whose revisions all resolved; the others are in ``unresolved_lines``."""
+    roles = ("start", "end", "apps")
+    good = reduce(Column.__and__, [F.col(f"{role}_resolution") == "resolved" for role in roles])
+    return resolutions.filter(good).drop(*[f"{role}_resolution" for role in roles])
+
+
+def unresolved_lines(resolutions: DataFrame) -> DataFrame:
+    """(config_id, branch, role, revision, resolution): the revisions that stand for no commit, or several."""
+    roles = {"start": "branch", "end": "branch", "apps": "apps_branch"}
+    each = F.array(
+        *[
+            F.struct(
+                F.col(branch).alias("branch"),
+                F.lit(role).alias("role"),
+                F.col(f"{role}_revision").alias("revision"),
+                F.col(f"{role}_resolution").alias("resolution"),
+            )
+            for role, branch in roles.items()
+        ]
+    )
+    return (
+        resolutions.select("config_id", F.explode(each).alias("_one"))
+        .select("config_id", "_one.*")
+        .filter(F.col("resolution") != "resolved")
+    )
 
 
 def planned_commits(
     ranges: DataFrame, blocks: commit_ops.CommitBlocks, chain: DataFrame
 ) -> DataFrame:
     """Sampled commits of every matrix line: (config_id, branch, commit_id, commit_time, pos)."""
-    asked = ranges.select(F.col("config_id").alias("range_id"), "walk_id", "branch", "start_id")
+    asked = ranges.select(F.col("config_id").alias("range_id"), "chain_id", "end_pos", "branch", "start_id")
     log = commit_ops.first_parent_range(blocks, chain, asked).withColumnRenamed("range_id", "config_id")
     return commit_ops.sample_log(log, ranges, "config_id")
 
@@ -75,7 +117,6 @@ def needed_tasks(
     ranges: DataFrame,
     commits: DataFrame,
     tests: DataFrame,
-    apps_refs: DataFrame,
     options: PlanOptions = PlanOptions(),
     wanted_commits: DataFrame | None = None,
 ) -> DataFrame:
@@ -86,15 +127,10 @@ def needed_tasks(
     lines = matrix_ops.keep_members(ranges, "branch", options.branches)
     if wanted_commits is not None:
         commits = commits.join(wanted_commits, ["branch", "commit_id"], "left_semi")
-    apps = apps_refs.select(F.col("branch").alias("apps_branch"), F.col("head").alias("_apps_head"))
-    resolved = lines.join(apps, "apps_branch", "left").withColumn(
-        "apps_commit",
-        F.when(F.col("apps_revision") == "HEAD", F.col("_apps_head")).otherwise(F.col("apps_revision")),
-    )
     # Lines meet tests first: that side stays as small as the matrix. The explosion over tests then
     # happens inside the join with the commits.
     per_test = matrix_ops.explode_tests(
-        resolved.select("config_id", "instance_id", "apps_branch", "apps_commit", "test_names"),
+        lines.select("config_id", "instance_id", "apps_branch", "apps_commit", "test_names"),
         tests,
         options.test_names,
     )
@@ -132,12 +168,21 @@ def tasks_to_run(needed: DataFrame, completed: DataFrame, options: PlanOptions =
     return needed.join(completed, [c for c in completed.columns], "left_anti")
 
 
-def coverage_counts(completed_runs: DataFrame, needed: DataFrame, to_run: DataFrame) -> DataFrame:
-    """(task_set, commits, tasks) for finished runs, needed tasks and tasks to run."""
+def run_counts(test_runs: DataFrame, app_builds: DataFrame, framework_builds: DataFrame) -> DataFrame:
+    """Runs per task key."""
+    runs = test_runs.select("app_build_id", "test_name")
+    return join_runs(runs, app_builds, framework_builds).groupBy(*TASK_KEY).agg(F.count("*").alias("runs"))
+
+
+def coverage_counts(counted_runs: DataFrame, needed: DataFrame, to_run: DataFrame) -> DataFrame:
+    """(task_set, commits, tasks) for finished runs, needed tasks and tasks to run.
+
+    ``counted_runs`` has one row per task key with its number of ``runs``.
+    """
 
-    def counted(rows: DataFrame, name: str) -> DataFrame:
+    def counted(rows: DataFrame, name: str, tasks: Column) -> DataFrame:
         # Per commit first, so the distinct count needs no second copy of the rows.
-        per_commit = rows.groupBy("framework_commit").agg(F.count("*").alias("tasks"))
+        per_commit = rows.groupBy("framework_commit").agg(tasks.alias("tasks"))
         return per_commit.agg(
             F.lit(name).alias("task_set"),
             F.count("*").alias("commits"),
@@ -146,7 +191,11 @@ def coverage_counts(completed_runs: DataFrame, needed: DataFrame, to_run: DataFr
 
     return reduce(
         DataFrame.unionByName,
-        [counted(completed_runs, "completed"), counted(needed, "needed"), counted(to_run, "to_run")],
+        [
+            counted(counted_runs, "completed", F.sum("runs")),
+            counted(needed, "needed", F.count("*")),
+            counted(to_run, "to_run", F.count("*")),
+        ],
     )
 
 

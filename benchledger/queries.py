@@ -26,6 +26,10 @@ BUDGET_SECONDS = 200_000
 LOAD_OVERRIDE_SECONDS = 45
 WARM_UP_SECONDS = 24 * 3600
 CAPTURE_LIMIT = 1000
+SKETCH_ACCURACY = 50
+# Small enough that the test data make several blocks.
+WALK_BLOCK_ROWS = 5_000
+RANGE_BLOCK_ROWS = 8_000
 PLACEHOLDERS = {
     "<assets.home>": "/srv/assets",
     "<apps.home>": "/srv/apps",
@@ -42,7 +46,7 @@ def _head_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     walks = fx.refs(spark, sf_dir).select(
         F.col("head").alias("walk_id"), "branch", F.col("head").alias("commit_id")
     )
-    return commits.first_parent_log(commits.commit_blocks(fx.commit_log(spark, sf_dir)), walks)
+    return commits.first_parent_log(commits.commit_blocks(fx.commit_log(spark, sf_dir), WALK_BLOCK_ROWS), walks)
 
 
 def _branch_commits(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -57,6 +61,7 @@ def _tables(spark: SparkSession, sf_dir: str) -> cmd.Tables:
         test_runs=fx.test_runs(spark, sf_dir),
         commit_log=fx.commit_log(spark, sf_dir),
         refs=fx.refs(spark, sf_dir),
+        apps_log=fx.apps_log(spark, sf_dir),
         apps_refs=fx.apps_refs(spark, sf_dir),
         matrix=fx.plan_config(spark, sf_dir),
         tests=fx.tests(spark),
@@ -79,7 +84,10 @@ def _valid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _window_results(spark: SparkSession, sf_dir: str, branch_commits: DataFrame) -> DataFrame:
     """Current results of one instance within the report."""
-    return results.windowed_results(_valid(spark, sf_dir), branch_commits, REPORT_INSTANCE)
+    tables = _tables(spark, sf_dir)
+    return results.windowed_results(
+        tables.test_runs, tables.app_builds, tables.framework_builds, branch_commits, REPORT_INSTANCE
+    )
 
 
 # --- runs: joins, parsing, results ---------------------------------------------------------------
@@ -175,12 +183,14 @@ def overwritten_results(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def execution_durations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    runs = fx.test_run_numbers(spark, sf_dir)
-    start = F.col("end_time") - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.col("duration_us") / 1000000)
+    """How long the measured execution of each run took, by its start and end."""
+    measured = parse.measured_execution(F.col("executions"))
+    runs = fx.test_runs_with_executions(spark, sf_dir).select("test_run_id", measured.alias("measured"))
+    start, end = F.col("measured.start_time"), F.col("measured.end_time")
     return runs.select(
         "test_run_id",
-        times.elapsed_micros(start, F.col("end_time")).alias("elapsed_us"),
-        times.elapsed_minutes(start, F.col("end_time")).alias("elapsed_minutes"),
+        times.elapsed_micros(start, end).alias("elapsed_us"),
+        times.elapsed_minutes(start, end).alias("elapsed_minutes"),
     )
 
 
@@ -242,12 +252,16 @@ def first_parent_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _head_chain(spark, sf_dir).select("branch", "commit_id", "commit_time", "pos")
 
 
+def _resolutions(spark: SparkSession, sf_dir: str, lines: DataFrame) -> DataFrame:
+    tables = _tables(spark, sf_dir)
+    return tasks.line_resolutions(lines, tables.commit_log, tables.refs, tables.apps_log, tables.apps_refs)
+
+
 def first_parent_range(spark: SparkSession, sf_dir: str) -> DataFrame:
-    log = fx.commit_log(spark, sf_dir)
-    ranges = settle(tasks.config_ranges(fx.plan_config(spark, sf_dir), log, fx.refs(spark, sf_dir)), "ranges")
-    blocks = commits.commit_blocks(log)
-    chain = settle(commits.first_parent_log(blocks, tasks.walks_of(ranges)), "chain")
-    asked = ranges.select(F.col("config_id").alias("range_id"), "walk_id", "branch", "start_id")
+    lines = settle(_resolutions(spark, sf_dir, fx.plan_config(spark, sf_dir)), "resolutions")
+    blocks = commits.commit_blocks(fx.commit_log(spark, sf_dir), RANGE_BLOCK_ROWS)
+    chain, ranges = commits.shared_chains(blocks, tasks.resolved_lines(lines), fx.refs(spark, sf_dir))
+    asked = ranges.select(F.col("config_id").alias("range_id"), "chain_id", "end_pos", "branch", "start_id")
     return commits.first_parent_range(blocks, chain, asked).withColumnRenamed("range_id", "config_id")
 
 
@@ -280,10 +294,11 @@ def commit_sample_monotone(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def resolve_revisions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """HEAD of every branch, and every commit by its full id and by its first seven characters."""
+    """HEAD of every branch, and every commit by its full id and by beginnings of several lengths."""
     log = fx.commit_log(spark, sf_dir)
+    names = F.array("commit_id", *[F.substring("commit_id", 1, length) for length in (2, 4, 5, 6, 7, 12)])
     wanted = (
-        log.select("branch", F.explode(F.array("commit_id", text.short_id(F.col("commit_id")))).alias("revision"))
+        log.select("branch", F.explode(names).alias("revision"))
         .union(log.select("branch", F.lit("HEAD")))
         .union(log.select("branch", F.concat(F.lit("-"), text.short_id(F.col("commit_id")))))
         .distinct()
@@ -330,6 +345,12 @@ def matrix_branches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return matrix.distinct_branches(fx.raw_matrix(spark, sf_dir))
 
 
+def unresolved_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines over the parts whose revisions are short beginnings of ids, some of no or of several commits."""
+    lines = fx.vague_matrix(spark, sf_dir)
+    return tasks.unresolved_lines(_resolutions(spark, sf_dir, lines))
+
+
 def filter_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = matrix.keep_members(fx.raw_matrix(spark, sf_dir), "branch", ["Brand#2", "Brand#3", "Brand#5"])
     lines = matrix.keep_members(lines, "apps_branch", [])
@@ -346,8 +367,9 @@ def tasks_to_run(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def coverage_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     needed = settle(_needed(spark, sf_dir), "needed")
-    runs = settle(runs_joined(spark, sf_dir).select(*tasks.TASK_KEY), "completed")
-    return tasks.coverage_counts(runs, needed, tasks.tasks_to_run(needed, runs.distinct()))
+    tables = _tables(spark, sf_dir)
+    counted = settle(tasks.run_counts(tables.test_runs, tables.app_builds, tables.framework_builds), "run_counts")
+    return tasks.coverage_counts(counted, needed, tasks.tasks_to_run(needed, counted.select(*tasks.TASK_KEY)))
 
 
 def plan_order_date(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -471,7 +493,23 @@ def sample_percentiles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sample_percentiles_approx(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return samples.sample_percentiles_approx(fx.samples(spark, sf_dir))
+    """Sketched percentiles, and whether each is as near to its rank as the sketch promises."""
+    rows = fx.samples(spark, sf_dir)
+    sketched = settle(samples.sample_percentiles_approx(rows, accuracy=SKETCH_ACCURACY), "sketched")
+    errors = samples.rank_errors(rows, sketched)
+    near = F.col("rank_error") <= F.ceil(F.col("n") / SKETCH_ACCURACY)
+    return errors.select("run_key", "percentile", near.alias("within_error"))
+
+
+def commit_log_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The history written as records with epoch seconds, and read back."""
+    path = new_path(spark, "history")
+    log = fx.commit_log(spark, sf_dir)
+    seconds = F.unix_seconds(F.col("commit_time").cast("timestamp"))
+    log.select("branch", "commit_id", seconds.alias("epoch_seconds"), "parents").write.json(path)
+    return matrix.read_commit_log(spark, path).select(
+        "branch", "commit_id", F.unix_seconds("commit_time").alias("seconds"), F.size("parents").alias("parents")
+    )
 
 
 def warmup_excluded(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -504,11 +542,20 @@ def cap_output(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def ingest_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All records written as archives, read back through strict decoding into native tables."""
+    """All records written as archives, read back through strict decoding into native tables.
+
+    Every record comes out once: some runs are damaged and come out as quarantined, and some app builds
+    stand twice.
+    """
     home = new_path(spark, "records")
     for name, folder in fx.LAYOUT.directories.items():
-        fx.write_archive(spark, sf_dir, name, f"{home}/{folder}")
-    tables = records.load_tables(spark, home, fx.LAYOUT, archive=True)
+        if name == "test_runs":
+            fx.damaged_documents(spark, sf_dir).write.text(f"{home}/{folder}")
+        else:
+            fx.write_archive(spark, sf_dir, name, f"{home}/{folder}")
+    again = fx.record_documents(spark, sf_dir, "app_builds").filter(F.substring("id", 1, 1) == "a")
+    again.write.mode("append").json(f"{home}/{fx.LAYOUT.directories['app_builds']}")
+    tables = records.load_tables(spark, home, fx.LAYOUT, archive=True, pattern="part-*")
     end_us = F.unix_micros("end_time").alias("end_us")
     return (
         tables["framework_builds"]
@@ -529,16 +576,36 @@ def ingest_records(spark: SparkSession, sf_dir: str) -> DataFrame:
                 F.lit(None).cast("boolean").alias("successful"), end_us,
             )
         )
+        .unionByName(
+            tables["quarantine"].select(
+                F.lit("quarantined").alias("kind"), _damaged_id().alias("record_id"),
+                F.lit(None).cast("string").alias("parent_id"), F.col("reason").alias("label"),
+                F.lit(None).cast("boolean").alias("successful"), F.lit(None).cast("bigint").alias("end_us"),
+            )
+        )
     )
 
 
+def _damaged_id() -> F.Column:
+    return F.coalesce("id", F.regexp_extract("_corrupt", '"id":"([^"]*)"', 1))
+
+
 def ingest_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_path(spark, "damaged")
     fx.damaged_documents(spark, sf_dir).write.text(path)
     scanned = records.scan_records(spark, path, "test_runs", fx.LAYOUT, archive=True, pattern="*.txt")
     _, bad = records.split_records(scanned, "test_runs", fx.LAYOUT)
-    named = F.coalesce("id", F.regexp_extract("_corrupt", '"id":"([^"]*)"', 1))
-    return bad.select(named.alias("record_id"), "reason")
+    return bad.select(_damaged_id().alias("record_id"), "reason")
+
+
+def repeated_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids that stand more than once in the archive of app builds and in that of runs."""
+    home = new_path(spark, "records")
+    builds_ = fx.record_documents(spark, sf_dir, "app_builds").select("id")
+    builds_.union(builds_.filter(F.substring("id", 1, 1) == "a")).write.json(home)
+    twice = ledger.unique_key_violations(spark.read.schema("id string").json(home), "id")
+    runs = ledger.unique_key_violations(fx.test_runs(spark, sf_dir), "test_run_id").withColumnRenamed("test_run_id", "id")
+    return twice.unionByName(runs)
 
 
 def ledger_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -560,34 +627,41 @@ def _run_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    target = new_path(spark, "ingested")
-    stream = _run_stream(spark, sf_dir)
-    incremental.ingest(stream, "test_runs", target, new_path(spark, "progress"), fx.LAYOUT).awaitTermination()
+    """Damaged and whole runs arrive; then a second archive brings some runs again under another test name."""
+    path, target, progress = (new_path(spark, name) for name in ("arrivals", "ingested", "progress"))
+
+    def arrive(lines: DataFrame, part: int) -> None:
+        lines.repartition(3).write.text(f"{path}/{part}")
+        stream = incremental.stream_records(spark, path, "test_runs", fx.LAYOUT, True, 2, "part-*")
+        incremental.ingest(stream, "test_runs", target, progress, fx.LAYOUT).awaitTermination()
+
+    arrive(fx.damaged_documents(spark, sf_dir), 1)
+    again = fx.record_documents(spark, sf_dir, "test_runs").filter(F.substring("id", 1, 1) == "a")
+    arrive(again.withColumn("testName", F.lit("again")).select(F.to_json(F.struct(*again.columns)).alias("value")), 2)
     schema = (
         "test_run_id string, app_build_id string, test_name string, start_time timestamp, end_time timestamp, "
         "stdout string, executions int"
     )
-    stored = spark.read.schema(schema).parquet(target)
+    stored = records.read_ledger(spark, target, schema, "test_run_id")
+    bad = records.read_batches(spark, f"{target}-quarantine", records.QUARANTINE_SCHEMA)
     return stored.select(
         "test_run_id", "app_build_id", "test_name", F.unix_micros("end_time").alias("end_us"),
-        "executions", F.col("stdout").isNotNull().alias("has_stdout"),
-    )
+        "executions", F.col("stdout").isNotNull().alias("has_stdout"), F.lit(None).cast("string").alias("reason"),
+    ).unionByName(bad.select(_damaged_id().alias("test_run_id"), "reason"), allowMissingColumns=True)
 
 
 def stream_latest_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs arrive in several micro-batches, all of them ahead of their builds."""
     state = new_path(spark, "latest")
     plain = [F.replace(c, F.lit("-"), F.lit("")).alias(c) for c in ("test_run_id", "app_build_id")]
     runs = records.native_table(
         records.split_records(_run_stream(spark, sf_dir), "test_runs", fx.LAYOUT)[0], "test_runs", fx.LAYOUT
     ).select(*plain, "test_name", "end_time", "stdout")
-    incremental.keep_latest_results(
-        runs, fx.app_builds(spark, sf_dir), fx.framework_builds(spark, sf_dir), state, new_path(spark, "progress")
-    ).awaitTermination()
-    schema = (
-        "instance_id int, framework_commit string, test_name string, test_run_id string, end_time timestamp, "
-        "requests_per_second double, latency_mean_ms double, latency_p95_ms double"
-    )
-    return incremental.read_latest_results(spark, state, schema).drop("end_time")
+    incremental.keep_latest_results(runs, state, new_path(spark, "progress")).awaitTermination()
+    folded = new_path(spark, "folded")
+    incremental.compact_results(spark, state, folded)
+    builds_ = fx.app_builds(spark, sf_dir), fx.framework_builds(spark, sf_dir)
+    return incremental.read_latest_results(spark, folded, *builds_).drop("end_time")
 
 
 def stream_sample_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -604,11 +678,9 @@ def stream_sample_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
         .start()
         .awaitTermination()
     )
-    schema = (
-        "run_key bigint, started timestamp, closed timestamp, requests bigint, latency_sum_us bigint, "
-        "min_us bigint, max_us bigint, p50_us bigint, p95_us bigint, status_errors bigint"
-    )
-    rolled = spark.read.schema(schema).parquet(target)
+    closed = spark.read.schema(incremental.ROLLED_UP).parquet(target)
+    all_samples = fx.samples(spark, sf_dir).withColumn("ts", F.col("ts").cast("timestamp"))
+    rolled = incremental.with_open_sessions(closed, all_samples, "6 hours")
     return rolled.withColumn("started", F.unix_micros("started")).withColumn("closed", F.unix_micros("closed"))
 
 
@@ -618,13 +690,13 @@ QUERIES: dict[str, Query] = {
         report_results, report_window_results, runs_joined, dangling_runs, parse_outputs, parse_status_counts,
         percentile_lookup, measured_execution, error_gate, error_messages, derived_metrics, overwritten_results,
         execution_durations, build_success, build_tallies, app_build_tallies, failure_budget, latest_builds,
-        first_parent_log, first_parent_range, log_to_date, commit_sample, commit_sample_monotone,
+        commit_log_source, first_parent_log, first_parent_range, log_to_date, commit_sample, commit_sample_monotone,
         resolve_revisions, reported_commits, branch_series, missing_branches, matrix_explode, matrix_checks,
-        matrix_branches, filter_matrix, needed_tasks, tasks_to_run, coverage_counts, plan_order_date,
+        matrix_branches, filter_matrix, unresolved_lines, needed_tasks, tasks_to_run, coverage_counts, plan_order_date,
         plan_order_lexical, plan_top_n, budgeted_plan, rebuild_points, rebuild_decision, skip_reasons,
         render_commands, effective_duration, report_lines, report_text, report_json_per_commit,
         report_json_values, report_js, sample_totals, sample_stats, sample_percentiles,
         sample_percentiles_approx, warmup_excluded, version_extract, cap_output, ingest_records,
-        ingest_quarantine, ledger_upsert, stream_ingest, stream_latest_results, stream_sample_rollup,
+        ingest_quarantine, repeated_ids, ledger_upsert, stream_ingest, stream_latest_results, stream_sample_rollup,
     )
 }

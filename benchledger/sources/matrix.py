@@ -8,10 +8,13 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from benchledger.functions import times
+
 MATRIX_SCHEMA = (
     "config_id int, instance_id string, branch string, revision_range string, sampling double, "
     "apps_branch string, apps_revision string, test_names array<string>"
 )
+COMMIT_LOG_SCHEMA = "branch string, commit_id string, epoch_seconds bigint, parents array<string>"
 TESTS_SCHEMA = "test_name string, app_name string, description string, wrk_args array<string>"
 
 
@@ -23,6 +26,12 @@ def read_tests(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(TESTS_SCHEMA).option("multiLine", True).json(path)
 
 
+def read_commit_log(spark: SparkSession, path: str) -> DataFrame:
+    """(branch, commit_id, commit_time, parents) from records that give the time in epoch seconds."""
+    log = spark.read.schema(COMMIT_LOG_SCHEMA).json(path)
+    return log.select("branch", "commit_id", times.commit_time(F.col("epoch_seconds")).alias("commit_time"), "parents")
+
+
 def range_parts(revision_range: Column) -> Column:
     """Pieces around ``..``; empty pieces at the end do not count."""
     pieces = F.split(revision_range, "\\.\\.")

@@ -21,6 +21,7 @@ def stream_records(
     layout: RecordLayout = RecordLayout(),
     archive: bool = False,
     max_files: int = 10_000,
+    pattern: str = "*.json",
 ) -> DataFrame:
     """Record files as a stream; every file is read once."""
     stream = (
@@ -29,7 +30,7 @@ def stream_records(
         .option("columnNameOfCorruptRecord", "_corrupt")
         .option("multiLine", not archive)
         .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.json")
+        .option("pathGlobFilter", pattern)
         .option("maxFilesPerTrigger", max_files)
         .json(path)
     )
@@ -37,17 +38,24 @@ def stream_records(
 
 
 def ingest(
-    stream: DataFrame, table: str, ledger: str, checkpoint: str, layout: RecordLayout = RecordLayout()
+    stream: DataFrame,
+    table: str,
+    ledger: str,
+    checkpoint: str,
+    layout: RecordLayout = RecordLayout(),
+    quarantine: str | None = None,
 ) -> StreamingQuery:
-    """Append usable records to a ledger, one batch directory per micro-batch.
+    """Append usable records to a ledger and the others to ``quarantine``, one batch directory per micro-batch.
 
-    A batch that is run again after a failure overwrites its own directory, so no record is stored
-    twice.
+    The quarantine is next to the ledger if no place is named. A batch that is run again after a failure
+    overwrites its own directories, so no record is stored twice.
     """
+    quarantine = quarantine or f"{ledger.rstrip('/')}-quarantine"
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        good, _ = records.split_records(batch, table, layout)
+        good, bad = records.split_records(batch, table, layout)
         records.append_batch(records.native_table(good, table, layout), ledger, batch_id)
+        records.append_batch(bad, quarantine, batch_id)
 
     return (
         stream.writeStream.foreachBatch(store)
@@ -57,21 +65,24 @@ def ingest(
     )
 
 
-def keep_latest_results(
-    runs: DataFrame, app_builds: DataFrame, framework_builds: DataFrame, state: str, checkpoint: str
-) -> StreamingQuery:
-    """Keep the last valid run per key up to date.
+RUN_KEY = ["app_build_id", "test_name"]
+LATEST_RUNS = (
+    "app_build_id string, test_name string, test_run_id string, end_time timestamp, "
+    "requests_per_second double, latency_mean_ms double, latency_p95_ms double"
+)
 
-    Each micro-batch stores only its own latest row per key. ``read_latest_results`` takes the
-    latest over the batches: the order is by (end time, run id), so neither the split into batches
-    nor the order of arrival matters, and no batch rewrites what earlier ones stored.
+
+def keep_latest_results(runs: DataFrame, state: str, checkpoint: str) -> StreamingQuery:
+    """Keep the last valid run per app build and test up to date.
+
+    A run's build may arrive later than the run, so builds are joined by ``read_latest_results`` and not
+    here. Each micro-batch stores only its own latest row per key; the order is by (end time, run id),
+    so neither the split into batches nor the order of arrival matters.
     """
-    builds = join_builds(app_builds, framework_builds).select("app_build_id", "instance_id", "framework_commit")
 
     def store(batch: DataFrame, batch_id: int) -> None:
         ok = run_outcomes(batch).filter(F.col("outcome") == "ok")
-        latest = _latest(ok.join(builds, "app_build_id"))
-        records.append_batch(latest, state, batch_id)
+        records.append_batch(_latest(ok, RUN_KEY), state, batch_id)
 
     return (
         runs.writeStream.foreachBatch(store)
@@ -81,17 +92,29 @@ def keep_latest_results(
     )
 
 
-def _latest(results: DataFrame) -> DataFrame:
-    return latest_by(results, RESULT_KEY, ["end_time", "test_run_id"], ["test_run_id", "end_time", *METRICS])
+def _latest(results: DataFrame, key: list[str]) -> DataFrame:
+    return latest_by(results, key, ["end_time", "test_run_id"], ["test_run_id", "end_time", *METRICS])
 
 
-def read_latest_results(spark: SparkSession, state: str, schema: str) -> DataFrame:
-    return _latest(spark.read.schema(schema).parquet(state))
+def _folded(spark: SparkSession, state: str) -> DataFrame:
+    return _latest(records.read_batches(spark, state, LATEST_RUNS), RUN_KEY)
 
 
-def compact_results(spark: SparkSession, state: str, schema: str, target: str) -> None:
-    """Fold all batches into a new state directory that holds one row per key."""
-    records.append_batch(read_latest_results(spark, state, schema), target, 0)
+def read_latest_results(
+    spark: SparkSession, state: str, app_builds: DataFrame, framework_builds: DataFrame
+) -> DataFrame:
+    """The last valid run per instance, commit and test, of the runs whose builds are known by now."""
+    builds = join_builds(app_builds, framework_builds).select("app_build_id", "instance_id", "framework_commit")
+    return _latest(_folded(spark, state).join(builds, "app_build_id"), RESULT_KEY)
+
+
+def compact_results(spark: SparkSession, state: str, target: str) -> None:
+    """Fold all batches into a new state directory that holds one row per key.
+
+    To be called between runs of the stream, so that a read costs what the keys need and not what all
+    batches held.
+    """
+    records.append_batch(_folded(spark, state), target, 0)
 
 
 def sample_roll_up(samples: DataFrame, quiet: str, delay: str, accuracy: int = 10_000) -> DataFrame:
@@ -100,9 +123,12 @@ def sample_roll_up(samples: DataFrame, quiet: str, delay: str, accuracy: int = 1
     Percentiles are sketches: exact up to ``accuracy`` samples, within n / accuracy ranks beyond.
     Emitted once the watermark (``delay`` behind the newest sample) has passed the end.
     """
+    return _rolled_up(samples.withWatermark("ts", delay), quiet, accuracy)
+
+
+def _rolled_up(samples: DataFrame, quiet: str, accuracy: int) -> DataFrame:
     return (
-        samples.withWatermark("ts", delay)
-        .groupBy("run_key", F.session_window("ts", quiet).alias("session"))
+        samples.groupBy("run_key", F.session_window("ts", quiet).alias("session"))
         .agg(
             F.count("*").alias("requests"),
             F.sum("latency_us").alias("latency_sum_us"),
@@ -124,3 +150,31 @@ def sample_roll_up(samples: DataFrame, quiet: str, delay: str, accuracy: int = 1
             "status_errors",
         )
     )
+
+
+ROLLED_UP = (
+    "run_key bigint, started timestamp, closed timestamp, requests bigint, latency_sum_us bigint, "
+    "min_us bigint, max_us bigint, p50_us bigint, p95_us bigint, status_errors bigint"
+)
+
+
+def with_open_sessions(closed: DataFrame, samples: DataFrame, quiet: str) -> DataFrame:
+    """The stream's sessions (state ``closed``) and what it does not hold, so that every sample counts once.
+
+    Sessions that are still open at the end of the input are rolled up here from the samples after the
+    run's last closed session (``open``). Samples that came too late for a session that was closed
+    already are counted per run (``late``).
+    """
+    last = closed.groupBy("run_key").agg(F.max("closed").alias("_last"), F.sum("requests").alias("_held"))
+    placed = samples.join(last, "run_key", "left")
+    after = placed.filter(F.col("_last").isNull() | (F.col("ts") >= F.col("_last"))).drop("_last", "_held")
+    open_ = _rolled_up(after, quiet, 10_000)
+    before = placed.filter(F.col("ts") < F.col("_last")).groupBy("run_key").agg(
+        (F.count("*") - F.max("_held")).alias("requests")
+    )
+    late = before.filter("requests > 0").withColumn("state", F.lit("late"))
+    return (
+        closed.withColumn("state", F.lit("closed"))
+        .unionByName(open_.withColumn("state", F.lit("open")))
+        .unionByName(late, allowMissingColumns=True)
+    )

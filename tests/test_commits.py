@@ -81,7 +81,8 @@ def test_walks_and_ranges_match_brute_force(spark, block_rows):
             asked.append((range_id, f"{b}-{heads[b]}", b, commit_id(start)))
             excluded = ancestors(parents, start)
             expected[range_id] = {commit_id(i) for i in first_parents(parents, heads[b]) if i not in excluded}
-    ranges = spark.createDataFrame(asked, "range_id string, walk_id string, branch string, start_id string")
+    asked_type = "range_id string, chain_id string, branch string, start_id string"
+    ranges = spark.createDataFrame(asked, asked_type).withColumn("end_pos", F.lit(0))
     got = {range_id: set() for range_id in expected}
     for row in commits.first_parent_range(blocks, chain, ranges).collect():
         got[row.range_id].add(row.commit_id)
@@ -96,10 +97,39 @@ def test_walk_ends_where_the_log_ends(spark):
     chain = commits.first_parent_log(blocks, walks)
     assert sorted((r.pos, r.commit_id) for r in chain.collect()) == [(0, "c2"), (1, "c1")]
     # Nothing is reachable from a start outside the log, so nothing is cut.
-    ranges = spark.createDataFrame([(1, "w", "a", "gone")], "range_id int, walk_id string, branch string, start_id string")
+    ranges = spark.createDataFrame([(1, "w", "a", "gone", 0)], "range_id int, chain_id string, branch string, start_id string, end_pos int")
     assert commits.first_parent_range(blocks, chain, ranges).count() == 2
 
 
+@pytest.mark.parametrize("block_rows", [9, 10_000])
+def test_lines_of_a_branch_share_its_chain(spark, block_rows):
+    """Lines that end anywhere on a branch's history add no chain rows; others add their own walk."""
+    parents, times = random_history(5, 120)
+    blocks = commits.commit_blocks(frame(spark, {"a": (parents, times)}), block_rows)
+    refs = spark.createDataFrame([("a", commit_id(119))], "branch string, head string")
+    trunk = first_parents(parents, 119)
+    off = next(i for i in range(100, 0, -1) if i not in trunk)
+    ends = [119, trunk[3], trunk[10], trunk[20], off]
+    lines = [(n, "a", commit_id(end), commit_id(trunk[25])) for n, end in enumerate(ends)]
+    ranges = spark.createDataFrame(lines, "config_id int, branch string, walk_id string, start_id string")
+    chain, shared = commits.shared_chains(blocks, ranges, refs)
+    assert chain.count() == len(trunk) + len(first_parents(parents, off))
+    got = {}
+    for row in commits.first_parent_range(blocks, chain, shared.withColumnRenamed("config_id", "range_id")).collect():
+        got.setdefault(row.range_id, {})[row.pos] = row.commit_id
+    excluded = ancestors(parents, trunk[25])
+    for n, end in enumerate(ends):
+        wanted = [commit_id(i) for i in first_parents(parents, end) if i not in excluded]
+        assert [got.get(n, {})[pos] for pos in range(len(wanted))] == wanted and len(got.get(n, {})) == len(wanted)
+
+
+def test_a_commit_that_stands_twice_counts_once(spark):
+    rows = [("a", "c2", dt.datetime(2020, 1, 2), ["c1"]), ("a", "c1", dt.datetime(2020, 1, 1), [])]
+    blocks = commits.commit_blocks(spark.createDataFrame(rows * 2, LOG_SCHEMA), 1)
+    walks = spark.createDataFrame([("w", "a", "c2")], "walk_id string, branch string, commit_id string")
+    assert sorted(r.pos for r in commits.first_parent_log(blocks, walks).collect()) == [0, 1]
+
+
 def test_log_to_date_keeps_the_first_old_commit(spark):
     base = dt.datetime(2020, 1, 1)
     rows = [("w", "a", f"c{i}", base + dt.timedelta(seconds=s), i) for i, s in enumerate((10, 5, 8))]
@@ -124,13 +154,17 @@ def test_revision_lookup(spark):
     )
     refs = spark.createDataFrame([("a", "7654321aa")], "branch string, head string")
     wanted = spark.createDataFrame(
-        [("a", "HEAD"), ("b", "HEAD"), ("a", "1234567"), ("a", "1234567ab"), ("b", "1234567"), ("a", "7777777")],
+        [("a", "HEAD"), ("b", "HEAD"), ("a", "7"), ("a", "7654"), ("a", "12"), ("a", "8"), ("a", "1234567"), ("a", "1234567ab"), ("b", "1234567"), ("a", "7777777")],
         "branch string, revision string",
     )
     found = {(r.branch, r.revision): (r.resolution, r.resolved_id) for r in commits.resolve_revisions(wanted, log, refs).collect()}
     assert found == {
         ("a", "HEAD"): ("resolved", "7654321aa"),
         ("b", "HEAD"): ("unknown", None),
+        ("a", "7"): ("resolved", "7654321aa"),
+        ("a", "7654"): ("resolved", "7654321aa"),
+        ("a", "12"): ("ambiguous", None),
+        ("a", "8"): ("unknown", None),
         ("a", "1234567"): ("ambiguous", None),
         ("a", "1234567ab"): ("resolved", "1234567ab"),
         ("b", "1234567"): ("resolved", "1234567aa"),

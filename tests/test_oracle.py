@@ -7,8 +7,14 @@ from tests.compare import difference, oracle_connection
 
 SF = "/root/testdata/sf0.001"
 
-# No exact SQL: text with floating-point numbers in it, and a sketch.
-ROWS_ONLY = {"report_text", "report_json_per_commit", "report_js", "sample_percentiles_approx"}
+# No exact SQL: text with floating-point numbers in it.
+ROWS_ONLY = {"report_text", "report_json_per_commit", "report_js"}
+
+
+def core(names):
+    """Queries of the corpus operators have their own tests."""
+    return {name for name in names if not name.startswith("op") and name != "pipeline"}
+
 
 
 @pytest.fixture(scope="module")
@@ -18,10 +24,10 @@ def connection():
 
 
 def test_every_query_has_an_oracle_or_a_reason():
-    assert set(queries()) == set(oracle_sql()) | ROWS_ONLY
+    assert core(queries()) == core(oracle_sql()) | ROWS_ONLY
 
 
-@pytest.mark.parametrize("name", sorted(oracle_sql()))
+@pytest.mark.parametrize("name", sorted(core(oracle_sql())))
 def test_query_equals_oracle(spark, connection, name):
     rows, problem = difference(queries()[name](spark, SF), connection, oracle_sql()[name])
     assert problem is None

@@ -1,3 +1,4 @@
+import dataclasses
 import datetime as dt
 import json
 from pathlib import Path
@@ -9,7 +10,7 @@ from benchledger import fixtures as fx
 from benchledger import queries
 from benchledger.operators import builds
 from benchledger.plans import commands as cmd
-from benchledger.plans import report, tasks
+from benchledger.plans import report, results, tasks
 from benchledger.session import new_path
 from benchledger.sources import records
 
@@ -45,7 +46,8 @@ def test_plan_from_record_files(spark, tables, planned):
     home = new_path(spark, "home")
     for name, folder in fx.LAYOUT.directories.items():
         fx.write_archive(spark, SF, name, f"{home}/{folder}")
-    stored = records.load_tables(spark, home, fx.LAYOUT, archive=True)
+    stored = records.load_tables(spark, home, fx.LAYOUT, archive=True, strict=True)
+    assert stored.pop("quarantine").count() == 0
     ranges = planned.ranges.withColumn("instance_id", fx.instance_uuid(F.col("instance_id")))
     from_files = cmd.Tables(**{**vars(tables), **stored})
     plan = cmd.plan(from_files, planned=cmd.PlannedCommits(ranges, planned.commits))
@@ -55,6 +57,39 @@ def test_plan_from_record_files(spark, tables, planned):
     assert expected.filter("is_current").count() > 0 or plan.filter("is_current").count() == 0
 
 
+def test_what_does_not_resolve_is_an_error_or_listed(tables, planned):
+    """A matrix line and a wanted revision that stand for nothing."""
+    line = tables.matrix.limit(1).withColumns({"config_id": F.lit(99), "revision_range": F.lit("zzz..HEAD")})
+    vague = dataclasses.replace(tables, matrix=tables.matrix.unionByName(line))
+    with pytest.raises(cmd.Unresolved, match="zzz"):
+        cmd.planned_commits(vague)
+    kept = cmd.planned_commits(vague, tasks.PlanOptions(skip_unresolved=True))
+    assert kept.ranges.count() == planned.ranges.count()
+    with pytest.raises(cmd.Unresolved, match="nothing"):
+        cmd.plan(tables, tasks.PlanOptions(revisions=["nothing"]), planned)
+    with pytest.raises(cmd.Unresolved, match="gone"):
+        cmd.branch_commits(tables, ["gone"], dt.datetime(2000, 1, 1))
+
+
+def test_completed_options(tables, planned):
+    """Runs without a valid result, or of another instance, may be left out of what is done."""
+    sizes = [
+        cmd.to_run(tables, tasks.PlanOptions(**options), planned).count()
+        for options in ({}, {"successful_only": True}, {"same_instance": True}, {"repeat_tests": True})
+    ]
+    assert sizes[0] < sizes[1] <= sizes[3] and sizes[0] < sizes[2] <= sizes[3]
+
+
+def test_window_results_decode_only_what_is_shown(spark, tables):
+    shown = tables.commit_log.filter("branch = 'b1'")
+    found = results.windowed_results(tables.test_runs, tables.app_builds, tables.framework_builds, shown, 7)
+    whole = results.current_results(results.valid_results(tables.test_runs, tables.app_builds, tables.framework_builds))
+    wanted = whole.filter("instance_id = 7").join(shown, F.col("commit_id") == F.col("framework_commit"), "left_semi")
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, wanted.select(found.columns).collect()))
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("from_json") < plan.index("LeftSemi")
+
+
 def test_options_filter_and_limit(tables, planned):
     commit = planned.commits.filter("branch = 'b4'").orderBy("pos").first().commit_id
     options = tasks.PlanOptions(
@@ -158,7 +193,7 @@ def test_document_is_the_nested_report(spark, tables):
 
 def test_empty_report_is_valid_json(spark, tables):
     nothing = queries.report_results(spark, SF).filter("false")
-    no_commits = cmd.branch_commits(tables, ["absent"], dt.datetime(2000, 1, 1))
+    no_commits = cmd.branch_commits(tables, [], dt.datetime(2000, 1, 1)).filter("false")
     lines = report.report_document(no_commits, fx.tests(spark).filter("false"), nothing, dt.datetime(2000, 1, 1), dt.datetime(2001, 1, 1))
     text = "".join(r.line for r in lines.orderBy("section", "name", "ordinal").collect())
     document = json.loads(text)

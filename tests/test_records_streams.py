@@ -135,21 +135,18 @@ def test_any_split_into_batches_gives_the_batch_result(spark, files, per_batch):
         "test_run_id string, app_build_id string, test_name string, end_time timestamp_ntz, stdout string"
     ).option("maxFilesPerTrigger", per_batch).parquet(arrivals)
     incremental.keep_latest_results(
-        stream, fx.app_builds(spark, SF), fx.framework_builds(spark, SF), state, new_path(spark, "progress")
+        stream.withColumn("end_time", F.col("end_time").cast("timestamp")), state, new_path(spark, "progress")
     ).awaitTermination()
-    schema = (
-        "instance_id int, framework_commit string, test_name string, test_run_id string, end_time timestamp_ntz, "
-        "requests_per_second double, latency_mean_ms double, latency_p95_ms double"
-    )
+    builds = fx.app_builds(spark, SF), fx.framework_builds(spark, SF)
     expected = queries.report_results(spark, SF)
     columns = sorted(expected.columns)
     wanted = sorted(map(tuple, expected.select(columns).collect()))
-    latest = incremental.read_latest_results(spark, state, schema)
+    latest = incremental.read_latest_results(spark, state, *builds)
     assert sorted(map(tuple, latest.select(columns).collect())) == wanted
     if files == 7:
         compacted = new_path(spark, "compacted")
-        incremental.compact_results(spark, state, schema, compacted)
-        again = incremental.read_latest_results(spark, compacted, schema)
+        incremental.compact_results(spark, state, compacted)
+        again = incremental.read_latest_results(spark, compacted, *builds)
         assert sorted(map(tuple, again.select(columns).collect())) == wanted
 
 
@@ -170,3 +167,43 @@ def test_stream_reads_single_record_files_once(spark, tmp_path):
     write(folder, ids[3], build_record())
     write(folder, "broken", "{")
     assert ingest() == sorted(ids)
+    bad = records.read_batches(spark, f"{ledger}-quarantine", records.QUARANTINE_SCHEMA).collect()
+    assert [(row.id, row.reason) for row in bad] == [("broken", "malformed")]
+
+
+def test_a_ledger_before_its_first_batch_is_empty(spark):
+    assert records.read_ledger(spark, new_path(spark, "none"), "id string, value int", "id").count() == 0
+    builds = fx.app_builds(spark, SF), fx.framework_builds(spark, SF)
+    assert incremental.read_latest_results(spark, new_path(spark, "none"), *builds).count() == 0
+
+
+def test_a_ledger_by_instance_and_date_skips_directories(spark):
+    path, schema = new_path(spark, "ledger"), "id string, value int, instance string, day string"
+    rows = spark.createDataFrame([("a", 1, "i1", "d1"), ("b", 2, "i2", "d1"), ("c", 3, "i1", "d2")], schema)
+    records.append_batch(rows, path, 0, ["instance", "day"])
+    found = records.read_ledger(spark, path, schema, "id", F.col("instance") == "i1")
+    assert sorted(row.id for row in found.collect()) == ["a", "c"]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(instance" in plan
+
+
+def test_strict_load_names_the_damage(spark, tmp_path):
+    write(tmp_path / "web-builds", str(uuid.uuid4()), build_record())
+    write(tmp_path / "web-builds", "broken", "{")
+    assert [r.reason for r in records.load_tables(spark, str(tmp_path), LAYOUT)["quarantine"].collect()] == ["malformed"]
+    with pytest.raises(records.DamagedRecords, match="broken: malformed"):
+        records.load_tables(spark, str(tmp_path), LAYOUT, strict=True)
+
+
+def test_late_samples_are_counted(spark):
+    closed = spark.createDataFrame([(1, "2020-01-01 00:00:00", "2020-01-01 01:00:00", 2)], "run_key bigint, started string, closed string, requests bigint")
+    whole = spark.createDataFrame([], incremental.ROLLED_UP)
+    closed = whole.unionByName(
+        closed.withColumns({c: F.col(c).cast("timestamp") for c in ("started", "closed")}), allowMissingColumns=True
+    )
+    samples = spark.createDataFrame(
+        [(1, "2020-01-01 00:00:00", 5, "ok")] * 3 + [(1, "2020-01-02 00:00:00", 7, "ok"), (2, "2020-01-01 00:00:00", 9, "error")],
+        "run_key bigint, ts string, latency_us bigint, outcome string",
+    ).withColumn("ts", F.col("ts").cast("timestamp"))
+    rows = incremental.with_open_sessions(closed, samples, "6 hours").collect()
+    assert sorted((r.run_key, r.state, r.requests) for r in rows) == [(1, "closed", 2), (1, "late", 1), (1, "open", 1), (2, "open", 1)]
