@@ -24,9 +24,9 @@ def filled(budget, children):
 
 def quotas_by_hand(leaves, weights, budget, epochs):
     def walk(prefix, amount):
-        below = sorted({path[: len(prefix) + 1] for path in leaves if path[: len(prefix)] == prefix})
-        if not below:
+        if len(prefix) == 3:
             return {prefix: amount}
+        below = sorted({path[: len(prefix) + 1] for path in leaves if path[: len(prefix)] == prefix})
         limit = lambda node: float(epochs * sum(n for path, n in leaves.items() if path[: len(node)] == node))
         shares = filled(amount, {node: (weights.get(node, 1.0), limit(node)) for node in below})
         return {path: n for node in below for path, n in walk(node, shares[node]).items()}
