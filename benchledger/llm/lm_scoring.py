@@ -40,6 +40,8 @@ BLOCK_TOKENS = 1_500_000
 #: Bound on the broadcast filter of pairs; the filter of words has a quarter of it.
 FILTER_BYTES = 1 << 25
 PROBES = 3
+#: The smallest part of a filter has 2 ** 12 bits, if the bound allows.
+SMALLEST_BITS = 12
 #: Pairs that stand only once in the training documents are not in the filter.
 LEAST_PAIRS = 2
 PAIR_SHARE = 0.7
@@ -102,7 +104,7 @@ def filter_part(hashes: np.ndarray, counts: np.ndarray, most_bytes: int, least:
     kept = counts >= least
     levels = np.log2(np.maximum(counts[kept], 1)).astype(np.int64) + 1
     entries = int(levels.sum())
-    size_bits = min((most_bits - 1).bit_length(), max(3, (entries * 8).bit_length()))
+    size_bits = min((most_bits - 1).bit_length(), max(SMALLEST_BITS, (entries * 8).bit_length()))
     bits = np.zeros(1 << size_bits, np.uint8)
     hashes = hashes[kept]
     for level in range(1, int(levels.max(initial=0)) + 1):
