@@ -225,6 +225,26 @@ def _uuid(hex32: str) -> str:
     return " || '-' || ".join(f"substr({hex32}, {start}, {length})" for start, length in parts)
 
 
+SAID = f"""{TASKS},
+{RUNS},
+{BUILDS},
+last_run AS (
+  SELECT * FROM (
+    SELECT r.*, b.instance_id, b.framework_commit,
+           row_number() OVER (PARTITION BY b.instance_id, b.framework_commit, r.test_name
+                              ORDER BY r.end_time DESC, r.test_run_id DESC) AS place
+    FROM test_runs r JOIN builds b ON r.app_build_id = b.app_build_id) AS ranked WHERE place = 1),
+said AS (
+  SELECT p.config_id, r.instance_id, p.branch, p.commit_id AS framework_commit, p.pos, t.test_name,
+         CASE WHEN l.test_run_id IS NULL THEN 'no_result' WHEN l.output_kind = 'no_stdout' THEN 'no_stdout'
+              WHEN l.output_kind = 'no_marker' THEN 'missing_json' WHEN l.output_kind = 'bad_json' THEN 'parse_failed'
+              WHEN l.err_connect + l.err_read + l.err_write + l.err_status > 0 THEN 'errors' ELSE 'ok' END AS outcome,
+         l.err_connect, l.err_read, l.err_write, l.err_status, l.requests, l.duration_us, l.latency_mean_us, l.latency_p95_us
+  FROM planned p JOIN ranges r ON r.config_id = p.config_id
+  JOIN tests t ON list_contains(string_split(r.test_list, ','), t.test_name)
+  LEFT JOIN last_run l ON l.instance_id = r.instance_id AND l.framework_commit = p.commit_id AND l.test_name = t.test_name)
+"""
+
 # What is wrong with a run record, by the first digit of its id.
 DAMAGED = f"""(
 SELECT CASE WHEN substr(test_run_id, 1, 1) = '1' THEN test_run_id ELSE {_uuid("test_run_id")} END AS record_id,
@@ -429,29 +449,36 @@ FROM needed n JOIN tests t ON t.test_name = n.test_name""",
     "effective_duration": """SELECT p_partkey,
        CASE WHEN p_partkey % 3 <> 0 AND p_partkey % 400 < p_size * 10 THEN p_partkey % 400
             ELSE CAST(p_size * 10 AS BIGINT) END AS seconds FROM part""",
-    "report_lines": f"""WITH RECURSIVE {TASKS},
-{RUNS},
-{BUILDS},
-last_run AS (
-  SELECT * FROM (
-    SELECT r.*, b.instance_id, b.framework_commit,
-           row_number() OVER (PARTITION BY b.instance_id, b.framework_commit, r.test_name
-                              ORDER BY r.end_time DESC, r.test_run_id DESC) AS place
-    FROM test_runs r JOIN builds b ON r.app_build_id = b.app_build_id) AS ranked WHERE place = 1),
-said AS (
-  SELECT p.config_id, r.instance_id, p.branch, p.commit_id AS framework_commit, p.pos, t.test_name,
-         CASE WHEN l.test_run_id IS NULL THEN 'no_result' WHEN l.output_kind = 'no_stdout' THEN 'no_stdout'
-              WHEN l.output_kind = 'no_marker' THEN 'missing_json' WHEN l.output_kind = 'bad_json' THEN 'parse_failed'
-              WHEN l.err_connect + l.err_read + l.err_write + l.err_status > 0 THEN 'errors' ELSE 'ok' END AS outcome,
-         l.requests, l.duration_us, l.latency_mean_us, l.latency_p95_us
-  FROM planned p JOIN ranges r ON r.config_id = p.config_id
-  JOIN tests t ON list_contains(string_split(r.test_list, ','), t.test_name)
-  LEFT JOIN last_run l ON l.instance_id = r.instance_id AND l.framework_commit = p.commit_id AND l.test_name = t.test_name)
+    "report_lines": f"""WITH RECURSIVE {SAID}
 SELECT config_id, instance_id, branch, framework_commit, pos, test_name, outcome,
        CASE WHEN outcome = 'ok' THEN CAST(requests AS DOUBLE) / CAST(duration_us AS DOUBLE) * 1000000 END AS requests_per_second,
        CASE WHEN outcome = 'ok' THEN latency_mean_us / 1000 END AS latency_mean_ms,
        CASE WHEN outcome = 'ok' THEN CAST(latency_p95_us AS DOUBLE) / 1000 END AS latency_p95_ms
 FROM said""",
+    "report_text_values": f"""WITH RECURSIVE {SAID},
+sizes AS (SELECT config_id, count(*) AS commits FROM planned GROUP BY config_id)
+SELECT config_id, test_name, pos, substr(framework_commit, 1, 7) AS short_id,
+       CASE outcome WHEN 'ok' THEN 'metrics' WHEN 'no_result' THEN '<no result for commit>'
+            WHEN 'no_stdout' THEN '<no wrk stdout for test run>' WHEN 'missing_json' THEN 'Missing JSON in result'
+            WHEN 'parse_failed' THEN 'Failed to parse wrk result: '
+            ELSE concat_ws(', ', CASE WHEN err_connect <> 0 THEN 'Connect errors: ' || err_connect END,
+                           CASE WHEN err_read <> 0 THEN 'Read errors: ' || err_read END,
+                           CASE WHEN err_write <> 0 THEN 'Write errors: ' || err_write END,
+                           CASE WHEN err_status <> 0 THEN 'Status errors: ' || err_status END) END AS said,
+       CASE WHEN outcome = 'ok' THEN CAST(requests AS DOUBLE) / CAST(duration_us AS DOUBLE) * 1000000 END AS requests_per_second,
+       CASE WHEN outcome = 'ok' THEN latency_mean_us / 1000 END AS latency_mean_ms,
+       CASE WHEN outcome = 'ok' THEN CAST(latency_p95_us AS DOUBLE) / 1000 END AS latency_p95_ms
+FROM said
+UNION ALL
+SELECT r.config_id, t.test_name, -1, NULL,
+       '=== Test ' || t.test_name || ' on ' || r.branch || ' - ' || coalesce(z.commits, 0) || ' commits ===', NULL, NULL, NULL
+FROM ranges r JOIN tests t ON list_contains(string_split(r.test_list, ','), t.test_name)
+LEFT JOIN sizes z ON z.config_id = r.config_id""",
+    "report_js_values": f"""WITH RECURSIVE {WINDOW_RESULTS},
+tests AS {_input(fx.TESTS)}
+SELECT 1 AS section, branch AS name, pos AS ordinal, commit_id || '@' || epoch_ms(commit_time) AS value FROM branch_commits
+UNION ALL SELECT 3, test_name, 0, description FROM tests
+UNION ALL SELECT 5, framework_commit, 0, CAST(count(*) AS VARCHAR) FROM window_results GROUP BY framework_commit""",
     "report_json_values": f"""WITH RECURSIVE {WINDOW_RESULTS}
 SELECT framework_commit, count(*) OVER (PARTITION BY framework_commit) AS tests, test_name, test_run_id,
        requests_per_second, latency_mean_ms, latency_p95_ms FROM window_results""",

@@ -453,6 +453,21 @@ def report_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cmd.print_report(_tables(spark, sf_dir))
 
 
+def report_text_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report's lines read back: numbers as numbers, and what else a line says."""
+    line = F.col("line")
+    labels = {"requests_per_second": "Requests/s", "latency_mean_ms": "Mean latency", "latency_p95_ms": "Latency 95%"}
+    numbers = [
+        F.nullif(F.regexp_extract(line, label + r": ([0-9.E+-]+)", 1), F.lit("")).cast("double").alias(name)
+        for name, label in labels.items()
+    ]
+    rest = F.regexp_replace(F.substring(line, 9, 100_000), f"(?s)^({parse.PARSE_FAILED}).*", "$1")
+    said = F.when(F.col("pos") < 0, line).when(line.contains("Requests/s"), "metrics").otherwise(rest)
+    return report_text(spark, sf_dir).select(
+        "config_id", "test_name", "pos", F.when(F.col("pos") >= 0, F.substring(line, 1, 7)).alias("short_id"), said.alias("said"), *numbers
+    )
+
+
 def report_json_per_commit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report.json_per_commit(report_window_results(spark, sf_dir))
 
@@ -477,6 +492,25 @@ def report_js(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cmd.json_report(_tables(spark, sf_dir), REPORT_INSTANCE, [], REPORT_END, REPORT_LENGTH, as_script=True)
 
 
+def report_js_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pieces of the report file read back: commits with times, test descriptions, tests per commit."""
+    piece = F.regexp_replace("line", "^,", "")
+    commit = F.from_json(piece, "commit string, time bigint")
+    wrapped = F.concat(F.lit("{"), piece, F.lit("}"))
+    described = F.get(F.map_values(F.from_json(wrapped, "map<string,string>")), F.lit(0))
+    tests = F.size(F.get(F.map_values(F.from_json(wrapped, "map<string,map<string,struct<run:string>>>")), F.lit(0)))
+    value = (
+        F.when(F.col("section") == 1, F.concat_ws("@", commit["commit"], commit["time"].cast("string")))
+        .when(F.col("section") == 3, described)
+        .otherwise(tests.cast("string"))
+    )
+    return (
+        report_js(spark, sf_dir)
+        .filter(F.col("section").isin(3, 5) | (F.col("section") == 1) & F.col("line").contains('"commit"'))
+        .select("section", "name", "ordinal", value.alias("value"))
+    )
+
+
 # --- samples --------------------------------------------------------------------------------------
 
 
@@ -694,8 +728,8 @@ QUERIES: dict[str, Query] = {
         resolve_revisions, reported_commits, branch_series, missing_branches, matrix_explode, matrix_checks,
         matrix_branches, filter_matrix, unresolved_lines, needed_tasks, tasks_to_run, coverage_counts, plan_order_date,
         plan_order_lexical, plan_top_n, budgeted_plan, rebuild_points, rebuild_decision, skip_reasons,
-        render_commands, effective_duration, report_lines, report_text, report_json_per_commit,
-        report_json_values, report_js, sample_totals, sample_stats, sample_percentiles,
+        render_commands, effective_duration, report_lines, report_text, report_text_values, report_json_per_commit,
+        report_json_values, report_js, report_js_values, sample_totals, sample_stats, sample_percentiles,
         sample_percentiles_approx, warmup_excluded, version_extract, cap_output, ingest_records,
         ingest_quarantine, repeated_ids, ledger_upsert, stream_ingest, stream_latest_results, stream_sample_rollup,
     )

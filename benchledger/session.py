@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _local_workspaces: dict[str, str] = {}
+_made: dict[str, list[str]] = {}
 
 
 def build_session(app_name: str = "benchledger", master: str | None = None, **conf: str) -> SparkSession:
@@ -53,7 +54,23 @@ def workspace(spark: SparkSession) -> str:
 
 def new_path(spark: SparkSession, name: str) -> str:
     """A path below the workspace that nothing else uses."""
-    return f"{workspace(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{workspace(spark)}/{name}-{uuid.uuid4().hex}"
+    _made.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def remove_written(spark: SparkSession) -> int:
+    """Delete all that this session has written by ``new_path`` and ``settle``; returns how many paths.
+
+    A result may read such tables long after the function that made them has returned, so the caller says
+    when nothing of the session is read any more.
+    """
+    paths = _made.pop(spark.sparkContext.applicationId, [])
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for path in paths:
+        there = jvm.org.apache.hadoop.fs.Path(path)
+        there.getFileSystem(conf).delete(there, True)
+    return len(paths)
 
 
 def settle(df: DataFrame, name: str) -> DataFrame:

@@ -104,3 +104,18 @@ def test_stats_totals_and_warm_up(spark):
 
     kept = samples.after_warm_up(frame, 100).groupBy("run_key").count().collect()
     assert {r.run_key: r["count"] for r in kept} == {1: 600, 4: 1, 5: 150}
+
+
+def test_written_tables_can_be_removed(tmp_path):
+    """In its own process, since the tables of a running session are removed."""
+    import subprocess
+    import sys
+
+    code = f"""
+import os
+from benchledger.session import build_session, remove_written, settle
+spark = build_session("remove", "local[1]", **{{"spark.checkpoint.dir": "file://{tmp_path}"}})
+assert settle(spark.range(3), "numbers").count() == 3 and len(os.listdir("{tmp_path}")) == 1
+assert remove_written(spark) == 1 and os.listdir("{tmp_path}") == [] and remove_written(spark) == 0
+"""
+    subprocess.run([sys.executable, "-c", code], check=True, timeout=120)
