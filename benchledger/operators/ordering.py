@@ -93,32 +93,27 @@ def _before(amount: Column, keys: Sequence[str]) -> Column:
 
 
 def with_previous(
-    df: DataFrame, columns: Sequence[str], seq: str = "seq", partition: Sequence[str] = ()
+    df: DataFrame,
+    columns: Sequence[str],
+    seq: str = "seq",
+    partition: Sequence[str] = (),
+    block_rows: int = 100_000,
 ) -> DataFrame:
     """Add ``previous_<column>`` from the row with the preceding ``seq`` in the same partition.
 
-    Consecutive numbers turn LAG into one aggregation by (partition, seq), which spreads a hot
-    partition over all tasks: each row is sent to its own number and to the next one.
+    ``seq`` numbers the rows of a partition from 1 without gaps. Ranges of it are blocks of known size
+    with LAG inside; the last row of each block is handed to the first of the next. ``df`` is read
+    twice; pass a written table.
     """
-    keys = [*partition, seq]
-    own = F.struct(*[F.col(c) for c in df.columns])
-    carried = F.struct(*[F.col(c) for c in columns])
-    sent = df.select(
-        *partition,
-        F.explode(
-            F.array(
-                F.struct(F.col(seq).alias(seq), own.alias("_own"), F.lit(None).cast(_ddl(df, columns)).alias("_prev")),
-                F.struct((F.col(seq) + 1).alias(seq), F.lit(None).cast(_ddl(df, df.columns)).alias("_own"), carried.alias("_prev")),
-            )
-        ).alias("_sent"),
-    ).select(*partition, "_sent.*")
-    met = sent.groupBy(*keys).agg(
-        F.any_value("_own", F.lit(True)).alias("_own"), F.any_value("_prev", F.lit(True)).alias("_prev")
+    keys = [*partition, "_block"]
+    blocked = df.withColumn("_block", F.floor((F.col(seq) - 1) / block_rows))
+    borders = blocked.filter(F.col(seq) % block_rows == 0).select(
+        *partition, (F.col("_block") + 1).alias("_block"), F.struct(*[F.col(c).alias(c) for c in columns]).alias("_border")
     )
-    return met.filter(F.col("_own").isNotNull()).select(
-        "_own.*", *[F.col(f"_prev.{c}").alias(f"previous_{c}") for c in columns]
+    inside = Window.partitionBy(*keys).orderBy(seq)
+    lagged = blocked.select("*", *[F.lag(c).over(inside).alias(f"_lag_{c}") for c in columns])
+    first = (F.col(seq) - 1) % block_rows == 0
+    return lagged.join(borders, keys, "left").select(
+        *df.columns,
+        *[F.when(first, F.col(f"_border.{c}")).otherwise(F.col(f"_lag_{c}")).alias(f"previous_{c}") for c in columns],
     )
-
-
-def _ddl(df: DataFrame, columns: Sequence[str]) -> str:
-    return df.select(*columns).schema.simpleString()

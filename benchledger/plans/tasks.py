@@ -259,6 +259,7 @@ def rebuild_points(plan: DataFrame) -> DataFrame:
     The framework is built when the commit changes. An app is built when the framework was built
     since the app's last task, or its own commit changed.
     """
+    plan = settle(plan, "plan")
     steps = with_previous(
         plan.select("instance_id", "seq", "framework_commit", "app_name", "apps_commit"),
         ["framework_commit"],

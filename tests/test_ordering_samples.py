@@ -3,6 +3,7 @@ import math
 import random
 import statistics
 
+import pytest
 from pyspark.sql import functions as F
 
 from benchledger.operators import samples
@@ -19,12 +20,13 @@ def hot_rows(seed=5, size=600):
     ]
 
 
-def test_numbers_sums_and_previous(spark):
+@pytest.mark.parametrize("block_rows", [7, 100_000])
+def test_numbers_sums_and_previous(spark, block_rows):
     rows = hot_rows()
     df = spark.createDataFrame(rows, "key string, id int, value int, cost bigint").repartition(7)
     numbered = settle(number_rows(df, [F.col("value").desc(), F.col("id").asc()], ["key"]), "t")
     summed = prefix_sums(numbered, {"before": "cost"}, partition=["key"], block_rows=10)
-    stepped = with_previous(summed, ["id", "value"], partition=["key"]).collect()
+    stepped = with_previous(summed, ["id", "value"], partition=["key"], block_rows=block_rows).collect()
     assert len(stepped) == len(rows)
     by_key = {}
     for row in stepped:
@@ -115,7 +117,9 @@ def test_written_tables_can_be_removed(tmp_path):
 import os
 from benchledger.session import build_session, remove_written, settle
 spark = build_session("remove", "local[1]", **{{"spark.checkpoint.dir": "file://{tmp_path}"}})
-assert settle(spark.range(3), "numbers").count() == 3 and len(os.listdir("{tmp_path}")) == 1
-assert remove_written(spark) == 1 and os.listdir("{tmp_path}") == [] and remove_written(spark) == 0
+def there():
+    return [name for name in os.listdir("{tmp_path}") if name.startswith("numbers-")]
+assert settle(spark.range(3), "numbers").count() == 3 and len(there()) == 1
+assert remove_written(spark) == 1 and there() == [] and remove_written(spark) == 0
 """
     subprocess.run([sys.executable, "-c", code], check=True, timeout=120)
