@@ -56,6 +56,9 @@ def slices(batches: Iterator[pa.RecordBatch], name: str, limit: int = 8_000_000)
 def mix(values: np.ndarray, seed: int) -> np.ndarray:
     """A 64-bit hash of 64-bit values (the finaliser of splitmix64)."""
     x = values + np.uint64((seed + 1) * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF)
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
+    x ^= x >> np.uint64(30)
+    x *= np.uint64(0xBF58476D1CE4E5B9)
+    x ^= x >> np.uint64(27)
+    x *= np.uint64(0x94D049BB133111EB)
+    x ^= x >> np.uint64(31)
+    return x

@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -49,6 +50,8 @@ FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9,
 BLOCK_TEXTS, BLOCK_BYTES = 128, 4_000_000
 #: Shingles of a block pair that are compared together.
 COMPARED = 16_384
+#: Longer texts are not kept at hand.
+REMEMBERED_LENGTH = 20_000
 
 
 def words_of(text: str) -> list[bytes]:
@@ -68,14 +71,24 @@ def shingles_of(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return np.unique(mix(total, 0), return_counts=True)
 
 
+@lru_cache(maxsize=1024)
+def _remembered(text: str) -> tuple[np.ndarray, np.ndarray]:
+    return shingles_of(words_of(text))
+
+
+def shingles_in(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """The shingles of a text; of the texts that a worker saw last, unless they are long, they are at hand."""
+    return _remembered(text) if len(text) < REMEMBERED_LENGTH else shingles_of(words_of(text))
+
+
 def weights_of(shingles: np.ndarray, counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
     return counts * idf[shingles >> np.uint64(64 - BUCKET_BITS)]
 
 
 def weighted_jaccard(one: str, other: str, idf: np.ndarray) -> float:
     """Similarity of two texts; 0 if either has no words."""
-    a, a_counts = shingles_of(words_of(one))
-    b, b_counts = shingles_of(words_of(other))
+    a, a_counts = shingles_in(one)
+    b, b_counts = shingles_in(other)
     if not len(a) or not len(b):
         return 0.0
     a_weights, b_weights = weights_of(a, a_counts, idf), weights_of(b, b_counts, idf)
@@ -107,17 +120,25 @@ def sampled(shingles: np.ndarray, weights: np.ndarray, starts: np.ndarray) -> np
     log_weights = np.log(weights).astype(np.float32)
     sizes = np.diff(np.append(starts, len(shingles)))
     out = np.empty((len(starts), BANDS * ROWS), np.uint64)
-    low = np.uint64(0xFFFF)
+    half, one = np.float32(0.5), np.float32(1)
     for number in range(BANDS * ROWS):
-        bits = mix(shingles, number + 1)
-        r = GAMMA[(bits & low).astype(np.int32)]
-        b = ((bits >> np.uint64(16)) & low).astype(np.float32) * np.float32(2**-16)
-        u = (((bits >> np.uint64(32)) & low).astype(np.float32) + np.float32(0.5)) * (
-            (bits >> np.uint64(48)).astype(np.float32) + np.float32(0.5)
-        )
-        log_c = np.log(-np.log(u * np.float32(2**-32)))
-        t = np.floor(log_weights / r + b)
-        log_a = log_c - r * (t - b + np.float32(1))
+        # Four numbers of 16 bits: r by its quantile, b, and two uniform numbers whose product gives c.
+        lanes = mix(shingles, number + 1).view(np.uint16).reshape(-1, 4)
+        r = GAMMA.take(lanes[:, 0])
+        b = lanes[:, 1] * np.float32(2**-16)
+        log_a = lanes[:, 2] + half
+        log_a *= lanes[:, 3] + half
+        log_a *= np.float32(2**-32)
+        np.log(log_a, out=log_a)
+        np.negative(log_a, out=log_a)
+        np.log(log_a, out=log_a)
+        t = log_weights / r
+        t += b
+        np.floor(t, out=t)
+        b -= t
+        b -= one
+        b *= r
+        log_a += b
         least = np.minimum.reduceat(log_a, starts)
         places = np.flatnonzero(log_a == np.repeat(least, sizes))
         first = places[np.searchsorted(places, starts)]
@@ -241,11 +262,12 @@ def components(links: DataFrame) -> DataFrame:
 
 def joining(texts: list[str], classes: np.ndarray, idf: np.ndarray, threshold: float) -> list[tuple[int, int]]:
     """Places of similar texts of different classes: links that join the classes, and no more than needed."""
-    made = [shingles_of(words_of(text)) for text in texts]
+    made = [shingles_in(text) for text in texts]
     # A shingle that stands n times is n items, so that common weight is a sum over common items.
     sizes = [int(counts.sum()) for _, counts in made]
     shingles = np.concatenate([np.repeat(own, counts) for own, counts in made])
-    copies = np.concatenate([np.arange(n) for _, counts in made for n in counts] or [np.zeros(0, int)])
+    times = np.concatenate([counts for _, counts in made])
+    copies = np.arange(len(shingles)) - np.repeat(np.cumsum(times) - times, times)
     rows = np.repeat(np.arange(len(texts)), sizes)
     items, own = np.unique(mix(shingles + copies.astype(np.uint64) * FACTORS[2], 5), return_inverse=True)
     weight = idf[shingles >> np.uint64(64 - BUCKET_BITS)].astype(np.float64)
@@ -254,17 +276,17 @@ def joining(texts: list[str], classes: np.ndarray, idf: np.ndarray, threshold: f
     number = np.cumsum(often) - 1
     there = often[own]
     rows, own, weight = rows[there], number[own[there]], weight[there]
-    shared = np.zeros((len(texts), len(texts)))
+    shared = np.zeros((len(texts), len(texts)), np.float32)
     order = np.argsort(own, kind="stable")
     rows, own, weight = rows[order], own[order], weight[order]
     for first in range(0, int(often.sum()), COMPARED):
         a, b = np.searchsorted(own, [first, first + COMPARED])
-        held = np.zeros((len(texts), min(COMPARED, int(often.sum()) - first)))
+        held = np.zeros((len(texts), min(COMPARED, int(often.sum()) - first)), np.float32)
         held[rows[a:b], own[a:b] - first] = np.sqrt(weight[a:b])
         shared += held @ held.T
     similar = shared / np.maximum(total[:, None] + total[None, :] - shared, 1e-300)
-    # Rounding must not decide, so that pairs at the threshold count as everywhere else.
-    found = np.argwhere(np.triu(similar >= threshold - 1e-9, 1) & (classes[:, None] != classes[None, :]))
+    # The sums are rounded; what comes near is compared again.
+    found = np.argwhere(np.triu(similar >= threshold - 1e-3, 1) & (classes[:, None] != classes[None, :]))
     label = {class_: class_ for class_ in classes.tolist()}
 
     def root(class_: int) -> int:
