@@ -33,6 +33,8 @@ LEAST_PAGES = 4
 SHARE = 0.01
 #: A host's pages are joined with its templates in so many parts.
 SALTS = 16
+#: Up to so many subtrees (8 bytes each) all templates go to every task; beyond it pages meet them in a shuffle.
+BROADCAST_SUBTREES = 1_000_000
 #: Entries that a task counts before it passes them on.
 COUNTED = 500_000
 
@@ -308,15 +310,17 @@ def template_subtrees(pages: DataFrame, least_pages: int = LEAST_PAGES, share: f
 
 def extract(pages: DataFrame, templates: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars of every page."""
-    salt = F.pmod(F.xxhash64(F.coalesce(F.col("page_id").cast("string"), F.lit(""))), F.lit(SALTS)).cast("int")
     host, _ = host_and_path(F.col("url"))
-    salted = templates.withColumn("salt", F.explode(F.array(*[F.lit(number) for number in range(SALTS)])))
-    rows = (
-        pages.select(F.col("page_id").cast("bigint"), "url", "html")
-        .withColumns({"host": host, "salt": salt})
-        .join(salted, ["host", "salt"], "left")
-        .select("page_id", "url", "html", "subtrees")
-    )
+    rows = pages.select(F.col("page_id").cast("bigint"), "url", "html").withColumn("host", host)
+    size = templates.agg(F.coalesce(F.sum(F.size("subtrees")), F.lit(0))).first()[0]
+    if size <= BROADCAST_SUBTREES:
+        rows = rows.join(F.broadcast(templates), "host", "left")
+    else:
+        # A host may have a third of all pages, so its pages go to several tasks.
+        salt = F.pmod(F.xxhash64(F.coalesce(F.col("page_id").cast("string"), F.lit(""))), F.lit(SALTS)).cast("int")
+        salted = templates.withColumn("salt", F.explode(F.array(*[F.lit(number) for number in range(SALTS)])))
+        rows = rows.withColumn("salt", salt).join(salted.hint("merge"), ["host", "salt"], "left")
+    rows = rows.select("page_id", "url", "html", "subtrees")
 
     def extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -43,7 +43,9 @@ def page(n, extra=""):
     return f"<div><span>Follow us</span> <span>now</span></div><div><p>own {n}</p>{extra}</div><p>recurring words</p>"
 
 
-def test_recurring_subtrees_of_a_host_are_deleted(spark):
+@pytest.mark.parametrize("broadcast", [extraction.BROADCAST_SUBTREES, 0])
+def test_recurring_subtrees_of_a_host_are_deleted(spark, monkeypatch, broadcast):
+    monkeypatch.setattr(extraction, "BROADCAST_SUBTREES", broadcast)
     rows = [(n, f"http://a.org/{n}", page(n)) for n in range(6)]
     rows += [(10 + n, f"http://b{n}.org/", page(n)) for n in range(6)]
     rows += [(20, None, None), (21, "http://a.org/x", ""), (22, "http://a.org/0", page(0)), (None, "http://c.org", "<p>x</p>")]
