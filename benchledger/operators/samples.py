@@ -39,33 +39,32 @@ def sample_totals(samples: DataFrame, status_outcomes: tuple[str, ...] = ("statu
 def sample_stats(samples: DataFrame) -> DataFrame:
     """Smallest, mean, largest and sample standard deviation of the latency of every run.
 
-    The sums are whole numbers, so the result does not depend on the order of the rows. Where their
-    product would not fit, the running form takes over.
+    Deviations are taken from the whole part of the run's mean, as whole numbers. So no size of the
+    values costs precision, and the result does not depend on the order of the rows. A run of one sample
+    has no deviation.
     """
-    latency = F.col("latency_us")
-    wide = latency.cast("decimal(19,0)")
+    wide = F.col("latency_us").cast("decimal(19,0)")
     sums = samples.groupBy("run_key").agg(
         F.count("*").alias("n"),
-        F.min(latency).alias("min_us"),
-        F.max(latency).alias("max_us"),
-        F.sum(latency).alias("_sum"),
-        F.sum((wide * wide).cast("decimal(28,0)")).alias("_squares"),
-        F.stddev_samp(latency).alias("_running"),
+        F.min("latency_us").alias("min_us"),
+        F.max("latency_us").alias("max_us"),
+        F.sum(wide).alias("_sum"),
     )
-    # try_* keeps an overflow from failing the run; a run of one sample has no deviation.
-    spread = F.try_subtract(
-        F.try_multiply(F.col("n").cast("decimal(18,0)"), F.col("_squares").cast("decimal(30,0)")).cast("decimal(38,0)"),
-        F.try_multiply(F.col("_sum").cast("decimal(19,0)"), F.col("_sum").cast("decimal(19,0)")).cast("decimal(38,0)"),
+    sums = settle(sums.withColumn("_middle", F.expr("_sum div n")), "sums")
+    off = wide - F.col("_middle")
+    spreads = samples.join(sums.select("run_key", "_middle"), "run_key").groupBy("run_key").agg(
+        F.sum(off).cast("double").alias("_off"),
+        F.sum((off * off).cast("decimal(38,0)")).cast("double").alias("_squares"),
     )
-    pairs = F.col("n").cast("double") * (F.col("n") - 1).cast("double")
-    exact = F.sqrt(F.try_divide(spread.cast("double"), pairs))
-    return sums.select(
+    n = F.col("n").cast("double")
+    variance = (F.col("_squares") - F.col("_off") * F.col("_off") / n) / (n - 1)
+    return sums.join(spreads, "run_key").select(
         "run_key",
         "n",
         "min_us",
-        (F.col("_sum").cast("double") / F.col("n").cast("double")).alias("mean_us"),
+        (F.col("_sum").cast("double") / n).alias("mean_us"),
         "max_us",
-        F.coalesce(exact, F.col("_running")).alias("stdev_us"),
+        F.when(F.col("n") > 1, F.sqrt(F.greatest(variance, F.lit(0.0)))).alias("stdev_us"),
     )
 
 

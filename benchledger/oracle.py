@@ -491,11 +491,15 @@ FROM samples GROUP BY run_key""",
     "sample_stats": f"""WITH {SAMPLES},
 sums AS (
   SELECT run_key, count(*) AS n, min(latency_us) AS min_us, max(latency_us) AS max_us,
-         CAST(sum(latency_us) AS HUGEINT) AS total,
-         CAST(sum(CAST(latency_us AS HUGEINT) * latency_us) AS HUGEINT) AS squares FROM samples GROUP BY run_key)
-SELECT run_key, n, min_us, CAST(total AS DOUBLE) / CAST(n AS DOUBLE) AS mean_us, max_us,
-       CASE WHEN n > 1 THEN sqrt(CAST(n * squares - total * total AS DOUBLE) / (CAST(n AS DOUBLE) * CAST(n - 1 AS DOUBLE))) END
-         AS stdev_us FROM sums""",
+         CAST(sum(latency_us) AS HUGEINT) AS total FROM samples GROUP BY run_key),
+spreads AS (
+  SELECT s.run_key, CAST(sum(s.latency_us - t.total // t.n) AS DOUBLE) AS off,
+         CAST(sum((s.latency_us - t.total // t.n) * (s.latency_us - t.total // t.n)) AS DOUBLE) AS squares
+  FROM samples s JOIN sums t ON t.run_key = s.run_key GROUP BY s.run_key)
+SELECT t.run_key, n, min_us, CAST(total AS DOUBLE) / CAST(n AS DOUBLE) AS mean_us, max_us,
+       CASE WHEN n > 1 THEN sqrt(greatest((squares - off * off / CAST(n AS DOUBLE)) / (CAST(n AS DOUBLE) - 1), 0.0::DOUBLE)) END
+         AS stdev_us
+FROM sums t JOIN spreads p ON p.run_key = t.run_key""",
     "sample_percentiles": f"""WITH {SAMPLES},
 ranked AS (
   SELECT run_key, latency_us, row_number() OVER (PARTITION BY run_key ORDER BY latency_us) AS place,
