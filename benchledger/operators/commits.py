@@ -35,12 +35,12 @@ class CommitBlocks:
     count: int
 
 
-def commit_blocks(commit_log: DataFrame, block_rows: int = BLOCK_ROWS) -> CommitBlocks:
+def commit_blocks(commit_log: DataFrame, block_rows: int = BLOCK_ROWS, least_blocks: int = 1) -> CommitBlocks:
     """Split the log into blocks of about ``block_rows`` commits. Written once if there are several.
 
     A commit that the log holds twice counts once.
     """
-    blocks = max(1, math.ceil(commit_log.count() / block_rows))
+    blocks = max(least_blocks, math.ceil(commit_log.count() / block_rows))
     log = commit_log.groupBy("branch", "commit_id").agg(F.min(F.struct("commit_time", "parents")).alias("_own")).select(
         "branch", "commit_id", "_own.commit_time", "_own.parents"
     )

@@ -27,9 +27,8 @@ LOAD_OVERRIDE_SECONDS = 45
 WARM_UP_SECONDS = 24 * 3600
 CAPTURE_LIMIT = 1000
 SKETCH_ACCURACY = 50
-# Small enough that the test data make several blocks.
-WALK_BLOCK_ROWS = 5_000
-RANGE_BLOCK_ROWS = 8_000
+# The test logs fit one block; so many make walks and ranges cross borders.
+BLOCKS = 3
 PLACEHOLDERS = {
     "<assets.home>": "/srv/assets",
     "<apps.home>": "/srv/apps",
@@ -46,7 +45,7 @@ def _head_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     walks = fx.refs(spark, sf_dir).select(
         F.col("head").alias("walk_id"), "branch", F.col("head").alias("commit_id")
     )
-    return commits.first_parent_log(commits.commit_blocks(fx.commit_log(spark, sf_dir), WALK_BLOCK_ROWS), walks)
+    return commits.first_parent_log(commits.commit_blocks(fx.commit_log(spark, sf_dir), least_blocks=BLOCKS), walks)
 
 
 def _branch_commits(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -259,7 +258,7 @@ def _resolutions(spark: SparkSession, sf_dir: str, lines: DataFrame) -> DataFram
 
 def first_parent_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = settle(_resolutions(spark, sf_dir, fx.plan_config(spark, sf_dir)), "resolutions")
-    blocks = commits.commit_blocks(fx.commit_log(spark, sf_dir), RANGE_BLOCK_ROWS)
+    blocks = commits.commit_blocks(fx.commit_log(spark, sf_dir), least_blocks=BLOCKS)
     chain, ranges = commits.shared_chains(blocks, tasks.resolved_lines(lines), fx.refs(spark, sf_dir))
     asked = ranges.select(F.col("config_id").alias("range_id"), "chain_id", "end_pos", "branch", "start_id")
     return commits.first_parent_range(blocks, chain, asked).withColumnRenamed("range_id", "config_id")
