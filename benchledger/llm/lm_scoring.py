@@ -3,19 +3,20 @@
 Tokens are the words of a text (runs of anything but space and ``\\x09-\\x0D``, with A-Z lower-cased) and
 one end. The counts of words and word pairs in the training documents are quantised to levels,
 1 + floor(log2 count), and a filter holds every level of an n-gram from 1 to its own. Probing level after
-level until one is missing gives the level back; it is never too low, and rarely too high. The filter is
-broadcast, and a token's probability interpolates the pair's relative frequency with the smoothed
-frequency of the word, both from probes.
+level until one is missing gives the level back; it is never too low, and rarely too high. A token's
+probability interpolates the pair's relative frequency with the smoothed frequency of the word, both from
+probes. The filter of pairs is broadcast; that of words is probed where its parts are made.
 
 The base score takes exact word counts, which no worker could hold for a large corpus. So documents are
 cut into blocks of tokens that are stored as places in the block's own list of word hashes. Lists are cut
-into segments of the hash, each segment counts its words over all blocks, and the counts go back to
-the blocks. A block costs one entry per different word, a hot word one entry per block.
-
-A null text has the end as its only token. Without training documents all counts are 0. A filter stays
-below ``FILTER_BYTES``: it has at least 4 bits per entry, and where a segment has more entries, pairs
-below a higher count are left out of it; the word counts are in it always. Repeated rows are counted and
-scored each on its own.
+into segments of the hash, each segment counts its words over all blocks, makes its part of the filter
+with 8 or more bits per entry, and counts and probed levels go back to the blocks. A block costs one entry
+per different word, a hot word one entry per block. The number of segments follows the counted tokens.
+
+A null text has the end as its only token. Without training documents all counts are 0. The filter of
+pairs stays below ``FILTER_BYTES``: it has at least 4 bits per entry, and where a segment has more
+entries, pairs below a higher count are left out of it. Repeated rows are counted and scored each on
+its own.
 """
 
 from __future__ import annotations
@@ -37,7 +38,10 @@ from benchledger.session import settle
 
 #: Tokens of a block; a longer text is a block of its own.
 BLOCK_TOKENS = 1_500_000
-#: Bound on the broadcast filter of pairs; the filter of words has a quarter of it.
+#: Least number of segments, and the most tokens per segment beyond it.
+SEGMENTS = 512
+SEGMENT_TOKENS = 1 << 22
+#: Bound on the broadcast filter of pairs.
 FILTER_BYTES = 1 << 25
 PROBES = 3
 #: The smallest part of a filter has 2 ** 12 bits, if the bound allows.
@@ -92,19 +96,22 @@ def bits_of(hashes: np.ndarray, level: int, size_bits: np.ndarray | int) -> list
     return [(own + np.uint64(probe) * step) & mask for probe in range(PROBES)]
 
 
-def filter_part(hashes: np.ndarray, counts: np.ndarray, most_bytes: int, least: int) -> bytes:
-    """The filter of one segment: its bits, a power of two of bytes."""
-    most_bits = 1 << max(3, (most_bytes * 8).bit_length() - 1)
-    order = np.argsort(-counts, kind="stable")
-    levels = np.log2(np.maximum(counts[order], 1)).astype(np.int64) + 1
-    fits = int((np.cumsum(levels) * 4 <= most_bits).sum())
-    if fits < len(order) and least > 1:
-        # All n-grams of a count are in the filter or none.
-        least = max(least, int(counts[order[fits]]) + 1)
+def filter_part(hashes: np.ndarray, counts: np.ndarray, most_bytes: int | None = None, least: int = 1) -> bytes:
+    """The filter of one segment: its bits, a power of two of bytes; without a bound, 8 or more per entry."""
+    most_bits = None if most_bytes is None else 1 << max(3, (most_bytes * 8).bit_length() - 1)
+    if most_bits is not None and least > 1:
+        order = np.argsort(-counts, kind="stable")
+        levels = np.log2(np.maximum(counts[order], 1)).astype(np.int64) + 1
+        fits = int((np.cumsum(levels) * 4 <= most_bits).sum())
+        if fits < len(order):
+            # All n-grams of a count are in the filter or none.
+            least = max(least, int(counts[order[fits]]) + 1)
     kept = counts >= least
     levels = np.log2(np.maximum(counts[kept], 1)).astype(np.int64) + 1
     entries = int(levels.sum())
-    size_bits = min((most_bits - 1).bit_length(), max(SMALLEST_BITS, (entries * 8).bit_length()))
+    size_bits = max(SMALLEST_BITS, (entries * 8).bit_length())
+    if most_bits is not None:
+        size_bits = min((most_bits - 1).bit_length(), size_bits)
     bits = np.zeros(1 << size_bits, np.uint8)
     hashes = hashes[kept]
     for level in range(1, int(levels.max(initial=0)) + 1):
@@ -133,8 +140,8 @@ class Filter:
             np.log2(sizes * 8).astype(np.uint64),
         )
 
-    def counts(self, hashes: np.ndarray) -> np.ndarray:
-        """Estimated counts: the middle of the counts of the level found, 0 if there is none."""
+    def levels(self, hashes: np.ndarray) -> np.ndarray:
+        """The levels found, 0 if there is none."""
         level_found = np.zeros(len(hashes), np.int64)
         left = np.arange(len(hashes))
         segment = segment_of(hashes, self.segments)
@@ -148,24 +155,32 @@ class Filter:
             if not len(left):
                 break
             level_found[left] = level
-        return np.where(level_found > 1, 1.5 * 2.0 ** (level_found - 1) - 0.5, level_found)
+        return level_found
+
+    def counts(self, hashes: np.ndarray) -> np.ndarray:
+        """Estimated counts."""
+        return middle(self.levels(hashes))
+
+
+def middle(levels: np.ndarray) -> np.ndarray:
+    """The middle of the counts of each level, 0 for none."""
+    return np.where(levels > 1, 1.5 * 2.0 ** (levels - 1.0) - 0.5, levels)
 
 
 @dataclass(frozen=True)
 class Model:
-    words: Filter
     pairs: Filter
     n: int
     v: int
 
-    def log_probabilities(self, listed: np.ndarray, places: np.ndarray) -> np.ndarray:
-        """Of the tokens ``listed[places]``."""
-        word_counts = self.words.counts(listed)
+    def log_probabilities(self, listed: np.ndarray, places: np.ndarray, word_counts: np.ndarray) -> np.ndarray:
+        """Of the tokens ``listed[places]``; ``word_counts`` are those of ``listed``."""
         tokens = listed[places]
         different, own = np.unique(pairs_of(tokens), return_inverse=True)
         pair = self.pairs.counts(different)[own]
-        before = np.concatenate([self.words.counts(np.array([END])), word_counts[places[:-1]]])
-        alone = (word_counts[places] + 1) / (self.n + self.v + 1)
+        # Every text ends with the end, so each block lists it.
+        before = word_counts[np.concatenate([[np.searchsorted(listed, END)], places[:-1]])]
+        alone = np.minimum(1.0, (word_counts[places] + 1) / (self.n + self.v + 1))
         follows = np.where(before > 0, np.minimum(1.0, pair / np.maximum(before, 1)), 0.0)
         return np.log10((1 - PAIR_SHARE) * alone + PAIR_SHARE * follows)
 
@@ -220,8 +235,14 @@ def blocks_of(documents: DataFrame) -> DataFrame:
     return settle(documents.select("doc_id", "held_out", "text").mapInArrow(cut, BLOCK), "lm-blocks")
 
 
+def segments_of(blocks: DataFrame) -> int:
+    """The number of segments; it follows the tokens, so no setting of the session changes a result."""
+    tokens = blocks.agg(F.sum(F.aggregate("sizes", F.lit(0).cast("bigint"), lambda total, own: total + own))).first()[0]
+    return max(SEGMENTS, -(-(tokens or 0) // SEGMENT_TOKENS))
+
+
 def word_counts(blocks: DataFrame, segments: int) -> DataFrame:
-    """Per block and segment the counts of its words; in rows of block -1 each segment's sums and filter."""
+    """Per block and segment the counts and levels of its words; in rows of block -1 each segment's sums."""
 
     def asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -249,16 +270,16 @@ def word_counts(blocks: DataFrame, segments: int) -> DataFrame:
             counts += [np.frombuffer(zlib.decompress(data), np.uint32).astype(np.int64) for data in rows["counts"]]
         known, total = summed(np.concatenate(hashes), np.concatenate(counts))
         seen = total > 0
-        part = filter_part(known[seen], total[seen], FILTER_BYTES // 4 // segments, 1)
-        yield pd.DataFrame(
-            {"block": [-1], "segment": [key[0]], "n": [int(total.sum())], "v": [int(seen.sum())], "data": [part]}
-        )
+        part = filter_part(known[seen], total[seen])
+        levels = Filter.of({0: part}, 1).levels(known).astype(np.uint8)
+        found = [(-1, int(total.sum()), int(seen.sum()), b"", b"")]
         for block, own in zip(blocks_, hashes, strict=True):
-            data = zlib.compress(total[np.searchsorted(known, own)].tobytes(), 1)
-            yield pd.DataFrame({"block": [block], "segment": [key[0]], "n": [0], "v": [0], "data": [data]})
+            at = np.searchsorted(known, own)
+            found.append((block, 0, 0, zlib.compress(total[at].tobytes(), 1), zlib.compress(levels[at].tobytes(), 1)))
+        yield pd.DataFrame(found, columns=["block", "n", "v", "data", "levels"]).assign(segment=key[0])
 
     rows = blocks.mapInArrow(asked, "block bigint, segment int, hashes binary, counts binary")
-    found = rows.groupBy("segment").applyInPandas(answered, "block bigint, segment int, n bigint, v bigint, data binary")
+    found = rows.groupBy("segment").applyInPandas(answered, "block bigint, n bigint, v bigint, data binary, levels binary, segment int")
     return settle(found, "lm-words")
 
 
@@ -306,18 +327,13 @@ def pair_filter(documents: DataFrame, segments: int) -> Filter:
 def score(documents: DataFrame) -> DataFrame:
     """``documents``: doc_id, text, held_out (learns from the others). A row with scores for every row."""
     spark = documents.sparkSession
-    segments = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     blocks = blocks_of(documents)
+    segments = segments_of(blocks)
     words = word_counts(blocks, segments)
-    own = words.filter(F.col("block") == -1).select("segment", "n", "v", "data").collect()  # a row per segment
-    model = Model(
-        Filter.of({row["segment"]: row["data"] for row in own}, segments),
-        pair_filter(documents, segments),
-        sum(row["n"] for row in own),
-        sum(row["v"] for row in own),
-    )
+    n, v = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("v"), F.lit(0))).first()
+    model = Model(pair_filter(documents, segments), n, v)
     shared = spark.sparkContext.broadcast(model)
-    answers = words.filter(F.col("block") >= 0).groupBy("block").agg(F.collect_list(F.struct("segment", "data")).alias("answers"))
+    answers = words.filter(F.col("block") >= 0).groupBy("block").agg(F.collect_list(F.struct("segment", "data", "levels")).alias("answers"))
     rows = blocks.drop("trained").join(answers, "block")
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -334,7 +350,8 @@ def score(documents: DataFrame) -> DataFrame:
                 starts = np.cumsum(sizes) - sizes
                 base = np.add.reduceat(np.log10(counts + 1.0)[places], starts) - sizes * norm
                 known = np.add.reduceat((counts > 0).astype(np.int64)[places], starts)
-                total = np.add.reduceat(model.log_probabilities(listed, places), starts)
+                levels = np.concatenate([np.frombuffer(zlib.decompress(answer["levels"]), np.uint8) for answer in answers])
+                total = np.add.reduceat(model.log_probabilities(listed, places, middle(levels)), starts)
                 yield pa.record_batch(
                     [
                         pa.array(row["doc_id"], pa.int64()),

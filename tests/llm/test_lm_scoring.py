@@ -87,3 +87,27 @@ def test_filter_stays_below_its_bound():
     assert len(part) <= 10_000
     kept = lm_scoring.Filter.of({0: part}, 1).counts(hashes)
     assert (kept[counts == 100_000] > 0).all()
+
+
+def test_word_filter_grows_with_its_entries(documents, monkeypatch):
+    """A bound on the filter of pairs does not fill that of words: all words found, few of them too often."""
+    chance = np.random.default_rng(5)
+    hashes = np.unique(chance.integers(0, 1 << 63, 60_000, dtype=np.uint64))
+    counts = (chance.pareto(1.0, len(hashes)) + 1).astype(np.int64)
+    part = lm_scoring.filter_part(hashes, counts)
+    levels = np.log2(counts).astype(np.int64) + 1
+    assert len(part) >= levels.sum()
+    found = lm_scoring.Filter.of({0: part}, 1).levels(hashes)
+    assert (found >= levels).all() and (found > levels).mean() < 0.05
+
+    # The answers of the segments, with as good as no room in the broadcast filter.
+    monkeypatch.setattr(lm_scoring, "FILTER_BYTES", 1 << 10, raising=False)
+    rows = [(r.doc_id, r.text) for r in documents.collect()]
+    counted = Counter(t for i, text in rows if zlib.crc32(str(i).encode()) % 7 != 2 for t in tokens(text))
+    blocks = lm_scoring.blocks_of(documents.withColumn("held_out", lm_scoring.remainder(lm_scoring.F.col("doc_id"), 7) == 2))
+    words = lm_scoring.word_counts(blocks, lm_scoring.segments_of(blocks)).filter("block >= 0").collect()
+    exact = np.concatenate([np.frombuffer(zlib.decompress(row["data"]), np.int64) for row in words])
+    levels = np.concatenate([np.frombuffer(zlib.decompress(row["levels"]), np.uint8) for row in words])
+    want = np.where(exact > 0, np.log2(np.maximum(exact, 1)).astype(np.int64) + 1, 0)
+    assert exact.max() == max(counted.values())
+    assert (levels >= want).all() and (levels > want).mean() < 0.05
