@@ -5,18 +5,18 @@ one end. The counts of words and word pairs in the training documents are quanti
 1 + floor(log2 count), and a filter holds every level of an n-gram from 1 to its own. Probing level after
 level until one is missing gives the level back; it is never too low, and rarely too high. A token's
 probability interpolates the pair's relative frequency with the smoothed frequency of the word, both from
-probes. The filter of pairs is broadcast; that of words is probed where its parts are made.
+probes. The filter is never in one place: it has parts, each probed where it is made.
 
 The base score takes exact word counts, which no worker could hold for a large corpus. So documents are
 cut into blocks of tokens that are stored as places in the block's own list of word hashes. Lists are cut
-into segments of the hash, each segment counts its words over all blocks, makes its part of the filter
-with 8 or more bits per entry, and counts and probed levels go back to the blocks. A block costs one entry
-per different word, a hot word one entry per block. The number of segments follows the counted tokens.
-
-A null text has the end as its only token. Without training documents all counts are 0. The filter of
-pairs stays below ``FILTER_BYTES``: it has at least 4 bits per entry, and where a segment has more
-entries, pairs below a higher count are left out of it. Repeated rows are counted and scored each on
-its own.
+into segments of the hash. Each segment counts its words and pairs over all blocks, makes its part of the
+filter with 8 or more bits per entry, and counts of words and probed levels of both go back to the blocks.
+A block costs one entry per different word or pair, a hot one an entry per block. The number of segments
+follows the counted tokens.
+
+A null text has the end as its only token. Without training documents all counts are 0. Pairs of any count
+are in the filter, and no size of the input leaves one out. Pairs are told apart by 48 bits of their hash.
+Repeated rows are counted and scored each on its own.
 """
 
 from __future__ import annotations
@@ -41,19 +41,18 @@ BLOCK_TOKENS = 1_500_000
 #: Least number of segments, and the most tokens per segment beyond it.
 SEGMENTS = 512
 SEGMENT_TOKENS = 1 << 22
-#: Bound on the broadcast filter of pairs.
-FILTER_BYTES = 1 << 25
 PROBES = 3
-#: The smallest part of a filter has 2 ** 12 bits, if the bound allows.
+#: The smallest part of a filter has 2 ** 12 bits, if a bound allows.
 SMALLEST_BITS = 12
-#: Pairs that stand only once in the training documents are not in the filter.
-LEAST_PAIRS = 2
+#: Pairs of this count and more are in the filter: all.
+LEAST_PAIRS = 1
 PAIR_SHARE = 0.7
 LEVELS = 40
 #: The end of a text; no word contains a space.
 END = np.uint64(xxhash.xxh64_intdigest(b" "))
 PAIR = np.uint64(0x9E3779B97F4A7C15)
-LOW_40 = np.uint64((1 << 40) - 1)
+HIGH_48 = np.uint64(0xFFFFFFFFFFFF0000)
+LEVEL = 0xC2B2AE3D27D4EB4F
 
 
 def tokens_of(text: str) -> np.ndarray:
@@ -67,7 +66,7 @@ def tokens_of(text: str) -> np.ndarray:
 def pairs_of(tokens: np.ndarray) -> np.ndarray:
     """Hashes of each token after the one before it. Texts end with the end, so the first follows one."""
     before = np.concatenate([[END], tokens[:-1]])
-    return mix(before * PAIR + tokens, 7)
+    return mix(before * PAIR + tokens, 7) & HIGH_48
 
 
 def segment_of(hashes: np.ndarray, segments: int) -> np.ndarray:
@@ -89,8 +88,8 @@ def summed(hashes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 
 def bits_of(hashes: np.ndarray, level: int, size_bits: np.ndarray | int) -> list[np.ndarray]:
-    """Places of an entry in a part of ``2 ** size_bits`` bits. Only the low 40 bits of a hash count."""
-    own = mix((hashes & LOW_40) + np.uint64(level << 40), 11)
+    """Places of an entry in a part of ``2 ** size_bits`` bits."""
+    own = mix(hashes + np.uint64(level * LEVEL & 0xFFFFFFFFFFFFFFFF), 11)
     mask = (np.uint64(1) << np.asarray(size_bits, np.uint64)) - np.uint64(1)
     step = (own >> np.uint64(32)) | np.uint64(1)
     return [(own + np.uint64(probe) * step) & mask for probe in range(PROBES)]
@@ -167,17 +166,29 @@ def middle(levels: np.ndarray) -> np.ndarray:
     return np.where(levels > 1, 1.5 * 2.0 ** (levels - 1.0) - 0.5, levels)
 
 
+def packed(pairs: np.ndarray) -> bytes:
+    """Ascending hashes of pairs as differences of six bytes, of which the low three do not compress."""
+    planes = np.diff(pairs >> np.uint64(16), prepend=np.uint64(0)).astype("<u8").view(np.uint8).reshape(-1, 8).T
+    return planes[:3].tobytes() + zlib.compress(planes[3:6].tobytes(), 1)
+
+
+def unpacked(data: bytes, size: int) -> np.ndarray:
+    planes = np.zeros((8, size), np.uint8)
+    planes[:3] = np.frombuffer(data, np.uint8, 3 * size).reshape(3, size)
+    planes[3:6] = np.frombuffer(zlib.decompress(data[3 * size :]), np.uint8).reshape(3, size)
+    return np.cumsum(planes.T.copy().view("<u8").ravel(), dtype=np.uint64) << np.uint64(16)
+
+
 @dataclass(frozen=True)
 class Model:
-    pairs: Filter
     n: int
     v: int
 
-    def log_probabilities(self, listed: np.ndarray, places: np.ndarray, word_counts: np.ndarray) -> np.ndarray:
-        """Of the tokens ``listed[places]``; ``word_counts`` are those of ``listed``."""
-        tokens = listed[places]
-        different, own = np.unique(pairs_of(tokens), return_inverse=True)
-        pair = self.pairs.counts(different)[own]
+    def log_probabilities(self, listed: np.ndarray, places: np.ndarray, words: np.ndarray, pairs: np.ndarray) -> np.ndarray:
+        """Of the tokens ``listed[places]``, by the levels of ``listed`` and of their different pairs."""
+        word_counts = middle(words)
+        _, own = np.unique(pairs_of(listed[places]), return_inverse=True)
+        pair = middle(pairs)[own]
         # Every text ends with the end, so each block lists it.
         before = word_counts[np.concatenate([[np.searchsorted(listed, END)], places[:-1]])]
         alone = np.minimum(1.0, (word_counts[places] + 1) / (self.n + self.v + 1))
@@ -283,61 +294,70 @@ def word_counts(blocks: DataFrame, segments: int) -> DataFrame:
     return settle(found, "lm-words")
 
 
-def pair_filter(documents: DataFrame, segments: int) -> Filter:
-    """The filter of the pairs of the training documents."""
-
-    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, tokens in in_blocks(batches, []):
-            hashes, counts = np.unique(pairs_of(tokens), return_counts=True)
-            # Five bytes of the hash and one of the count; a greater count takes several entries.
-            times = (counts + 254) // 255
-            hashes, last = np.repeat(hashes, times), np.cumsum(times) - 1
-            ones = np.full(len(hashes), 255, np.uint8)
-            ones[last] = counts - (times - 1) * 255
-            packed = np.empty((len(hashes), 6), np.uint8)
-            packed[:, :5] = hashes.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5]
-            packed[:, 5] = ones
-            cuts = cuts_of(hashes, segments)
-            yield pa.record_batch(
-                [
-                    pa.array(range(segments), pa.int32()),
-                    pa.array([packed[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)], pa.binary()),
-                ],
-                names=["segment", "pairs"],
-            )
+def pair_levels(blocks: DataFrame, segments: int) -> DataFrame:
+    """Per block and segment the levels of its different pairs, ascending by hash."""
+
+    def asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for place in range(batch.num_rows):
+                row = {name: batch.column(name)[place].as_py() for name in batch.schema.names}
+                listed = np.frombuffer(row["listed"], np.uint64)
+                places = np.frombuffer(zlib.decompress(row["places"]), np.uint32)
+                hashes, own = np.unique(pairs_of(listed[places]), return_inverse=True)
+                learns = np.repeat(~np.array(row["held_out"], bool), row["sizes"])
+                trained = np.bincount(own[learns], minlength=len(hashes)).astype(np.uint32)
+                cuts = cuts_of(hashes, segments)
+                ranges = [(a, b) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+                yield pa.record_batch(
+                    [
+                        pa.array([row["block"]] * segments, pa.int64()),
+                        pa.array(range(segments), pa.int32()),
+                        pa.array([packed(hashes[a:b]) for a, b in ranges], pa.binary()),
+                        pa.array([zlib.compress(trained[a:b].tobytes(), 1) for a, b in ranges], pa.binary()),
+                    ],
+                    names=["block", "segment", "hashes", "counts"],
+                )
 
-    def built(key: tuple, group: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        packed = np.frombuffer(b"".join(data for rows in group for data in rows["pairs"]), np.uint8).reshape(-1, 6)
-        wide = np.zeros((len(packed), 8), np.uint8)
-        wide[:, :5] = packed[:, :5]
-        hashes, counts = summed(wide.view("<u8").ravel().astype(np.uint64), packed[:, 5].astype(np.int64))
-        yield pd.DataFrame({"segment": [key[0]], "part": [filter_part(hashes, counts, FILTER_BYTES // segments, LEAST_PAIRS)]})
-
-    parts = (
-        documents.filter(~F.col("held_out"))
-        .select("text")
-        .mapInArrow(counted, "segment int, pairs binary")
-        .groupBy("segment")
-        .applyInPandas(built, "segment int, part binary")
-        .collect()  # FILTER_BYTES at most
+    def answered(key: tuple, group: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        blocks_, hashes, counts = [], [], []
+        for rows in group:
+            for block, data, trained in zip(rows["block"].tolist(), rows["hashes"], rows["counts"], strict=True):
+                blocks_.append(block)
+                counts.append(np.frombuffer(zlib.decompress(trained), np.uint32).astype(np.int64))
+                hashes.append(unpacked(data, len(counts[-1])))
+        known, total = summed(np.concatenate(hashes), np.concatenate(counts))
+        learned = total >= LEAST_PAIRS
+        part = filter_part(known[learned], total[learned])
+        levels = Filter.of({0: part}, 1).levels(known).astype(np.uint8)
+        found = [zlib.compress(levels[np.searchsorted(known, own)].tobytes(), 1) for own in hashes]
+        yield pd.DataFrame({"block": blocks_, "segment": key[0], "pairs": found})
+
+    rows = blocks.select("block", "held_out", "sizes", "places", "listed").mapInArrow(
+        asked, "block bigint, segment int, hashes binary, counts binary"
     )
-    return Filter.of({row["segment"]: row["part"] for row in parts}, segments)
+    found = rows.groupBy("segment").applyInPandas(answered, "block bigint, segment int, pairs binary")
+    return settle(found, "lm-pairs")
 
 
 def score(documents: DataFrame) -> DataFrame:
     """``documents``: doc_id, text, held_out (learns from the others). A row with scores for every row."""
-    spark = documents.sparkSession
     blocks = blocks_of(documents)
     segments = segments_of(blocks)
     words = word_counts(blocks, segments)
     n, v = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("v"), F.lit(0))).first()
-    model = Model(pair_filter(documents, segments), n, v)
-    shared = spark.sparkContext.broadcast(model)
-    answers = words.filter(F.col("block") >= 0).groupBy("block").agg(F.collect_list(F.struct("segment", "data", "levels")).alias("answers"))
+    model = Model(n, v)
+    pairs = pair_levels(blocks, segments)
+    none = F.lit(None).cast("binary")
+    answers = (
+        words.filter(F.col("block") >= 0)
+        .select("block", "segment", "data", "levels", none.alias("pairs"))
+        .union(pairs.select("block", "segment", none, none, "pairs"))
+        .groupBy("block")
+        .agg(F.collect_list(F.struct("segment", "data", "levels", "pairs")).alias("answers"))
+    )
     rows = blocks.drop("trained").join(answers, "block")
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
         norm = np.log10(model.n + model.v + 1)
         for batch in batches:
             for place in range(batch.num_rows):
@@ -345,13 +365,15 @@ def score(documents: DataFrame) -> DataFrame:
                 listed = np.frombuffer(row["listed"], np.uint64)
                 places = np.frombuffer(zlib.decompress(row["places"]), np.uint32).astype(np.int64)
                 answers = sorted(row["answers"], key=lambda answer: answer["segment"])
-                counts = np.concatenate([np.frombuffer(zlib.decompress(answer["data"]), np.int64) for answer in answers])
+                counts, levels, pairs = (
+                    np.concatenate([np.frombuffer(zlib.decompress(a[name]), kind) for a in answers if a[name] is not None])
+                    for name, kind in (("data", np.int64), ("levels", np.uint8), ("pairs", np.uint8))
+                )
                 sizes = np.array(row["sizes"], np.int64)
                 starts = np.cumsum(sizes) - sizes
                 base = np.add.reduceat(np.log10(counts + 1.0)[places], starts) - sizes * norm
                 known = np.add.reduceat((counts > 0).astype(np.int64)[places], starts)
-                levels = np.concatenate([np.frombuffer(zlib.decompress(answer["levels"]), np.uint8) for answer in answers])
-                total = np.add.reduceat(model.log_probabilities(listed, places, middle(levels)), starts)
+                total = np.add.reduceat(model.log_probabilities(listed, places, levels, pairs), starts)
                 yield pa.record_batch(
                     [
                         pa.array(row["doc_id"], pa.int64()),

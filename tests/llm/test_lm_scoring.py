@@ -89,8 +89,8 @@ def test_filter_stays_below_its_bound():
     assert (kept[counts == 100_000] > 0).all()
 
 
-def test_word_filter_grows_with_its_entries(documents, monkeypatch):
-    """A bound on the filter of pairs does not fill that of words: all words found, few of them too often."""
+def test_word_filter_grows_with_its_entries(documents):
+    """All words are found, few of them too often."""
     chance = np.random.default_rng(5)
     hashes = np.unique(chance.integers(0, 1 << 63, 60_000, dtype=np.uint64))
     counts = (chance.pareto(1.0, len(hashes)) + 1).astype(np.int64)
@@ -100,8 +100,6 @@ def test_word_filter_grows_with_its_entries(documents, monkeypatch):
     found = lm_scoring.Filter.of({0: part}, 1).levels(hashes)
     assert (found >= levels).all() and (found > levels).mean() < 0.05
 
-    # The answers of the segments, with as good as no room in the broadcast filter.
-    monkeypatch.setattr(lm_scoring, "FILTER_BYTES", 1 << 10, raising=False)
     rows = [(r.doc_id, r.text) for r in documents.collect()]
     counted = Counter(t for i, text in rows if zlib.crc32(str(i).encode()) % 7 != 2 for t in tokens(text))
     blocks = lm_scoring.blocks_of(documents.withColumn("held_out", lm_scoring.remainder(lm_scoring.F.col("doc_id"), 7) == 2))
@@ -111,3 +109,26 @@ def test_word_filter_grows_with_its_entries(documents, monkeypatch):
     want = np.where(exact > 0, np.log2(np.maximum(exact, 1)).astype(np.int64) + 1, 0)
     assert exact.max() == max(counted.values())
     assert (levels >= want).all() and (levels > want).mean() < 0.05
+
+
+def test_pairs_of_any_count_stay_at_any_setting(spark, documents):
+    hashes = np.unique(np.random.default_rng(2).integers(0, 1 << 63, 5_000, dtype=np.uint64)) & lm_scoring.HIGH_48
+    assert (lm_scoring.unpacked(lm_scoring.packed(hashes), len(hashes)) == hashes).all()
+    assert not len(lm_scoring.unpacked(lm_scoring.packed(hashes[:0]), 0))
+    assert lm_scoring.LEAST_PAIRS == 1
+    rows = [(i, f"w{i} x{i} y{i} z{i}") for i in range(40)]
+    got = lm_scoring.lm_scores(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    for row in got:
+        if not row.held_out:
+            # Each pair stands once, so a word follows the word before it for certain.
+            assert row.score > 5 * math.log10(lm_scoring.PAIR_SHARE) - 2.5
+
+    def scores():
+        return sorted((r.doc_id, r.base_score, r.score) for r in lm_scoring.lm_scores(documents).collect())
+
+    few, partitions = scores(), spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "13")
+        assert scores() == few
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
