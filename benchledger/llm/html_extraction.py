@@ -1,11 +1,14 @@
 """Main text of web pages by removal of site templates.
 
-Every element subtree is hashed: its tag, class and id, texts and the hashes of its children. Spark
-counts on how many pages of a host each subtree stands; one that recurs on at least ``SHARE`` of the
-host's pages and on ``LEAST_PAGES``, is template and is deleted wherever it stands on that host. Inside
-an article, paragraphs and headings stay although they recur, and so does what holds half of its text.
+Block subtrees are hashed: tag, class and id, texts, the hashes of the children, and the path of tags from
+the body. Inline elements, list items, rows and cells, and what is inside them or in a paragraph or heading,
+are never template. Spark counts beside how many different bodies of a host each subtree stands, where a body
+is the page's text without the subtree and without furniture, so copies of a page count once. A subtree that
+recurs beside at least ``SHARE`` of the host's bodies and ``LEAST_PAGES`` of them is template and is deleted
+where it stands on that path. If the page marks its article, only that is read. In an article, or else in the innermost element with half of the page's text, paragraphs
+and headings stay although they recur; what holds half of the text stays on any page.
 Elements that are furniture by their tag or class (menus, footers, forms, adverts, comments, ...) go
-too, since most hosts have few pages. If the page marks its article, only that is read.
+too, since most hosts have few pages.
 
 Text is cut into blocks at block elements; character references are decoded, white space in a block
 becomes one space, and blocks are joined by one line feed. Null and empty pages have empty text, text
@@ -19,6 +22,7 @@ import html as entities
 import re
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 import xxhash
@@ -35,8 +39,8 @@ SHARE = 0.01
 SALTS = 16
 #: Up to so many subtrees (8 bytes each) all templates go to every task; beyond it pages meet them in a shuffle.
 BROADCAST_SUBTREES = 1_000_000
-#: Entries that a task counts before it passes them on.
-COUNTED = 500_000
+#: Entries that a task gathers before it passes them on.
+COUNTED = 200_000
 
 # Element names of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -51,6 +55,12 @@ ENDED_BY_NEXT = {
     "th": ("td", "th"), "option": ("option",), "tbody": ("tbody", "thead", "tr", "td", "th"),
 }
 PROSE = frozenset("p h1 h2 h3 h4 h5 h6 li blockquote pre td th dd dt b i em strong span a code figcaption".split())
+ROWS = frozenset("li dt dd tr td th thead tbody tfoot caption figcaption legend summary".split())
+#: Elements that may be template, and those in which nothing is.
+TEMPLATE = BLOCK - ROWS - frozenset("html body hr".split())
+PARAGRAPHS = frozenset("p h1 h2 h3 h4 h5 h6 pre".split())
+WHOLE = ROWS | PARAGRAPHS
+HOLDERS = BLOCK - PARAGRAPHS
 FURNITURE = frozenset("aside button dialog footer form head menu nav search".split())
 #: Words in class, id or role that mark furniture.
 MARKS = frozenset(
@@ -67,31 +77,53 @@ WORD = re.compile(r"[a-z0-9]+")
 ENDS = {name: re.compile(rf"</{name}\b[^>]*>", re.IGNORECASE) for name in RAW}
 
 
+LOW_64 = (1 << 64) - 1
+STEP = 0x9E3779B97F4A7C15
+
+
+@lru_cache(maxsize=10_000)
+def words_of(names: str) -> frozenset[str]:
+    return frozenset(WORD.findall(names))
+
+
+@lru_cache(maxsize=10_000)
+def number_of(tag: str) -> int:
+    return xxhash.xxh64_intdigest(tag.encode("utf-8", "surrogatepass"))
+
+
 class Node:
-    __slots__ = ("tag", "names", "children", "hash", "size", "main")
+    """``body`` and ``prose`` are without furniture: the sum of the hashes of the texts, and their length outside links."""
+
+    __slots__ = ("tag", "names", "children", "hash", "size", "main", "body", "prose", "key")
 
     def __init__(self, tag: str, names: str):
         self.tag, self.names = tag, names
         self.children: list[Node | str] = []
-        self.hash = self.size = 0
+        self.hash = self.size = self.body = self.prose = self.key = 0
         self.main = tag in ("article", "main")
 
     def close(self) -> None:
-        """Hash, length of text, and whether an article is inside."""
+        """Hash, length of text, whether an article is inside, and what is beside furniture."""
         parts = [self.tag, self.names]
         for child in self.children:
             if isinstance(child, str):
                 parts.append(child)
                 self.size += len(child)
+                self.prose += len(child)
+                if text := child.strip():
+                    self.body += xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass"))
             else:
                 parts.append(f"<{child.hash:x}>")
                 self.size += child.size
                 self.main |= child.main
+                if child.size and not furniture(child, True):
+                    self.body += child.body
+                    self.prose += child.prose
+        self.body &= LOW_64
+        if self.tag == "a":
+            self.prose = 0
         self.hash = xxhash.xxh64_intdigest("\x00".join(parts).encode("utf-8", "surrogatepass")) >> 1
 
-    def words(self) -> set[str]:
-        return set(WORD.findall(self.names))
-
 
 def parse(page: str) -> Node:
     """The page's tree; every node is closed."""
@@ -178,16 +210,22 @@ def parse(page: str) -> Node:
     return root
 
 
-def subtrees(root: Node) -> set[int]:
-    """Hashes of the elements with text."""
-    found, left = set(), [root]
+def subtrees(root: Node) -> Iterator[Node]:
+    """The elements with text that may be template; each gets its key, of the hash and the path from the body."""
+    left = [(root, 0)]
     while left:
-        for child in left.pop().children:
-            if not isinstance(child, str):
-                left.append(child)
-                if child.size and child.tag not in ("html", "body"):
-                    found.add(child.hash)
-    return found
+        node, path = left.pop()
+        for child in node.children:
+            if isinstance(child, str) or not child.size or furniture(child, True):
+                continue
+            own = path
+            if child.tag not in ("html", "body"):
+                own = (path * STEP + number_of(child.tag)) & LOW_64
+            if child.tag in TEMPLATE:
+                child.key = ((child.hash * STEP + own) & LOW_64) >> 1
+                yield child
+            if child.tag not in WHOLE:
+                left.append((child, own))
 
 
 def furniture(node: Node, in_article: bool) -> bool:
@@ -197,10 +235,17 @@ def furniture(node: Node, in_article: bool) -> bool:
         return True
     if not node.names:
         return False
-    words = node.words()
+    words = words_of(node.names)
     return bool(words & COMMENTS) or (not node.main and bool(words & MARKS))
 
 
+def deleted(node: Node, root: Node, template: frozenset[int], in_main: bool) -> bool:
+    """Whether the element is template and neither holds half of the text nor, in the main text, is prose."""
+    if node.key not in template or (in_main and (node.tag in PROSE or 2 * node.size >= root.size)):
+        return False
+    return not node.prose or 2 * node.prose < root.prose
+
+
 def articles(root: Node) -> list[Node]:
     """The outermost articles that are not furniture, else the outermost main elements."""
     for tag in ("article", "main"):
@@ -216,9 +261,22 @@ def articles(root: Node) -> list[Node]:
     return []
 
 
+def holder(root: Node) -> Node | None:
+    """The innermost element with half of the page's text, if it is not the body."""
+    node = root
+    while True:
+        inner = (c for c in node.children if not isinstance(c, str) and c.tag in HOLDERS and c.prose)
+        found = next((c for c in inner if 2 * c.prose >= root.prose and not furniture(c, False)), None)
+        if found is None:
+            return None if node.tag in ("html", "body", "#page") else node
+        node = found
+
+
 def blocks(root: Node, template: frozenset[int], is_article: bool) -> list[str]:
     made: list[str] = []
     line: list[str] = []
+    main = holder(root) if template and not is_article else None
+    in_main = is_article
 
     def flush() -> None:
         text = " ".join("".join(line).split())
@@ -226,19 +284,22 @@ def blocks(root: Node, template: frozenset[int], is_article: bool) -> list[str]:
         if text:
             made.append(text)
 
-    def deleted(node: Node) -> bool:
-        if node.hash not in template:
-            return False
-        return not is_article or (node.tag not in PROSE and 2 * node.size < root.size)
-
-    left: list[Node | str | None] = [root]
+    # After the children None ends a block and False the main text.
+    left: list[Node | str | bool | None] = [root]
     while left:
         node = left.pop()
         if node is None:
             flush()
-        elif isinstance(node, str):
+            continue
+        if node is False:
+            in_main = is_article
+            continue
+        if node is main and main is not None:
+            in_main = True
+            left.append(False)
+        if isinstance(node, str):
             line.append(node)
-        elif node is not root and (furniture(node, is_article) or deleted(node)):
+        elif node is not root and (furniture(node, is_article) or deleted(node, root, template, in_main)):
             line.append(" ")
         elif node.tag in BLOCK:
             flush()
@@ -254,6 +315,9 @@ def blocks(root: Node, template: frozenset[int], is_article: bool) -> list[str]:
 
 def main_text(page: str, template: frozenset[int]) -> str:
     root = parse(page)
+    if template:
+        for _ in subtrees(root):
+            pass
     made: list[str] = []
     for article in articles(root):
         made += blocks(article, template, True)
@@ -263,37 +327,36 @@ def main_text(page: str, template: frozenset[int]) -> str:
 
 
 def template_subtrees(pages: DataFrame, least_pages: int = LEAST_PAGES, share: float = SHARE) -> DataFrame:
-    """host, subtrees (hashes): at most (elements of a page) / ``share`` for each host."""
+    """host, subtrees (keys): at most (elements of a page) / ``share`` for each host."""
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: Counter[tuple[str, int]] = Counter()
+        hosts, keys, bodies = [], [], []
 
         def out() -> pa.RecordBatch:
-            batch = pa.record_batch(
-                [
-                    pa.array([host for host, _ in seen], pa.string()),
-                    pa.array([subtree for _, subtree in seen], pa.int64()),
-                    pa.array(list(seen.values()), pa.int64()),
-                ],
-                names=["host", "subtree", "n"],
-            )
-            seen.clear()
-            return batch
+            columns = [pa.array(hosts, pa.string()), pa.array(keys, pa.int64()), pa.array(bodies, pa.int64())]
+            for values in (hosts, keys, bodies):
+                values.clear()
+            return pa.record_batch(columns, names=["host", "subtree", "body"])
 
         for batch in batches:
             for host, page in zip(batch.column("host").to_pylist(), texts_of(batch, "html"), strict=True):
-                # Number -1 counts the pages of the host.
-                seen.update((host, subtree) for subtree in {-1, *subtrees(parse(page))})
-                if len(seen) > COUNTED:
+                root = parse(page)
+                # Number -1 counts the bodies of the host.
+                rests = {(-1, root.body >> 1)} | {(node.key, ((root.body - node.body) & LOW_64) >> 1) for node in subtrees(root)}
+                hosts += [host] * len(rests)
+                keys += [key for key, _ in rests]
+                bodies += [body for _, body in rests]
+                if len(hosts) > COUNTED:
                     yield out()
         yield out()
 
     host, _ = host_and_path(F.col("url"))
     counts = (
         pages.select(host.alias("host"), "html")
-        .mapInArrow(counted, "host string, subtree bigint, n bigint")
+        .mapInArrow(counted, "host string, subtree bigint, body bigint")
+        .dropDuplicates(["host", "subtree", "body"])
         .groupBy("host", "subtree")
-        .agg(F.sum("n").alias("n"))
+        .agg(F.count(F.lit(1)).alias("n"))
         .filter(F.col("n") >= least_pages)
     )
     # From the second grouping on there are few rows: a host has at most 1 / share subtrees per element.

@@ -71,5 +71,34 @@ def test_given_pages(spark):
         assert got[row.page_id] == "\n".join(part for part in blocks if part)
 
 
+def texts(spark, made, hosts="http://a.org/{}"):
+    rows = [(n, hosts.format(n), text) for n, text in enumerate(made)]
+    return [r.text for r in extraction.main_texts(spark.createDataFrame(rows, "page_id bigint, url string, html string")).orderBy("page_id").collect()]
+
+
+@pytest.mark.parametrize("outer", ["article", "div"])
+def test_recurring_parts_of_the_main_text_stay(spark, outer):
+    """Inline elements, rows and copies of a page are no template, whatever marks the main text."""
+    row = "<tr><td><div>yes</div><td>10 m<sup>2</sup></tr>"
+    own = "<{0}><p>words of page {1} by <cite>Ann</cite>, <time>1999</time></p><table>{2}<tr><td>{1}</td></table><ol><li>same</li><li>{1}</li></ol></{0}>"
+    made = [own.format(outer, f"number {n}", row) for n in range(8)]
+    assert texts(spark, made) == [
+        f"words of page number {n} by Ann, 1999\nyes\n10 m2\nnumber {n}\nsame\nnumber {n}" for n in range(8)
+    ]
+    # One page under eight addresses, with other menus.
+    copy = "<nav>menu {0}</nav><{1}><p>the one article</p><ul><li>a</li></ul><div>its end</div></{1}><div>by us</div>"
+    assert {text.split("\nby us")[0] for text in texts(spark, [copy.format(n, outer) for n in range(8)])} == {"the one article\na\nits end"}
+
+
+def test_templates_stand_on_their_path_and_leave_most_of_the_text(spark):
+    ends = "<div><b>Call us</b></div>"
+    made = [f"<div><p>own words of page {n}, rather many of them</p></div>{ends}" for n in range(8)]
+    made += [f"<section><p>page {n} quotes</p>{ends}<p>more words</p></section>" for n in range(8, 10)]
+    got = texts(spark, made)
+    assert got[0] == "own words of page 0, rather many of them" and got[8] == "page 8 quotes\nCall us\nmore words"
+    most = "<div><p>a long passage that all of them have</p><p>and its end</p></div><p>note {0}</p>"
+    assert texts(spark, [most.format(n) for n in range(8)]) == [f"a long passage that all of them have\nand its end\nnote {n}" for n in range(8)]
+
+
 def test_no_pages(spark):
     assert extraction.main_texts(spark.createDataFrame([], "page_id bigint, url string, html string, host int")).count() == 0
