@@ -5,7 +5,8 @@ the body. Inline elements, list items, rows and cells, and what is inside them o
 are never template. Spark counts beside how many different bodies of a host each subtree stands, where a body
 is the page's text without the subtree and without furniture, so copies of a page count once. A subtree that
 recurs beside at least ``SHARE`` of the host's bodies and ``LEAST_PAGES`` of them is template and is deleted
-where it stands on that path. If the page marks its article, only that is read. In an article, or else in the innermost element with half of the page's text, paragraphs
+where it stands on that path. If the page marks its articles, those that are not template are read, and
+nothing else. In an article, or else in the innermost element with half of the page's text, paragraphs
 and headings stay although they recur; what holds half of the text stays on any page.
 Elements that are furniture by their tag or class (menus, footers, forms, adverts, comments, ...) go
 too, since most hosts have few pages.
@@ -246,14 +247,15 @@ def deleted(node: Node, root: Node, template: frozenset[int], in_main: bool) ->
     return not node.prose or 2 * node.prose < root.prose
 
 
-def articles(root: Node) -> list[Node]:
-    """The outermost articles that are not furniture, else the outermost main elements."""
+def articles(root: Node, template: frozenset[int]) -> list[Node]:
+    """The outermost articles that are neither furniture nor template, else the outermost main elements."""
     for tag in ("article", "main"):
         found, left = [], [root]
         while left:
             node = left.pop()
             if node.tag == tag and node.size:
-                found.append(node)
+                if not deleted(node, root, template, False):
+                    found.append(node)
                 continue
             left.extend(c for c in reversed(node.children) if not isinstance(c, str) and c.main and not furniture(c, False))
         if found:
@@ -319,7 +321,7 @@ def main_text(page: str, template: frozenset[int]) -> str:
         for _ in subtrees(root):
             pass
     made: list[str] = []
-    for article in articles(root):
+    for article in articles(root, template):
         made += blocks(article, template, True)
     if not made:
         made = blocks(root, template, False) or blocks(root, frozenset(), False)

@@ -98,6 +98,8 @@ def test_templates_stand_on_their_path_and_leave_most_of_the_text(spark):
     assert got[0] == "own words of page 0, rather many of them" and got[8] == "page 8 quotes\nCall us\nmore words"
     most = "<div><p>a long passage that all of them have</p><p>and its end</p></div><p>note {0}</p>"
     assert texts(spark, [most.format(n) for n in range(8)]) == [f"a long passage that all of them have\nand its end\nnote {n}" for n in range(8)]
+    teased = "<article><p>join us</p></article><article><h1>{0}</h1><p>this is the page of number {0}</p></article>"
+    assert texts(spark, [teased.format(n) for n in range(8)]) == [f"{n}\nthis is the page of number {n}" for n in range(8)]
 
 
 def test_no_pages(spark):
