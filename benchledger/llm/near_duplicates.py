@@ -1,7 +1,8 @@
 """Near duplicates by improved consistent weighted sampling over TF-IDF shingles.
 
 A text's shingles are its runs of five words (A-Z lower-cased; a text of fewer words is one shingle).
-A shingle weighs its count times the inverse document frequency of its hash bucket. Each of
+A shingle weighs its count times the inverse document frequency of its hash bucket, where equal texts (as
+words) are one document, so that copies do not make their own shingles light. Each of
 ``BANDS * ROWS`` samples picks one shingle and a level of its weight, such that two texts pick the same
 with a chance equal to their weighted Jaccard similarity. Samples are banded; texts that share a band
 are candidates, and only those whose exact weighted Jaccard similarity reaches the threshold are linked.
@@ -22,6 +23,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import lru_cache
 
 import numpy as np
@@ -41,7 +43,7 @@ BANDS, ROWS = 10, 4
 #: Document frequencies are kept for hash buckets, as one array in every worker (4 MB).
 BUCKET_BITS = 20
 SEGMENTS = 64
-#: Share of the documents added to all frequencies: what many copies hold in common stays heavy enough.
+#: Share of the texts added to all frequencies: what many near copies hold in common stays heavy enough.
 SMOOTHING = 0.1
 #: Shingles that are sampled together.
 CHUNK = 32_768
@@ -171,44 +173,89 @@ def bands_of(texts: list[list[bytes]], idf: np.ndarray) -> Iterator[np.ndarray]:
         yield from out()
 
 
+COUNTS = "segment int, counts binary, documents bigint"
+
+
+def words_hash(words: list[bytes]) -> bytes:
+    return xxhash.xxh3_128_digest(b" ".join(words))
+
+
 def inverse_frequencies(documents: DataFrame) -> np.ndarray:
-    """The weight of each bucket, from the documents that hold a shingle of it."""
+    """The weight of each bucket, from the different texts that hold a shingle of it.
+
+    All rows are counted, and of each group of equal texts one row is fetched again and taken off as often
+    as the group has more than one, so texts without a copy are never moved.
+    """
     buckets = 1 << BUCKET_BITS
     part = buckets // SEGMENTS
 
+    def add(total: np.ndarray, words: list[bytes], times: int) -> None:
+        shingles, _ = shingles_of(words)
+        total[np.unique(shingles >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)] += times
+
+    def parts(total: np.ndarray, seen: int) -> list[pa.Array]:
+        data = [zlib.compress(total[at : at + part].tobytes(), 1) for at in range(0, buckets, part)]
+        return [pa.array(range(SEGMENTS), pa.int32()), pa.array(data, pa.binary()), pa.array([seen] * SEGMENTS, pa.int64())]
+
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, documents_seen = np.zeros(buckets, np.uint32), 0
+        """The counts by segment and, as segment -1, the hash of every row's words."""
+        total, seen = np.zeros(buckets, np.int64), 0
+        names = ["segment", "counts", "documents", "own_id", "text_hash"]
         for batch in batches:
-            for text in texts_of(batch, "text"):
-                shingles, _ = shingles_of(words_of(text))
-                total[np.unique(shingles >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)] += 1
-                documents_seen += 1
-        if documents_seen:
-            parts = [zlib.compress(total[at : at + part].tobytes(), 1) for at in range(0, buckets, part)]
-            yield pa.record_batch(
-                [pa.array(range(SEGMENTS), pa.int32()), pa.array(parts, pa.binary()), pa.array([documents_seen] * SEGMENTS, pa.int64())],
-                names=["segment", "counts", "documents"],
-            )
+            texts = [words_of(text) for text in texts_of(batch, "text")]
+            for words in texts:
+                add(total, words, 1)
+            seen += len(texts)
+            same = [pa.array([-1] * len(texts), pa.int32()), pa.array(map(words_hash, texts), pa.binary()), pa.array([1] * len(texts), pa.int64())]
+            yield pa.record_batch([*same, batch.column("own_id"), batch.column("text_hash")], names=names)
+        if seen:
+            none = pa.nulls(SEGMENTS, pa.int64())
+            yield pa.record_batch([*parts(total, seen), none, none], names=names)
+
+    def copied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """What further copies have added, below 0."""
+        total, seen = np.zeros(buckets, np.int64), 0
+        for batch in batches:
+            for text, more in zip(texts_of(batch, "text"), batch.column("more").to_pylist(), strict=True):
+                add(total, words_of(text), -more)
+                seen -= more
+        if seen:
+            yield pa.record_batch(parts(total, seen), names=["segment", "counts", "documents"])
 
     def united(key: tuple, group: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total, documents_seen = np.zeros(part, np.int64), 0
         for rows in group:
             for counts, seen in zip(rows["counts"], rows["documents"], strict=True):
-                total += np.frombuffer(zlib.decompress(counts), np.uint32)
+                total += np.frombuffer(zlib.decompress(counts), np.int64)
                 documents_seen += seen
         smooth = SMOOTHING * documents_seen
         values = 1 + np.log((documents_seen + smooth) / (total + smooth))
         yield pd.DataFrame({"segment": [key[0]], "idf": [values.astype(np.float32).tobytes()]})
 
-    rows = (
-        documents.select("text")
-        .mapInArrow(counted, "segment int, counts binary, documents bigint")
-        .groupBy("segment")
-        .applyInPandas(united, "segment int, idf binary")
-        .collect()  # SEGMENTS rows, 4 MB
+    # The id only spreads the copies of a text, of which one is fetched.
+    rows = documents.select(F.coalesce("doc_id", F.lit(0)).cast("bigint").alias("own_id"), "text", F.xxhash64("text").alias("text_hash"))
+    counts = settle(rows.mapInArrow(counted, f"{COUNTS}, own_id bigint, text_hash bigint"), "near-counts")
+    groups = (
+        counts.filter("segment = -1")
+        .groupBy("counts")
+        .agg(F.max("own_id").alias("own_id"), F.max_by("text_hash", "own_id").alias("text_hash"), (F.count("*") - 1).alias("more"))
+        .filter("more > 0")
+        .select("own_id", "text_hash", "more")
     )
+    groups = settle(groups, "near-equal").filter("more > 0")
+    with filtered_early(documents):
+        again = rows.join(groups, ["own_id", "text_hash"]).groupBy("text_hash").agg(F.min("text").alias("text"), F.min("more").alias("more"))
+        less = again.select("text", "more").mapInArrow(copied, COUNTS)
+        found = (
+            counts.filter("segment >= 0")
+            .select("segment", "counts", "documents")
+            .union(less)
+            .groupBy("segment")
+            .applyInPandas(united, "segment int, idf binary")
+            .collect()  # SEGMENTS rows, 4 MB
+        )
     idf = np.ones(buckets, np.float32)
-    for row in rows:
+    for row in found:
         idf[row["segment"] * part : (row["segment"] + 1) * part] = np.frombuffer(row["idf"], np.float32)
     return idf
 
@@ -223,7 +270,7 @@ def signed(documents: DataFrame, idf: np.ndarray) -> DataFrame:
             yield pa.record_batch(
                 [
                     batch.column("doc_id"),
-                    pa.array([xxhash.xxh3_128_digest(b" ".join(words)) if words else None for words in texts], pa.binary()),
+                    pa.array([words_hash(words) if words else None for words in texts], pa.binary()),
                     pa.array([next(keys) if words else None for words in texts], pa.list_(pa.int64())),
                     batch.column("text_hash"),
                 ],
@@ -345,19 +392,17 @@ def linked(signatures: DataFrame, documents: DataFrame, idf: np.ndarray, thresho
     return with_leaders.unionByName(links_of(met, [*BUCKET, "low", "high"], texts, idf, threshold))
 
 
-def texts_of_ids(documents: DataFrame, ids: DataFrame) -> DataFrame:
-    """doc_id, text of the documents in ``ids`` (doc_id, n > 1), written.
+@contextmanager
+def filtered_early(documents: DataFrame) -> Iterator[None]:
+    """Spark's own runtime filter (a Bloom filter of the keys) keeps other documents out of the shuffle of a join.
 
-    Spark's own runtime filter (a Bloom filter of the ids) keeps the other documents out of the shuffle.
     It is on by default for scans of 10 GB and more; here it is wanted whatever the scan.
     """
-    ids = settle(ids, "near-ids").filter("n > 1").select("doc_id")
     conf, setting = documents.sparkSession.conf, "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold"
     before = conf.get(setting, None)
     conf.set(setting, "0")
     try:
-        found = documents.select("doc_id", "text").join(ids.hint("merge"), "doc_id", "left_semi")
-        return settle(found.groupBy("doc_id").agg(F.min_by("text", F.xxhash64("text")).alias("text")), "near-texts")
+        yield
     finally:
         if before is None:
             conf.unset(setting)
@@ -365,6 +410,14 @@ def texts_of_ids(documents: DataFrame, ids: DataFrame) -> DataFrame:
             conf.set(setting, before)
 
 
+def texts_of_ids(documents: DataFrame, ids: DataFrame) -> DataFrame:
+    """doc_id, text of the documents in ``ids`` (doc_id, n > 1), written."""
+    ids = settle(ids, "near-ids").filter("n > 1").select("doc_id")
+    with filtered_early(documents):
+        found = documents.select("doc_id", "text").join(ids.hint("merge"), "doc_id", "left_semi")
+        return settle(found.groupBy("doc_id").agg(F.min_by("text", F.xxhash64("text")).alias("text")), "near-texts")
+
+
 def links_of(met: DataFrame, group: list[str], texts: DataFrame, idf: np.ndarray, threshold: float) -> DataFrame:
     """a, b: links between the classes of each group; ``met``: the group's columns, doc_id, class_id."""
 

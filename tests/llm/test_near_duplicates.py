@@ -138,3 +138,16 @@ def test_blocks_compare_exactly(monkeypatch):
         links = near.joining(texts, np.arange(len(texts)), idf, 0.8)
         assert set(links) <= similar and united(links) == united(similar)
     assert near.joining(texts, np.zeros(len(texts), int), idf, 0.8) == []
+
+
+def test_copies_do_not_move_the_weights(spark):
+    chance = random.Random(8)
+    texts = [" ".join(f"u{chance.randrange(900)}" for _ in range(40)) for _ in range(60)]
+    few = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    more = [*enumerate(texts), *((100 + n, texts[0]) for n in range(80)), *((300 + n, texts[1].upper() + " ") for n in range(5))]
+    more += [(None, texts[2]), (None, texts[2]), (7, texts[7]), (7, texts[7])]
+    many = spark.createDataFrame(more, "doc_id bigint, text string")
+    assert (near.inverse_frequencies(few) == near.inverse_frequencies(many)).all()
+    # An edit is as similar to a text with many copies as to one without.
+    one = edited(texts[0].split(), chance, 1)
+    assert near.weighted_jaccard(texts[0], one, near.inverse_frequencies(few)) == near.weighted_jaccard(texts[0], one, near.inverse_frequencies(many))
