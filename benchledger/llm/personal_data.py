@@ -8,8 +8,8 @@ its format and context (``FEATURES``), so all candidates of a corpus fall into a
 different descriptions.
 
 Spark counts the candidates by description and weak label: a strict candidate is good if it passes
-its check; a loose one is good if its form is valid and a word before it says what it is, and bad if
-its form is not valid; other loose ones have no label. Gradient boosting fits trees to these counts,
+its check; a loose one is good if a word before it says what it is and its form is valid, or for a phone
+number its count of digits; otherwise it is bad if its form is not valid, and has no label if it is. Gradient boosting fits trees to these counts,
 and each kind's threshold is the lowest score from which the labels of held-out documents are at least
 ``PRECISION`` good. Loose candidates that reach it and overlap no other span are added; base spans
 always stay.
@@ -69,6 +69,8 @@ FEATURES = {
     "kind": 4, "loose": 2, "digits": 8, "valid": 2, "dividers": 3, "joined_before": 2, "joined_after": 2,
     "cue": 2, "opened": 2, "uniform": 2,
 }
+#: Values of the feature for 9 to 15 digits.
+PHONE_DIGITS = (2, 3, 4)
 #: Bound on what the driver gets: descriptions, times label and held-out.
 CELLS = math.prod(FEATURES.values()) * 6
 ROUNDS, RATE, DEPTH = 40, 0.3, 3
@@ -320,9 +322,10 @@ def fit(documents: DataFrame) -> Model:
     """Counts all candidates of all documents by description and boosts on the counts."""
     text = F.coalesce(F.col("text"), F.lit(""))
     one = F.col("one")
+    phone = (one["kind"] == KINDS.index("phone")) & one["digits"].isin(*PHONE_DIGITS)
     label = (
         F.when(one["loose"] == 0, one["valid"])
-        .when((one["valid"] == 1) & (one["cue"] == 1), 1)
+        .when(((one["valid"] == 1) | phone) & (one["cue"] == 1), 1)
         .when(one["valid"] == 0, 0)
     )
     rows = (

@@ -111,3 +111,11 @@ def test_edges(spark, no_rows):
     clash = spark.createDataFrame([(1, "a@b.com", 1, "x")], "doc_id bigint, text string, base int, spans string")
     found = personal_data.find(clash, personal_data.Model((), ())).collect()[0]
     assert [tuple(span) for span in found.spans] == [(0, 0, 7)]
+
+
+def test_cued_phone_of_any_form_is_added(spark):
+    made = ["Tel. 555-123-4567 now", "phone 030 1234 5678 ok", "order 555-123-4567 now", "part 030 1234 5678 ok", "phone 30 12 34", "tel +1 555 123 4567"]
+    docs = spark.createDataFrame([(n, made[n % 6]) for n in range(600)], "doc_id bigint, text string")
+    found = {row.text: [tuple(s) for s in row.spans] for row in personal_data.find(docs, personal_data.fit(docs)).collect()}
+    assert found[made[0]] == [(5, 3, 17)] and found[made[1]] == [(6, 3, 19)]
+    assert found[made[2]] == found[made[3]] == found[made[4]] == [] and len(found[made[5]]) == 1
