@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from benchledger.llm import (
     decontamination,
+    fill_in_middle,
     html_extraction,
     language_id,
     lm_scoring,
@@ -15,6 +16,8 @@ from benchledger.llm import (
     near_duplicates,
     personal_data,
     quality_rules,
+    simhash,
+    spelling_variants,
     token_counts,
     url_filters,
 )
@@ -65,6 +68,18 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants.document_variants(table(spark, sf_dir, "documents"))
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_in_middle.digests(table(spark, sf_dir, "documents"))
+
+
+def op13_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.simhash_components(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     function.__name__: function
     for function in (
@@ -78,7 +93,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_url_filters,
         op9_lm_scoring,
         op10_near_duplicates,
+        op11_spelling_variants,
+        op12_fill_in_middle,
+        op13_simhash,
     )
 }
 #: SQL for the queries that it can express; the others are tested against brute force.
-ORACLE: dict[str, str] = {"op8_url_filters": url_filters.ORACLE}
+ORACLE: dict[str, str] = {
+    "op8_url_filters": url_filters.ORACLE,
+    "op12_fill_in_middle": fill_in_middle.ORACLE,
+}
