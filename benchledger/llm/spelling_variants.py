@@ -6,10 +6,12 @@ of two disjoint bigrams, and among three places two are always disjoint, so a dy
 those two disjoint bigrams of the prefix that fewest words have. If the words r and s differ by one edit
 and the last kind in r's prefix is not after that in s's, then a pivot of r stands in s, and in s's prefix.
 
-Position limits: what the edit spares lies on one side of it. So a pivot that survives stands in s at the same
-distance from the beginning, and all before it is equal, or at the same distance from the end, and all after it
-is equal. The index has each prefix gram under both of these forms, pivots look up theirs, lengths may differ by
-one, and what is found is verified by edit distance. Pairs are brought together once, however often they are found.
+Position limits: all that an edit spares before it stands in s at the same distance from the beginning, and all
+after it at the same distance from the end. So where the edit is, seen from the pivots A and B, says which pivot
+to look for and what else is equal: before A (all from A on), in A (all from behind it on, B in it), between
+them (all up to A and all from B on), in B, behind B. The index has each prefix gram with a few such surroundings,
+each word asks once for each of the five cases, and what is found is verified by edit distance. Pairs are
+brought together once, however often they are found.
 
 A word's form is its near word that occurs most (of equals the first in code-point order), if that occurs at
 least ``RATIO`` times as often as the word. The root is where forms lead to; as counts grow at each step, the chain
@@ -122,9 +124,32 @@ def pivots_of(prefix: list[tuple[int, int]], costs: list[int]) -> set[int]:
     return set(best[-1][wanted][1])
 
 
-def keyed(words: DataFrame) -> DataFrame:
-    """word, n, last (order of the last gram kind), key, pivot: a row for each prefix gram and side."""
-    counts = gram_counts(words)
+def index_keys(word: str, prefix: list[tuple[int, int]]) -> Iterator[str]:
+    """Surroundings of the prefix grams: up to the gram or two letters on, from the gram or two letters
+    before it, and up to or from it with the two letters at the word's other end."""
+    for _, place in prefix:
+        up_to, on = word[: place + GRAM], word[place:]
+        yield f"{up_to}<"
+        yield f"{word[: place + 2 * GRAM]}<"
+        yield f"{up_to}|{word[-GRAM:]}"
+        yield f">{on}"
+        yield f">{word[max(place - GRAM, 0) :]}"
+        yield f"{word[:GRAM]}|{on}"
+
+
+def asked_keys(word: str, first: int, second: int) -> set[str]:
+    """What is equal around a pivot in a word that an edit makes of this one, for each place of the edit."""
+    keys = {f">{word[first:]}", f"{word[: second + GRAM]}<"}  # before the first pivot, behind the second
+    keys.add(f"{word[:GRAM]}|{word[second:]}")  # between
+    if second - first >= 2 * GRAM:  # in the first: equal from behind it; in the second: equal up to it
+        return keys | {f">{word[second - GRAM :]}", f"{word[: first + 2 * GRAM]}<"}
+    keys.add(f"{word[:GRAM]}|{word[second:]}" if first >= GRAM else f">{word[second:]}")
+    keys.add(f"{word[: first + GRAM]}|{word[-GRAM:]}" if len(word) - second >= 2 * GRAM else f"{word[: first + GRAM]}<")
+    return keys
+
+
+def keyed(words: DataFrame, counts: dict[str, int], asking: bool) -> DataFrame:
+    """key (a hash), word, n, last (order of the last gram kind): what words ask for, or the index."""
     kinds = sorted(counts, key=lambda gram: (counts[gram], gram))
     order = {gram: number for number, gram in enumerate(kinds)}
     costs = [counts[gram] for gram in kinds]
@@ -134,27 +159,24 @@ def keyed(words: DataFrame) -> DataFrame:
             rows = []
             for word, n in zip(batch.column("word").to_pylist(), batch.column("n").to_pylist(), strict=True):
                 prefix = prefix_of(word, order)
-                pivots = pivots_of(prefix, costs)
                 last = max(number for number, _ in prefix)
-                for _, place in prefix:
-                    rows.append((word, n, len(word), last, "<" + word[: place + GRAM], place in pivots))
-                    rows.append((word, n, len(word), last, ">" + word[place:], place in pivots))
-            columns = [pa.array(column) for column in zip(*rows, strict=True)]
-            if columns:
-                yield pa.record_batch(columns, names=["word", "n", "size", "last", "key", "pivot"])
+                keys = asked_keys(word, *sorted(pivots_of(prefix, costs))) if asking else set(index_keys(word, prefix))
+                rows += [(key, word, n, last) for key in sorted(keys)]
+            if rows:
+                yield pa.record_batch([pa.array(column) for column in zip(*rows, strict=True)], names=["key", "word", "n", "last"])
 
-    return words.mapInArrow(emitted, "word string, n bigint, size bigint, last bigint, key string, pivot boolean")
+    rows = words.mapInArrow(emitted, "key string, word string, n bigint, last bigint")
+    return rows.withColumn("key", F.xxhash64("key"))
 
 
 def near_pairs(words: DataFrame) -> DataFrame:
     """a, a_n, b, b_n: every two words that differ by one edit, once, a before b."""
-    if_short = F.assert_true(F.length("word") >= 2 * GRAM, F.lit("pivotal grams need words of four or more code points"))
-    index = settle(keyed(words.filter(if_short.isNull())), "spelling-grams")
-    asked = index.filter("pivot").select("key", *[F.col(name).alias(f"own_{name}") for name in ("word", "n", "size", "last")])
-    found = asked.join(index.select("key", "word", "n", "size", "last"), "key").filter(
-        (F.col("own_last") <= F.col("last"))
-        & (F.abs(F.col("own_size") - F.col("size")) <= EDITS)
-        & (F.levenshtein("own_word", "word", EDITS) == EDITS)
+    short = F.assert_true(F.length("word") >= 2 * GRAM, F.lit("pivotal grams need words of four or more code points"))
+    words = words.filter(short.isNull())
+    counts = gram_counts(words)
+    asked = keyed(words, counts, asking=True).select("key", *[F.col(name).alias(f"own_{name}") for name in ("word", "n", "last")])
+    found = asked.join(keyed(words, counts, asking=False), "key").filter(
+        (F.col("own_last") <= F.col("last")) & (F.levenshtein("own_word", "word", EDITS) == EDITS)
     )
     first = F.col("own_word") < F.col("word")
     pairs = found.select(
