@@ -79,6 +79,23 @@ SELECT branch, commit_id, commit_time, n,
 FROM p WINDOW w AS (PARTITION BY branch ORDER BY n)
 """
 
+# Histories with a side branch that leaves the trunk in its first eighth and is never merged: position n = 3
+# (mod 5) is its next commit. Before, side commits are single and merged at once.
+SIDE_BRANCHES = 4
+SIDE_LOG = """
+WITH p AS (SELECT concat('s', CAST(o_custkey % 4 AS STRING)) AS branch,
+                  md5(concat('side', CAST(o_orderkey AS STRING))) AS commit_id, o_orderdate AS commit_time,
+                  row_number() OVER (PARTITION BY o_custkey % 4 ORDER BY o_orderdate, o_orderkey) AS n,
+                  count(*) OVER (PARTITION BY o_custkey % 4) AS top
+           FROM {orders})
+SELECT branch, commit_id, commit_time, n, top,
+       CASE WHEN n % 5 = 4 THEN lag(commit_id, 2) OVER w
+            WHEN n % 5 = 3 AND (n - 5) * 8 >= top THEN lag(commit_id, 5) OVER w
+            ELSE lag(commit_id, 1) OVER w END AS parent0,
+       CASE WHEN n % 5 = 4 AND n * 8 < top THEN lag(commit_id, 1) OVER w END AS parent1
+FROM p WINDOW w AS (PARTITION BY branch ORDER BY n)
+"""
+
 SAMPLES = """
 SELECT user_id AS run_key, ts, CAST(round(value * 100) AS BIGINT) * 10 AS latency_us, event_type AS outcome
 FROM {events}
@@ -300,6 +317,35 @@ def _commit_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def side_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(branch, commit_id, commit_time, n, top, parents): a written table, as ``commit_log``."""
+    return _written_once(spark, sf_dir, "side_log", lambda: _side_rows(spark, sf_dir))
+
+
+def _side_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    commits = table(spark, sf_dir, "orders").select(
+        F.concat(F.lit("s"), (F.col("o_custkey") % SIDE_BRANCHES).cast("string")).alias("branch"),
+        F.md5(F.concat(F.lit("side"), F.col("o_orderkey").cast("string"))).alias("commit_id"),
+        F.col("o_orderdate").alias("commit_time"),
+        "o_orderkey",
+    )
+    order = [F.col("commit_time"), F.col("o_orderkey")]
+    numbered = settle(number_rows(commits, order, partition=["branch"]).withColumnRenamed("seq", "n"), "numbered")
+    place = F.col("n") % 5
+    back = F.when(place == 4, 2).when((place == 3) & ((F.col("n") - 5) * 8 >= F.col("top")), 5).otherwise(1)
+    merged = F.when((place == 4) & (F.col("n") * 8 < F.col("top")), F.col("n") - 1)
+    rows = numbered.join(numbered.groupBy("branch").agg(F.count("*").alias("top")), "branch").withColumns(
+        {"n0": F.col("n") - back, "n1": merged}
+    )
+    parents = [numbered.select("branch", F.col("n").alias(f"n{i}"), F.col("commit_id").alias(f"parent{i}")) for i in (0, 1)]
+    return (
+        rows.join(parents[0], ["branch", "n0"], "left")
+        .join(parents[1], ["branch", "n1"], "left")
+        .select("branch", "commit_id", "commit_time", "n", "top",
+                F.filter(F.array("parent0", "parent1"), lambda p: p.isNotNull()).alias("parents"))
+    )
+
+
 def refs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Branch heads: the commit with the largest position."""
     commits = commit_log(spark, sf_dir)

@@ -5,15 +5,17 @@ many rounds as there are commits. Here the log is split into blocks of bounded s
 time so that most parents lie in the block of their child. Every block is shortened on its own to
 "commit -> first commit outside the block"; the chain of blocks that remains is walked by pointer
 doubling, and the positions found are then spread back inside the blocks. That shuffles the log a
-fixed number of times, whatever the depth. Any split into blocks gives the same result.
+fixed number of times, whatever the depth. Any split into blocks gives the same result. What a range
+excludes is found in ``reachability``.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 import math
+from collections.abc import Callable
 from dataclasses import dataclass
-from functools import reduce
+from functools import partial
 
 import numpy as np
 import pandas as pd
@@ -21,6 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from benchledger.functions import text
+from benchledger.operators.reachability import range_cuts
 from benchledger.session import settle
 
 # Commits per block: what one task holds in memory at a time.
@@ -36,14 +39,14 @@ class CommitBlocks:
 
 
 def commit_blocks(commit_log: DataFrame, block_rows: int = BLOCK_ROWS, least_blocks: int = 1) -> CommitBlocks:
-    """Split the log into blocks of about ``block_rows`` commits. Written once if there are several.
+    """Split the log into blocks of about ``block_rows`` commits.
 
-    A commit that the log holds twice counts once.
+    A commit that the log holds twice counts once. The log is read once and written; several blocks are
+    dealt out from what was written.
     """
-    blocks = max(least_blocks, math.ceil(commit_log.count() / block_rows))
-    log = commit_log.groupBy("branch", "commit_id").agg(F.min(F.struct("commit_time", "parents")).alias("_own")).select(
-        "branch", "commit_id", "_own.commit_time", "_own.parents"
-    )
+    own = commit_log.groupBy("branch", "commit_id").agg(F.min(F.struct("commit_time", "parents")).alias("_own"))
+    log = settle(own.select("branch", "commit_id", "_own.commit_time", "_own.parents"), "commit_log")
+    blocks = max(least_blocks, math.ceil(log.count() / block_rows))
     if blocks == 1:
         return CommitBlocks(log.withColumn("block", F.lit(0)), 1)
     placed = log.repartitionByRange(blocks, "branch", "commit_time", "commit_id")
@@ -128,7 +131,7 @@ def _block_entries(blocks: CommitBlocks, walks: DataFrame) -> DataFrame:
     reached = walks.select("walk_id", "branch", "commit_id", F.lit(0).cast("bigint").alias("pos"))
     if blocks.count == 1:
         return reached
-    jumps = _jumps(blocks.rows)
+    jumps = settle(_jumps(blocks.rows), "jumps")
     targets = jumps.select("branch", F.col("next_id").alias("commit_id"))
     starts = walks.select("branch", "commit_id")
     entries = targets.union(starts).distinct()
@@ -202,110 +205,26 @@ def first_parent_log(blocks: CommitBlocks, walks: DataFrame) -> DataFrame:
     )
 
 
-def range_cuts(blocks: CommitBlocks, chain: DataFrame, ranges: DataFrame) -> DataFrame:
-    """(range_id, cut): the smallest chain position that ``start_id`` reaches through any parent.
-
-    An ancestor of the start that lies on the chain takes all later chain commits with it, so the
-    excluded part of the chain is everything from the cut on. The search expands over all parents
-    and stops at chain commits; it covers a block at a time, so a long side branch costs as many
-    rounds as it crosses blocks. ``ranges`` is (range_id, walk_id, branch, start_id).
-    """
-    frontier = ranges.select("range_id", "walk_id", "branch", F.col("start_id").alias("commit_id"))
-    positions = chain.select("walk_id", "branch", "commit_id", "pos")
-    key = ["walk_id", "branch", "commit_id"]
-    group = ["block", "branch", "walk_id"]
-
-    def search(rows: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
-        ids = pd.Index(rows["commit_id"])
-        on_chain = rows["pos"].to_numpy()
-        parents = rows["parents"].tolist()
-        found = []
-        for range_id, asked_ids in asked.groupby("range_id")["commit_id"]:
-            todo = [i for i in ids.get_indexer(asked_ids).tolist() if i >= 0]
-            seen = set(todo)
-            cut, outside = None, set()
-            while todo:
-                here = todo.pop()
-                if not np.isnan(on_chain[here]):
-                    cut = on_chain[here] if cut is None else min(cut, on_chain[here])
-                    continue
-                above = list(parents[here])
-                for parent_id, i in zip(above, ids.get_indexer(above).tolist(), strict=True):
-                    if i < 0:
-                        outside.add(parent_id)
-                    elif i not in seen:
-                        seen.add(i)
-                        todo.append(i)
-            if cut is not None:
-                found.append((range_id, None, int(cut)))
-            found.extend((range_id, parent_id, None) for parent_id in outside)
-        result = pd.DataFrame(found, columns=["range_id", "commit_id", "pos"])
-        result["pos"] = result["pos"].astype("Int64")
-        result["walk_id"] = rows["walk_id"].iloc[0] if len(rows) else None
-        result["branch"] = rows["branch"].iloc[0] if len(rows) else None
-        return result
-
-    range_type = ranges.schema["range_id"].dataType.simpleString()
-    walk_type = ranges.schema["walk_id"].dataType.simpleString()
-    found_type = f"range_id {range_type}, commit_id string, pos bigint, walk_id {walk_type}, branch string"
-    reached, asked = [], []
-    while True:
-        placed = settle(
-            frontier.join(positions, key, "left").join(
-                blocks.rows.select("block", "branch", "commit_id"), ["branch", "commit_id"], "left"
-            ),
-            "frontier",
-        )
-        reached.append(placed.select("range_id", "pos"))
-        asked.append(placed.select("range_id", *key))
-        # A commit outside the log has no parents to go on with.
-        open_ends = placed.filter(F.col("pos").isNull() & F.col("block").isNotNull())
-        if open_ends.isEmpty():
-            break
-        # Fresh aliases: the same written table is on both sides of the co-grouping below.
-        asked_blocks = open_ends.select(*[F.col(c).alias(c) for c in group]).distinct()
-        rows = (
-            blocks.rows.select("block", "branch", "commit_id", "parents")
-            .join(asked_blocks, ["block", "branch"])
-            .join(positions, key, "left")
-            .select("block", "branch", "walk_id", "commit_id", "parents", F.col("pos").cast("double").alias("pos"))
-        )
-        found = settle(
-            rows.groupBy(*group).cogroup(open_ends.groupBy(*group)).applyInPandas(search, found_type), "found"
-        )
-        reached.append(found.select("range_id", "pos"))
-        outside = found.filter(F.col("commit_id").isNotNull())
-        if outside.isEmpty():
-            break
-        frontier = (
-            outside.select("range_id", *key)
-            .distinct()
-            .join(reduce(DataFrame.unionByName, asked), ["range_id", *key], "left_anti")
-        )
-    return (
-        reduce(DataFrame.unionByName, reached)
-        .filter(F.col("pos").isNotNull())
-        .groupBy("range_id")
-        .agg(F.min("pos").alias("cut"))
-    )
-
-
-def shared_chains(blocks: CommitBlocks, ranges: DataFrame, refs: DataFrame) -> tuple[DataFrame, DataFrame]:
+def shared_chains(
+    blocks: CommitBlocks, ranges: DataFrame, refs: DataFrame, walk: Callable[[DataFrame], DataFrame] | None = None
+) -> tuple[DataFrame, DataFrame]:
     """(chain, ranges with ``chain_id`` and ``end_pos``): each branch's history once, and ranges as parts of it.
 
     ``ranges`` has ``walk_id``, the commit that a range ends at, and ``branch``. An end on its branch's
     first-parent history from the head is a position there; only other ends are walked on their own.
-    Both tables are written.
+    ``walk`` follows walks in place of ``first_parent_log``. Both tables are written.
     """
+    if walk is None:
+        walk = partial(first_parent_log, blocks)
     ends = settle(ranges.select("branch", "walk_id").distinct(), "ends")
     heads = refs.join(ends.select("branch").distinct(), "branch", "left_semi").select(
         F.col("head").alias("walk_id"), "branch", F.col("head").alias("commit_id")
     )
-    trunk = settle(first_parent_log(blocks, heads), "trunk")
+    trunk = settle(walk(heads), "trunk")
     on_trunk = trunk.select("branch", F.col("commit_id").alias("walk_id"), F.col("walk_id").alias("chain_id"), F.col("pos").alias("end_pos"))
     placed = settle(ends.join(on_trunk, ["branch", "walk_id"], "left"), "placed_ends")
     apart = placed.filter(F.col("chain_id").isNull()).select("walk_id", "branch", F.col("walk_id").alias("commit_id"))
-    chain = trunk if apart.isEmpty() else settle(trunk.unionByName(first_parent_log(blocks, apart)), "chain")
+    chain = trunk if apart.isEmpty() else settle(trunk.unionByName(walk(apart)), "chain")
     shared = placed.select(
         "branch",
         "walk_id",
@@ -333,6 +252,12 @@ def first_parent_range(blocks: CommitBlocks, chain: DataFrame, ranges: DataFrame
     )
 
 
+def before(commit_time: Column, start: dt.datetime) -> Column:
+    """By whole seconds."""
+    limit = F.lit(int(start.replace(tzinfo=dt.timezone.utc).timestamp()))
+    return F.unix_seconds(commit_time.cast("timestamp")) < limit
+
+
 def log_to_date(chain: DataFrame, start: dt.datetime) -> DataFrame:
     """Walk back to the first commit before ``start`` and keep that one too.
 
@@ -340,8 +265,7 @@ def log_to_date(chain: DataFrame, start: dt.datetime) -> DataFrame:
     whole seconds. The cut is one aggregated number per walk, so no walk has to fit one task.
     ``chain`` is read twice; pass a written table.
     """
-    limit = F.lit(int(start.replace(tzinfo=dt.timezone.utc).timestamp()))
-    too_old = F.unix_seconds(F.col("commit_time").cast("timestamp")) < limit
+    too_old = before(F.col("commit_time"), start)
     cuts = chain.groupBy("walk_id", "branch").agg(F.min(F.when(too_old, F.col("pos"))).alias("_cut"))
     return (
         chain.join(cuts, ["walk_id", "branch"])

@@ -253,7 +253,32 @@ SELECT CASE WHEN substr(test_run_id, 1, 1) = '1' THEN test_run_id ELSE {_uuid("t
             ELSE 'bad time in serverExecution' END AS reason
 FROM test_runs WHERE substr(test_run_id, 1, 1) IN ('0', '1', '2', '3', '4', '5')) AS damaged"""
 
+# The log with long side branches: chains from the heads, and all that each start reaches.
+SIDE = f"""
+side_log AS MATERIALIZED {_input(fx.SIDE_LOG)},
+side_heads AS (SELECT * FROM side_log WHERE n = top - CASE WHEN top % 5 = 3 THEN 1 ELSE 0 END),
+side_chain AS (
+  SELECT branch, commit_id, parent0, CAST(0 AS BIGINT) AS pos FROM side_heads
+  UNION ALL
+  SELECT c.branch, c.commit_id, c.parent0, k.pos + 1
+  FROM side_chain k JOIN side_log c ON c.branch = k.branch AND c.commit_id = k.parent0),
+starts AS (
+  SELECT h.branch, s.place, s.n FROM side_heads h, LATERAL (VALUES
+    (0, h.top - (h.top + 2) % 5), (1, h.top // 2 - (h.top // 2 + 2) % 5), (2, h.n),
+    (3, h.top // 2 - (h.top // 2 + 2) % 5 + 2), (4, 1)) AS s(place, n)),
+side_reached AS (
+  SELECT s.branch, s.place, c.commit_id FROM starts s JOIN side_log c ON c.branch = s.branch AND c.n = s.n
+  UNION
+  SELECT r.branch, r.place, p.parent FROM side_reached r
+  JOIN (SELECT branch, commit_id, parent0 AS parent FROM side_log WHERE parent0 IS NOT NULL
+        UNION ALL SELECT branch, commit_id, parent1 FROM side_log WHERE parent1 IS NOT NULL) AS p
+    ON p.branch = r.branch AND p.commit_id = r.commit_id)
+"""
+
 ORACLE: dict[str, str] = {
+    "range_reachability": f"""WITH RECURSIVE {SIDE}
+SELECT r.branch || '-' || r.place AS range_id, min(c.pos) AS cut
+FROM side_reached r JOIN side_chain c ON c.branch = r.branch AND c.commit_id = r.commit_id GROUP BY 1""",
     "report_results": f"WITH {VALID} SELECT * FROM current_results",
     "report_window_results": f"WITH RECURSIVE {WINDOW_RESULTS} SELECT * FROM window_results",
     "runs_joined": f"""WITH {RUNS}, {BUILDS}
@@ -564,3 +589,6 @@ sessions AS (
 SELECT *, CASE WHEN closed <= (SELECT epoch_us(max(ts)) // 1000 * 1000 FROM samples) - 3600000000
                THEN 'closed' ELSE 'open' END AS state FROM sessions""",
 }
+ORACLE["chain_index_append"] = ORACLE["first_parent_log"]
+ORACLE["chain_index_to_date"] = ORACLE["log_to_date"]
+ORACLE["chain_index_sample"] = ORACLE["commit_sample"]

@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from benchledger.functions import times
-from benchledger.operators import builds, commits
+from benchledger.operators import builds, chain_index, commits
+from benchledger.operators.chain_index import ChainIndex
 from benchledger.plans import report, results, tasks
 from benchledger.session import settle
 from benchledger.sources import matrix as matrix_ops
@@ -32,6 +33,8 @@ class Tables:
     apps_refs: DataFrame
     matrix: DataFrame
     tests: DataFrame
+    # If given, histories come out of it and the log is not walked.
+    chain_index: ChainIndex | None = None
 
 
 @dataclass(frozen=True)
@@ -60,8 +63,9 @@ def planned_commits(tables: Tables, options: tasks.PlanOptions = tasks.PlanOptio
     lines = settle(lines, "resolutions")
     if not options.skip_unresolved:
         _stop_at(tasks.unresolved_lines(lines), "Matrix lines that do not resolve")
-    blocks = commits.commit_blocks(tables.commit_log)
-    chain, ranges = commits.shared_chains(blocks, tasks.resolved_lines(lines), tables.refs)
+    index = tables.chain_index
+    blocks = index.blocks() if index else commits.commit_blocks(tables.commit_log)
+    chain, ranges = commits.shared_chains(blocks, tasks.resolved_lines(lines), tables.refs, index.walk if index else None)
     return PlannedCommits(ranges, settle(tasks.planned_commits(ranges, blocks, chain), "planned"))
 
 
@@ -133,6 +137,8 @@ def branch_commits(tables: Tables, branches: Sequence[str], start: dt.datetime)
     walks = matrix_ops.keep_members(tables.refs, "branch", branches).select(
         F.col("head").alias("walk_id"), "branch", F.col("head").alias("commit_id")
     )
+    if tables.chain_index:
+        return settle(chain_index.stored_log(tables.chain_index, walks, start), "branch_commits")
     blocks = commits.commit_blocks(tables.commit_log)
     return settle(
         commits.log_to_date(settle(commits.first_parent_log(blocks, walks), "chain"), start), "branch_commits"

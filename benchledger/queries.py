@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import dataclasses
 import datetime as dt
 from collections.abc import Callable
 
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 
 from benchledger import fixtures as fx
 from benchledger.functions import commands, parse, text, times
-from benchledger.operators import builds, commits, ledger, samples
+from benchledger.operators import builds, chain_index, commits, ledger, reachability, samples
 from benchledger.plans import commands as cmd
 from benchledger.plans import report, results, tasks
 from benchledger.session import new_path, settle
@@ -29,6 +30,8 @@ CAPTURE_LIMIT = 1000
 SKETCH_ACCURACY = 50
 # The test logs fit one block; so many make walks and ranges cross borders.
 BLOCKS = 3
+# Blocks of the log with long side branches, 25 for each of its branches.
+SIDE_BLOCKS = 100
 PLACEHOLDERS = {
     "<assets.home>": "/srv/assets",
     "<apps.home>": "/srv/apps",
@@ -264,10 +267,68 @@ def first_parent_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     return commits.first_parent_range(blocks, chain, asked).withColumnRenamed("range_id", "config_id")
 
 
+def _side_ranges(spark: SparkSession, sf_dir: str) -> tuple[commits.CommitBlocks, DataFrame, DataFrame]:
+    """The log with long side branches in blocks, its chains, and starts at five places of every branch.
+
+    Two lie on the side branch, at its end and in its middle; the others are the head, half way and the root.
+    """
+    log = fx.side_log(spark, sf_dir)
+    blocks = commits.commit_blocks(log.select("branch", "commit_id", "commit_time", "parents"), least_blocks=SIDE_BLOCKS)
+    head = F.col("top") - F.when(F.col("top") % 5 == 3, 1).otherwise(0)
+    heads = log.filter(F.col("n") == head).select("branch", F.col("commit_id").alias("walk_id"), "commit_id")
+    chain = settle(commits.first_parent_log(blocks, heads.select("walk_id", "branch", "commit_id")), "chain")
+    side = lambda n: n - (n + 2) % 5
+    half = F.floor(F.col("top") / 2)
+    places = F.array(side(F.col("top")), side(half), head, side(half) + 2, F.lit(1)).cast("array<bigint>")
+    wanted = log.groupBy("branch").agg(F.max("top").alias("top")).select("branch", F.posexplode(places).alias("place", "n"))
+    ranges = wanted.join(log.select("branch", "n", F.col("commit_id").alias("start_id")), ["branch", "n"]).join(
+        heads.select("branch", "walk_id"), "branch"
+    )
+    named = F.concat_ws("-", "branch", "place").alias("range_id")
+    return blocks, chain, settle(ranges.select(named, "walk_id", "branch", "start_id"), "ranges")
+
+
+def range_reachability(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The newest commit on the history of the head that a start reaches, through a side branch over many blocks."""
+    return reachability.range_cuts(*_side_ranges(spark, sf_dir))
+
+
 def log_to_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _branch_commits(spark, sf_dir).select("branch", "commit_id", "commit_time", "pos")
 
 
+def _appended_index(spark: SparkSession, sf_dir: str) -> tuple[chain_index.ChainIndex, DataFrame]:
+    """An index of the history, made of three batches of each branch, and walks from the heads."""
+    log = fx.commit_log(spark, sf_dir)
+    tops = log.groupBy("branch").agg(F.max("n").alias("_top"))
+    parts = log.join(tops, "branch").withColumn("_batch", F.least(F.floor(F.col("n") * 3 / F.col("_top")), F.lit(2)))
+    parts = settle(parts.drop("_top"), "batches")
+    index = chain_index.ChainIndex(spark, new_path(spark, "chain_index"))
+    for batch in range(3):
+        new = parts.filter(F.col("_batch") == batch)
+        heads = new.groupBy("branch").agg(F.max_by("commit_id", "n").alias("head"))
+        chain_index.append(index, new, settle(heads, "heads"), batch, least_blocks=BLOCKS if batch == 0 else 1)
+    walks = fx.refs(spark, sf_dir).select(F.col("head").alias("walk_id"), "branch", F.col("head").alias("commit_id"))
+    return index, walks
+
+
+def chain_index_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The history of every head out of the stored index."""
+    return chain_index.stored_log(*_appended_index(spark, sf_dir)).select("branch", "commit_id", "commit_time", "pos")
+
+
+def chain_index_to_date(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report's commits out of the stored index, whose older batches need not be read."""
+    index, walks = _appended_index(spark, sf_dir)
+    return chain_index.stored_log(index, walks, REPORT_START).select("branch", "commit_id", "commit_time", "pos")
+
+
+def chain_index_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The commits to test, planned from the stored index."""
+    index, _ = _appended_index(spark, sf_dir)
+    return cmd.planned_commits(dataclasses.replace(_tables(spark, sf_dir), chain_index=index)).commits
+
+
 def commit_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cmd.planned_commits(_tables(spark, sf_dir)).commits
 
@@ -723,7 +784,8 @@ QUERIES: dict[str, Query] = {
         report_results, report_window_results, runs_joined, dangling_runs, parse_outputs, parse_status_counts,
         percentile_lookup, measured_execution, error_gate, error_messages, derived_metrics, overwritten_results,
         execution_durations, build_success, build_tallies, app_build_tallies, failure_budget, latest_builds,
-        commit_log_source, first_parent_log, first_parent_range, log_to_date, commit_sample, commit_sample_monotone,
+        commit_log_source, first_parent_log, first_parent_range, range_reachability, log_to_date, chain_index_append,
+        chain_index_to_date, chain_index_sample, commit_sample, commit_sample_monotone,
         resolve_revisions, reported_commits, branch_series, missing_branches, matrix_explode, matrix_checks,
         matrix_branches, filter_matrix, unresolved_lines, needed_tasks, tasks_to_run, coverage_counts, plan_order_date,
         plan_order_lexical, plan_top_n, budgeted_plan, rebuild_points, rebuild_decision, skip_reasons,
