@@ -67,6 +67,15 @@ SELECT md5(concat_ws('|', CAST(l_orderkey AS STRING), CAST(l_partkey AS STRING),
 FROM {lineitem}
 """
 
+# Runs that end ten days after their build for each line of the order; the seventh line's is later than any run should be.
+TIMED_RUNS = """
+SELECT md5(concat_ws('|', CAST(l_orderkey AS STRING), CAST(l_partkey AS STRING), CAST(l_suppkey AS STRING),
+                     CAST(l_linenumber AS STRING), CAST(CAST(l_quantity AS INT) AS STRING))) AS test_run_id,
+       md5(concat('ab', CAST(l_orderkey AS STRING))) AS app_build_id, concat(l_returnflag, '-', l_linestatus) AS test_name,
+       o_orderdate + INTERVAL '10' DAY * CAST(l_linenumber AS INT) AS end_time
+FROM {lineitem} AS l JOIN {orders} AS o ON l_orderkey = o_orderkey
+"""
+
 # Position n = 3 (mod 5) is a side commit; the next one is a merge with the side as second parent.
 COMMIT_LOG = """
 WITH p AS (SELECT concat('b', CAST(o_custkey % 10 AS STRING)) AS branch,
@@ -204,6 +213,10 @@ def test_run_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(TEST_RUNS, lineitem=rows)
 
 
+def timed_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.sql(TIMED_RUNS, lineitem=table(spark, sf_dir, "lineitem"), orders=table(spark, sf_dir, "orders"))
+
+
 def test_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Runs as the engine sees them: the numbers exist only inside the captured text."""
     runs = test_run_numbers(spark, sf_dir)

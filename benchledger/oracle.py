@@ -592,3 +592,55 @@ SELECT *, CASE WHEN closed <= (SELECT epoch_us(max(ts)) // 1000 * 1000 FROM samp
 ORACLE["chain_index_append"] = ORACLE["first_parent_log"]
 ORACLE["chain_index_to_date"] = ORACLE["log_to_date"]
 ORACLE["chain_index_sample"] = ORACLE["commit_sample"]
+ORACLE["runs_joined_bucketed"] = ORACLE["runs_joined"]
+ORACLE["parse_variant"] = ORACLE["parse_outputs"]
+ORACLE["latest_runs_bucketed"] = f"""WITH {RUNS}
+SELECT app_build_id, test_name, test_run_id, requests FROM (
+  SELECT *, row_number() OVER (PARTITION BY app_build_id, test_name ORDER BY end_time DESC, test_run_id DESC) AS place
+  FROM test_runs) AS ranked WHERE place = 1"""
+ORACLE["ledger_pruned"] = f"""WITH {RUNS}, {BUILDS}
+SELECT r.test_run_id, r.test_name, b.framework_commit, r.end_time, b.instance_id,
+       year(r.end_time) * 10 + quarter(r.end_time) AS quarter,
+       CASE WHEN substr(r.test_run_id, 1, 1) = 'a' THEN -1 ELSE r.requests END AS requests
+FROM test_runs r JOIN builds b ON r.app_build_id = b.app_build_id JOIN nation n ON n.n_nationkey = b.instance_id
+WHERE n.n_regionkey = 2 AND year(r.end_time) = 1994 + n.n_nationkey % 3 AND quarter(r.end_time) <= 2"""
+ORACLE["output_schema"] = f"""WITH {RUNS},
+whole AS (SELECT *, CAST(duration_us AS VARCHAR) LIKE '3%' AS noted FROM test_runs WHERE output_kind = 'ok')
+SELECT path, kind, count(*) AS outputs FROM whole, (VALUES
+  ('$.summary', 'object'), ('$.summary.duration', 'number'), ('$.summary.requests', 'number'), ('$.summary.bytes', 'number'),
+  ('$.summary.errors', 'object'), ('$.summary.errors.connect', 'number'), ('$.summary.errors.read', 'number'),
+  ('$.summary.errors.write', 'number'), ('$.summary.errors.status', 'number'), ('$.summary.errors.timeout', 'number'),
+  ('$.latency', 'object'), ('$.latency.min', 'number'), ('$.latency.mean', 'number'), ('$.latency.max', 'number'),
+  ('$.latency.stdev', 'number'), ('$.latency.percentile', 'array'), ('$.requests', 'object'), ('$.requests.min', 'number'),
+  ('$.requests.mean', 'number'), ('$.requests.max', 'number'), ('$.requests.stdev', 'number'),
+  ('$.requests.percentile', 'array')) AS fields(path, kind) GROUP BY path, kind
+UNION ALL
+SELECT path, kind, count(*) FROM whole, (VALUES ('$.summary.note', 'object'), ('$.summary.note.p999', 'number')) AS fields(path, kind)
+WHERE noted GROUP BY path, kind"""
+ORACLE["sketch_windows"] = f"""WITH {SAMPLES},
+placed AS (
+  SELECT run_key, latency_us, unnest(range(floor((d - 30) / 10.0)::BIGINT * 10 + 10, d - d % 10 + 1, 10)) AS start
+  FROM (SELECT *, CAST(CAST(ts AS DATE) - DATE '1970-01-01' AS BIGINT) AS d FROM samples) AS dated),
+windows AS (
+  SELECT run_key, start, count(*) AS requests, CAST(sum(latency_us) AS BIGINT) AS latency_sum_us, min(latency_us) AS min_us,
+         max(latency_us) AS max_us FROM placed GROUP BY run_key, start)
+SELECT run_key || '@' || strftime(DATE '1970-01-01' + CAST(start AS INT), '%Y-%m-%d') AS "window", percentile, requests, latency_sum_us, min_us, max_us,
+       true AS within_error FROM windows, (SELECT unnest([5, 25, 50, 75, 95]) AS percentile) AS levels"""
+ORACLE["coverage_sketched"] = f"""WITH RECURSIVE {TO_RUN},
+wanted AS (SELECT DISTINCT test_name, framework_commit, app_name FROM needed),
+done AS (SELECT DISTINCT test_name, framework_commit, app_name FROM completed),
+covered AS (SELECT * FROM wanted INTERSECT SELECT * FROM done)
+SELECT 'completed' AS task_set, count(*) AS tasks, true AS within_error FROM done
+UNION ALL SELECT 'needed', count(*), true FROM wanted
+UNION ALL SELECT 'covered', count(*), true FROM covered
+UNION ALL SELECT 'to_run', (SELECT count(*) FROM wanted) - (SELECT count(*) FROM covered), true"""
+ORACLE["stream_open_sessions"] = ORACLE["stream_sample_rollup"]
+# A run without a build waits until the watermark, a delay behind the newest row of either stream, has passed it.
+ORACLE["stream_joined_results"] = f"""WITH runs AS {_input(fx.TIMED_RUNS)}, app_builds AS {_input(fx.APP_BUILDS)},
+watermark AS (
+  SELECT least((SELECT max(end_time) FROM runs), (SELECT max(end_time) FROM app_builds)) - INTERVAL '65 days 12 hours' AS passed)
+SELECT r.test_run_id, r.app_build_id, a.app_name, CASE WHEN a.app_build_id IS NULL THEN 'dangling' ELSE 'joined' END AS state
+FROM runs r LEFT JOIN app_builds a
+  ON a.app_build_id = r.app_build_id AND r.end_time BETWEEN a.end_time AND a.end_time + INTERVAL '65 days'
+WHERE a.app_build_id IS NOT NULL OR r.end_time <= (SELECT passed FROM watermark)"""
+ORACLE["compacted_records"] = ORACLE["ingest_records"]

@@ -10,12 +10,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from benchledger import fixtures as fx
-from benchledger.functions import commands, parse, text, times
-from benchledger.operators import builds, chain_index, commits, ledger, reachability, samples
+from benchledger.functions import commands, parse, text, times, variant
+from benchledger.operators import builds, chain_index, commits, ledger, reachability, samples, sketches
 from benchledger.plans import commands as cmd
 from benchledger.plans import report, results, tasks
 from benchledger.session import new_path, settle
-from benchledger.sources import matrix, records
+from benchledger.sources import compaction, layouts, matrix, records
 from benchledger.streaming import incremental
 
 REPORT_END = dt.datetime(2001, 8, 1, 12, 30)
@@ -108,6 +108,53 @@ def runs_joined(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ledger.join_runs(runs, fx.app_builds(spark, sf_dir), fx.framework_builds(spark, sf_dir))
 
 
+def _bucketed(spark: SparkSession, sf_dir: str) -> layouts.BucketedLedger:
+    path = new_path(spark, "bucketed")
+    buckets = max(layouts.BUCKETS, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    stored = layouts.BucketedLedger(spark, f"ledger_{path[-32:]}", path, buckets)
+    runs = fx.test_run_numbers(spark, sf_dir).select("test_run_id", "app_build_id", "test_name", "end_time", "requests")
+    stored.store(runs, fx.app_builds(spark, sf_dir), fx.framework_builds(spark, sf_dir))
+    return stored
+
+
+def runs_joined_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs with their builds, out of tables whose runs lie as the join needs them."""
+    return _bucketed(spark, sf_dir).joined_runs().drop("end_time", "requests")
+
+
+def latest_runs_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last run per app build and test, bucket by bucket."""
+    return _bucketed(spark, sf_dir).latest_runs().select("app_build_id", "test_name", "test_run_id", "requests")
+
+
+RESULT_COLUMNS = "test_run_id string, test_name string, framework_commit string, end_time timestamp_ntz, requests bigint"
+
+
+def _stored_results(spark: SparkSession, sf_dir: str) -> str:
+    """All runs with their builds as a partitioned ledger; a second batch stores some of them again."""
+    path = new_path(spark, "results")
+    runs = fx.test_run_numbers(spark, sf_dir).select("test_run_id", "app_build_id", "test_name", "end_time", "requests")
+    rows = ledger.join_runs(runs, fx.app_builds(spark, sf_dir), fx.framework_builds(spark, sf_dir)).select(
+        "test_run_id", "test_name", "framework_commit", "end_time", "requests", "instance_id"
+    )
+    layouts.store_results(rows, path, 0)
+    layouts.store_results(rows.filter(F.substring("test_run_id", 1, 1) == "a").withColumn("requests", F.lit(-1).cast("bigint")), path, 1)
+    return path
+
+
+def _report_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Half a year for each instance of one region."""
+    nations = fx.table(spark, sf_dir, "nation").filter(F.col("n_regionkey") == 2)
+    year = 1994 + F.col("n_nationkey").cast("int") % 3
+    quarters = F.array(year * 10 + 1, year * 10 + 2)
+    return nations.select(F.col("n_nationkey").cast("int").alias("instance_id"), F.explode(quarters).alias("quarter"))
+
+
+def ledger_pruned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The runs of the instances and quarters that another table names; folders of others are not read."""
+    return layouts.results_in(spark, _stored_results(spark, sf_dir), RESULT_COLUMNS, _report_windows(spark, sf_dir))
+
+
 def dangling_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ledger.dangling_runs(
         fx.test_runs(spark, sf_dir), fx.app_builds(spark, sf_dir), fx.framework_builds(spark, sf_dir)
@@ -116,23 +163,32 @@ def dangling_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def parse_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
     parsed = parse.parse_output(fx.test_runs(spark, sf_dir).select("test_run_id", "stdout"))
-    output = F.col("output")
+    return parsed.select("test_run_id", "parse_status", *_output_numbers(F.col("output")))
+
+
+def _output_numbers(output: F.Column) -> list[F.Column]:
     errors = output["summary"]["errors"]
-    return parsed.select(
-        "test_run_id",
-        "parse_status",
+    return [
         output["summary"]["duration"].alias("duration_us"),
         output["summary"]["requests"].alias("requests"),
         output["summary"]["bytes"].alias("bytes"),
-        errors["connect"].alias("err_connect"),
-        errors["read"].alias("err_read"),
-        errors["write"].alias("err_write"),
-        errors["status"].alias("err_status"),
-        errors["timeout"].alias("err_timeout"),
+        *[errors[kind].alias(f"err_{kind}") for kind in ("connect", "read", "write", "status", "timeout")],
         output["latency"]["mean"].alias("latency_mean_us"),
         output["latency"]["max"].alias("latency_max_us"),
         parse.percentile_value(output["latency"], 95).alias("latency_p95_us"),
-    )
+    ]
+
+
+def parse_variant(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What ``parse_outputs`` reads, out of a variant."""
+    parsed = variant.with_variant(fx.test_runs(spark, sf_dir).select("test_run_id", "stdout"))
+    return parsed.select("test_run_id", "parse_status", *_output_numbers(F.col("declared")))
+
+
+def output_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every field of the captured outputs, of which some have one more that no schema declares."""
+    runs = fx.test_runs(spark, sf_dir).select("test_run_id", F.regexp_replace("stdout", '"duration":3', '"note":{"p999":7},"duration":3').alias("stdout"))
+    return variant.output_fields(variant.with_variant(runs))
 
 
 def parse_status_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -595,6 +651,68 @@ def sample_percentiles_approx(spark: SparkSession, sf_dir: str) -> DataFrame:
     return errors.select("run_key", "percentile", near.alias("within_error"))
 
 
+SKETCH_LEVELS = (5, 25, 50, 75, 95)
+SKETCH_DAYS, SKETCH_EVERY = 30, 10
+
+
+def _daily_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored sketches of three batches of samples, which split days."""
+    path = new_path(spark, "sketches")
+    rows = fx.samples(spark, sf_dir)
+    for batch in range(3):
+        part = rows.filter(F.pmod(F.unix_micros(F.col("ts").cast("timestamp")), F.lit(3)) == batch)
+        records.append_batch(sketches.daily_sketches(part), path, batch)
+    return records.read_batches(spark, path, sketches.DAILY)
+
+
+def sketch_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Percentiles of every 30 days of a run, merged from stored sketches, and whether their ranks are right."""
+    windows = sketches.sliding(_daily_sketches(spark, sf_dir), SKETCH_DAYS, SKETCH_EVERY)
+    merged = sketches.merged(windows, ["run_key", "window_start"])
+    # A run's window stands for a run in the check against the samples themselves.
+    key = F.concat_ws("@", "run_key", "window_start")
+    estimates = settle(sketches.percentiles(merged, SKETCH_LEVELS).withColumn("run_key", key), "estimates")
+    rows = sketches.sliding(fx.samples(spark, sf_dir).withColumn("day", F.to_date("ts")), SKETCH_DAYS, SKETCH_EVERY)
+    errors = samples.rank_errors(rows.select(key.alias("run_key"), "latency_us"), estimates.select("run_key", "percentile", "latency_us"))
+    near = errors.select("run_key", "percentile", (F.col("rank_error") <= sketches.RANK_ERROR * F.col("n")).alias("within_error"))
+    numbers = estimates.select("run_key", "percentile", "requests", "latency_sum_us", "min_us", "max_us")
+    return numbers.join(near, ["run_key", "percentile"]).withColumnRenamed("run_key", "window")
+
+
+def coverage_sketched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Task counts from sketches that each batch of runs and each half of the matrix left behind."""
+    path = new_path(spark, "coverage")
+    needed = settle(_needed(spark, sf_dir), "needed")
+    finished = settle(_finished_tasks(spark, sf_dir), "finished")
+    for batch in range(2):
+        half = F.pmod(F.xxhash64("test_name"), F.lit(2)) == batch
+        parts = [sketches.task_sketches(rows.filter(half), name, tasks.TASK_KEY) for name, rows in (("needed", needed), ("completed", finished))]
+        records.append_batch(parts[0].unionByName(parts[1]), path, batch)
+    estimated = sketches.coverage(records.read_batches(spark, path, sketches.COVERAGE))
+    # The same sets, counted.
+    wanted, done = needed.select(*tasks.TASK_KEY).distinct(), finished.select(*tasks.TASK_KEY).distinct()
+    exact = settle(
+        wanted.select("*", F.lit(True).alias("wanted")).join(done.select("*", F.lit(True).alias("done")), tasks.TASK_KEY, "full")
+        .agg(F.count_if("done").alias("completed"), F.count_if("wanted").alias("needed"),
+             F.count_if(F.col("wanted") & F.col("done")).alias("covered")),
+        "exact",
+    )
+    names = ("completed", "needed", "covered", "to_run")
+    counts = exact.withColumn("to_run", F.col("needed") - F.col("covered")).select(
+        F.greatest("completed", "needed").alias("largest"),
+        F.explode(F.array(*[F.struct(F.lit(name).alias("task_set"), F.col(name).alias("exact")) for name in names])).alias("one"),
+    ).select("largest", "one.*")
+    off = F.abs(F.col("tasks") - F.col("exact"))
+    return estimated.join(counts, "task_set").select(
+        "task_set", F.col("exact").alias("tasks"), (off <= sketches.set_error(F.col("exact"), F.col("largest"))).alias("within_error")
+    )
+
+
+def _finished_tasks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    runs = fx.test_run_numbers(spark, sf_dir).select("app_build_id", "test_name")
+    return ledger.join_runs(runs, fx.app_builds(spark, sf_dir), fx.framework_builds(spark, sf_dir)).select(*tasks.TASK_KEY)
+
+
 def commit_log_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The history written as records with epoch seconds, and read back."""
     path = new_path(spark, "history")
@@ -635,12 +753,8 @@ def cap_output(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- record files, ledger, streams ----------------------------------------------------------------
 
 
-def ingest_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All records written as archives, read back through strict decoding into native tables.
-
-    Every record comes out once: some runs are damaged and come out as quarantined, and some app builds
-    stand twice.
-    """
+def _write_records(spark: SparkSession, sf_dir: str) -> str:
+    """Archives of all records: some runs are damaged, and some app builds stand twice."""
     home = new_path(spark, "records")
     for name, folder in fx.LAYOUT.directories.items():
         if name == "test_runs":
@@ -649,7 +763,37 @@ def ingest_records(spark: SparkSession, sf_dir: str) -> DataFrame:
             fx.write_archive(spark, sf_dir, name, f"{home}/{folder}")
     again = fx.record_documents(spark, sf_dir, "app_builds").filter(F.substring("id", 1, 1) == "a")
     again.write.mode("append").json(f"{home}/{fx.LAYOUT.directories['app_builds']}")
-    tables = records.load_tables(spark, home, fx.LAYOUT, archive=True, pattern="part-*")
+    return home
+
+
+def ingest_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All records written as archives, read back through strict decoding into native tables.
+
+    Every record comes out once, the damaged ones as quarantined.
+    """
+    home = _write_records(spark, sf_dir)
+    return _record_rows(records.load_tables(spark, home, fx.LAYOUT, archive=True, pattern="part-*"))
+
+
+PACKED_BYTES = 4 * 2**20
+
+
+def compacted_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same records out of packed archives; the app builds that stand twice are packed in a second run."""
+    home, packed = new_path(spark, "records"), new_path(spark, "packed")
+    for name, folder in fx.LAYOUT.directories.items():
+        documents = fx.damaged_documents(spark, sf_dir) if name == "test_runs" else fx.record_documents(spark, sf_dir, name)
+        lines = documents if name == "test_runs" else documents.select(F.to_json(F.struct(*documents.columns)).alias("value"))
+        lines.repartition(20).write.text(f"{home}/{folder}")
+        compaction.pack(spark, f"{home}/{folder}", f"{packed}/{name}", True, "part-*", PACKED_BYTES)
+        if name == "app_builds":
+            lines.filter(F.get_json_object("value", "$.id").startswith("a")).write.mode("append").text(f"{home}/{folder}")
+            compaction.pack(spark, f"{home}/{folder}", f"{packed}/{name}", True, "part-*", PACKED_BYTES)
+    scan = lambda name: compaction.scan_packed(spark, f"{packed}/{name}", name, fx.LAYOUT, True)
+    return _record_rows(records.load_tables(spark, home, fx.LAYOUT, scan=scan))
+
+
+def _record_rows(tables: dict[str, DataFrame]) -> DataFrame:
     end_us = F.unix_micros("end_time").alias("end_us")
     return (
         tables["framework_builds"]
@@ -778,10 +922,53 @@ def stream_sample_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rolled.withColumn("started", F.unix_micros("started")).withColumn("closed", F.unix_micros("closed"))
 
 
+def stream_open_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Closed sessions from the stream's output and open ones from its state; the samples are read once."""
+    arriving = spark.readStream.schema(fx.table(spark, sf_dir, "events").schema).parquet(f"{sf_dir}/events.parquet*")
+    shaped = spark.sql(fx.SAMPLES, events=arriving).withColumn("ts", F.col("ts").cast("timestamp"))
+    target, progress = new_path(spark, "sessions"), new_path(spark, "progress")
+    incremental.store_stream(incremental.sample_sketch_roll_up(shaped, "6 hours", "1 hour"), target, progress).awaitTermination()
+    closed = spark.read.schema(incremental.SKETCHED).parquet(target).withColumn("state", F.lit("closed"))
+    open_ = incremental.open_sessions(spark, progress).withColumn("state", F.lit("open"))
+    rolled = incremental.with_percentiles(closed.unionByName(open_))
+    return rolled.withColumn("started", F.unix_micros("started")).withColumn("closed", F.unix_micros("closed"))
+
+
+STREAM_DELAY, STREAM_LONGEST = "65 days 12 hours", "65 days"
+
+
+def _arriving(rows: DataFrame, shares: list[float], path: str) -> DataFrame:
+    """A stream of the rows by time, one file after the other, which end at the given shares of the rows."""
+    seconds = F.unix_seconds("end_time")
+    ends = rows.agg(F.percentile_approx(seconds, shares, 10_000)).first()[0]
+    for start, end in zip([None, *ends], [*ends, None], strict=True):
+        after = F.lit(True) if start is None else seconds > start
+        upto = F.lit(True) if end is None else seconds <= end
+        rows.filter(after & upto).coalesce(1).write.mode("append").parquet(path)
+    reader = rows.sparkSession.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1)
+    return reader.parquet(path)
+
+
+def stream_joined_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs and app builds arrive in files, so that builds come before, with and after their runs."""
+    time = F.col("end_time").cast("timestamp")
+    runs = fx.timed_runs(spark, sf_dir).withColumn("end_time", time)
+    built = fx.app_builds(spark, sf_dir).select("app_build_id", "framework_build_id", "app_name", "apps_commit", time.alias("end_time"))
+    streams = [
+        _arriving(settle(rows, "arriving"), shares, new_path(spark, "arrivals"))
+        for rows, shares in ((runs, [0.25, 0.5, 0.75]), (built, [0.1, 0.75]))
+    ]
+    target = new_path(spark, "joined")
+    joined = incremental.join_streams(*streams, STREAM_DELAY, STREAM_LONGEST)
+    incremental.store_stream(joined, target, new_path(spark, "progress")).awaitTermination()
+    return spark.read.schema(joined.schema).parquet(target).select("test_run_id", "app_build_id", "app_name", "state")
+
+
 QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
-        report_results, report_window_results, runs_joined, dangling_runs, parse_outputs, parse_status_counts,
+        report_results, report_window_results, runs_joined, runs_joined_bucketed, latest_runs_bucketed,
+        ledger_pruned, dangling_runs, parse_outputs, parse_variant, output_schema, parse_status_counts,
         percentile_lookup, measured_execution, error_gate, error_messages, derived_metrics, overwritten_results,
         execution_durations, build_success, build_tallies, app_build_tallies, failure_budget, latest_builds,
         commit_log_source, first_parent_log, first_parent_range, range_reachability, log_to_date, chain_index_append,
@@ -791,7 +978,9 @@ QUERIES: dict[str, Query] = {
         plan_order_lexical, plan_top_n, budgeted_plan, rebuild_points, rebuild_decision, skip_reasons,
         render_commands, effective_duration, report_lines, report_text, report_text_values, report_json_per_commit,
         report_json_values, report_js, report_js_values, sample_totals, sample_stats, sample_percentiles,
-        sample_percentiles_approx, warmup_excluded, version_extract, cap_output, ingest_records,
+        sample_percentiles_approx, sketch_windows, coverage_sketched, warmup_excluded, version_extract, cap_output, ingest_records,
+        compacted_records,
         ingest_quarantine, repeated_ids, ledger_upsert, stream_ingest, stream_latest_results, stream_sample_rollup,
+        stream_open_sessions, stream_joined_results,
     )
 }

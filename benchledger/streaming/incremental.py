@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from benchledger.operators import sketches
 from benchledger.operators.ledger import join_builds, latest_by
 from benchledger.plans.results import METRICS, run_outcomes
 from benchledger.schemas import RecordLayout
@@ -92,6 +93,33 @@ def keep_latest_results(runs: DataFrame, state: str, checkpoint: str) -> Streami
     )
 
 
+def join_streams(runs: DataFrame, app_builds: DataFrame, delay: str, longest: str) -> DataFrame:
+    """Streams of runs and of app builds, joined as they arrive, whichever comes first.
+
+    A run ends within ``longest`` after the end of its build. ``state`` is ``joined``, or ``dangling`` once
+    the watermark (``delay`` behind the newest rows of either stream) says that the build will not come any
+    more. So neither side is kept for longer than the two times together.
+    """
+    built = app_builds.select(
+        F.col("app_build_id").alias("_build"), "framework_build_id", "app_name", "apps_commit", F.col("end_time").alias("built_at")
+    ).withWatermark("built_at", delay)
+    in_time = F.col("end_time").between(F.col("built_at"), F.col("built_at") + F.expr(f"INTERVAL {longest}"))
+    joined = runs.withWatermark("end_time", delay).join(built, (F.col("app_build_id") == F.col("_build")) & in_time, "left_outer")
+    return joined.withColumn("state", F.when(F.col("_build").isNull(), "dangling").otherwise("joined")).drop("_build", "built_at")
+
+
+def store_stream(stream: DataFrame, target: str, checkpoint: str) -> StreamingQuery:
+    """Write what a stream has settled, until all input that is there now has been read."""
+    return (
+        stream.writeStream.format("parquet")
+        .option("path", target)
+        .option("checkpointLocation", checkpoint)
+        .outputMode("append")
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
 def _latest(results: DataFrame, key: list[str]) -> DataFrame:
     return latest_by(results, key, ["end_time", "test_run_id"], ["test_run_id", "end_time", *METRICS])
 
@@ -152,6 +180,68 @@ def _rolled_up(samples: DataFrame, quiet: str, accuracy: int) -> DataFrame:
     )
 
 
+def sample_sketch_roll_up(samples: DataFrame, quiet: str, delay: str) -> DataFrame:
+    """As ``sample_roll_up``, with a sketch of the latencies in place of two percentiles.
+
+    Sketches of sessions can be merged, and those of sessions that are still open are read out of the
+    stream's state by ``open_sessions``.
+    """
+    session = F.session_window("ts", quiet).alias("session")
+    columns = _session_columns()
+    sessions = samples.withWatermark("ts", delay).groupBy("run_key", session)
+    return sessions.agg(*[column.alias(name) for name, column in columns.items()]).select(
+        "run_key", F.col("session.start").alias("started"), F.col("session.end").alias("closed"), _requests(), *columns
+    )
+
+
+SKETCHED = (
+    "run_key bigint, started timestamp, closed timestamp, requests bigint, latency_sum_us bigint, "
+    "min_us bigint, max_us bigint, status_errors bigint, sketch binary"
+)
+
+
+def _session_columns() -> dict[str, Column]:
+    """What a session gathers, in the order of the state's columns, whose names must differ; the sketch counts."""
+    return {
+        "latency_sum_us": F.sum("latency_us"),
+        "min_us": F.min("latency_us"),
+        "max_us": F.max("latency_us"),
+        "status_errors": F.count_if(F.col("outcome").isin("status", "error")),
+        "sketch": F.kll_sketch_agg_bigint("latency_us", F.lit(sketches.KLL_SIZE)),
+    }
+
+
+def open_sessions(spark: SparkSession, checkpoint: str, batch_id: int | None = None) -> DataFrame:
+    """The sessions that a stopped ``sample_sketch_roll_up`` still holds, out of its state; no sample is read.
+
+    ``batch_id`` names an earlier state than the last one.
+    """
+    reader = spark.read.format("statestore")
+    if batch_id is not None:
+        reader = reader.option("batchId", batch_id)
+    # The state has a session's key and window, then what is aggregated, in order.
+    columns = _session_columns()
+    state = reader.load(checkpoint).select("value.*").toDF("run_key", "session", *columns)
+    window = [F.col("session.start").alias("started"), F.col("session.end").alias("closed")]
+    return state.select("run_key", *window, _requests(), *columns)
+
+
+def _requests() -> Column:
+    return F.kll_sketch_get_n_bigint("sketch").alias("requests")
+
+
+def late_samples(query: StreamingQuery) -> int:
+    """How many samples came after their session was closed, of the progress that the query still remembers."""
+    return sum(op["numRowsDroppedByWatermark"] for progress in query.recentProgress for op in progress["stateOperators"])
+
+
+def with_percentiles(sessions: DataFrame) -> DataFrame:
+    """``p50_us`` and ``p95_us`` in place of the sketch."""
+    levels = {"p50_us": 0.5, "p95_us": 0.95}
+    values = [F.kll_sketch_get_quantile_bigint("sketch", F.lit(level)).alias(name) for name, level in levels.items()]
+    return sessions.select(*[c for c in sessions.columns if c != "sketch"], *values)
+
+
 ROLLED_UP = (
     "run_key bigint, started timestamp, closed timestamp, requests bigint, latency_sum_us bigint, "
     "min_us bigint, max_us bigint, p50_us bigint, p95_us bigint, status_errors bigint"
