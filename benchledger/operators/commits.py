@@ -14,7 +14,7 @@ from __future__ import annotations
 import datetime as dt
 import math
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from functools import partial
 
 import numpy as np
@@ -36,6 +36,8 @@ class CommitBlocks:
 
     rows: DataFrame
     count: int
+    # How blocks lead to each other, once a walk has needed it.
+    ways: dict = field(default_factory=dict, compare=False, repr=False)
 
 
 def commit_blocks(commit_log: DataFrame, block_rows: int = BLOCK_ROWS, least_blocks: int = 1) -> CommitBlocks:
@@ -126,33 +128,47 @@ def _jumps(rows: DataFrame) -> DataFrame:
     )
 
 
+def _ways(blocks: CommitBlocks) -> tuple[DataFrame, list[DataFrame]]:
+    """Every commit's jump out of its block, and jumps of 1, 2, 4, ... blocks from where such jumps end.
+
+    The same for all walks, so that a second walk of the log finds them there.
+    """
+    if not blocks.ways:
+        jumps = settle(_jumps(blocks.rows), "jumps")
+        targets = jumps.select("branch", F.col("next_id").alias("commit_id")).distinct()
+        leap = settle(jumps.join(targets, ["branch", "commit_id"], "left_semi"), "leap")
+        leaps = []
+        while not leap.isEmpty():
+            leaps.append(leap)
+            onward = leap.select(
+                "branch", F.col("commit_id").alias("next_id"), F.col("next_id").alias("_end"), F.col("hops").alias("_more")
+            )
+            leap = settle(
+                leap.join(onward, ["branch", "next_id"]).select(
+                    "branch", "commit_id", F.col("_end").alias("next_id"), (F.col("hops") + F.col("_more")).alias("hops")
+                ),
+                "leap",
+            )
+        blocks.ways.update(jumps=jumps, leaps=leaps)
+    return blocks.ways["jumps"], blocks.ways["leaps"]
+
+
 def _block_entries(blocks: CommitBlocks, walks: DataFrame) -> DataFrame:
     """Where each walk enters a block: (walk_id, branch, commit_id, pos), by pointer doubling."""
     reached = walks.select("walk_id", "branch", "commit_id", F.lit(0).cast("bigint").alias("pos"))
     if blocks.count == 1:
         return reached
-    jumps = settle(_jumps(blocks.rows), "jumps")
-    targets = jumps.select("branch", F.col("next_id").alias("commit_id"))
-    starts = walks.select("branch", "commit_id")
-    entries = targets.union(starts).distinct()
-    leap = settle(jumps.join(entries, ["branch", "commit_id"], "left_semi"), "leap")
-    while not leap.isEmpty():
-        further = (
-            reached.alias("r")
-            .join(leap.alias("j"), ["branch", "commit_id"])
-            .select("walk_id", "branch", F.col("next_id").alias("commit_id"), (F.col("pos") + F.col("hops")).alias("pos"))
-        )
-        reached = settle(reached.unionByName(further), "reached")
-        onward = leap.select(
-            "branch", F.col("commit_id").alias("next_id"), F.col("next_id").alias("_end"), F.col("hops").alias("_more")
-        )
-        leap = settle(
-            leap.join(onward, ["branch", "next_id"]).select(
-                "branch", "commit_id", F.col("_end").alias("next_id"), (F.col("hops") + F.col("_more")).alias("hops")
-            ),
-            "leap",
+    jumps, leaps = _ways(blocks)
+
+    def further(from_: DataFrame, by: DataFrame) -> DataFrame:
+        return from_.join(by, ["branch", "commit_id"]).select(
+            "walk_id", "branch", F.col("next_id").alias("commit_id"), (F.col("pos") + F.col("hops")).alias("pos")
         )
-    return reached
+
+    entered = settle(further(reached, jumps), "reached")
+    for leap in leaps:
+        entered = settle(entered.unionByName(further(entered, leap)), "reached")
+    return reached.unionByName(entered)
 
 
 def first_parent_log(blocks: CommitBlocks, walks: DataFrame) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -39,26 +40,44 @@ def sample_totals(samples: DataFrame, status_outcomes: tuple[str, ...] = ("statu
 def sample_stats(samples: DataFrame) -> DataFrame:
     """Smallest, mean, largest and sample standard deviation of the latency of every run.
 
-    Deviations are taken from the whole part of the run's mean, as whole numbers. So no size of the
-    values costs precision, and the result does not depend on the order of the rows. A run of one sample
-    has no deviation.
+    One aggregation sums the values and, of their upper and lower 32 bits, the products, as whole numbers that
+    cannot overflow; a run's row then has all that its exact deviations from the whole part of its mean need.
+    So no size of the values costs precision, and the result does not depend on the order of the rows. A
+    run of one sample has no deviation.
     """
-    wide = F.col("latency_us").cast("decimal(19,0)")
+    high = F.shiftright("latency_us", 32)
+    low = F.col("latency_us").bitwiseAND(F.lit(0xFFFFFFFF))
+
+    def product(one: Column, other: Column) -> Column:
+        wide = "decimal(19,0)"
+        return F.sum((one.cast(wide) * other.cast(wide)).cast("decimal(38,0)"))
+
     sums = samples.groupBy("run_key").agg(
         F.count("*").alias("n"),
         F.min("latency_us").alias("min_us"),
         F.max("latency_us").alias("max_us"),
-        F.sum(wide).alias("_sum"),
-    )
-    sums = settle(sums.withColumn("_middle", F.expr("_sum div n")), "sums")
-    off = wide - F.col("_middle")
-    spreads = samples.join(sums.select("run_key", "_middle"), "run_key").groupBy("run_key").agg(
-        F.sum(off).cast("double").alias("_off"),
-        F.sum((off * off).cast("decimal(38,0)")).cast("double").alias("_squares"),
+        F.sum(F.col("latency_us").cast("decimal(19,0)")).alias("_sum"),
+        product(high, high).alias("_high"),
+        product(high, low).alias("_both"),
+        product(low, low).alias("_low"),
     )
+
+    # A row per run; its whole numbers may have 60 digits, more than a decimal holds.
+    @F.pandas_udf("off double, squares double")
+    def deviations(rows: pd.DataFrame) -> pd.DataFrame:
+        off, squares = [], []
+        for n, total, high_, both, low_ in zip(*[map(int, rows[c]) for c in ("n", "_sum", "_high", "_both", "_low")], strict=True):
+            middle = abs(total) // n * (1 if total >= 0 else -1)
+            all_squares = (high_ << 64) + (both << 33) + low_
+            off.append(float(total - n * middle))
+            squares.append(float(all_squares - 2 * middle * total + n * middle * middle))
+        return pd.DataFrame({"off": off, "squares": squares})
+
+    measured = sums.withColumn("_dev", deviations(F.struct("n", "_sum", "_high", "_both", "_low")))
     n = F.col("n").cast("double")
-    variance = (F.col("_squares") - F.col("_off") * F.col("_off") / n) / (n - 1)
-    return sums.join(spreads, "run_key").select(
+    off, squares = F.col("_dev.off"), F.col("_dev.squares")
+    variance = (squares - off * off / n) / (n - 1)
+    return measured.select(
         "run_key",
         "n",
         "min_us",

@@ -13,6 +13,7 @@ from benchledger.queries import (
     BUDGET_SECONDS,
     CAPTURE_LIMIT,
     LOAD_OVERRIDE_SECONDS,
+    REPORT_END,
     REPORT_INSTANCE,
     REPORT_START,
     TOP_TASKS,
@@ -225,6 +226,14 @@ def _uuid(hex32: str) -> str:
     return " || '-' || ".join(f"substr({hex32}, {start}, {length})" for start, length in parts)
 
 
+# The JSON of a run as the load generator wrote it, without its last brace.
+_CAPTURED = """' {"summary":{"duration":' || l.duration_us || ',"requests":' || l.requests || ',"bytes":' || l.bytes
+         || ',"errors":{"connect":' || l.err_connect || ',"read":' || l.err_read || ',"write":' || l.err_write
+         || ',"status":' || l.err_status || ',"timeout":' || l.err_timeout || '}},"latency":{"min":90,"mean":'
+         || l.latency_mean_us || ',"max":1.23457e+06,"stdev":300.1,"percentile":[[1,100],[50,' || l.latency_p95_us || '],'
+         || CASE WHEN l.repeated_p95 THEN '[95,' || (l.latency_p95_us - 1) || '],' ELSE '' END || '[95,' || l.latency_p95_us
+         || '],[99,4000]]},"requests":{"min":1,"mean":2.5,"max":9,"stdev":1.5,"percentile":[[50,2],[95,8]]}'"""
+
 SAID = f"""{TASKS},
 {RUNS},
 {BUILDS},
@@ -239,7 +248,8 @@ said AS (
          CASE WHEN l.test_run_id IS NULL THEN 'no_result' WHEN l.output_kind = 'no_stdout' THEN 'no_stdout'
               WHEN l.output_kind = 'no_marker' THEN 'missing_json' WHEN l.output_kind = 'bad_json' THEN 'parse_failed'
               WHEN l.err_connect + l.err_read + l.err_write + l.err_status > 0 THEN 'errors' ELSE 'ok' END AS outcome,
-         l.err_connect, l.err_read, l.err_write, l.err_status, l.requests, l.duration_us, l.latency_mean_us, l.latency_p95_us
+         l.err_connect, l.err_read, l.err_write, l.err_status, l.requests, l.duration_us, l.latency_mean_us, l.latency_p95_us,
+         {_CAPTURED} AS captured
   FROM planned p JOIN ranges r ON r.config_id = p.config_id
   JOIN tests t ON list_contains(string_split(r.test_list, ','), t.test_name)
   LEFT JOIN last_run l ON l.instance_id = r.instance_id AND l.framework_commit = p.commit_id AND l.test_name = t.test_name)
@@ -483,9 +493,9 @@ FROM said""",
     "report_text_values": f"""WITH RECURSIVE {SAID},
 sizes AS (SELECT config_id, count(*) AS commits FROM planned GROUP BY config_id)
 SELECT config_id, test_name, pos, substr(framework_commit, 1, 7) AS short_id,
-       CASE outcome WHEN 'ok' THEN 'metrics' WHEN 'no_result' THEN '<no result for commit>'
+       CASE outcome WHEN 'ok' THEN 'Requests/s: #, Mean latency: #, Latency 95%: #' WHEN 'no_result' THEN '<no result for commit>'
             WHEN 'no_stdout' THEN '<no wrk stdout for test run>' WHEN 'missing_json' THEN 'Missing JSON in result'
-            WHEN 'parse_failed' THEN 'Failed to parse wrk result: '
+            WHEN 'parse_failed' THEN 'Failed to parse wrk result: ' || captured
             ELSE concat_ws(', ', CASE WHEN err_connect <> 0 THEN 'Connect errors: ' || err_connect END,
                            CASE WHEN err_read <> 0 THEN 'Read errors: ' || err_read END,
                            CASE WHEN err_write <> 0 THEN 'Write errors: ' || err_write END,
@@ -500,10 +510,20 @@ SELECT r.config_id, t.test_name, -1, NULL,
 FROM ranges r JOIN tests t ON list_contains(string_split(r.test_list, ','), t.test_name)
 LEFT JOIN sizes z ON z.config_id = r.config_id""",
     "report_js_values": f"""WITH RECURSIVE {WINDOW_RESULTS},
-tests AS {_input(fx.TESTS)}
-SELECT 1 AS section, branch AS name, pos AS ordinal, commit_id || '@' || epoch_ms(commit_time) AS value FROM branch_commits
-UNION ALL SELECT 3, test_name, 0, description FROM tests
-UNION ALL SELECT 5, framework_commit, 0, CAST(count(*) AS VARCHAR) FROM window_results GROUP BY framework_commit""",
+tests AS {_input(fx.TESTS)},
+spans AS (SELECT branch, max(pos) AS last_pos FROM branch_commits GROUP BY branch),
+per_commit AS (SELECT framework_commit, count(*) AS n FROM window_results GROUP BY framework_commit)
+SELECT 0 AS section, '' AS name, 0::BIGINT AS ordinal, false AS comma,
+       'var report = {{"start":' || epoch_ms(TIMESTAMP '{REPORT_START:%Y-%m-%d %H:%M:%S}') || ',"end":'
+       || epoch_ms(TIMESTAMP '{REPORT_END:%Y-%m-%d %H:%M:%S}') || ',"branches":{{' AS value
+UNION ALL SELECT 1, branch, -1, branch <> (SELECT min(branch) FROM spans), '"' || branch || '":[' FROM spans
+UNION ALL SELECT 1, branch, pos, pos > 0, commit_id || '@' || epoch_ms(commit_time) FROM branch_commits
+UNION ALL SELECT 1, branch, last_pos + 1, false, ']' FROM spans
+UNION ALL SELECT 2, '', 0, false, '}},"tests":{{'
+UNION ALL SELECT 3, test_name, 0, test_name <> (SELECT min(test_name) FROM tests), description FROM tests
+UNION ALL SELECT 4, '', 0, false, '}},"results":{{'
+UNION ALL SELECT 5, framework_commit, 0, framework_commit <> (SELECT min(framework_commit) FROM per_commit), CAST(n AS VARCHAR) FROM per_commit
+UNION ALL SELECT 6, '', 0, false, '}}}};'""",
     "report_json_values": f"""WITH RECURSIVE {WINDOW_RESULTS}
 SELECT framework_commit, count(*) OVER (PARTITION BY framework_commit) AS tests, test_name, test_run_id,
        requests_per_second, latency_mean_ms, latency_p95_ms FROM window_results""",

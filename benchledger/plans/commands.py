@@ -13,7 +13,7 @@ from benchledger.functions import times
 from benchledger.operators import builds, chain_index, commits
 from benchledger.operators.chain_index import ChainIndex
 from benchledger.plans import report, results, tasks
-from benchledger.session import settle
+from benchledger.session import beside, settle
 from benchledger.sources import matrix as matrix_ops
 
 # Fixed value: how far back the JSON report goes.
@@ -57,14 +57,17 @@ def _stop_at(problems: DataFrame, what: str) -> None:
 
 def planned_commits(tables: Tables, options: tasks.PlanOptions = tasks.PlanOptions()) -> PlannedCommits:
     """Resolve the matrix and walk the history. A revision that does not resolve is an error."""
-    lines = tasks.line_resolutions(
-        tables.matrix, tables.commit_log, tables.refs, tables.apps_log, tables.apps_refs
-    )
-    lines = settle(lines, "resolutions")
+    index = tables.chain_index
+
+    def resolved() -> DataFrame:
+        lines = tasks.line_resolutions(
+            tables.matrix, tables.commit_log, tables.refs, tables.apps_log, tables.apps_refs
+        )
+        return settle(lines, "resolutions")
+
+    blocks, lines = beside(index.blocks if index else lambda: commits.commit_blocks(tables.commit_log), resolved)
     if not options.skip_unresolved:
         _stop_at(tasks.unresolved_lines(lines), "Matrix lines that do not resolve")
-    index = tables.chain_index
-    blocks = index.blocks() if index else commits.commit_blocks(tables.commit_log)
     chain, ranges = commits.shared_chains(blocks, tasks.resolved_lines(lines), tables.refs, index.walk if index else None)
     return PlannedCommits(ranges, settle(tasks.planned_commits(ranges, blocks, chain), "planned"))
 

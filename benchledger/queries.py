@@ -14,7 +14,7 @@ from benchledger.functions import commands, parse, text, times, variant
 from benchledger.operators import builds, chain_index, commits, ledger, reachability, samples, sketches
 from benchledger.plans import commands as cmd
 from benchledger.plans import report, results, tasks
-from benchledger.session import new_path, settle
+from benchledger.session import beside, new_path, settle
 from benchledger.sources import compaction, layouts, matrix, records
 from benchledger.streaming import incremental
 
@@ -316,8 +316,11 @@ def _resolutions(spark: SparkSession, sf_dir: str, lines: DataFrame) -> DataFram
 
 
 def first_parent_range(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = settle(_resolutions(spark, sf_dir, fx.plan_config(spark, sf_dir)), "resolutions")
-    blocks = commits.commit_blocks(fx.commit_log(spark, sf_dir), least_blocks=BLOCKS)
+    config = fx.plan_config(spark, sf_dir)
+    blocks, lines = beside(
+        lambda: commits.commit_blocks(fx.commit_log(spark, sf_dir), least_blocks=BLOCKS),
+        lambda: settle(_resolutions(spark, sf_dir, config), "resolutions"),
+    )
     chain, ranges = commits.shared_chains(blocks, tasks.resolved_lines(lines), fx.refs(spark, sf_dir))
     asked = ranges.select(F.col("config_id").alias("range_id"), "chain_id", "end_pos", "branch", "start_id")
     return commits.first_parent_range(blocks, chain, asked).withColumnRenamed("range_id", "config_id")
@@ -577,8 +580,10 @@ def report_text_values(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.nullif(F.regexp_extract(line, label + r": ([0-9.E+-]+)", 1), F.lit("")).cast("double").alias(name)
         for name, label in labels.items()
     ]
-    rest = F.regexp_replace(F.substring(line, 9, 100_000), f"(?s)^({parse.PARSE_FAILED}).*", "$1")
-    said = F.when(F.col("pos") < 0, line).when(line.contains("Requests/s"), "metrics").otherwise(rest)
+    # All that a line says; only numbers of metrics are left out, as they are read apart.
+    rest = F.substr(line, F.lit(9))
+    frame = F.regexp_replace(rest, r": [0-9.E+-]+", ": #")
+    said = F.when(F.col("pos") < 0, line).when(rest.startswith("Requests/s"), frame).otherwise(rest)
     return report_text(spark, sf_dir).select(
         "config_id", "test_name", "pos", F.when(F.col("pos") >= 0, F.substring(line, 1, 7)).alias("short_id"), said.alias("said"), *numbers
     )
@@ -609,22 +614,23 @@ def report_js(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def report_js_values(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The pieces of the report file read back: commits with times, test descriptions, tests per commit."""
+    """Every piece of the report file read back: whether a comma leads it, and what it says.
+
+    Commits with times, test descriptions and tests per commit as values, brackets and the frame as they are.
+    """
     piece = F.regexp_replace("line", "^,", "")
     commit = F.from_json(piece, "commit string, time bigint")
     wrapped = F.concat(F.lit("{"), piece, F.lit("}"))
     described = F.get(F.map_values(F.from_json(wrapped, "map<string,string>")), F.lit(0))
     tests = F.size(F.get(F.map_values(F.from_json(wrapped, "map<string,map<string,struct<run:string>>>")), F.lit(0)))
     value = (
-        F.when(F.col("section") == 1, F.concat_ws("@", commit["commit"], commit["time"].cast("string")))
+        F.when((F.col("section") == 1) & commit["commit"].isNotNull(), F.concat_ws("@", commit["commit"], commit["time"].cast("string")))
         .when(F.col("section") == 3, described)
-        .otherwise(tests.cast("string"))
-    )
-    return (
-        report_js(spark, sf_dir)
-        .filter(F.col("section").isin(3, 5) | (F.col("section") == 1) & F.col("line").contains('"commit"'))
-        .select("section", "name", "ordinal", value.alias("value"))
+        .when(F.col("section") == 5, tests.cast("string"))
+        .otherwise(piece)
     )
+    comma = F.col("line").startswith(",")
+    return report_js(spark, sf_dir).select("section", "name", "ordinal", comma.alias("comma"), value.alias("value"))
 
 
 # --- samples --------------------------------------------------------------------------------------

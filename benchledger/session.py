@@ -4,9 +4,15 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
+T, T2 = TypeVar("T"), TypeVar("T2")
+
 _local_workspaces: dict[str, str] = {}
 _made: dict[str, list[str]] = {}
 
@@ -83,3 +89,11 @@ def settle(df: DataFrame, name: str) -> DataFrame:
     path = new_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def beside(work: Callable[[], T], other: Callable[[], T2]) -> tuple[T, T2]:
+    """The results of both, which run at the same time: a chain of small jobs leaves most of a cluster idle."""
+    with ThreadPoolExecutor(1) as pool:
+        started = pool.submit(inheritable_thread_target(work))
+        mine = other()
+        return started.result(), mine
