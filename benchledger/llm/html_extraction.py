@@ -1,20 +1,27 @@
 """Main text of web pages by removal of site templates.
 
-Block subtrees are hashed: tag, class and id, texts, the hashes of the children, and the path of tags from
-the body. Inline elements, list items, rows and cells, and what is inside them or in a paragraph or heading,
-are never template. Spark counts beside how many different bodies of a host each subtree stands, where a body
-is the page's text without the subtree and without furniture, so copies of a page count once. A subtree that
-recurs beside at least ``SHARE`` of the host's bodies and ``LEAST_PAGES`` of them is template and is deleted
-where it stands on that path. If the page marks its articles, those that are not template are read, and
-nothing else. In an article, or else in the innermost element with half of the page's text, paragraphs
-and headings stay although they recur; what holds half of the text stays on any page.
-Elements that are furniture by their tag or class (menus, footers, forms, adverts, comments, ...) go
-too, since most hosts have few pages.
+Subtrees are hashed and Spark counts, per host, beside how many different bodies each stands, where a body is
+the page's text without the subtree and without furniture, so copies of a page count once. Two kinds count:
+
+- a block subtree by tag, class and id, texts, the hashes of the children, and the path of tags from the body.
+  Inline elements, list items, rows and cells, and what is inside them or in a paragraph or heading, are
+  never template. It recurs beside at least ``SHARE`` of the host's bodies and ``LEAST_PAGES`` of them.
+- a slot: an element that looks like furniture (a menu, header, footer, sidebar, advert, notice or comments,
+  by its tag or a whole name in class, id or role), by its tag, names and path alone, as its words change from
+  page to page. It recurs beside ``LEAST_SLOTS`` bodies.
+
+What recurs is deleted where it stands on that path. On a host of ``ENOUGH_PAGES`` different bodies nothing else
+decides: neither the look of an element nor an article's tag. On a host of fewer, elements that look like furniture go as
+well, and if the page marks its articles, those that are not template are read, and nothing else. In an article, or
+else in the innermost element with half of the page's text, paragraphs and headings stay although they recur;
+what holds half of the text stays on any page. Forms, scripts, styles and the head go on any host.
 
 Text is cut into blocks at block elements; character references are decoded, white space in a block
 becomes one space, and blocks are joined by one line feed. Null and empty pages have empty text, text
-without any markup is one block, and unclosed elements end where HTML ends them. Pages without a host
-are counted together as those of the empty host. Repeated rows are extracted alike.
+without any markup is one block, and unclosed elements end where HTML ends them; an object, drawing or the like
+that is never closed keeps its content. A tag that never ends is text. Parsing takes time in proportion to the
+page, however damaged that is. Pages without a host are counted together as those of the empty host. Repeated rows
+are extracted alike. Columns other than page_id, url and html, whatever their names, are left out.
 """
 
 from __future__ import annotations
@@ -36,6 +43,9 @@ from benchledger.session import settle
 
 LEAST_PAGES = 4
 SHARE = 0.01
+LEAST_SLOTS = 2
+#: Different bodies of a host from which on only recurrence decides.
+ENOUGH_PAGES = 12
 #: A host's pages are joined with its templates in so many parts.
 SALTS = 16
 #: Up to so many subtrees (8 bytes each) all templates go to every task; beyond it pages meet them in a shuffle.
@@ -45,7 +55,10 @@ COUNTED = 200_000
 
 # Element names of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("iframe noembed noframes noscript object script select style svg template textarea title xmp".split())
+RAW = frozenset("iframe script style textarea title xmp".split())
+#: Elements that go with their content if they are closed, and those that go on any page.
+SKIPPED = frozenset("math noembed noframes noscript object select svg template".split())
+DROPPED = frozenset("button form head".split())
 BLOCK = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure "
     "footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre search section summary "
@@ -62,17 +75,21 @@ TEMPLATE = BLOCK - ROWS - frozenset("html body hr".split())
 PARAGRAPHS = frozenset("p h1 h2 h3 h4 h5 h6 pre".split())
 WHOLE = ROWS | PARAGRAPHS
 HOLDERS = BLOCK - PARAGRAPHS
-FURNITURE = frozenset("aside button dialog footer form head menu nav search".split())
-#: Words in class, id or role that mark furniture.
+FURNITURE = frozenset("aside dialog footer menu nav search".split())
+#: Names in class, id or role that mark furniture, also together and with the words of ``NEUTRAL``.
 MARKS = frozenset(
     "ad ads advert advertisement advertising banner breadcrumb breadcrumbs consent cookie cookies copyright footer gdpr "
     "header login masthead menu modal nav navbar navigation newsletter notice notification pager pagination popup "
     "promo recommended related share sharing sidebar signup skip social sponsor sponsored subscribe toolbar widget".split()
 )
 COMMENTS = frozenset("comment comments disqus replies respond".split())
-TAG = re.compile(
-    r"""<!--|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>"""
+NEUTRAL = frozenset(
+    "area bar block bottom box button buttons container content elements fixed global group inner item items left links list "
+    "local main message new page primary right secondary section site slot sticky top unit wrap wrapper".split()
 )
+TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)([^>\"']*+)>")
+TAG_NAME = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)")
+QUOTE_OR_END = re.compile(r"[>\"']")
 NAMED = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE)
 WORD = re.compile(r"[a-z0-9]+")
 ENDS = {name: re.compile(rf"</{name}\b[^>]*>", re.IGNORECASE) for name in RAW}
@@ -83,8 +100,13 @@ STEP = 0x9E3779B97F4A7C15
 
 
 @lru_cache(maxsize=10_000)
-def words_of(names: str) -> frozenset[str]:
-    return frozenset(WORD.findall(names))
+def marked(names: str, marks: frozenset[str]) -> bool:
+    """Whether one of the names is made of marks, and of neutral words beside them."""
+    for name in names.split():
+        words = set(WORD.findall(name))
+        if words & marks and words <= marks | NEUTRAL:
+            return True
+    return False
 
 
 @lru_cache(maxsize=10_000)
@@ -95,13 +117,14 @@ def number_of(tag: str) -> int:
 class Node:
     """``body`` and ``prose`` are without furniture: the sum of the hashes of the texts, and their length outside links."""
 
-    __slots__ = ("tag", "names", "children", "hash", "size", "main", "body", "prose", "key")
+    __slots__ = ("tag", "names", "children", "hash", "size", "main", "body", "prose", "key", "ended")
 
     def __init__(self, tag: str, names: str):
         self.tag, self.names = tag, names
         self.children: list[Node | str] = []
         self.hash = self.size = self.body = self.prose = self.key = 0
         self.main = tag in ("article", "main")
+        self.ended = False  # by its own end tag
 
     def close(self) -> None:
         """Hash, length of text, whether an article is inside, and what is beside furniture."""
@@ -114,9 +137,11 @@ class Node:
                 if text := child.strip():
                     self.body += xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass"))
             else:
+                if dropped(child):
+                    child.size = 0
                 parts.append(f"<{child.hash:x}>")
                 self.size += child.size
-                self.main |= child.main
+                self.main |= child.main and child.size > 0
                 if child.size and not furniture(child, True):
                     self.body += child.body
                     self.prose += child.prose
@@ -161,83 +186,143 @@ def parse(page: str) -> Node:
         if text:
             stack[-1].children.append(text)
 
+    last_end = page.rfind(">")
+    no_end: set[int] = set()  # quotes from which on no tag ends
     while True:
         place = page.find("<", at)
-        found = TAG.match(page, place) if place >= 0 else None
-        if place < 0:
-            write(page[at:])
+        if place < 0 or place > last_end:
+            # No tag ends any more; only a comment may still begin.
+            place = page.find("<!--", at)
+            write(page[at:] if place < 0 else page[at:place])
             break
-        if found is None:
+        if page.startswith("<!--", place):
+            write(page[at:place])
+            at = comment_end(page, place)
+            if at < 0:
+                break
+            continue
+        if page[place + 1 : place + 2] in ("!", "?"):
+            write(page[at:place])
+            at = page.find(">", place) + 1
+            continue
+        found = TAG.match(page, place)
+        if found:
+            closing, tag, described, stop = found[1], found[2], found[3], found.end()
+        elif found := TAG_NAME.match(page, place):
+            stop = tag_end(page, found.end(), no_end)
+            closing, tag, described = found[1], found[2], page[found.end() : stop - 1]
+        else:
             write(page[at : place + 1])
             at = place + 1
             continue
         write(page[at:place])
-        at = found.end()
-        tag = found[2] or found[5]
-        if found[0] == "<!--":
-            at = page.find("-->", place + 4)
-            if at < 0:
-                break
-            at += 3
-        elif tag:
-            tag = tag.lower()
-            if found[1] or found[4]:
-                if open_[tag]:
-                    end(next(p for p in range(len(stack) - 1, 0, -1) if stack[p].tag == tag))
-                elif tag in ("p", "br"):
-                    stack[-1].children.append(" ")
-                continue
-            ended_before(tag)
-            described = found[3] or found[6] or ""
-            if tag in VOID:
-                node = Node(tag, "")
-                node.close()
-                stack[-1].children.append(node)
-                continue
-            if tag in RAW:
-                if described.endswith("/"):
-                    continue
-                closing = ENDS[tag].search(page, at)
-                if closing is None:
-                    break
-                at = closing.end()
-                continue
-            names = " ".join((a or b or c).lower() for _, a, b, c in NAMED.findall(described)) if "=" in described else ""
-            node = Node(tag, names)
+        at = stop
+        tag = tag.lower()
+        if closing:
+            if open_[tag]:
+                place = next(p for p in range(len(stack) - 1, 0, -1) if stack[p].tag == tag)
+                stack[place].ended = True
+                end(place)
+            elif tag in ("p", "br"):
+                stack[-1].children.append(" ")
+            continue
+        ended_before(tag)
+        if tag in VOID:
+            node = Node(tag, "")
+            node.close()
             stack[-1].children.append(node)
+            continue
+        if tag in RAW:
+            if described.endswith("/"):
+                continue
+            ending = ENDS[tag].search(page, at) if at <= last_end else None
+            if ending is None:
+                break
+            at = ending.end()
+            continue
+        names = " ".join((a or b or c).lower() for _, a, b, c in NAMED.findall(described)) if "=" in described else ""
+        node = Node(tag, names)
+        node.ended = tag in SKIPPED and described.endswith("/")
+        stack[-1].children.append(node)
+        if not node.ended:
             stack.append(node)
             open_[tag] += 1
     end(0)
     return root
 
 
+def comment_end(page: str, place: int) -> int:
+    """Where the comment that begins there has ended, or -1. ``<!-->`` and ``<!--->`` are whole comments."""
+    for short in ("<!-->", "<!--->"):
+        if page.startswith(short, place):
+            return place + len(short)
+    end = page.find("-->", place + 4)
+    other = page.find("--!>", place + 4, end if end >= 0 else len(page))
+    return other + 4 if other >= 0 else end + 3 if end >= 0 else -1
+
+
+def tag_end(page: str, at: int, no_end: set[int]) -> int:
+    """Where a tag has ended whose name ends at ``at``: behind the next ``>`` outside quotes, or if a quote is never closed,
+    behind the next one. There is a ``>`` further on.
+
+    ``no_end`` holds the quotes that led nowhere, so that no part of the page is tried twice in vain.
+    """
+    passed, place = [], at
+    while True:
+        found = QUOTE_OR_END.search(page, place)
+        if found and found[0] == ">":
+            return found.end()
+        if found is None or found.start() in no_end:
+            break
+        passed.append(found.start())
+        closing = page.find(found[0], found.end())
+        if closing < 0:
+            break
+        place = closing + 1
+    no_end.update(passed)
+    return page.find(">", at) + 1
+
+
+def dropped(node: Node) -> bool:
+    """Whether the element goes with its content on any page."""
+    return node.tag in DROPPED or (node.tag in SKIPPED and node.ended)
+
+
 def subtrees(root: Node) -> Iterator[Node]:
-    """The elements with text that may be template; each gets its key, of the hash and the path from the body."""
-    left = [(root, 0)]
+    """The elements with text that may be template; each gets its key, of the hash and the path from the body.
+
+    Keys of slots are odd, those of subtrees even. Nothing inside a slot is looked at.
+    """
+    left = [(root, 0, False)]
     while left:
-        node, path = left.pop()
+        node, path, in_main = left.pop()
         for child in node.children:
-            if isinstance(child, str) or not child.size or furniture(child, True):
+            if isinstance(child, str) or not child.size or dropped(child):
                 continue
             own = path
             if child.tag not in ("html", "body"):
                 own = (path * STEP + number_of(child.tag)) & LOW_64
+            if furniture(child, in_main):
+                own = (own * STEP + number_of(child.names)) & LOW_64
+                child.key = (own >> 1) | 1
+                yield child
+                continue
             if child.tag in TEMPLATE:
-                child.key = ((child.hash * STEP + own) & LOW_64) >> 1
+                child.key = ((child.hash * STEP + own) & LOW_64) >> 1 & ~1
                 yield child
             if child.tag not in WHOLE:
-                left.append((child, own))
+                left.append((child, own, in_main or child.tag in ("article", "main")))
 
 
-def furniture(node: Node, in_article: bool) -> bool:
+def furniture(node: Node, in_main: bool) -> bool:
+    """Whether the element looks like furniture. In the main text only blocks do, and no header."""
     if node.tag in ("html", "body", "#page"):
         return False
-    if node.tag in FURNITURE or (node.tag == "header" and not in_article and not node.main):
+    if node.tag in FURNITURE or (node.tag == "header" and not in_main and not node.main):
         return True
-    if not node.names:
+    if not node.names or (in_main and node.tag not in HOLDERS):
         return False
-    words = words_of(node.names)
-    return bool(words & COMMENTS) or (not node.main and bool(words & MARKS))
+    return marked(node.names, COMMENTS) or (not node.main and marked(node.names, MARKS))
 
 
 def deleted(node: Node, root: Node, template: frozenset[int], in_main: bool) -> bool:
@@ -274,7 +359,8 @@ def holder(root: Node) -> Node | None:
         node = found
 
 
-def blocks(root: Node, template: frozenset[int], is_article: bool) -> list[str]:
+def blocks(root: Node, template: frozenset[int], is_article: bool, looks: bool = True) -> list[str]:
+    """The text blocks of what is not deleted; ``looks`` says that furniture goes although it does not recur."""
     made: list[str] = []
     line: list[str] = []
     main = holder(root) if template and not is_article else None
@@ -296,14 +382,18 @@ def blocks(root: Node, template: frozenset[int], is_article: bool) -> list[str]:
         if node is False:
             in_main = is_article
             continue
-        if node is main and main is not None:
-            in_main = True
-            left.append(False)
         if isinstance(node, str):
             line.append(node)
-        elif node is not root and (furniture(node, is_article) or deleted(node, root, template, in_main)):
-            line.append(" ")
-        elif node.tag in BLOCK:
+            continue
+        if node is not root:
+            like = furniture(node, in_main)
+            if dropped(node) or (like and (looks or node.key in template)) or (not like and deleted(node, root, template, in_main)):
+                line.append(" ")
+                continue
+        if not in_main and (node is main or node.tag in ("article", "main")):
+            in_main = True
+            left.append(False)
+        if node.tag in BLOCK:
             flush()
             left.append(None)
             left.extend(reversed(node.children))
@@ -315,12 +405,14 @@ def blocks(root: Node, template: frozenset[int], is_article: bool) -> list[str]:
     return made
 
 
-def main_text(page: str, template: frozenset[int]) -> str:
+def main_text(page: str, template: frozenset[int], enough: bool = False) -> str:
+    """``enough``: the host has so many pages that only recurrence decides."""
     root = parse(page)
-    if template:
-        for _ in subtrees(root):
-            pass
-    made: list[str] = []
+    for _ in subtrees(root):  # for the keys
+        pass
+    if enough and (made := blocks(root, template, False, looks=False)):
+        return "\n".join(made)
+    made = []
     for article in articles(root, template):
         made += blocks(article, template, True)
     if not made:
@@ -329,7 +421,10 @@ def main_text(page: str, template: frozenset[int]) -> str:
 
 
 def template_subtrees(pages: DataFrame, least_pages: int = LEAST_PAGES, share: float = SHARE) -> DataFrame:
-    """host, subtrees (keys): at most (elements of a page) / ``share`` for each host."""
+    """host, enough, subtrees (keys) of every host that has either.
+
+    A host has at most (elements of a page) / ``share`` subtrees, and slots as its pages have places for them.
+    """
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hosts, keys, bodies = [], [], []
@@ -344,7 +439,11 @@ def template_subtrees(pages: DataFrame, least_pages: int = LEAST_PAGES, share: f
             for host, page in zip(batch.column("host").to_pylist(), texts_of(batch, "html"), strict=True):
                 root = parse(page)
                 # Number -1 counts the bodies of the host.
-                rests = {(-1, root.body >> 1)} | {(node.key, ((root.body - node.body) & LOW_64) >> 1) for node in subtrees(root)}
+                rests = {(-1, root.body >> 1)}
+                for node in subtrees(root):
+                    # Furniture is no part of the body.
+                    own = 0 if node.key & 1 else node.body
+                    rests.add((node.key, ((root.body - own) & LOW_64) >> 1))
                 hosts += [host] * len(rests)
                 keys += [key for key, _ in rests]
                 bodies += [body for _, body in rests]
@@ -353,23 +452,24 @@ def template_subtrees(pages: DataFrame, least_pages: int = LEAST_PAGES, share: f
         yield out()
 
     host, _ = host_and_path(F.col("url"))
+    is_slot = F.col("subtree").bitwiseAND(F.lit(1)) == 1
     counts = (
         pages.select(host.alias("host"), "html")
         .mapInArrow(counted, "host string, subtree bigint, body bigint")
         .dropDuplicates(["host", "subtree", "body"])
         .groupBy("host", "subtree")
         .agg(F.count(F.lit(1)).alias("n"))
-        .filter(F.col("n") >= least_pages)
+        .filter(F.col("n") >= F.when(is_slot, F.lit(LEAST_SLOTS)).otherwise(F.lit(least_pages)))
     )
     # From the second grouping on there are few rows: a host has at most 1 / share subtrees per element.
     counts = settle(counts, "page-subtrees")
     totals = counts.filter(F.col("subtree") == -1).select("host", F.col("n").alias("pages"))
+    found = counts.filter(F.col("subtree") != -1).join(totals, "host").filter(is_slot | (F.col("n") >= share * F.col("pages")))
+    lists = found.groupBy("host").agg(F.sort_array(F.collect_list("subtree")).alias("subtrees"))
     return (
-        counts.filter(F.col("subtree") != -1)
-        .join(totals, "host")
-        .filter(F.col("n") >= share * F.col("pages"))
-        .groupBy("host")
-        .agg(F.sort_array(F.collect_list("subtree")).alias("subtrees"))
+        totals.join(lists, "host", "left")
+        .select("host", (F.col("pages") >= ENOUGH_PAGES).alias("enough"), F.coalesce("subtrees", F.array().cast("array<bigint>")).alias("subtrees"))
+        .filter("enough or size(subtrees) > 0")
     )
 
 
@@ -385,13 +485,14 @@ def extract(pages: DataFrame, templates: DataFrame) -> DataFrame:
         salt = F.pmod(F.xxhash64(F.coalesce(F.col("page_id").cast("string"), F.lit(""))), F.lit(SALTS)).cast("int")
         salted = templates.withColumn("salt", F.explode(F.array(*[F.lit(number) for number in range(SALTS)])))
         rows = rows.withColumn("salt", salt).join(salted.hint("merge"), ["host", "salt"], "left")
-    rows = rows.select("page_id", "url", "html", "subtrees")
+    rows = rows.select("page_id", "url", "html", "subtrees", F.coalesce("enough", F.lit(False)).alias("enough"))
 
     def extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            hosts = zip(batch.column("subtrees").to_pylist(), batch.column("enough").to_pylist(), strict=True)
             texts = [
-                main_text(page, frozenset(found or ()))
-                for page, found in zip(texts_of(batch, "html"), batch.column("subtrees").to_pylist(), strict=True)
+                main_text(page, frozenset(found or ()), enough)
+                for page, (found, enough) in zip(texts_of(batch, "html"), hosts, strict=True)
             ]
             yield pa.record_batch(
                 [

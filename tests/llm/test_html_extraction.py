@@ -1,5 +1,7 @@
 import html
 import re
+import time
+from collections import defaultdict
 
 import pytest
 
@@ -26,6 +28,20 @@ CASES = {
     "<article class='comment'>c</article><p>x</p>": "x",
     "x</b></p></div>y": "x y",
     "a<br>b": "a b",
+    '<article><p>x</p><p class="share-price">5 euro</p></article>': "x\n5 euro",
+    '<article><p>x</p><div class="ad-hoc"><p>keep me</p></div></article>': "x\nkeep me",
+    '<div class="ad-hoc"><p>keep me</p></div><div class="ad-box">buy</div>': "keep me",
+    "<p>a</p><!--><p>b</p><!---><p>c</p><!-- x --!><p>d</p>": "a\nb\nc\nd",
+    "<p>a</p><object data=x><p>b</p>": "a\nb",
+    "<p>a</p><object data=x><p>b</p></object><svg><text>s</text></svg><select><option>o</select><svg/>c": "a\nc",
+    "<p>a</p><noscript><p>b</p>": "a\nb",
+    "<p>a</p><template><p>b</p>": "a\nb",
+    "<p>a <b c='>d": "a d",
+    "<p>a</p><img alt='x > y'><p>b</p><img alt=\"it's\"><p>c</p>": "a\nb\nc",
+    "<p>a</p><p title='open>b</p><p>c</p>": "a\nb\nc",
+    "<title>a</title><textarea><p>x</p></textarea>b<form>c</form>": "b",
+    "a <b": "a <b",
+    "a <b <!-- c": "a <b",
 }
 
 
@@ -39,6 +55,20 @@ def test_deep_and_long_pages():
     assert extraction.main_text("<p>" + "word " * 200_000, NONE) == ("word " * 200_000).strip()
 
 
+@pytest.mark.parametrize("end", ["", ">", '">', "'>", "-->", "</script>", "</p>"])
+@pytest.mark.parametrize(
+    "piece",
+    ["<a", "<a ", '<a href="x ', "<a href='x> ", "<!", "<!-- ", "</", "</b", "<b c=\"'>", '<a ">', "<a \"'", "<p><b>", "<script", "<td><table>", "<li><ul>",
+     "<svg>", "<object>", "< ", "<a class=", "&", "<script></script ", "<!-- --><p>", "x</div>", "<p class='a"],
+)
+def test_damaged_pages_take_time_in_proportion(piece, end):
+    page = piece * (1_000_000 // len(piece)) + end
+    start = time.process_time()
+    extraction.main_text(page, NONE)
+    took = time.process_time() - start
+    assert took < 3
+
+
 def page(n, extra=""):
     return f"<div><span>Follow us</span> <span>now</span></div><div><p>own {n}</p>{extra}</div><p>recurring words</p>"
 
@@ -102,5 +132,57 @@ def test_templates_stand_on_their_path_and_leave_most_of_the_text(spark):
     assert texts(spark, [teased.format(n) for n in range(8)]) == [f"{n}\nthis is the page of number {n}" for n in range(8)]
 
 
+def templates_by_hand(pages):
+    """The templates of each host, counted in one go."""
+    beside = defaultdict(set)
+    for _, url, page in pages:
+        host = re.sub(r"[/?#].*", "", url.split("://", 1)[1], flags=re.S).lower() if url and "://" in url else ""
+        root = extraction.parse(page or "")
+        beside[host, None].add(root.body >> 1)
+        for node in extraction.subtrees(root):
+            rest = root.body if node.key % 2 else (root.body - node.body) % 2**64
+            beside[host, node.key].add(rest >> 1)
+    made = {}
+    for (host, key), bodies in beside.items():
+        total = len(beside[host, None])
+        enough, keys = made.setdefault(host, [total >= extraction.ENOUGH_PAGES, set()])
+        least = extraction.LEAST_SLOTS if key and key % 2 else max(extraction.LEAST_PAGES, extraction.SHARE * total)
+        if key is not None and len(bodies) >= least:
+            keys.add(key)
+    return {host: found for host, found in made.items() if found[0] or found[1]}
+
+
+def test_templates_of_the_given_pages(spark):
+    """Counted by hand over the whole table, and what they change."""
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    rows = [tuple(row) for row in pages.select("page_id", "url", "html").collect()]
+    # Twenty times as many pages of the hosts, so that hosts have enough.
+    hosts = [re.sub(r"://[^/]*", f"://host{n % 9}.org", url) for n, (_, url, _) in enumerate(rows)]
+    rows = [(n, host, page) for n, (host, (_, _, page)) in enumerate(zip(hosts, rows, strict=True))]
+    rows += [(1000, "http://few.org/", rows[0][2]), (1001, None, rows[1][2]), (1002, "http://host1.org/", None)]
+    made = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    want = templates_by_hand(rows)
+    got = {row.host: [row.enough, set(row.subtrees)] for row in extraction.template_subtrees(made).collect()}
+    assert got == want and sum(found[0] for found in want.values()) == 9
+    texts = {row.page_id: row.text for row in extraction.main_texts(made).collect()}
+    changed = 0
+    for page_id, url, page in rows:
+        enough, template = want.get(re.sub(r".*://([^/]*).*", r"\1", url or ""), [False, set()])
+        assert texts[page_id] == extraction.main_text(page or "", frozenset(template), enough)
+        changed += texts[page_id] != extraction.main_text(page or "", NONE, enough)
+    assert changed == len(rows) - 3
+    # They leave the article and nothing else.
+    for page_id, _, page in rows[:-3]:
+        assert texts[page_id] == extraction.main_text(re.search(r"<article>.*</article>", page, re.S).group(0), NONE)
+
+
+def test_only_recurrence_decides_on_large_hosts(spark):
+    made = "<nav><ul><li>menu {0}</li></ul></nav><div class='ad'>buy {0}</div><div><p>words of page {0}</p></div><footer>{0}</footer>"
+    rows = [made.format(n) for n in range(30)]
+    rows[7] = rows[7].replace("<div><p>", "<aside>a remark</aside><div class='share'>once</div><div><p>")
+    got = texts(spark, rows)
+    assert got[3] == "words of page 3" and got[7] == "a remark\nonce\nwords of page 7"
+
+
 def test_no_pages(spark):
     assert extraction.main_texts(spark.createDataFrame([], "page_id bigint, url string, html string, host int")).count() == 0
