@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +28,40 @@ def lower_az(text: Column) -> Column:
     return F.translate(text, A_TO_Z.decode(), A_TO_Z.lower().decode())
 
 
+#: Where the columns are that an operator does not read.
+OTHERS = "_others"
+
+
+def quoted(name: str) -> Column:
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def set_apart(rows: DataFrame, *read: str) -> DataFrame:
+    """The columns that an operator reads, by these names, and all others as one struct.
+
+    So no column of a corpus, whatever its name, clashes with one that the operator makes on its way.
+    """
+    names = {name.lower(): name for name in rows.columns}
+    rest = [quoted(name) for low, name in names.items() if low not in map(str.lower, read)]
+    own = [quoted(names[name.lower()]).alias(name) for name in read]
+    return rows.select(*own, F.struct(*(rest or [F.lit(0).alias("_")])).alias(OTHERS))
+
+
+def put_back(rows: DataFrame, documents: DataFrame, read: Sequence[str], made: Mapping[str, Column]) -> DataFrame:
+    """The columns of ``documents``, in order, and those that an operator made of rows from :func:`set_apart`.
+
+    A column whose name is that of a made one, in whatever case, is replaced.
+    """
+    own = {name.lower(): name for name in read}
+    replaced = {name.lower() for name in made}
+    kept = [
+        (F.col(own[name.lower()]) if name.lower() in own else F.col(OTHERS).getField(name)).alias(name)
+        for name in documents.columns
+        if name.lower() not in replaced
+    ]
+    return rows.select(*kept, *[column.alias(name) for name, column in made.items()])
+
+
 def texts_of(batch: pa.RecordBatch, name: str) -> list[str]:
     """The column's values; null is the empty text."""
     return [value or "" for value in batch.column(name).to_pylist()]

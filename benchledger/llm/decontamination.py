@@ -6,31 +6,38 @@ automaton holds every window as its words with a space on either side. A documen
 the same form and scanned once; the end of a match gives the words that it covers, and the
 normalised words' places give their offsets in the document.
 
-The automaton must fit into a worker: benchmark text is taken in blocks of at most ``block_bytes``,
-each with its own automaton and scan, and what they find is united. A benchmark below that size, the
-usual case, is one block.
+An automaton must fit into a worker. A benchmark of at most ``block_bytes`` of text goes to all tasks as one. A larger
+one is a written table of blocks of that size; documents are dealt into parts of bounded size, every part meets every
+block in a task that reads both, and what the blocks find is united by an aggregation. The driver holds no more than
+one block's text at any size.
 
 Null and empty documents have no words and are clean; an empty benchmark leaves all documents clean.
-Repeated documents and items are treated alike, each on its own. A null item_id takes no part.
+Repeated documents and items are treated alike, each on its own. A null item_id takes no part. Other columns, whatever
+their names, stay as they are.
 """
 
 from __future__ import annotations
 
+import math
 import re
-from collections.abc import Iterator
 from functools import lru_cache
 
 import ahocorasick
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from benchledger.llm.common import texts_of
+from benchledger.llm.common import put_back, set_apart
+from benchledger.operators.ordering import number_rows, prefix_sums
+from benchledger.session import settle
 
 WINDOW = 10
 #: Bytes of benchmark text in one automaton.
 BLOCK_BYTES = 32_000_000
+#: Bytes of documents that meet a block in one task, if there are several blocks.
+PART_BYTES = 64_000_000
 #: Every byte that is part of a word, A-Z lower-cased; the others become spaces.
 NORMAL = bytes(
     byte + 32 if 65 <= byte <= 90 else byte if byte >= 0x80 or chr(byte).isalnum() else 32 for byte in range(256)
@@ -103,66 +110,97 @@ def automaton(items: tuple[tuple[int, str], ...]) -> Automaton:
     return Automaton(items)
 
 
-def blocks_of(benchmark: DataFrame, block_bytes: int) -> Iterator[tuple[tuple[int, str], ...]]:
-    """The items in blocks of bounded size, streamed to the driver one partition at a time."""
-    block, size = [], 0
-    rows = benchmark.select(F.col("item_id").cast("bigint"), "text").dropna().distinct().orderBy("item_id", "text")
-    for item, text in rows.toLocalIterator():
-        if block and size + len(text) > block_bytes:
-            yield tuple(block)
-            block, size = [], 0
-        block.append((item, text))
-        size += len(text)
-    yield tuple(block)
+FOUND = "n_words bigint, hit_words array<bigint>, items array<bigint>"
+
+
+def scanned(text: Column, items: tuple[tuple[int, str], ...]) -> Column:
+    """A struct of n_words, hit_words and items."""
+
+    def run(texts: pa.Array) -> pa.Array:
+        machine = automaton(items)
+        found = [machine.scan(text or "") for text in texts.to_pylist()]
+        columns = [
+            pa.array([size for size, _, _ in found], pa.int64()),
+            pa.array([hit.tolist() for _, hit, _ in found], pa.list_(pa.int64())),
+            pa.array([sorted(owners) for _, _, owners in found], pa.list_(pa.int64())),
+        ]
+        return pa.StructArray.from_arrays(columns, ["n_words", "hit_words", "items"])
+
+    run.__annotations__ = {"texts": pa.Array, "return": pa.Array}
+    return F.arrow_udf(run, FOUND)(text)
+
+
+def with_spans(text: Column, hit_words: Column) -> Column:
+    def run(texts: pa.Array, hits: pa.Array) -> pa.Array:
+        pairs = pa.struct([("start", pa.int64()), ("end", pa.int64())])
+        found = [
+            [{"start": a, "end": b} for a, b in hit_spans(text or "", np.array(hit, np.int64))]
+            for text, hit in zip(texts.to_pylist(), hits.to_pylist(), strict=True)
+        ]
+        return pa.array(found, pa.list_(pairs))
+
+    run.__annotations__ = {"texts": pa.Array, "hits": pa.Array, "return": pa.Array}
+    return F.arrow_udf(run, "array<struct<start:bigint,end:bigint>>")(text, hit_words)
+
+
+def in_blocks(rows: DataFrame, items: DataFrame, block_bytes: int, part_bytes: int) -> DataFrame:
+    """``rows`` (with text) and ``_found``, for a benchmark of several blocks; ``items`` is a written table."""
+    numbered = settle(number_rows(items, [F.col("item_id"), F.col("text")]), "benchmark-numbered")
+    sizes = numbered.withColumn("size", F.length("text").cast("bigint"))
+    placed = prefix_sums(sizes, {"before": "size"}).select("item_id", "text", F.floor(F.col("before") / block_bytes).cast("int").alias("block"))
+    blocks = settle(placed, "benchmark-blocks")
+    rows = settle(rows.withColumn("_id", F.monotonically_increasing_id()), "contaminated-rows")
+    size = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    parts = max(1, math.ceil(size / part_bytes))
+    part = F.pmod(F.xxhash64("_id"), F.lit(parts)).cast("int")
+    every_block = F.array_sort(F.array(*[F.lit(row["block"]) for row in blocks.select("block").distinct().collect()]))
+    documents = rows.select("_id", "text", part.alias("part"), F.explode(every_block).alias("block"))
+    each_part = F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))
+    benchmark = blocks.select("item_id", F.col("text").alias("item"), "block", each_part.alias("part"))
+
+    def scan(texts: pd.DataFrame, block: pd.DataFrame) -> pd.DataFrame:
+        machine = Automaton(tuple(zip(block["item_id"].tolist(), block["item"].tolist(), strict=True)))
+        found = [machine.scan(text or "") for text in texts["text"]]
+        return pd.DataFrame(
+            {
+                "_id": texts["_id"],
+                "n_words": [size for size, _, _ in found],
+                "hit_words": pd.Series([hit.tolist() for _, hit, _ in found], dtype=object),
+                "items": pd.Series([sorted(owners) for _, _, owners in found], dtype=object),
+            }
+        )
+
+    met = documents.groupBy("part", "block").cogroup(benchmark.groupBy("part", "block")).applyInPandas(scan, f"_id bigint, {FOUND}")
+    union = lambda name: F.array_sort(F.array_distinct(F.flatten(F.collect_list(name)))).alias(name)
+    # A row for each block at most.
+    found = met.groupBy("_id").agg(F.max("n_words").alias("n_words"), union("hit_words"), union("items"))
+    found = found.select("_id", F.struct("n_words", "hit_words", "items").alias("_found"))
+    return rows.join(found, "_id").drop("_id")
 
 
 def find_benchmark(
-    documents: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK_BYTES, spans: bool = False
+    documents: DataFrame,
+    benchmark: DataFrame,
+    block_bytes: int = BLOCK_BYTES,
+    spans: bool = False,
+    part_bytes: int = PART_BYTES,
 ) -> DataFrame:
-    """n_words, hit_words (indexes, ascending), items (ascending) of each document.
+    """The rows with n_words, hit_words (indexes, ascending) and items (ascending).
 
-    With ``spans``, also ``hit_spans``: (start, end) offsets of the hit passages in the text itself.
+    With ``spans``, also ``hit_spans``: (start, end) offsets of the hit passages in the text itself. Columns of these
+    names, in whatever case, are replaced.
     """
-    schema = "n_words bigint, hit_words array<bigint>, items array<bigint>"
+    items = settle(benchmark.select(F.col("item_id").cast("bigint"), "text").dropna().distinct(), "benchmark")
+    rows = set_apart(documents, "text")
+    if (items.agg(F.sum(F.length("text"))).first()[0] or 0) <= block_bytes:
+        own = sorted((row["item_id"], row["text"]) for row in items.collect())  # block_bytes at most
+        found = rows.withColumn("_found", scanned(F.col("text"), tuple(own)))
+    else:
+        found = in_blocks(rows, items, block_bytes, part_bytes)
+    made = {name: F.col("_found")[name] for name in ("n_words", "hit_words", "items")}
     if spans:
-        schema += ", hit_spans array<struct<start:bigint,end:bigint>>"
-    names = [name for name in documents.columns if name not in ("n_words", "hit_words", "items", "hit_spans")]
-    rows = documents.select(*names)
-    kept = ", ".join(f"`{field.name}` {field.dataType.simpleString()}" for field in rows.schema)
-
-    def scanned(items: tuple[tuple[int, str], ...], first: bool):
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            machine = automaton(items)
-            for batch in batches:
-                texts = texts_of(batch, "text")
-                found = [machine.scan(text) for text in texts]
-                if not first:
-                    before = zip(batch.column("hit_words").to_pylist(), batch.column("items").to_pylist(), strict=True)
-                    found = [
-                        (size, np.union1d(hit, np.array(old, np.int64)), owners | set(other))
-                        for (size, hit, owners), (old, other) in zip(found, before, strict=True)
-                    ]
-                columns = [batch.column(name) for name in names] + [
-                    pa.array([size for size, _, _ in found], pa.int64()),
-                    pa.array([hit.tolist() for _, hit, _ in found], pa.list_(pa.int64())),
-                    pa.array([sorted(owners) for _, _, owners in found], pa.list_(pa.int64())),
-                ]
-                fields = [*names, "n_words", "hit_words", "items"]
-                if spans:
-                    pairs = pa.struct([("start", pa.int64()), ("end", pa.int64())])
-                    offsets = [
-                        [{"start": a, "end": b} for a, b in hit_spans(text, hit)]
-                        for text, (_, hit, _) in zip(texts, found, strict=True)
-                    ]
-                    columns.append(pa.array(offsets, pa.list_(pairs)))
-                    fields.append("hit_spans")
-                yield pa.record_batch(columns, names=fields)
-
-        return run
-
-    for number, items in enumerate(blocks_of(benchmark, block_bytes)):
-        rows = rows.mapInArrow(scanned(items, number == 0), f"{kept}, {schema}")
-    return rows
+        made["hit_spans"] = with_spans(F.col("text"), F.col("_found")["hit_words"])
+    return put_back(found, documents, ["text"], made)
 
 
 def contamination(documents: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -64,6 +64,8 @@ def gram_counts(texts: list[str]) -> Iterator[np.ndarray]:
             block, pieces = pieces, [data[:CHUNK_BYTES]]
             carried += counted()[0]
             pieces, data = block, data[CHUNK_BYTES - 2 :]
+            # The pair at the cut stands in both pieces.
+            carried[((data[0] | data[1] << 8 | 1 << 25) * 2654435761 % 2**32) >> 20] -= 1
         pieces.append(data)
         size += len(data)
         rows += 1

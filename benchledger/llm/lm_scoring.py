@@ -95,24 +95,11 @@ def bits_of(hashes: np.ndarray, level: int, size_bits: np.ndarray | int) -> list
     return [(own + np.uint64(probe) * step) & mask for probe in range(PROBES)]
 
 
-def filter_part(hashes: np.ndarray, counts: np.ndarray, most_bytes: int | None = None, least: int = 1) -> bytes:
-    """The filter of one segment: its bits, a power of two of bytes; without a bound, 8 or more per entry."""
-    most_bits = None if most_bytes is None else 1 << max(3, (most_bytes * 8).bit_length() - 1)
-    if most_bits is not None and least > 1:
-        order = np.argsort(-counts, kind="stable")
-        levels = np.log2(np.maximum(counts[order], 1)).astype(np.int64) + 1
-        fits = int((np.cumsum(levels) * 4 <= most_bits).sum())
-        if fits < len(order):
-            # All n-grams of a count are in the filter or none.
-            least = max(least, int(counts[order[fits]]) + 1)
-    kept = counts >= least
-    levels = np.log2(np.maximum(counts[kept], 1)).astype(np.int64) + 1
-    entries = int(levels.sum())
-    size_bits = max(SMALLEST_BITS, (entries * 8).bit_length())
-    if most_bits is not None:
-        size_bits = min((most_bits - 1).bit_length(), size_bits)
+def filter_part(hashes: np.ndarray, counts: np.ndarray) -> bytes:
+    """The filter of one segment: its bits, a power of two of bytes, 8 or more per entry."""
+    levels = np.log2(np.maximum(counts, 1)).astype(np.int64) + 1
+    size_bits = max(SMALLEST_BITS, (int(levels.sum()) * 8).bit_length())
     bits = np.zeros(1 << size_bits, np.uint8)
-    hashes = hashes[kept]
     for level in range(1, int(levels.max(initial=0)) + 1):
         for places in bits_of(hashes[levels >= level], level, size_bits):
             bits[places.astype(np.int64)] = 1

@@ -23,6 +23,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from benchledger.llm.common import put_back, set_apart
 from benchledger.session import settle
 
 LEVELS = ("domain", "lang", "source")
@@ -53,7 +54,7 @@ def count_words(text: Column) -> Column:
 
 def with_leaf(documents: DataFrame) -> DataFrame:
     """Adds the leaf's path and the tokens, in columns that clash with none of a corpus."""
-    domain = F.coalesce(F.col("domain"), F.lit("")) if "domain" in documents.columns else domain_of(F.col("source"))
+    domain = F.coalesce(F.col("domain").cast("string"), F.lit("")) if "domain" in documents.columns else domain_of(F.col("source"))
     path = [domain, *(F.coalesce(F.col(name).cast("string"), F.lit("")) for name in LEVELS[1:])]
     return documents.withColumns(
         {**{f"_{name}": value for name, value in zip(LEVELS, path, strict=True)}, "_tokens": count_words(F.col("text"))}
@@ -158,11 +159,11 @@ def mix(
 ) -> DataFrame:
     """The chosen documents, with ``domain``, ``n_tokens`` and ``epoch`` (0, 1, ...): a row per epoch.
 
-    Columns of these names, and of the operator's own names (with ``_`` before them), are replaced.
+    Columns of these names, in whatever case, are replaced (``domain`` is read, if there is one); all others
+    stay, whatever their names.
     """
-    names = [name for name in documents.columns if name not in ("n_tokens", "epoch") and not name.startswith("_")]
-    documents = documents.select(*names)
-    named = with_leaf(documents)
+    read = ["doc_id", "text", "lang", "source", *(["domain"] if "domain" in map(str.lower, documents.columns) else [])]
+    named = with_leaf(set_apart(documents, *read))
     slim = settle(named.select("doc_id", *PATH, "_tokens"), "mix-documents")
     leaves = slim.groupBy(*PATH).agg(F.sum("_tokens").alias("_tokens")).filter(F.col("_tokens") > 0)
     leaves = settle(leaves, "mix-leaves")
@@ -171,12 +172,8 @@ def mix(
     key = order_key(F.col("_whole"), F.col("doc_id"), seed)
     taken = F.col("_whole") + F.when(key <= F.col("_last_key"), 1).otherwise(0)
     rows = named.join(ends, PATH).withColumn("_taken", taken.cast("int")).filter(F.col("_taken") > 0)
-    return rows.select(
-        *[name for name in names if name != "domain"],
-        F.col("_domain").alias("domain"),
-        F.col("_tokens").alias("n_tokens"),
-        F.explode(F.sequence(F.lit(0), F.col("_taken") - 1)).alias("epoch"),
-    )
+    rows = rows.withColumn("_epoch", F.explode(F.sequence(F.lit(0), F.col("_taken") - 1)))
+    return put_back(rows, documents, read, {"domain": F.col("_domain"), "n_tokens": F.col("_tokens"), "epoch": F.col("_epoch")})
 
 
 def mixture(documents: DataFrame) -> DataFrame:

@@ -15,7 +15,7 @@ and each kind's threshold is the lowest score from which the labels of held-out
 always stay.
 
 Offsets are code points, end exclusive. Null and empty texts have no spans. Without candidates to learn
-from nothing is added. Repeated rows are judged alike, other columns are left as they are.
+from nothing is added. Repeated rows are judged alike; other columns, whatever their names, are left as they are.
 """
 
 from __future__ import annotations
@@ -27,7 +27,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from benchledger.llm.common import remainder
+from benchledger.llm.common import OTHERS, put_back, remainder, set_apart
 from benchledger.llm.quality_rules import let
 
 # Fixed values, in the order that decides between spans of one start.
@@ -344,9 +344,11 @@ SPAN = "struct<start:int,kind:int,end:int>"
 
 
 def find(documents: DataFrame, model: Model) -> DataFrame:
-    """The rows with ``base`` and ``spans`` (base and added): arrays of (start, kind, end), in order."""
+    """The rows with ``base`` and ``spans`` (base and added): arrays of (start, kind, end), in order.
+
+    Columns of these names, in whatever case, are replaced; the others stay, whatever their names.
+    """
     text = F.coalesce(F.col("text"), F.lit(""))
-    names = [name for name in documents.columns if name not in ("base", "spans")]
 
     def span(candidate: Column) -> Column:
         return F.struct(*[candidate[name].alias(name) for name in ("start", "kind", "end")])
@@ -363,7 +365,8 @@ def find(documents: DataFrame, model: Model) -> DataFrame:
         return let(base, lambda b: F.struct(b.alias("base"), F.array_sort(F.concat(b, new)).alias("spans")))
 
     found = F.explode(F.array(let(all_candidates(text), selected))).alias("_found")
-    return documents.select(*names, found).select(*names, "_found.base", "_found.spans")
+    rows = set_apart(documents, "text").select("text", OTHERS, found)
+    return put_back(rows, documents, ["text"], {name: F.col("_found")[name] for name in ("base", "spans")})
 
 
 def joined(spans: Column) -> Column:

@@ -21,6 +21,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from benchledger.llm.common import OTHERS, put_back, set_apart
+
 SPACE = r"\x20\x09-\x0D"
 WINDOW = 5
 BUCKETS = 1 << 14
@@ -135,11 +137,9 @@ def fit(documents: DataFrame, trusted: DataFrame, target_documents: int = TARGET
 def judge(documents: DataFrame, ratio: Ratio, threshold: float = THRESHOLD) -> DataFrame:
     """The rows with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, ratio, kept.
 
-    Columns of these names are replaced.
+    Columns of these names, in whatever case, are replaced; the others stay, whatever their names.
     """
-    made = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "ratio", "kept"]
     text = F.coalesce(F.col("text"), F.lit(""))
-    names = [name for name in documents.columns if name not in made]
     words = words_of(F.col("text"))
 
     def measured(own: Column) -> Column:
@@ -154,21 +154,20 @@ def judge(documents: DataFrame, ratio: Ratio, threshold: float = THRESHOLD) -> D
         )
 
     # The generator makes the struct once per row, however many columns read it.
-    rows = documents.select(*names, F.explode(F.array(let(words, measured))).alias("_measured"))
-    failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
-    return (
-        rows.select(
-            *names,
-            "_measured.n_words",
-            "_measured.word_chars",
-            n_symbols(text).cast("bigint").alias("n_symbols"),
-            n_repeated_lines(text).cast("bigint").alias("n_dup_lines"),
-            "_measured.n_repeat_words",
-            "_measured.ratio",
-        )
-        .withColumn("base_failed", failed)
-        .withColumn("kept", ~F.col("base_failed") & (F.col("ratio") >= threshold))
-    )
+    rows = set_apart(documents, "text").select("text", OTHERS, F.explode(F.array(let(words, measured))).alias("_measured"))
+    found = {name: F.col("_measured")[name] for name in ("n_words", "word_chars", "n_repeat_words", "ratio")}
+    failed = (found["n_words"] < 10) | (100 * found["n_repeat_words"] > 20 * found["n_words"])
+    made = {
+        "n_words": found["n_words"],
+        "word_chars": found["word_chars"],
+        "n_symbols": n_symbols(text).cast("bigint"),
+        "n_dup_lines": n_repeated_lines(text).cast("bigint"),
+        "n_repeat_words": found["n_repeat_words"],
+        "ratio": found["ratio"],
+        "base_failed": failed,
+        "kept": ~failed & (found["ratio"] >= threshold),
+    }
+    return put_back(rows, documents, ["text"], made)
 
 
 def trusted_of(labels: DataFrame) -> DataFrame:

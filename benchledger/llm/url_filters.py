@@ -2,28 +2,31 @@
 
 A rule is a regular expression over ``host`` + ``path`` and the tokens that every URL it fits must
 contain. Of these the token that the fewest URLs contain becomes the rule's key. Each URL is cut into
-tokens once; a join on the token fetches the rules that could fit, and only those run their
-expression. Among the rules that fit, the highest (tier, size, name) decides.
+tokens once; each token fetches, from a table of buckets that is one constant of the plan, the rules that could
+fit, and only those run their expression. Among the rules that fit, the highest (tier, size, name) decides. So a
+URL is judged where it lies, without a shuffle, however many pages share it.
 
 The host is what follows the first ``://`` up to ``/``, ``?``, ``#`` or the end, with A-Z lower-cased;
 the path is what follows up to ``?``, ``#`` or the end. Both are empty for a null URL or one without
 ``://``; such URLs, and all that no rule fits, get the default verdict. Repeated rows each get the
-verdict of their URL; an empty table gives an empty result.
+verdict of their URL; an empty table gives an empty result. Other columns, whatever their names, stay as they are.
 """
 
 from __future__ import annotations
 
+import json
 import re
+import zlib
 from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from benchledger.llm.common import lower_az
+from benchledger.llm.common import OTHERS, lower_az, put_back, set_apart
 
-#: Rules travel with every task, so their number is bounded.
-MAX_RULES = 100_000
+#: Rules of one constant; more are looked up in several, one after the other.
+RULES_AT_ONCE = 20_000
 
 
 @dataclass(frozen=True)
@@ -87,8 +90,6 @@ def tokens_of(text: Column) -> Column:
 
 def index_rules(urls: DataFrame, rules: Sequence[Rule]) -> list[tuple[str, Rule]]:
     """(key token, rule); the empty token for rules without tokens. ``urls`` has the column ``key``."""
-    if len(rules) > MAX_RULES:
-        raise ValueError(f"{len(rules)} rules; at most {MAX_RULES} are supported")
     spark = urls.sparkSession
     known = sorted({token for rule in rules for token in rule.tokens})
     if not known:
@@ -104,39 +105,57 @@ def index_rules(urls: DataFrame, rules: Sequence[Rule]) -> list[tuple[str, Rule]
     return [(min(rule.tokens, key=lambda t: (count.get(t, 0), t)) if rule.tokens else "", rule) for rule in rules]
 
 
+RULE = "struct<token:string,tier:int,size:int,name:string,verdict:string,pattern:string>"
+
+
+def best_rule(key: Column, tokens: Column, index: Sequence[tuple[str, Rule]]) -> Column:
+    """The greatest (tier, size, name, verdict) of the rules that fit, or null."""
+    width = 1 << max(1, len(index)).bit_length()
+    buckets: list[list[dict]] = [[] for _ in range(width)]
+    for token, rule in index:
+        one = {"token": token, "tier": rule.tier, "size": rule.size, "name": rule.name, "verdict": rule.verdict, "pattern": rule.pattern}
+        buckets[zlib.crc32(token.encode("utf-8")) % width].append(one)
+    # A text that the optimiser turns into one constant; thousands of literals would be slow to plan.
+    table = F.from_json(F.lit(json.dumps(buckets)), f"array<array<{RULE}>>")
+
+    def fetched(token: Column) -> Column:
+        own = F.get(table, (F.crc32(token.cast("binary")) % width).cast("int"))
+        return F.filter(own, lambda rule: rule["token"] == token)
+
+    fits = F.filter(F.flatten(F.transform(tokens, fetched)), lambda rule: F.regexp_like(key, rule["pattern"]))
+    ranked = F.transform(fits, lambda rule: F.struct(*[rule[name].alias(name) for name in ("tier", "size", "name", "verdict")]))
+    return F.array_max(ranked)
+
+
 def judge_urls(pages: DataFrame, rules: Sequence[Rule], default: str = "allow", url: str = "url") -> DataFrame:
-    """The rows of ``pages`` with host, path, verdict, and the name and tier of the rule that decided.
+    """The rows of ``pages`` with host, path, and the name, tier and verdict of the rule that decided.
 
-    Columns of these names (``host``, ``path``, ``rule_name``, ``rule_tier``, ``verdict``) are replaced.
+    Columns of these names (``host``, ``path``, ``rule_name``, ``rule_tier``, ``verdict``), in whatever case, are replaced.
     """
     host, path = host_and_path(F.col(url))
-    pages = pages.drop("host", "path", "rule_name", "rule_tier", "verdict")
-    pages = pages.withColumns({"host": host, "path": path})
-    empty = {"rule_name": F.lit(None).cast("string"), "rule_tier": F.lit(None).cast("int"), "verdict": F.lit(default)}
-    if not rules:
-        return pages.withColumns(empty)
-    keys = pages.select("host", "path", F.concat("host", "path").alias("key"))
-    index = index_rules(keys, rules)
-    rows = [(token, rule.name, rule.verdict, rule.pattern, rule.tier, rule.size) for token, rule in index]
-    table = pages.sparkSession.createDataFrame(
-        rows, "token string, rule_name string, rule_verdict string, pattern string, rule_tier int, size int"
-    )
-    tokens = tokens_of(F.col("key"))
-    if any(token == "" for token, _ in index):
-        tokens = F.array_append(tokens, "")
-    decided = (
-        keys.withColumn("token", F.explode(tokens))
-        .join(F.broadcast(table), "token")
-        .filter(F.expr("key RLIKE pattern"))
-        .groupBy("host", "path")
-        .agg(F.max(F.struct("rule_tier", "size", "rule_name", "rule_verdict")).alias("best"))
-        .select("host", "path", "best.rule_name", "best.rule_tier", "best.rule_verdict")
-    )
-    return (
-        pages.join(decided, ["host", "path"], "left")
-        .withColumn("verdict", F.coalesce("rule_verdict", F.lit(default)))
-        .drop("rule_verdict")
-    )
+    rows = set_apart(pages, url).withColumns({"_host": host, "_path": path})
+    best = F.lit(None).cast("struct<tier:int,size:int,name:string,verdict:string>")
+    if rules:
+        keys = rows.select(F.concat("_host", "_path").alias("key"))
+        index = index_rules(keys, rules)
+        rows = rows.withColumn("_key", F.concat("_host", "_path"))
+        tokens = tokens_of(F.col("_key"))
+        # Rules without a token are tried on every URL.
+        tokens = F.array_append(tokens, "") if any(token == "" for token, _ in index) else tokens
+        chunks = [index[at : at + RULES_AT_ONCE] for at in range(0, len(index), RULES_AT_ONCE)]
+        found = [best_rule(F.col("_key"), F.col("_tokens"), chunk) for chunk in chunks]
+        best = F.array_max(F.array(*found))
+        rows = rows.withColumn("_tokens", tokens)
+    # The generator finds the rule once per row, however many columns read it.
+    rows = rows.select(url, OTHERS, "_host", "_path", F.explode(F.array(best)).alias("_best"))
+    made = {
+        "host": F.col("_host"),
+        "path": F.col("_path"),
+        "rule_name": F.col("_best.name"),
+        "rule_tier": F.col("_best.tier"),
+        "verdict": F.coalesce("_best.verdict", F.lit(default)),
+    }
+    return put_back(rows, pages, [url], made)
 
 
 def url_verdicts(pages: DataFrame, rules: Sequence[Rule] = PLACE_RULES + WORD_RULES) -> DataFrame:

@@ -70,11 +70,13 @@ def test_digest_columns(spark, rows, benchmark_rows, no_rows):
 
 def test_blocks_give_the_same(spark, rows, benchmark_rows):
     docs = spark.createDataFrame(rows, "doc_id bigint, text string")
-    one, many = (
-        decontamination.find_benchmark(docs, benchmark_rows, block_bytes=size).select("doc_id", "hit_words", "items").collect()
-        for size in (1_000_000, 1)
+    one, *many = (
+        decontamination.find_benchmark(docs, benchmark_rows, block_bytes=size, spans=True, part_bytes=part).collect()
+        for size, part in ((1_000_000, 1), (1, 1_000_000), (40, 2_000), (1, 60_000))
     )
-    assert sorted(map(str, one)) == sorted(map(str, many))
+    assert all(sorted(map(str, one)) == sorted(map(str, other)) for other in many)
+    none = docs.limit(0)
+    assert decontamination.find_benchmark(none, benchmark_rows, block_bytes=1).count() == 0
 
 
 def test_spans_are_places_in_the_text(spark, benchmark_rows):

@@ -72,7 +72,7 @@ def test_filter_never_misses_and_rarely_invents():
     order = np.argsort(hashes)
     hashes, counts = hashes[order], counts[order]
     cuts = lm_scoring.cuts_of(hashes, segments)
-    parts = {s: lm_scoring.filter_part(hashes[a:b], counts[a:b], 1 << 16, 1) for s, (a, b) in enumerate(zip(cuts[:-1], cuts[1:]))}
+    parts = {s: lm_scoring.filter_part(hashes[a:b], counts[a:b]) for s, (a, b) in enumerate(zip(cuts[:-1], cuts[1:]))}
     found = lm_scoring.Filter.of(parts, segments).counts(hashes)
     least = np.array([middle(c) for c in counts])
     assert (found >= least).all() and (found > least).mean() < 0.15
@@ -80,15 +80,6 @@ def test_filter_never_misses_and_rarely_invents():
     assert (lm_scoring.Filter.of(parts, segments).counts(other) > 0).mean() < 0.1
 
 
-def test_filter_stays_below_its_bound():
-    hashes = np.arange(1, 100_001, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    counts = np.arange(1, 100_001)
-    part = lm_scoring.filter_part(hashes, counts, 10_000, 2)
-    assert len(part) <= 10_000
-    kept = lm_scoring.Filter.of({0: part}, 1).counts(hashes)
-    assert (kept[counts == 100_000] > 0).all()
-
-
 def test_word_filter_grows_with_its_entries(documents):
     """All words are found, few of them too often."""
     chance = np.random.default_rng(5)
