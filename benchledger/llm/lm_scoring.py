@@ -5,7 +5,9 @@ one end. The counts of words and word pairs in the training documents are quanti
 1 + floor(log2 count), and a filter holds every level of an n-gram from 1 to its own. Probing level after
 level until one is missing gives the level back; it is never too low, and rarely too high. A token's
 probability interpolates the pair's relative frequency with the smoothed frequency of the word, both from
-probes. The filter is never in one place: it has parts, each probed where it is made.
+probes. The filter has parts by segments of the hash. While the counted tokens prove that all parts of the pair
+filter are below ``FILTER_BYTES``, they are broadcast and the scoring tasks probe them; beyond it, no worker could
+hold them, and each part is probed where it is made. The parts are the same, and so are all answers.
 
 The base score takes exact word counts, which no worker could hold for a large corpus. So documents are
 cut into blocks of tokens that are stored as places in the block's own list of word hashes. Lists are cut
@@ -41,6 +43,8 @@ BLOCK_TOKENS = 1_500_000
 #: Least number of segments, and the most tokens per segment beyond it.
 SEGMENTS = 512
 SEGMENT_TOKENS = 1 << 22
+#: The pair filter is broadcast if it cannot be larger.
+FILTER_BYTES = 64_000_000
 PROBES = 3
 #: The smallest part of a filter has 2 ** 12 bits, if a bound allows.
 SMALLEST_BITS = 12
@@ -233,10 +237,18 @@ def blocks_of(documents: DataFrame) -> DataFrame:
     return settle(documents.select("doc_id", "held_out", "text").mapInArrow(cut, BLOCK), "lm-blocks")
 
 
-def segments_of(blocks: DataFrame) -> int:
+def tokens_in(blocks: DataFrame) -> int:
+    return blocks.agg(F.sum(F.aggregate("sizes", F.lit(0).cast("bigint"), lambda total, own: total + own))).first()[0] or 0
+
+
+def segments_of(tokens: int) -> int:
     """The number of segments; it follows the tokens, so no setting of the session changes a result."""
-    tokens = blocks.agg(F.sum(F.aggregate("sizes", F.lit(0).cast("bigint"), lambda total, own: total + own))).first()[0]
-    return max(SEGMENTS, -(-(tokens or 0) // SEGMENT_TOKENS))
+    return max(SEGMENTS, -(-tokens // SEGMENT_TOKENS))
+
+
+def most_filter_bytes(tokens: int, segments: int) -> int:
+    """No pair filter is larger: a pair of count c has at most c levels, and a level 16 bits at most."""
+    return 2 * tokens + segments * (1 << SMALLEST_BITS) // 8
 
 
 def word_counts(blocks: DataFrame, segments: int) -> DataFrame:
@@ -281,8 +293,8 @@ def word_counts(blocks: DataFrame, segments: int) -> DataFrame:
     return settle(found, "lm-words")
 
 
-def pair_levels(blocks: DataFrame, segments: int) -> DataFrame:
-    """Per block and segment the levels of its different pairs, ascending by hash."""
+def pairs_by_segment(blocks: DataFrame, segments: int) -> DataFrame:
+    """Per block and segment its different pairs, ascending by hash, and their training counts."""
 
     def asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -305,43 +317,65 @@ def pair_levels(blocks: DataFrame, segments: int) -> DataFrame:
                     names=["block", "segment", "hashes", "counts"],
                 )
 
+    rows = blocks.select("block", "held_out", "sizes", "places", "listed")
+    return rows.mapInArrow(asked, "block bigint, segment int, hashes binary, counts binary")
+
+
+def gathered_pairs(group: Iterator[pd.DataFrame]) -> tuple[list[int], list[np.ndarray], np.ndarray, np.ndarray]:
+    """The blocks and their pairs, and all pairs of the segment with their counts."""
+    blocks_, hashes, counts = [], [], []
+    for rows in group:
+        for block, data, trained in zip(rows["block"].tolist(), rows["hashes"], rows["counts"], strict=True):
+            blocks_.append(block)
+            counts.append(np.frombuffer(zlib.decompress(trained), np.uint32).astype(np.int64))
+            hashes.append(unpacked(data, len(counts[-1])))
+    return blocks_, hashes, *summed(np.concatenate(hashes), np.concatenate(counts))
+
+
+def pair_filter(blocks: DataFrame, segments: int) -> Filter:
+    """The whole filter, for a broadcast."""
+
+    def part_of(key: tuple, group: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        _, _, known, total = gathered_pairs(group)
+        learned = total >= LEAST_PAIRS
+        yield pd.DataFrame({"segment": [key[0]], "part": [filter_part(known[learned], total[learned])]})
+
+    parts = pairs_by_segment(blocks, segments).groupBy("segment").applyInPandas(part_of, "segment int, part binary")
+    # most_filter_bytes at most
+    return Filter.of({row["segment"]: bytes(row["part"]) for row in parts.toLocalIterator()}, segments)
+
+
+def pair_levels(blocks: DataFrame, segments: int) -> DataFrame:
+    """Per block and segment the levels of its different pairs, ascending by hash."""
+
     def answered(key: tuple, group: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        blocks_, hashes, counts = [], [], []
-        for rows in group:
-            for block, data, trained in zip(rows["block"].tolist(), rows["hashes"], rows["counts"], strict=True):
-                blocks_.append(block)
-                counts.append(np.frombuffer(zlib.decompress(trained), np.uint32).astype(np.int64))
-                hashes.append(unpacked(data, len(counts[-1])))
-        known, total = summed(np.concatenate(hashes), np.concatenate(counts))
+        blocks_, hashes, known, total = gathered_pairs(group)
         learned = total >= LEAST_PAIRS
         part = filter_part(known[learned], total[learned])
         levels = Filter.of({0: part}, 1).levels(known).astype(np.uint8)
         found = [zlib.compress(levels[np.searchsorted(known, own)].tobytes(), 1) for own in hashes]
         yield pd.DataFrame({"block": blocks_, "segment": key[0], "pairs": found})
 
-    rows = blocks.select("block", "held_out", "sizes", "places", "listed").mapInArrow(
-        asked, "block bigint, segment int, hashes binary, counts binary"
-    )
-    found = rows.groupBy("segment").applyInPandas(answered, "block bigint, segment int, pairs binary")
+    found = pairs_by_segment(blocks, segments).groupBy("segment").applyInPandas(answered, "block bigint, segment int, pairs binary")
     return settle(found, "lm-pairs")
 
 
-def score(documents: DataFrame) -> DataFrame:
+def score(documents: DataFrame, filter_bytes: int = FILTER_BYTES) -> DataFrame:
     """``documents``: doc_id, text, held_out (learns from the others). A row with scores for every row."""
     blocks = blocks_of(documents)
-    segments = segments_of(blocks)
+    tokens = tokens_in(blocks)
+    segments = segments_of(tokens)
     words = word_counts(blocks, segments)
     n, v = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("v"), F.lit(0))).first()
     model = Model(n, v)
-    pairs = pair_levels(blocks, segments)
+    shared = None
     none = F.lit(None).cast("binary")
-    answers = (
-        words.filter(F.col("block") >= 0)
-        .select("block", "segment", "data", "levels", none.alias("pairs"))
-        .union(pairs.select("block", "segment", none, none, "pairs"))
-        .groupBy("block")
-        .agg(F.collect_list(F.struct("segment", "data", "levels", "pairs")).alias("answers"))
-    )
+    answers = words.filter(F.col("block") >= 0).select("block", "segment", "data", "levels", none.alias("pairs"))
+    if most_filter_bytes(tokens, segments) <= filter_bytes:
+        shared = documents.sparkSession.sparkContext.broadcast(pair_filter(blocks, segments))
+    else:
+        answers = answers.union(pair_levels(blocks, segments).select("block", "segment", none, none, "pairs"))
+    answers = answers.groupBy("block").agg(F.collect_list(F.struct("segment", "data", "levels", "pairs")).alias("answers"))
     rows = blocks.drop("trained").join(answers, "block")
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -353,9 +387,13 @@ def score(documents: DataFrame) -> DataFrame:
                 places = np.frombuffer(zlib.decompress(row["places"]), np.uint32).astype(np.int64)
                 answers = sorted(row["answers"], key=lambda answer: answer["segment"])
                 counts, levels, pairs = (
-                    np.concatenate([np.frombuffer(zlib.decompress(a[name]), kind) for a in answers if a[name] is not None])
+                    np.concatenate(
+                        [np.zeros(0, kind), *(np.frombuffer(zlib.decompress(a[name]), kind) for a in answers if a[name] is not None)]
+                    )
                     for name, kind in (("data", np.int64), ("levels", np.uint8), ("pairs", np.uint8))
                 )
+                if shared is not None:
+                    pairs = shared.value.levels(np.unique(pairs_of(listed[places])))
                 sizes = np.array(row["sizes"], np.int64)
                 starts = np.cumsum(sizes) - sizes
                 base = np.add.reduceat(np.log10(counts + 1.0)[places], starts) - sizes * norm
@@ -380,7 +418,7 @@ def score(documents: DataFrame) -> DataFrame:
     )
 
 
-def lm_scores(documents: DataFrame) -> DataFrame:
+def lm_scores(documents: DataFrame, filter_bytes: int = FILTER_BYTES) -> DataFrame:
     """Scores of every document, learned from those that are not held out."""
     held_out = remainder(F.col("doc_id"), 7) == 2
-    return score(documents.select(F.col("doc_id").cast("bigint"), "text").withColumn("held_out", held_out))
+    return score(documents.select(F.col("doc_id").cast("bigint"), "text").withColumn("held_out", held_out), filter_bytes)

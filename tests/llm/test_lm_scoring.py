@@ -54,9 +54,66 @@ def test_scores(odd, odd_rows, documents, no_rows):
     assert lm_scoring.lm_scores(no_rows).count() == 0
 
 
-def test_small_blocks_give_the_same(documents, monkeypatch):
-    whole = {row.doc_id: row for row in lm_scoring.lm_scores(documents).collect()}
-    assert len(whole) == 200
+def scores_by_hand(rows):
+    """From exact counts of all words and pairs by their hashes, a filter part per segment, and one probe per token."""
+    held = {i: zlib.crc32(str("" if i is None else i).encode()) % 7 == 2 for i, _ in rows}
+    words, pairs = Counter(), Counter()
+    for i, text in rows:
+        own = lm_scoring.tokens_of(text or "")
+        if not held[i]:
+            words.update(own.tolist())
+            pairs.update(lm_scoring.pairs_of(own).tolist())
+    n, v = sum(words.values()), len(words)
+
+    def levels(counted):
+        hashes = np.array(sorted(counted), np.uint64)
+        counts = np.array([counted[h] for h in hashes.tolist()], np.int64)
+        segment = lm_scoring.segment_of(hashes, lm_scoring.SEGMENTS)
+        parts = {s: lm_scoring.filter_part(hashes[segment == s], counts[segment == s]) for s in set(segment.tolist())}
+        parts |= {s: lm_scoring.filter_part(hashes[:0], counts[:0]) for s in range(lm_scoring.SEGMENTS) if s not in parts}
+        return lm_scoring.Filter.of(parts, lm_scoring.SEGMENTS)
+
+    word_filter, pair_filter = levels(words), levels(pairs)
+    count = lambda found, value: float(found.counts(np.array([value], np.uint64))[0])
+    scores = {}
+    for i, text in rows:
+        own = lm_scoring.tokens_of(text or "")
+        total = 0.0
+        for before, token, pair in zip([lm_scoring.END, *own[:-1]], own, lm_scoring.pairs_of(own), strict=True):
+            alone = min(1.0, (count(word_filter, token) + 1) / (n + v + 1))
+            context = count(word_filter, before)
+            follows = min(1.0, count(pair_filter, pair) / max(context, 1)) if context else 0.0
+            total += math.log10((1 - lm_scoring.PAIR_SHARE) * alone + lm_scoring.PAIR_SHARE * follows)
+        scores.setdefault(i, []).append(total)
+    return scores
+
+
+@pytest.mark.parametrize("filter_bytes", [lm_scoring.FILTER_BYTES, 0])
+def test_scores_by_the_same_probes(odd, documents, filter_bytes):
+    """The filter broadcast, and probed in parts."""
+    for docs in (odd.filter("doc_id <> 6 or doc_id is null"), documents.filter("n_chars < 1500")):
+        want = scores_by_hand([(row.doc_id, row.text) for row in docs.collect()])
+        got = lm_scoring.lm_scores(docs, filter_bytes).collect()
+        assert sum(map(len, want.values())) == len(got) > 10
+        for row in got:
+            assert row.score == pytest.approx(want[row.doc_id][0], rel=1e-6, abs=1e-6)
+
+
+def test_both_layouts_give_the_same(documents, no_rows):
+    one, other = (sorted(map(tuple, lm_scoring.lm_scores(documents, size).collect())) for size in (lm_scoring.FILTER_BYTES, 0))
+    assert one == other and len(one) == 200
+    assert lm_scoring.lm_scores(no_rows, 0).count() == 0
+
+
+def test_the_bound_of_the_filter_holds():
+    chance = np.random.default_rng(8)
+    for size in (0, 1, 10, 1000, 40_000):
+        hashes = np.unique(chance.integers(0, 1 << 63, size, dtype=np.uint64))
+        counts = (chance.pareto(1.0, len(hashes)) + 1).astype(np.int64)
+        assert len(lm_scoring.filter_part(hashes, counts)) <= lm_scoring.most_filter_bytes(int(counts.sum()), 1)
+
+
+def test_blocks_are_cut_by_tokens(monkeypatch):
     # Blocks are cut in the workers, so the bound is bound into the function that they get.
     batches = [type("Batch", (), {"column": lambda self, name: type("C", (), {"to_pylist": lambda s: ["a b", "c " * 9, "d"]})()})()]
     monkeypatch.setattr(lm_scoring, "BLOCK_TOKENS", 5)
@@ -94,7 +151,7 @@ def test_word_filter_grows_with_its_entries(documents):
     rows = [(r.doc_id, r.text) for r in documents.collect()]
     counted = Counter(t for i, text in rows if zlib.crc32(str(i).encode()) % 7 != 2 for t in tokens(text))
     blocks = lm_scoring.blocks_of(documents.withColumn("held_out", lm_scoring.remainder(lm_scoring.F.col("doc_id"), 7) == 2))
-    words = lm_scoring.word_counts(blocks, lm_scoring.segments_of(blocks)).filter("block >= 0").collect()
+    words = lm_scoring.word_counts(blocks, lm_scoring.segments_of(lm_scoring.tokens_in(blocks))).filter("block >= 0").collect()
     exact = np.concatenate([np.frombuffer(zlib.decompress(row["data"]), np.int64) for row in words])
     levels = np.concatenate([np.frombuffer(zlib.decompress(row["levels"]), np.uint8) for row in words])
     want = np.where(exact > 0, np.log2(np.maximum(exact, 1)).astype(np.int64) + 1, 0)
