@@ -10,9 +10,9 @@ A class is a connected component of links; its id is its least doc_id.
 
 Equal texts (as words) are one representative from the start, so copies cost nothing further. Texts of a
 band's bucket are compared with its leader (its least id) first, which joins most of them. Where a
-bucket still holds several classes, its texts are cut into blocks of bounded size, each two blocks meet
-in one task, and that compares exactly all texts of different classes. It returns no pairs but links
-that join classes. So every two texts that share a band are compared or in one class.
+bucket still holds several classes, its texts are cut into blocks of bounded size, by class, each two blocks
+of different classes meet in one task, and that compares exactly all texts of different classes. It returns
+no pairs but links that join classes. So every two texts that share a band are compared or in one class.
 
 Null and empty texts, and texts without words, are classes of their own; so are rows without doc_id,
 with a null class. Rows that repeat a doc_id are one document; if their texts differ, that with the least
@@ -30,7 +30,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from benchledger.llm.common import LOWER_AZ, mix, slices, texts_of
@@ -201,7 +201,7 @@ def inverse_frequencies(documents: DataFrame) -> np.ndarray:
         """The counts by segment and, as segment -1, the hash of every row's words."""
         total, seen = np.zeros(buckets, np.int64), 0
         names = ["segment", "counts", "documents", "own_id", "text_hash"]
-        for batch in batches:
+        for batch in slices(batches, "text"):
             texts = [words_of(text) for text in texts_of(batch, "text")]
             for words in texts:
                 add(total, words, 1)
@@ -215,7 +215,7 @@ def inverse_frequencies(documents: DataFrame) -> np.ndarray:
     def copied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """What further copies have added, below 0."""
         total, seen = np.zeros(buckets, np.int64), 0
-        for batch in batches:
+        for batch in slices(batches, "text"):
             for text, more in zip(texts_of(batch, "text"), batch.column("more").to_pylist(), strict=True):
                 add(total, words_of(text), -more)
                 seen -= more
@@ -360,36 +360,71 @@ def linked(signatures: DataFrame, documents: DataFrame, idf: np.ndarray, thresho
     pool = settle(rows.join(leaders, BUCKET), "near-pool")
     texts = texts_of_ids(documents, pool.groupBy("doc_id").agg(F.max("n").alias("n")))
 
+    sized = texts.select("doc_id", F.octet_length("text").alias("bytes"))
+
     # A leader meets its texts in parts of bounded size; in a part, all texts are compared.
     led = pool.filter("leader <> doc_id").select("leader", "doc_id").distinct()
-    parts = led.groupBy("leader").agg(F.ceil(F.count("*") / BLOCK_TEXTS).cast("int").alias("parts"))
+    parts = led.join(sized, "doc_id").groupBy("leader").agg(blocks_for("doc_id", "bytes").alias("parts"))
     members = led.join(parts, "leader").select("leader", "doc_id", F.pmod(F.xxhash64("doc_id"), "parts").cast("int").alias("part"))
     themselves = parts.select("leader", F.col("leader").alias("doc_id"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
     met = members.union(themselves).withColumn("class_id", F.col("doc_id"))
     with_leaders = settle(links_of(met, ["leader", "part"], texts, idf, threshold), "near-links")
     classes = components(with_leaders).withColumnRenamed("node", "doc_id")
 
-    # Buckets that hold several classes still, in blocks of which each two meet.
+    # Buckets that hold several classes still.
     placed = settle(
         pool.join(classes, "doc_id", "left")
-        .join(texts.select("doc_id", F.octet_length("text").alias("bytes")), "doc_id")
+        .join(sized, "doc_id")
         .select(*BUCKET, "doc_id", F.coalesce("class_id", "doc_id").alias("class_id"), "bytes"),
         "near-placed",
     )
-    blocks = F.greatest(F.ceil(F.count("*") / BLOCK_TEXTS), F.ceil(F.sum("bytes") / BLOCK_BYTES)).cast("int")
     open_ = (
         placed.groupBy(*BUCKET)
-        .agg(blocks.alias("blocks"), F.min("class_id").alias("least"), F.max("class_id").alias("greatest"))
+        .agg(blocks_for("doc_id", "bytes").alias("blocks"), F.min("class_id").alias("least"), F.max("class_id").alias("greatest"))
         .filter("least <> greatest")
         .select(*BUCKET, "blocks")
     )
-    own = F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int")
-    met = (
-        placed.join(open_, BUCKET)
-        .select(*BUCKET, "doc_id", "class_id", own.alias("own"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-        .select(*BUCKET, F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "doc_id", "class_id")
+    left = settle(placed.join(open_, BUCKET), "near-open")
+    one = left.filter("blocks = 1").select(*BUCKET, F.lit(0).cast("bigint").alias("pair"), "doc_id", "class_id")
+    met = one.unionByName(paired(left.filter("blocks > 1")))
+    return with_leaders.unionByName(links_of(met, [*BUCKET, "pair"], texts, idf, threshold))
+
+
+def blocks_for(texts: str, size: str) -> Column:
+    """How many blocks a group's texts need."""
+    return F.greatest(F.ceil(F.count(texts) / BLOCK_TEXTS), F.ceil(F.sum(size) / BLOCK_BYTES)).cast("int")
+
+
+def paired(rows: DataFrame) -> DataFrame:
+    """The rows of large buckets (with class_id and bytes) once for each ``pair`` of blocks in which they meet others.
+
+    A class that fills a block has blocks of its own, smaller classes share some. Each two blocks of a bucket
+    meet, and each shared one meets itself; but no two blocks of one class do, as its texts need not be compared.
+    So a large class costs its size for each other block, and not its square.
+    """
+    sizes = rows.groupBy(*BUCKET, "class_id").agg(blocks_for("doc_id", "bytes").alias("own"), F.sum("bytes").alias("bytes"), F.count("*").alias("n"))
+    alone = (F.col("n") >= BLOCK_TEXTS) | (F.col("bytes") >= BLOCK_BYTES)
+    sizes = settle(sizes.withColumn("owner", F.when(alone, F.col("class_id"))), "near-sizes")
+    few = sizes.filter("owner is null").groupBy(*BUCKET).agg(
+        F.greatest(F.ceil(F.sum("n") / BLOCK_TEXTS), F.ceil(F.sum("bytes") / BLOCK_BYTES)).cast("int").alias("shared")
+    )
+    sizes = sizes.join(few, BUCKET, "left")
+    # The blocks of a bucket: owned ones by class and number, shared ones by number.
+    owned = sizes.filter("owner is not null").select(*BUCKET, "owner", F.explode(F.sequence(F.lit(0), F.col("own") - 1)).alias("number"))
+    shared = few.select(*BUCKET, F.lit(None).cast("bigint").alias("owner"), F.explode(F.sequence(F.lit(0), F.col("shared") - 1)).alias("number"))
+    blocks = owned.unionByName(shared).withColumn("block", F.xxhash64(F.col("owner").isNull(), F.coalesce("owner", F.lit(0)), "number"))
+    blocks = settle(blocks, "near-blocks")
+    other = blocks.select(*BUCKET, F.col("owner").alias("other_owner"), F.col("block").alias("other"))
+    meeting = blocks.join(other, BUCKET).filter(
+        (F.col("block") <= F.col("other")) & ~F.coalesce(F.col("owner") == F.col("other_owner"), F.lit(False))
     )
-    return with_leaders.unionByName(links_of(met, [*BUCKET, "low", "high"], texts, idf, threshold))
+    meeting = meeting.withColumn("pair", F.xxhash64("block", "other"))
+    both = F.explode(F.array_distinct(F.array("block", "other")))
+    meeting = meeting.select(*BUCKET, "pair", both.alias("block"))
+    number = F.when(F.col("owner").isNull(), F.pmod(F.xxhash64("class_id"), F.col("shared"))).otherwise(F.pmod(F.xxhash64("doc_id"), F.col("own")))
+    placed = rows.drop("blocks", "bytes").join(sizes.select(*BUCKET, "class_id", "owner", "own", "shared"), [*BUCKET, "class_id"])
+    placed = placed.withColumn("block", F.xxhash64(F.col("owner").isNull(), F.coalesce("owner", F.lit(0)), number.cast("int")))
+    return placed.join(meeting, [*BUCKET, "block"]).select(*BUCKET, F.col("pair"), "doc_id", "class_id")
 
 
 @contextmanager

@@ -119,6 +119,30 @@ def test_texts_that_fail_their_leader_meet_the_others(spark, monkeypatch):
         assert {row.class_id for row in near.components(links).collect()} == {1}
 
 
+def test_blocks_of_one_class_do_not_meet(spark, monkeypatch):
+    """Of a bucket all texts of different classes meet, and a large class costs its size for each other block."""
+    monkeypatch.setattr(near, "BLOCK_TEXTS", 4)
+    chance = random.Random(1)
+    classes = [1] * 60 + [2] * 21 + [100 + n // 2 for n in range(15)]
+    rows = [(0, 7, n, class_, chance.randrange(50), 9) for n, class_ in enumerate(classes)]
+    rows += [(1, 7, n, 1 + n % 2, 5_000_000 if n < 3 else 10, 9) for n in range(9)]
+    made = spark.createDataFrame(rows, "band int, key bigint, doc_id bigint, class_id bigint, bytes bigint, blocks int")
+    groups = {}
+    for row in near.paired(made).collect():
+        groups.setdefault((row.band, row.key, row.pair), []).append((row.doc_id, row.class_id))
+    for band, size in ((0, len(classes)), (1, 9)):
+        met = {
+            frozenset((a, b))
+            for group, own in groups.items() if group[0] == band
+            for a, one in own for b, other in own if one != other
+        }
+        label = {doc_id: class_ for b, _, doc_id, class_, *_ in rows if b == band}
+        assert met == {frozenset((a, b)) for a in range(size) for b in range(a) if label[a] != label[b]}
+    blocks = 15 + 6 + 4
+    assert sum(len(own) for group, own in groups.items() if group[0] == 0) < blocks * len(classes)
+    assert sum((doc_id, 1) in own for doc_id in (0,) for own in groups.values()) < blocks - 10
+
+
 def test_blocks_compare_exactly(monkeypatch):
     chance = random.Random(2)
     base = [f"v{n % 90}" for n in range(150)]
