@@ -13,7 +13,8 @@ The base score takes exact word counts, which no worker could hold for a large c
 cut into blocks of tokens that are stored as places in the block's own list of word hashes. Lists are cut
 into segments of the hash. Each segment counts its words and pairs over all blocks, makes its part of the
 filter with 8 or more bits per entry, and counts of words and probed levels of both go back to the blocks.
-A block costs one entry per different word or pair, a hot one an entry per block. The number of segments
+A block costs one entry per different word or pair, a hot one an entry per block, and a row of the exchange
+only for the segments that it has entries of, so rows never outnumber entries. The number of segments
 follows the counted tokens.
 
 A null text has the end as its only token. Without training documents all counts are 0. Pairs of any count
@@ -78,9 +79,11 @@ def segment_of(hashes: np.ndarray, segments: int) -> np.ndarray:
     return ((hashes >> np.uint64(32)) * np.uint64(segments) >> np.uint64(32)).astype(np.int64)
 
 
-def cuts_of(ordered: np.ndarray, segments: int) -> np.ndarray:
-    """Where each segment starts in ascending hashes, and the end."""
-    return np.searchsorted(segment_of(ordered, segments), np.arange(segments + 1))
+def ranges_of(ordered: np.ndarray, segments: int) -> list[tuple[int, int, int]]:
+    """(segment, start, end) in ascending hashes of each segment that has some: as many as entries, at most."""
+    own, starts = np.unique(segment_of(ordered, segments), return_index=True)
+    ends = np.append(starts, len(ordered))[1:]
+    return list(zip(own.tolist(), starts.tolist(), ends.tolist(), strict=True))
 
 
 def summed(hashes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -260,14 +263,13 @@ def word_counts(blocks: DataFrame, segments: int) -> DataFrame:
             for block, listed, trained in zip(*columns, strict=True):
                 hashes = np.frombuffer(listed, np.uint64)
                 counts = np.frombuffer(zlib.decompress(trained), np.uint32)
-                cuts = cuts_of(hashes, segments)
-                ranges = [(a, b) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+                ranges = ranges_of(hashes, segments)
                 yield pa.record_batch(
                     [
-                        pa.array([block] * segments, pa.int64()),
-                        pa.array(range(segments), pa.int32()),
-                        pa.array([hashes[a:b].tobytes() for a, b in ranges], pa.binary()),
-                        pa.array([zlib.compress(counts[a:b].tobytes(), 1) for a, b in ranges], pa.binary()),
+                        pa.array([block] * len(ranges), pa.int64()),
+                        pa.array([segment for segment, _, _ in ranges], pa.int32()),
+                        pa.array([hashes[a:b].tobytes() for _, a, b in ranges], pa.binary()),
+                        pa.array([zlib.compress(counts[a:b].tobytes(), 1) for _, a, b in ranges], pa.binary()),
                     ],
                     names=["block", "segment", "hashes", "counts"],
                 )
@@ -305,14 +307,13 @@ def pairs_by_segment(blocks: DataFrame, segments: int) -> DataFrame:
                 hashes, own = np.unique(pairs_of(listed[places]), return_inverse=True)
                 learns = np.repeat(~np.array(row["held_out"], bool), row["sizes"])
                 trained = np.bincount(own[learns], minlength=len(hashes)).astype(np.uint32)
-                cuts = cuts_of(hashes, segments)
-                ranges = [(a, b) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+                ranges = ranges_of(hashes, segments)
                 yield pa.record_batch(
                     [
-                        pa.array([row["block"]] * segments, pa.int64()),
-                        pa.array(range(segments), pa.int32()),
-                        pa.array([packed(hashes[a:b]) for a, b in ranges], pa.binary()),
-                        pa.array([zlib.compress(trained[a:b].tobytes(), 1) for a, b in ranges], pa.binary()),
+                        pa.array([row["block"]] * len(ranges), pa.int64()),
+                        pa.array([segment for segment, _, _ in ranges], pa.int32()),
+                        pa.array([packed(hashes[a:b]) for _, a, b in ranges], pa.binary()),
+                        pa.array([zlib.compress(trained[a:b].tobytes(), 1) for _, a, b in ranges], pa.binary()),
                     ],
                     names=["block", "segment", "hashes", "counts"],
                 )

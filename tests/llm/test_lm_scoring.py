@@ -128,8 +128,7 @@ def test_filter_never_misses_and_rarely_invents():
     segments = 7
     order = np.argsort(hashes)
     hashes, counts = hashes[order], counts[order]
-    cuts = lm_scoring.cuts_of(hashes, segments)
-    parts = {s: lm_scoring.filter_part(hashes[a:b], counts[a:b]) for s, (a, b) in enumerate(zip(cuts[:-1], cuts[1:]))}
+    parts = {s: lm_scoring.filter_part(hashes[a:b], counts[a:b]) for s, a, b in lm_scoring.ranges_of(hashes, segments)}
     found = lm_scoring.Filter.of(parts, segments).counts(hashes)
     least = np.array([middle(c) for c in counts])
     assert (found >= least).all() and (found > least).mean() < 0.15
@@ -137,6 +136,19 @@ def test_filter_never_misses_and_rarely_invents():
     assert (lm_scoring.Filter.of(parts, segments).counts(other) > 0).mean() < 0.1
 
 
+def test_only_segments_with_entries_are_sent(spark, documents):
+    assert lm_scoring.ranges_of(np.zeros(0, np.uint64), 9) == []
+    hashes = np.sort(np.random.default_rng(4).integers(0, 1 << 64, 300, dtype=np.uint64))
+    ranges = lm_scoring.ranges_of(hashes, 1000)
+    assert len(ranges) <= 300 and [a for _, a, _ in ranges][1:] == [b for *_, b in ranges][:-1] and ranges[-1][2] == 300
+    assert all((lm_scoring.segment_of(hashes[a:b], 1000) == s).all() for s, a, b in ranges)
+    few = documents.limit(3).withColumn("held_out", lm_scoring.F.lit(False))
+    blocks = lm_scoring.blocks_of(few)
+    entries = sum(len(row.listed) // 8 for row in blocks.collect())
+    words = lm_scoring.word_counts(blocks, 100_000).filter("block >= 0")
+    assert 0 < words.count() <= entries
+
+
 def test_word_filter_grows_with_its_entries(documents):
     """All words are found, few of them too often."""
     chance = np.random.default_rng(5)
