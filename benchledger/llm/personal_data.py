@@ -15,7 +15,7 @@ and each kind's threshold is the lowest score from which the labels of held-out
 always stay.
 
 Offsets are code points, end exclusive. Null and empty texts have no spans. Without candidates to learn
-from nothing is added. Repeated rows are judged alike; other columns, whatever their names, are left as they are.
+from nothing is added. Work in a text follows its length and n log n of its spans. Repeated rows are judged alike; other columns, whatever their names, are left as they are.
 """
 
 from __future__ import annotations
@@ -75,40 +75,53 @@ PHONE_DIGITS = (2, 3, 4)
 CELLS = math.prod(FEATURES.values()) * 6
 ROUNDS, RATE, DEPTH = 40, 0.3, 3
 PRECISION = 0.99
+#: Values stepped over with one copied array.
 BLOCK = 128
+#: Code points of a piece of a text that is rebuilt.
+PIECE = 4096
 
 
-def running_ends(lengths: Column) -> Column:
-    """Sums of the first 1, 2, ... lengths. Blocks keep the number of copied elements small."""
+def scanned(values: Column, start: Column, step: Callable[[Column, Column], Column], of: str) -> Column:
+    """``start`` stepped over the values: an array of the state (of type ``of``) after each.
+
+    Blocks keep the number of copied elements small.
+    """
+    none = F.array().cast(f"array<{of}>")
 
-    def add(state: Column, value: Column) -> Column:
-        last = F.try_element_at(state, F.lit(-1))
-        return F.concat(state, F.array(last + value))
+    def block(state: Column, number: Column) -> Column:
+        def add(made: Column, value: Column) -> Column:
+            return F.array_append(made, step(F.coalesce(F.try_element_at(made, F.lit(-1)), state["last"]), value))
 
-    def sums(values: Column) -> Column:
-        return F.aggregate(values, F.array().cast("array<int>"), lambda s, v: F.when(F.size(s) == 0, F.array(v)).otherwise(add(s, v)))
+        def closed(made: Column) -> Column:
+            return F.struct(F.element_at(made, -1).alias("last"), F.array_append(state["done"], made).alias("done"))
 
-    def blocks(own: Column) -> Column:
-        numbers = F.sequence(F.lit(0), F.floor((F.size(own) - 1) / BLOCK).cast("int"))
-        parts = F.transform(numbers, lambda number: sums(F.slice(own, number * BLOCK + 1, F.lit(BLOCK))))
+        return F.aggregate(F.slice(values, number * BLOCK + 1, F.lit(BLOCK)), none, add, closed)
 
-        def shifted(ready: Column) -> Column:
-            totals = sums(F.transform(ready, lambda part: F.element_at(part, -1)))
-            return let(
-                totals,
-                lambda ends: F.flatten(
-                    F.transform(
-                        ready,
-                        lambda part, at: let(
-                            F.coalesce(F.get(ends, at - 1), F.lit(0)), lambda base: F.transform(part, lambda end: end + base)
-                        ),
-                    )
-                ),
-            )
+    first = F.struct(start.cast(of).alias("last"), F.array().cast(f"array<array<{of}>>").alias("done"))
+    numbers = F.sequence(F.lit(0), F.floor((F.size(values) - 1) / BLOCK).cast("int"))
+    return F.when(F.size(values) == 0, none).otherwise(F.aggregate(numbers, first, block, lambda state: F.flatten(state["done"])))
 
-        return let(parts, shifted)
 
-    return F.when(F.size(lengths) == 0, F.array().cast("array<int>")).otherwise(let(lengths, blocks))
+def running_ends(lengths: Column) -> Column:
+    """Sums of the first 1, 2, ... lengths."""
+    return let(lengths, lambda own: scanned(own, F.lit(0), lambda end, length: end + length, "int"))
+
+
+def count_below(ordered: Column, limit: Column) -> Column:
+    """How many of the ascending numbers are below ``limit``, by halving."""
+
+    def halve(state: Column, _: Column) -> Column:
+        middle = F.shiftright(state["low"] + state["high"], 1)
+        below = F.get(ordered, middle) < limit
+        open_ = state["low"] < state["high"]
+        return F.struct(
+            F.when(open_ & below, middle + 1).otherwise(state["low"]).alias("low"),
+            F.when(open_ & ~below, middle).otherwise(state["high"]).alias("high"),
+        )
+
+    steps = F.sequence(F.lit(0), F.floor(F.log2(F.size(ordered) + 1)).cast("int"))
+    whole = F.struct(F.lit(0).alias("low"), F.size(ordered).alias("high"))
+    return F.aggregate(steps, whole, halve, lambda state: state["low"])
 
 
 def matches_of(text: Column, pattern: str) -> Column:
@@ -205,32 +218,50 @@ def candidates_of(text: Column, kind: str, loose: bool) -> Column:
     return F.when(text.rlike(NEEDS[kind, not loose]), found).otherwise(empty)
 
 
+def apart_from(spans: Column, others: Column) -> Column:
+    """The spans that overlap none of the others, in n log n."""
+
+    def among(own: Column) -> Column:
+        starts = F.transform(own, lambda o: o["start"])
+        # The greatest end among the first others tells whether any of them reaches over a place.
+        reach = scanned(own, F.lit(0), lambda end, o: F.greatest(end, o["end"]), "int")
+
+        def free(known: Column) -> Column:
+            def alone(span: Column) -> Column:
+                before = count_below(known["starts"], span["end"])
+                return F.coalesce(F.get(known["reach"], before - 1), F.lit(0)) <= span["start"]
+
+            return F.filter(spans, alone)
+
+        return let(F.struct(starts.alias("starts"), reach.alias("reach")), free)
+
+    placed = F.array_sort(F.transform(others, lambda o: F.struct(o["start"].alias("start"), o["end"].alias("end"))))
+    return F.when((F.size(spans) == 0) | (F.size(others) == 0), spans).otherwise(let(placed, among))
+
+
 def all_candidates(text: Column) -> Column:
-    """Every candidate; loose ones that a strict generator proposes too are left out."""
+    """Every candidate; loose ones that overlap a base span are left out."""
     strict = F.concat(*[candidates_of(text, kind, False) for kind in KINDS])
     loose = F.concat(*[candidates_of(text, kind, True) for kind in KINDS])
 
     def with_loose(own: Column) -> Column:
         # Most texts have no loose candidate at all.
-        new = F.filter(
-            loose, lambda c: ~F.exists(own, lambda s: (s["valid"] == 1) & (s["start"] < c["end"]) & (s["end"] > c["start"]))
-        )
-        return F.concat(own, new)
+        return F.concat(own, let(loose, lambda new: apart_from(new, F.filter(own, lambda s: s["valid"] == 1))))
 
     return let(strict, with_loose)
 
 
 @dataclass(frozen=True)
 class Node:
-    """A leaf's value, or a test ``feature <= limit``."""
+    """A leaf's value in millionths, so that sums are exact everywhere, or a test ``feature <= limit``."""
 
-    value: float = 0.0
+    value: int = 0
     feature: str = ""
     limit: int = 0
     low: Node | None = None
     high: Node | None = None
 
-    def of(self, row: dict[str, int]) -> float:
+    def of(self, row: dict[str, int]) -> int:
         if not self.feature:
             return self.value
         return (self.low if row[self.feature] <= self.limit else self.high).of(row)
@@ -246,14 +277,14 @@ class Model:
     trees: tuple[Node, ...]
     thresholds: tuple[float, ...]
 
-    def score(self, row: dict[str, int]) -> float:
+    def score(self, row: dict[str, int]) -> int:
         return sum(tree.of(row) for tree in self.trees)
 
     def accepts(self, candidate: Column) -> Column:
         """Whether a candidate's score reaches the threshold of its kind."""
         if not self.trees:
             return F.lit(False)
-        score = F.lit(0.0)
+        score = F.lit(0)
         for tree in self.trees:
             score = score + tree.column(lambda name: candidate[name])
         limit = F.lit(math.inf)
@@ -281,7 +312,7 @@ def grow(cells: list[tuple[dict[str, int], float, float]], depth: int) -> Node:
                     best = (better, feature, limit)
     _, feature, limit = best
     if not feature:
-        return Node(value=round(RATE * gradient / (curvature + 1.0), 6))
+        return Node(value=round(1e6 * RATE * gradient / (curvature + 1.0)))
     low = [c for c in cells if c[0][feature] <= limit]
     high = [c for c in cells if c[0][feature] > limit]
     return Node(feature=feature, limit=limit, low=grow(low, depth - 1), high=grow(high, depth - 1))
@@ -293,11 +324,11 @@ def boost(counted: list[tuple[dict[str, int], bool, int, int]]) -> Model:
     if not learn:
         return Model((), ())
     trees: list[Node] = []
-    scores = [0.0] * len(learn)
+    scores = [0] * len(learn)
     for _ in range(ROUNDS):
         cells = []
         for (row, good, bad), score in zip(learn, scores, strict=True):
-            chance = 1 / (1 + math.exp(-score))
+            chance = 1 / (1 + math.exp(-score / 1e6))
             cells.append((row, good - (good + bad) * chance, (good + bad) * chance * (1 - chance)))
         trees.append(tree := grow(cells, DEPTH))
         scores = [score + tree.of(row) for score, (row, _, _) in zip(scores, learn, strict=True)]
@@ -343,6 +374,12 @@ def fit(documents: DataFrame) -> Model:
 SPAN = "struct<start:int,kind:int,end:int>"
 
 
+def leftmost(spans: Column) -> Column:
+    """Of spans by start, each that begins where the last one taken has ended."""
+    ends = scanned(spans, F.lit(0), lambda end, s: F.when(s["start"] >= end, s["end"]).otherwise(end), "int")
+    return let(ends, lambda own: F.filter(spans, lambda s, at: F.coalesce(F.get(own, at - 1), F.lit(0)) <= s["start"]))
+
+
 def find(documents: DataFrame, model: Model) -> DataFrame:
     """The rows with ``base`` and ``spans`` (base and added): arrays of (start, kind, end), in order.
 
@@ -357,11 +394,7 @@ def find(documents: DataFrame, model: Model) -> DataFrame:
         base = F.array_sort(F.transform(F.filter(own, lambda c: (c["loose"] == 0) & (c["valid"] == 1)), span))
         added = F.array_sort(F.transform(F.filter(own, lambda c: (c["loose"] == 1) & model.accepts(c)), span))
 
-        def apart(kept: Column, one: Column) -> Column:
-            free = (F.size(kept) == 0) | (F.element_at(kept, -1)["end"] <= one["start"])
-            return F.when(free, F.array_append(kept, one)).otherwise(kept)
-
-        new = F.aggregate(added, F.array().cast(f"array<{SPAN}>"), apart)
+        new = let(added, leftmost)
         return let(base, lambda b: F.struct(b.alias("base"), F.array_sort(F.concat(b, new)).alias("spans")))
 
     found = F.explode(F.array(let(all_candidates(text), selected))).alias("_found")
@@ -376,29 +409,49 @@ def joined(spans: Column) -> Column:
     return F.array_join(F.transform(spans, one), ",")
 
 
-def redacted(text: Column, spans: Column) -> Column:
-    """The text with ``[KIND]`` for every span; of overlapping spans, for all together, the first's kind."""
+def merged(spans: Column) -> Column:
+    """Spans by start, of which those that overlap are one with the first's kind."""
 
-    def union(state: Column, one: Column) -> Column:
-        last = F.element_at(state, -1)
+    def union(last: Column, one: Column) -> Column:
         longer = F.struct(last["start"].alias("start"), last["kind"].alias("kind"), F.greatest(last["end"], one["end"]).alias("end"))
-        joins = (F.size(state) > 0) & (F.try_element_at(state, F.lit(-1))["end"] > one["start"])
-        return F.when(joins, F.array_append(F.slice(state, F.lit(1), F.size(state) - 1), longer)).otherwise(
-            F.array_append(state, one)
-        )
+        return F.when(one["start"] < last["end"], longer).otherwise(one)
+
+    def last_of_each(states: Column) -> Column:
+        return F.filter(states, lambda s, at: F.coalesce(F.get(states, at + 1)["start"] != s["start"], F.lit(True)))
+
+    first = F.struct(*[F.lit(0).alias(name) for name in ("start", "kind", "end")])
+    return let(scanned(spans, first, union, SPAN), last_of_each)
+
+
+def between(pieces: Column, start: Column, end: Column) -> Column:
+    """The text from ``start`` to ``end`` out of its pieces of ``PIECE`` code points each."""
+
+    def part(number: Column) -> Column:
+        low = F.greatest(start - number * PIECE, F.lit(0))
+        return F.substring(F.get(pieces, number), low + 1, F.least(end - number * PIECE, F.lit(PIECE)) - low)
+
+    numbers = F.sequence(F.floor(start / PIECE).cast("int"), F.floor((end - 1) / PIECE).cast("int"))
+    return F.when(end > start, F.array_join(F.transform(numbers, part), "")).otherwise("")
+
+
+def redacted(text: Column, spans: Column) -> Column:
+    """The text with ``[KIND]`` for every span; of overlapping spans, for all together, the first's kind."""
+    labels = F.array(*[F.lit(f"[{kind.upper()}]") for kind in KINDS])
 
-    def rebuilt(apart: Column) -> Column:
-        labels = F.array(*[F.lit(f"[{kind.upper()}]") for kind in KINDS])
+    def rebuilt(known: Column) -> Column:
+        apart, pieces = known["apart"], known["pieces"]
 
-        def piece(one: Column, at: Column) -> Column:
+        def replaced(one: Column, at: Column) -> Column:
             before = F.coalesce(F.get(apart, at - 1)["end"], F.lit(0))
-            return F.concat(F.substring(text, before + 1, one["start"] - before), F.get(labels, one["kind"]))
+            return F.concat(between(pieces, before, one["start"]), F.get(labels, one["kind"]))
 
-        rest = F.substring(text, F.element_at(apart, -1)["end"] + 1, F.length(text))
-        return F.concat(F.array_join(F.transform(apart, piece), ""), rest)
+        rest = between(pieces, F.element_at(apart, -1)["end"], F.length(text))
+        return F.concat(F.array_join(F.transform(apart, replaced), ""), rest)
 
-    merged = F.aggregate(spans, F.array().cast(f"array<{SPAN}>"), union)
-    return F.when(F.size(spans) > 0, let(merged, rebuilt)).otherwise(text)
+    # A text's own places are counted from its start each time; those of a short piece soon are found.
+    pieces = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{PIECE}}}"), F.lit(0))
+    known = F.struct(merged(spans).alias("apart"), pieces.alias("pieces"))
+    return F.when(F.size(spans) > 0, let(known, rebuilt)).otherwise(text)
 
 
 def personal_data(documents: DataFrame) -> DataFrame:

@@ -1,5 +1,7 @@
 import hashlib
+import random
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -119,3 +121,63 @@ def test_cued_phone_of_any_form_is_added(spark):
     found = {row.text: [tuple(s) for s in row.spans] for row in personal_data.find(docs, personal_data.fit(docs)).collect()}
     assert found[made[0]] == [(5, 3, 17)] and found[made[1]] == [(6, 3, 19)]
     assert found[made[2]] == found[made[3]] == found[made[4]] == [] and len(found[made[5]]) == 1
+
+
+def spans_of(seed, size, length, widest=9):
+    chance = random.Random(seed)
+    starts = sorted(chance.randrange(length) for _ in range(size))
+    return [(a, chance.randrange(4), min(length, a + chance.randint(1, widest))) for a in starts]
+
+
+SIZES = [(0, 50), (1, 50), (7, 50), (127, 900), (128, 3000), (129, 3000), (700, 9000), (900, 4097)]
+
+
+def test_span_steps_equal_brute_force(spark):
+    made = [(n, spans_of(n, size, length), spans_of(n + 50, size // 3, length)) for n, (size, length) in enumerate(SIZES)]
+    made += [(20, spans_of(1, 9, 50), []), (21, [], spans_of(1, 9, 50)), (22, [(0, 0, 5), (5, 1, 9)], [(5, 0, 9), (5, 1, 6)])]
+    docs = spark.createDataFrame(made, f"n int, a array<{personal_data.SPAN}>, b array<{personal_data.SPAN}>")
+    got = docs.select(
+        "n", personal_data.apart_from(F.col("a"), F.col("b")).alias("apart"), personal_data.leftmost(F.col("a")).alias("left")
+    )
+    by_number = {row.n: row for row in got.collect()}
+    for n, a, b in made:
+        assert [tuple(s) for s in by_number[n].apart] == [s for s in a if not any(o[0] < s[2] and o[2] > s[0] for o in b)]
+        taken = []
+        for span in a:
+            if not taken or taken[-1][2] <= span[0]:
+                taken.append(span)
+        assert [tuple(s) for s in by_number[n].left] == taken
+
+
+def test_redaction_equals_brute_force(spark):
+    chance = random.Random(9)
+    rows, want = [], []
+    for n, (size, length) in enumerate(SIZES):
+        text = "".join(chance.choice("ab \n\r\u2028é日😀") for _ in range(length))
+        spans = spans_of(n, size, length, widest=5000 if n == 6 else 9)
+        rows.append((n, text, spans))
+        out, at = "", 0
+        for place, (start, kind, end) in enumerate(spans):
+            if place == 0 or start >= at:
+                out += text[at:start] + f"[{personal_data.KINDS[kind].upper()}]"
+            at = max(at, end)
+        want.append(out + text[at:])
+    docs = spark.createDataFrame(rows, f"n int, text string, spans array<{personal_data.SPAN}>").orderBy("n")
+    assert [row[0] for row in docs.select(personal_data.redacted(F.col("text"), F.col("spans"))).collect()] == want
+
+
+def test_long_text_of_nothing_but_candidates(spark):
+    unit = "10.20.30.40 call +1 555 123 4567, tel 555-123-4567 or 300.1.1.1; "
+    text = unit * (2_000_000 // len(unit))
+    docs = spark.createDataFrame([(n, unit) for n in range(50)], "doc_id bigint, text string")
+    model = personal_data.fit(docs)
+    long = spark.createDataFrame([(1, text)], "doc_id bigint, text string")
+    start = time.monotonic()
+    found = personal_data.find(long, model).select("spans", personal_data.redacted(F.col("text"), F.col("spans")).alias("out")).collect()[0]
+    taken = time.monotonic() - start
+    units = len(text) // len(unit)
+    one = [(0, 1, 11), (17, 3, 32), (38, 3, 50)]
+    assert [tuple(s) for s in found.spans] == [(a + n * len(unit), k, b + n * len(unit)) for n in range(units) for a, k, b in one]
+    assert found.out == "[IP] call [PHONE], tel [PHONE] or 300.1.1.1; " * units
+    assert taken < 40  # hours, were it the square
+    print(f"taken {taken:.1f} s")
