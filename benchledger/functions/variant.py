@@ -6,6 +6,8 @@ the rest: what a new version of the load generator writes can be listed, counted
 
 from __future__ import annotations
 
+from itertools import pairwise
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,12 +26,12 @@ def with_variant(df: DataFrame, stdout: str = "stdout") -> DataFrame:
     decoded = parse.compute_once(found, "output", F.try_parse_json("_json"))
     # Null where a field is of another type.
     struct = F.try_variant_get("output", "$", parse.OUTPUT_SCHEMA)
-    checked = parse.compute_once(decoded, "_declared", struct).withColumn("_complete", parse.is_complete(F.col("_declared")))
-    complete = F.col("_complete")
+    checked = parse.compute_if_complete(decoded, struct, "declared")
+    complete = F.col("declared").isNotNull()
     return checked.select(
         *others,
         "output",
-        F.when(complete, F.col("_declared")).alias("declared"),
+        "declared",
         F.when(F.col("_none"), "no_stdout")
         .when(F.col("_json").isNull(), "missing_json")
         .when(complete, "parsed")
@@ -46,40 +48,40 @@ def field(output: Column, path: str, kind: str) -> Column:
 def output_fields(df: DataFrame, output: str = "output") -> DataFrame:
     """(path, kind, outputs): every field of a set of outputs, what it holds, and in how many outputs.
 
-    Objects are opened level by level; an array is a field of its own. A field that holds different kinds has a
-    row for each.
+    Objects are opened level by level where the output lies; an array is a field of its own. A field that holds different
+    kinds has a row for each.
     """
-    rows = df.filter(F.col(output).isNotNull()).select(F.lit("$").alias("path"), F.col(output).alias("value"))
-    found = []
-    for _ in range(LEVELS):
-        rows = _opened(rows)
-        found.append(rows.select("path", _kind(F.col("value")).alias("kind")))
-    fields = found[0]
-    for level in found[1:]:
-        fields = fields.unionByName(level)
-    return fields.groupBy("path", "kind").agg(F.count("*").alias("outputs"))
+    opened = F.array(F.struct(F.lit("$").alias("path"), F.col(output).alias("value"), F.lit("object").alias("kind")))
+    rows = df.filter(_kind(F.col(output)) == "object").select(opened.alias("_0"))
+    levels = [f"_{level}" for level in range(LEVELS + 1)]
+    for above, level in pairwise(levels):
+        rows = parse.compute_once(rows, level, _fields(F.col(above)))
+    # Outputs of one layout, of which there are few, are one row before their fields are rows.
+    layout = F.concat(*[F.transform(level, lambda f: F.struct(f["path"], f["kind"])) for level in levels[1:]])
+    layouts = rows.groupBy(layout.alias("_layout")).agg(F.count("*").alias("outputs"))
+    fields = layouts.select(F.explode("_layout").alias("_field"), "outputs").select("_field.*", "outputs")
+    return fields.groupBy("path", "kind").agg(F.sum("outputs").alias("outputs"))
 
 
-def _is_object(value: Column) -> Column:
-    return F.schema_of_variant(value).startswith("OBJECT")
+#: What a type of ``schema_of_variant`` begins with; the others are numbers.
+KINDS = {"OBJECT": "object", "ARRAY": "array", "STRING": "string", "BOOLEAN": "boolean", "VOID": "null"}
 
 
 def _kind(value: Column) -> Column:
-    """``object``, ``array``, ``string``, ``boolean``, ``null`` or ``number``."""
-    schema = F.schema_of_variant(value)
-    return (
-        F.when(schema.startswith("OBJECT"), "object")
-        .when(schema.startswith("ARRAY"), "array")
-        .when(schema == "STRING", "string")
-        .when(schema == "BOOLEAN", "boolean")
-        .when(schema == "VOID", "null")
-        .otherwise("number")
-    )
+    """``object``, ``array``, ``string``, ``boolean``, ``null`` or ``number``. Asks for the type once."""
+    first = F.substring_index(F.substring_index(F.schema_of_variant(value), "<", 1), "(", 1)
+    kinds = F.create_map(*[F.lit(word) for pair in KINDS.items() for word in pair])
+    return F.coalesce(F.try_element_at(kinds, first), F.lit("number"))
+
+
+def _fields(opened: Column) -> Column:
+    """(path, value, kind) of every field of the objects among the given ones."""
 
+    def fields(row: Column) -> Column:
+        entries = F.map_entries(F.try_variant_get(row["value"], "$", "map<string,variant>"))
+        return F.transform(
+            entries,
+            lambda e: F.struct(F.concat_ws(".", row["path"], e["key"]).alias("path"), e["value"].alias("value"), _kind(e["value"]).alias("kind")),
+        )
 
-def _opened(rows: DataFrame) -> DataFrame:
-    """The fields of the objects among the values, with their paths."""
-    fields = F.try_variant_get("value", "$", "map<string,variant>")
-    return rows.filter(_is_object(F.col("value"))).select(
-        F.col("path"), F.explode(fields).alias("name", "value")
-    ).select(F.concat_ws(".", "path", "name").alias("path"), "value")
+    return F.flatten(F.transform(F.filter(opened, lambda row: row["kind"] == "object"), fields))
