@@ -181,3 +181,11 @@ def test_reachability_equals_brute_force(spark, blocks):
     ranges = spark.createDataFrame(asked, "range_id string, walk_id string, branch string, start_id string")
     got = {row.range_id: row.cut for row in reachability.range_cuts(cut, chain, ranges).collect()}
     assert got == expected
+
+
+def test_the_blocks_of_an_index_can_be_walked(spark):
+    histories = {"a": random_history(7, 60)}
+    blocks = built(spark, histories, (0, 40, 60)).blocks()
+    walks = spark.createDataFrame([("w", "a", commit_id(59))], WALKS)
+    got = walked(commits.first_parent_log(blocks, walks))["w"]
+    assert got == [commit_id(i) for i in first_parents(histories["a"][0], 59)]

@@ -176,3 +176,25 @@ def test_missing_branches_is_a_bag_difference(spark):
     configured = spark.createDataFrame([("a",), ("a",), ("b",)], "branch string")
     refs = spark.createDataFrame([("refs/heads/a",), ("refs/heads/c",)], "ref_name string")
     assert sorted(r.branch for r in commits.missing_branches(configured, refs).collect()) == ["a", "b"]
+
+
+def test_blocks_are_shortened_where_they_are_dealt_out(spark):
+    histories = {"a": random_history(11, 150), "b": random_history(12, 60)}
+    rows = commits.commit_blocks(frame(spark, histories), 20).rows.collect()
+    at = {(row.branch, row.commit_id): row for row in rows}
+    assert len(at) == len(rows) == 210 and len({row.block for row in rows}) >= 8
+    for row in rows:
+        here, hops = row, 0
+        while here.parents and (up := at[row.branch, here.parents[0]]).block == row.block:
+            here, hops = up, hops + 1
+            assert hops > 1 or row.up == up.row
+        assert (row.last, row.hops) == (here.row, hops) and (row.up is None) == (hops == 0)
+        assert row.out_id == (here.parents[0] if here.parents else None)
+
+
+def test_a_commit_that_the_log_holds_twice_counts_once(spark):
+    rows = frame(spark, {"a": random_history(13, 30)}).collect()
+    later = [(r.branch, r.commit_id, r.commit_time + dt.timedelta(days=9), []) for r in rows[::3]]
+    log = spark.createDataFrame([*map(tuple, rows), *later], LOG_SCHEMA)
+    found = commits.commit_blocks(log, 7).rows.select("branch", "commit_id", "commit_time", "parents").collect()
+    assert sorted(map(tuple, found)) == sorted(map(tuple, rows))
