@@ -1,3 +1,5 @@
+import itertools
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -93,3 +95,26 @@ def test_display_and_measured_execution(spark):
     ).first()
     assert row.text == "Requests/s: 25000.0, Mean latency: 1.2505, Latency 95%: 2.5"
     assert (row.last, row.none) == ("measured", None)
+
+
+def pieces_of(text):
+    """As ``split`` of the marker that leaves out empty pieces at the end."""
+    pieces = text.split(parse.MARKER)
+    while pieces and not pieces[-1]:
+        pieces.pop()
+    return pieces[1] if len(pieces) > 1 else None
+
+
+def test_json_piece_of_all_orders_of_markers(spark):
+    texts = ["".join(parts) for count in range(6) for parts in itertools.product(["JSON:", "é{}", "JSON"], repeat=count)]
+    rows = spark.createDataFrame([(text,) for text in [*texts, None]], "stdout string")
+    found = {row["stdout"]: row["piece"] for row in rows.select("stdout", parse.json_piece(F.col("stdout")).alias("piece")).collect()}
+    assert found.pop(None) is None
+    assert found == {text: pieces_of(text) for text in texts}
+
+
+def test_a_piece_is_cut_without_counting_characters():
+    # What counts them stands behind the test for an empty piece, and is there once.
+    cut = str(parse.json_piece(F.col("stdout")))
+    assert cut.count("length(stdout)") == 1
+    assert cut.index("split_part") < cut.index("length(stdout)")
