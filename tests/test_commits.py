@@ -2,6 +2,7 @@ import datetime as dt
 import hashlib
 import random
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -198,3 +199,17 @@ def test_a_commit_that_the_log_holds_twice_counts_once(spark):
     log = spark.createDataFrame([*map(tuple, rows), *later], LOG_SCHEMA)
     found = commits.commit_blocks(log, 7).rows.select("branch", "commit_id", "commit_time", "parents").collect()
     assert sorted(map(tuple, found)) == sorted(map(tuple, rows))
+
+
+def test_a_block_in_pieces_is_placed_without_copying_the_rest():
+    ids = [f"c{i}" for i in range(9)]
+    columns = {"branch": ["a"] * 5 + ["b"] * 4, "commit_id": ids, "commit_time": list(range(9)), "_parent0": [None, *ids[:8]]}
+    whole = pa.table(columns)
+    pieces = pa.concat_tables([whole.slice(0, 3), whole.slice(3, 4), whole.slice(7)])
+    placed = commits._placed(pieces)
+    assert placed["commit_time"].num_chunks == 3
+    assert placed.equals(commits._placed(whole))
+    # A branch is followed on its own; its first commit goes on outside.
+    assert placed["last"].to_pylist() == [0] * 5 + [5] * 4
+    assert placed["hops"].to_pylist() == [0, 1, 2, 3, 4, 0, 1, 2, 3]
+    assert placed["out_id"].to_pylist() == [None] * 5 + ["c4"] * 4
