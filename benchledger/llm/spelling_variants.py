@@ -169,13 +169,22 @@ def keyed(words: DataFrame, counts: dict[str, int], asking: bool) -> DataFrame:
     return rows.withColumn("key", F.xxhash64("key"))
 
 
+def unbroadcast(rows: DataFrame) -> DataFrame:
+    """The rows for a join that shuffles and sorts both sides, whatever size Spark estimates.
+
+    Its estimate is that of the compressed file of words, and knows neither how many keys a word emits nor how long
+    words are; up to some size it would therefore collect tens of millions of keys in the driver, to broadcast them.
+    """
+    return rows.hint("merge")
+
+
 def near_pairs(words: DataFrame) -> DataFrame:
     """a, a_n, b, b_n: every two words that differ by one edit, once, a before b."""
     short = F.assert_true(F.length("word") >= 2 * GRAM, F.lit("pivotal grams need words of four or more code points"))
     words = words.filter(short.isNull())
     counts = gram_counts(words)
     asked = keyed(words, counts, asking=True).select("key", *[F.col(name).alias(f"own_{name}") for name in ("word", "n", "last")])
-    found = asked.join(keyed(words, counts, asking=False), "key").filter(
+    found = asked.join(unbroadcast(keyed(words, counts, asking=False)), "key").filter(
         (F.col("own_last") <= F.col("last")) & (F.levenshtein("own_word", "word", EDITS) == EDITS)
     )
     first = F.col("own_word") < F.col("word")
@@ -193,7 +202,7 @@ def roots(forms: DataFrame) -> DataFrame:
     step = settle(forms.select("word", F.col("form").alias("root")), "spelling-roots")
     while True:
         further = step.select(F.col("word").alias("root"), F.col("root").alias("further"))
-        stepped = step.join(further, "root", "left").select(
+        stepped = step.join(unbroadcast(further), "root", "left").select(
             "word", F.coalesce("further", "root").alias("root"), F.col("further").isNotNull().alias("moved")
         )
         step = settle(stepped, "spelling-roots")
@@ -220,7 +229,7 @@ def spelling_variants(words: DataFrame, ratio: int = RATIO) -> DataFrame:
     best_n = -F.col("best.less")
     enough = best_n >= ratio * F.col("n")
     formed = settle(
-        words.join(most, "word", "left").select(
+        words.join(unbroadcast(most), "word", "left").select(
             "word",
             F.when(enough, F.col("best.near")).alias("form"),
             "n",
@@ -230,7 +239,7 @@ def spelling_variants(words: DataFrame, ratio: int = RATIO) -> DataFrame:
         "spelling-forms",
     )
     ends = roots(formed.filter("form is not null"))
-    return formed.join(ends, "word", "left").select(
+    return formed.join(unbroadcast(ends), "word", "left").select(
         "word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n"
     )
 

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from benchledger.llm import spelling_variants as spelling
+from benchledger.session import settle
 
 WORDS = "word string, n bigint"
 
@@ -116,3 +117,25 @@ def test_edges(spark, odd, no_rows):
         spelling.spelling_variants(spark.createDataFrame([("abc", 5), ("abd", 5)], WORDS)).collect()
     alone = spelling.spelling_variants(spark.createDataFrame([("abcde", 5)], WORDS)).collect()
     assert list(map(tuple, alone)) == [("abcde", None, "abcde", 5, 0, None)]
+
+
+def test_no_side_of_a_join_is_broadcast(spark, monkeypatch):
+    """A word's keys are many times its bytes in the file of words, by which Spark would judge."""
+    plans = []
+
+    def noted(df, name):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return settle(df, name)
+
+    monkeypatch.setattr(spelling, "settle", noted)
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1g")
+    try:
+        words = spark.createDataFrame([("abcdef", 9), ("abcdeg", 3), ("abcde", 4)], WORDS)
+        result = spelling.spelling_variants(words)
+        plans.append(result._jdf.queryExecution().executedPlan().toString())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    joins = [plan for plan in plans if "Join" in plan]
+    assert len(joins) >= 4
+    assert not [plan for plan in joins if "Broadcast" in plan]
