@@ -57,3 +57,13 @@ def test_a_packing_is_written_in_batches(spark, tmp_path, monkeypatch):
     packed = compaction.scan_packed(spark, target, "test_runs", LAYOUT, archive=True)
     plain = records.scan_records(spark, str(tmp_path / "runs"), "test_runs", LAYOUT, archive=True)
     assert sorted(packed.collect(), key=str) == sorted(plain.collect(), key=str)
+
+
+def test_a_stream_names_the_codec_of_its_state(spark, tmp_path):
+    spark.createDataFrame([(1,), (1,)], "n int").write.parquet(str(tmp_path / "rows"))
+    before = spark.conf.get(incremental.STATE_CODEC)
+    once = spark.readStream.schema("n int").parquet(str(tmp_path / "rows")).dropDuplicates(["n"])
+    incremental.store_stream(once, str(tmp_path / "out"), str(tmp_path / "progress"), "zstd").awaitTermination()
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 1
+    assert '"spark.sql.streaming.stateStore.compression.codec":"zstd"' in (tmp_path / "progress" / "offsets" / "0").read_text()
+    assert spark.conf.get(incremental.STATE_CODEC) == before
