@@ -26,7 +26,9 @@ def with_variant(df: DataFrame, stdout: str = "stdout") -> DataFrame:
     decoded = parse.compute_once(found, "output", F.try_parse_json("_json"))
     # Null where a field is of another type.
     struct = F.try_variant_get("output", "$", parse.OUTPUT_SCHEMA)
-    checked = parse.compute_if_complete(decoded, struct, "declared")
+    # Plain columns, which Spark leaves out where nobody reads them; it copies no costly one that is read more than once.
+    cast = decoded.withColumn("_decoded", struct)
+    checked = cast.withColumn("declared", F.when(parse.is_complete(F.col("_decoded")), F.col("_decoded"))).drop("_decoded")
     complete = F.col("declared").isNotNull()
     return checked.select(
         *others,
@@ -51,18 +53,33 @@ def output_fields(df: DataFrame, output: str = "output") -> DataFrame:
     Objects are opened level by level where the output lies; an array is a field of its own. A field that holds different
     kinds has a row for each.
     """
-    opened = F.array(F.struct(F.lit("$").alias("path"), F.col(output).alias("value"), F.lit("object").alias("kind")))
-    rows = df.filter(_kind(F.col(output)) == "object").select(opened.alias("_0"))
+    # Outputs of one layout, of which there are few, are one row before any is opened: layouts say of each field what it
+    # holds, so one output stands for all. The set makes Spark aggregate objects by hash, else it would sort the outputs.
+    typed = parse.compute_once(df.select(F.col(output).alias("_output")), "_types", F.schema_of_variant("_output"))
+    laid = parse.compute_once(typed, "_layout", _layout(F.col("_types")))
+    layouts = laid.filter(F.startswith("_layout", F.lit("OBJECT"))).groupBy("_layout").agg(
+        F.count("*").alias("outputs"), F.first("_output").alias("_output"), F.collect_set(F.lit(True)).alias("_set")
+    )
+    opened = F.array(F.struct(F.lit("$").alias("path"), F.col("_output").alias("value"), F.lit("object").alias("kind")))
+    rows = layouts.filter(F.size("_set") == 1).select("outputs", opened.alias("_0"))
     levels = [f"_{level}" for level in range(LEVELS + 1)]
     for above, level in pairwise(levels):
         rows = parse.compute_once(rows, level, _fields(F.col(above)))
-    # Outputs of one layout, of which there are few, are one row before their fields are rows.
-    layout = F.concat(*[F.transform(level, lambda f: F.struct(f["path"], f["kind"])) for level in levels[1:]])
-    layouts = rows.groupBy(layout.alias("_layout")).agg(F.count("*").alias("outputs"))
-    fields = layouts.select(F.explode("_layout").alias("_field"), "outputs").select("_field.*", "outputs")
+    found = F.concat(*[F.transform(level, lambda f: F.struct(f["path"], f["kind"])) for level in levels[1:]])
+    fields = rows.select(F.explode(found).alias("_field"), "outputs").select("_field.*", "outputs")
     return fields.groupBy("path", "kind").agg(F.sum("outputs").alias("outputs"))
 
 
+def _layout(types: Column) -> Column:
+    """What ``schema_of_variant`` says, with numbers of any type as one.
+
+    A type stands before a comma or the end of what it is in, and an unquoted name before a colon. Quoted names may look like
+    anything, so where there are any the types stay as they are.
+    """
+    plain = F.regexp_replace(types, "(?:DECIMAL\\([0-9]+,[0-9]+\\)|BIGINT|DOUBLE|FLOAT)(?=[,>])", "N")
+    return F.when(F.contains(types, F.lit("`")), types).otherwise(plain)
+
+
 #: What a type of ``schema_of_variant`` begins with; the others are numbers.
 KINDS = {"OBJECT": "object", "ARRAY": "array", "STRING": "string", "BOOLEAN": "boolean", "VOID": "null"}
 

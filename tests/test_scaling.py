@@ -67,3 +67,18 @@ def test_a_stream_names_the_codec_of_its_state(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "out")).count() == 1
     assert '"spark.sql.streaming.stateStore.compression.codec":"zstd"' in (tmp_path / "progress" / "offsets" / "0").read_text()
     assert spark.conf.get(incremental.STATE_CODEC) == before
+
+
+def test_outputs_are_opened_once_per_layout(spark):
+    texts = ['{"a":1,"b: BIGINT":2}', '{"a: BIGINT, b":1.25}', '{"a":1.5,"b":[]}', '{"a":{"BIGINT":1,"x":null},"b":[2]}',
+             '{"a":{"DOUBLE":1,"x":null},"b":["y"]}', "[1]", "7", "{", "{}"]
+    rows = spark.createDataFrame([(f"x JSON: {text}",) for text in texts] + [(None,)], "stdout string")
+    found = variant.output_fields(variant.with_variant(rows))
+    assert {(row.path, row.kind): row.outputs for row in found.collect()} == {
+        ("$.a", "number"): 2, ("$.b: BIGINT", "number"): 1, ("$.a: BIGINT, b", "number"): 1, ("$.b", "array"): 3,
+        ("$.a", "object"): 2, ("$.a.BIGINT", "number"): 1, ("$.a.DOUBLE", "number"): 1, ("$.a.x", "null"): 2,
+    }
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    first = plan.rindex("ObjectHashAggregate")  # what stands lower comes earlier
+    assert plan.rindex("map_entries") < first
+    assert "percentile" not in plan  # the declared fields, which nobody reads here
