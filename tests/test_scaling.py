@@ -59,6 +59,16 @@ def test_a_packing_is_written_in_batches(spark, tmp_path, monkeypatch):
     assert sorted(packed.collect(), key=str) == sorted(plain.collect(), key=str)
 
 
+def test_loading_reads_the_files_once(spark, tmp_path):
+    archive(tmp_path / "test-runs", line(1), line(2, testName=None), "{", line(3))
+    tables = records.load_tables(spark, str(tmp_path), LAYOUT, archive=True)
+    assert sorted(row.test_run_id[:8] for row in tables["test_runs"].collect()) == ["00000001", "00000003"]
+    assert {(row.id and row.id[:8], row.reason, row._corrupt) for row in tables["quarantine"].collect()} == {
+        ("00000002", "missing testName", None), (None, "malformed", "{"),
+    }
+    assert not [name for name in tables["quarantine"].inputFiles() if str(tmp_path) in name]
+
+
 def test_a_stream_names_the_codec_of_its_state(spark, tmp_path):
     spark.createDataFrame([(1,), (1,)], "n int").write.parquet(str(tmp_path / "rows"))
     before = spark.conf.get(incremental.STATE_CODEC)
