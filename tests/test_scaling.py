@@ -69,6 +69,27 @@ def test_loading_reads_the_files_once(spark, tmp_path):
     assert not [name for name in tables["quarantine"].inputFiles() if str(tmp_path) in name]
 
 
+def test_a_micro_batch_is_parsed_once(spark, tmp_path, monkeypatch):
+    archive(tmp_path / "runs", line(1), line(2, testName=None), line(3))
+    sources = {}
+    append = records.append_batch
+
+    def noted(rows, ledger, batch_id):
+        sources[ledger] = rows.inputFiles()
+        append(rows, ledger, batch_id)
+
+    monkeypatch.setattr(records, "append_batch", noted)
+    ledger = str(tmp_path / "ledger")
+    stream = incremental.stream_records(spark, str(tmp_path / "runs"), "test_runs", LAYOUT, archive=True)
+    incremental.ingest(stream, "test_runs", ledger, str(tmp_path / "progress"), LAYOUT).awaitTermination()
+    assert sources[ledger] and sources[ledger] == sources[f"{ledger}-quarantine"]
+    assert not (tmp_path / "ledger-arrived").exists()
+    schema = "test_run_id string, test_name string, stdout string"
+    named = records.read_ledger(spark, ledger, schema, "test_run_id", columns=[F.col("stdout").isNotNull().alias("has")])
+    assert sorted((row.test_run_id[:8], row.has) for row in named.collect()) == [("00000001", True), ("00000003", True)]
+    assert [row.reason for row in records.read_batches(spark, f"{ledger}-quarantine", records.QUARANTINE_SCHEMA).collect()] == ["missing testName"]
+
+
 def test_a_stream_names_the_codec_of_its_state(spark, tmp_path):
     spark.createDataFrame([(1,), (1,)], "n int").write.parquet(str(tmp_path / "rows"))
     before = spark.conf.get(incremental.STATE_CODEC)
